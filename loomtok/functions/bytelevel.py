@@ -42,8 +42,25 @@ def byte_symbol(b: int) -> str:
 ALPHABET = [byte_symbol(b) for b in ALPHABET_BYTE_ORDER]  # sorted by code point
 _SRC = "".join(chr(b) for b in SHIFTED_BYTES)
 _DST = "".join(chr(256 + i) for i in range(len(SHIFTED_BYTES)))
+
+
+def _class_of(chars: set[str]) -> str:
+    """A regex character class of code-point ranges, as \\x{..} escapes
+    (valid in Java and RE2)."""
+    cps = sorted(ord(c) for c in chars)
+    runs, start, prev = [], cps[0], cps[0]
+    for cp in cps[1:] + [None]:
+        if cp is not None and cp == prev + 1:
+            prev = cp
+            continue
+        runs.append(f"\\x{{{start:x}}}" + (f"-\\x{{{prev:x}}}" if prev > start else ""))
+        if cp is not None:
+            start = prev = cp
+    return "[" + "".join(runs) + "]"
+
+
 # UTF-8 continuation bytes 0x80..0xBF as symbols.
-CONTINUATION_CLASS = "[" + "".join(sorted({byte_symbol(b) for b in range(0x80, 0xC0)})) + "]"
+CONTINUATION_CLASS = _class_of({byte_symbol(b) for b in range(0x80, 0xC0)})
 
 
 def pretokenize(c) -> Column:

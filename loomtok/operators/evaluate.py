@@ -22,8 +22,20 @@ METRIC_COLUMNS = ["benchmark", "num_documents", "total_words", "total_tokens", "
 
 
 def ratio(a, b, digits: int = 4):
-    """round(a / b, digits); null when b is 0."""
-    return F.round(F.col(a).cast("double") / F.nullif(F.col(b), F.lit(0)).cast("double"), digits)
+    """round(a / b, digits), half-up on the exact rational (integer
+    arithmetic, so every engine agrees on ties); null when b is 0."""
+    a = F.col(a) if isinstance(a, str) else a
+    b = F.col(b) if isinstance(b, str) else b
+    sc = 10 ** digits
+    num = a.cast("bigint") * F.lit(2 * sc) + b.cast("bigint")
+    q = _idiv(num, b.cast("bigint") * 2)
+    return F.when(b == 0, F.lit(None).cast("double")).otherwise(q.cast("double") / F.lit(float(sc)))
+
+
+def _idiv(x, y):
+    """Integral division (SQL ``div``) on bigint columns."""
+    y = F.nullif(y, F.lit(0))
+    return ((x - F.pmod(x, y)) / y).cast("bigint")
 
 
 def eval_metrics(bench: DataFrame, model: BpeModel) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtok.functions.text import byte_len
+from loomtok.operators.evaluate import ratio
 from loomtok.operators.encode import encode_documents, piece_ids, explode_pieces
 from loomtok.operators.model import BpeModel
 
@@ -48,9 +49,9 @@ def token_stream(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
         F.replace(F.col("t.tokens"), F.lit("Ġ"), F.lit("·")).alias("display"),
         F.col("t.offsets.start").alias("start"), F.col("t.offsets.end").alias("end"),
         span.alias("char_span"),
-        F.least(F.lit(1.0) + F.lit(0.18) * span, F.lit(4.0)).alias("width_scale"),
+        F.round(F.least(F.lit(1.0) + F.lit(0.18) * span, F.lit(4.0)), 4).alias("width_scale"),
         (F.col("t.ids") % 3).alias("band"),
-        F.round(F.col("num_chars") / F.greatest(F.lit(1), F.col("num_tokens")), 2).alias("chars_per_token"))
+        ratio(F.col("num_chars"), F.greatest(F.lit(1), F.col("num_tokens")), 2).alias("chars_per_token"))
 
 
 def vocab_usage(corpus: DataFrame, model: BpeModel, text_col: str = "text") -> DataFrame:

@@ -45,7 +45,7 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<!-- note -->[[Paris|the capital]] and [[Rome]] "), F.col("text"),
         F.lit('[1][22]<ref name="x"/><ref>cite</ref>  &lt;ok&gt; &amp;amp;'), F.lit("\n" * 4),
         F.lit("tail"), F.lit("\t"), F.lit(" end [[File:x.jpg|thumb|see [[Oslo]]]] [[Category:Z]] "
-                                          "[https://a.b label] ''''''bold'''''' {| x"),
+                                          "[https://a.b label] '''bold''' {| x"),
         nl, F.lit("| y |}"))
     wikitext = (F.when(i % 23 == 0, F.lit(None).cast("string"))
                 .when(i % 11 == 0, F.concat(F.lit("  #REDIRECT [[doc"), (i + 1).cast("string"),
