@@ -104,7 +104,7 @@ def parse_word(e: str) -> str:
 
 
 def symbols(e: str) -> str:
-    return f"array_to_string(list_transform({bytes_of(e)}, lambda b: chr({sym_cp('b')})), '')"
+    return f"array_to_string(list_transform({bytes_of(e)}, lambda b: chr(CAST({sym_cp('b')} AS INTEGER))), '')"
 
 
 def lines(e: str) -> str:
@@ -217,7 +217,7 @@ def model_ctes(n_merges: int = QUERY_MERGES, min_frequency: int = 2) -> str:
     specials = " UNION ALL ".join(f"SELECT {i} AS id, {s(t)} AS token" for i, t in enumerate(DEFAULT_SPECIAL_TOKENS))
     out = [f"pc AS ({piece_counts_sql()})",
            f"w0 AS (SELECT cnt, {word('piece')} AS w FROM pc WHERE strlen(piece) >= 2)",
-           f"v0 AS ({specials} UNION ALL SELECT {byte_id('b')} AS id, chr({sym_cp('b')}) AS token "
+           f"v0 AS ({specials} UNION ALL SELECT {byte_id('b')} AS id, chr(CAST({sym_cp('b')} AS INTEGER)) AS token "
            f"FROM range(256) t(b))"]
     for k in range(1, n_merges + 1):
         p = k - 1
@@ -271,7 +271,7 @@ def _enc(n: int = QUERY_MERGES, name: str = "enc") -> str:
 
 _TOK_ROWS = (f"tok AS (SELECT doc_id, pos, tp, id, token, length(regexp_replace(token, {s(CONTINUATION_CLASS)}, '', 'g')) AS lead, "
              f"CASE WHEN regexp_matches(token, {s('^' + CONTINUATION_CLASS)}) THEN 1 ELSE 0 END AS cf FROM "
-             f"(SELECT o.doc_id, o.pos, unnest(generate_subscripts(e.ids, 1)) AS tp, unnest(e.ids) AS id, "
+             f"(SELECT o.doc_id, o.pos, generate_subscripts(e.ids, 1) AS tp, unnest(e.ids) AS id, "
              f"unnest(e.tokens) AS token FROM occ o JOIN enc e USING (piece))),\n"
              f"offs AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY pos, tp) - 1 AS BIGINT) AS pos, "
              f"id, token, before - cf AS start, before + lead AS \"end\" FROM "
@@ -382,8 +382,8 @@ def build() -> dict[str, str]:
     q["ids_to_tokens"] = with_model(
         "SELECT doc_id, tokens FROM (" + _doc_enc_body() + ")", extra=enc_ctes)
     q["detokenize"] = with_model(
-        f"SELECT x.doc_id, {_decode('replace(x.tokens, ' ', '')')} AS text, "
-        f"{_decode('replace(x.tokens, ' ', '')')} = d.text AS roundtrip FROM ({_doc_enc_body()}) x "
+        f"SELECT x.doc_id, {_decode("replace(x.tokens, ' ', '')")} AS text, "
+        f"{_decode("replace(x.tokens, ' ', '')")} = d.text AS roundtrip FROM ({_doc_enc_body()}) x "
         f"JOIN documents d ON d.doc_id = x.doc_id", extra=enc_ctes)
     q["vocab_usage"] = with_model(
         "SELECT CAST(v.id AS BIGINT) AS id, v.token, v.kind, CAST(m.rank AS BIGINT) AS rank, "
@@ -405,8 +405,7 @@ def build() -> dict[str, str]:
     q["tokenize_rejects"] = ("SELECT doc_id, CASE WHEN text IS NULL THEN 'null_text' WHEN length(text) = 0 "
                              "THEN 'empty_text' ELSE 'ok' END AS reason, "
                              "(text IS NOT NULL AND length(text) > 0) AS accepted FROM documents")
-    base_enc = (f"enc4 AS (SELECT piece, {parse_word(chain(word('piece'), BASELINE_MERGES))} AS ids "
-                f"FROM (SELECT DISTINCT piece FROM occ))")
+    base_enc = _enc(BASELINE_MERGES, "enc4")
     q["compare_models"] = with_model(
         "SELECT a.doc_id, a.num_tokens AS ours_num_tokens, b.num_tokens AS baseline_num_tokens, "
         "a.num_tokens - b.num_tokens AS delta, "
@@ -440,8 +439,8 @@ def build() -> dict[str, str]:
                                                     "compression_ratio_bytes_per_token"])
     q["eval_report_nested"] = with_model(
         f"SELECT CAST(json_object('vocab_size', (SELECT count(*) FROM vocab), 'benchmarks', "
-        f"json_group_object(benchmark, json_object({metric_obj}) ORDER BY benchmark)) AS VARCHAR) AS report_json "
-        f"FROM metrics", extra=_metrics_ctes())
+        f"json('{{' || string_agg(to_json(benchmark)::VARCHAR || ':' || json_object({metric_obj})::VARCHAR, ',' "
+        f"ORDER BY benchmark) || '}}')) AS VARCHAR) AS report_json FROM metrics", extra=_metrics_ctes())
     q["benchmark_table"] = with_model(
         "SELECT benchmark, '| ' || benchmark || ' | ' || CAST(tokens_per_word AS VARCHAR) || ' | ' || "
         "CAST(compression_ratio_bytes_per_token AS VARCHAR) || ' |' AS markdown_row FROM metrics",
