@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,11 @@ def limit_bytes(size_limit_mb: float) -> int:
 def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, DataFrame]:
     """rows: ord, valid (bool), n_bytes (0 when invalid), + payload.
 
+    The budget arithmetic runs on a persisted (ord, valid, n_bytes) index —
+    three numbers per article — so the expensive payload (cleaning) is
+    computed once for sizing.  Kept articles are exactly the valid ones up to
+    the last kept ``ord`` (the running sum is monotone), so the payload is
+    re-read with ``ord <= last_ord``, a filter Catalyst pushes into the scan.
     Returns (kept rows, one-row counters)."""
     lim = max(limit, 1)
 
@@ -59,21 +65,27 @@ def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int = DEFAULT_BUCKETS)
                 return i
         return len(totals) - 1
 
-    valid = rows.where(F.col("valid"))
-    pre = prefix_sum_before(valid, "ord", "n_bytes", "pre", n_buckets, keep_buckets=last_bucket)
-    kept = pre.where(F.col("pre") < lim)
-    stats = kept.agg(F.count(F.lit(1)).alias("kept"), F.sum("n_bytes").alias("bytes"),
-                     F.max("ord").alias("last_ord")).first()
+    idx = rows.select("ord", "valid", "n_bytes").persist(StorageLevel.MEMORY_AND_DISK)
+    pre = prefix_sum_before(idx.where(F.col("valid")), "ord", "n_bytes", "pre", n_buckets,
+                            keep_buckets=last_bucket)
+    stats = pre.where(F.col("pre") < lim).agg(
+        F.count(F.lit(1)).alias("kept"), F.sum("n_bytes").alias("bytes"), F.max("ord").alias("last_ord")).first()
     crossed = (stats.bytes or 0) >= lim
-    invalid = rows.where(~F.col("valid"))
+    invalid = idx.where(~F.col("valid"))
     if crossed:
         invalid = invalid.where(F.col("ord") < F.lit(stats.last_ord))
     skipped = invalid.count()
+    idx.unpersist()
     spark = rows.sparkSession
     counters = spark.createDataFrame(
         [(int(stats.kept), int(skipped), int(stats.bytes or 0))],
         "articles_kept bigint, articles_skipped bigint, bytes_written bigint")
-    return kept.drop("pre"), counters
+    kept = rows
+    if stats.last_ord is None:
+        kept = rows.where(F.lit(False))
+    elif crossed:
+        kept = rows.where(F.col("ord") <= F.lit(stats.last_ord))
+    return kept.where(F.col("valid")), counters
 
 
 def article_rows(articles: DataFrame, min_chars: int) -> DataFrame:

@@ -38,15 +38,21 @@ def _idiv(x, y):
     return ((x - F.pmod(x, y)) / y).cast("bigint")
 
 
-def eval_metrics(bench: DataFrame, model: BpeModel) -> DataFrame:
-    sizes = bench.groupBy("benchmark").agg(
+def group_totals(df: DataFrame, model: BpeModel, group_col: str, text_col: str = "text") -> DataFrame:
+    """Per group: documents, words, tokens, chars and UTF-8 bytes."""
+    sizes = df.groupBy(group_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("num_documents"),
-        F.sum(word_count("text")).cast("bigint").alias("total_words"),
-        F.sum(char_len("text")).cast("bigint").alias("total_chars"),
-        F.sum(byte_len("text")).cast("bigint").alias("total_bytes_utf8"))
-    toks = token_totals(bench, model, "text", ["benchmark"])
-    j = sizes.join(toks, "benchmark", "left").withColumn(
+        F.sum(word_count(text_col)).cast("bigint").alias("total_words"),
+        F.sum(char_len(text_col)).cast("bigint").alias("total_chars"),
+        F.sum(byte_len(text_col)).cast("bigint").alias("total_bytes_utf8"))
+    toks = token_totals(df, model, text_col, [group_col])
+    j = sizes.join(toks, group_col, "left").withColumn(
         "total_tokens", F.coalesce("total_tokens", F.lit(0)).cast("bigint"))
+    return j.select(group_col, "num_documents", "total_words", "total_tokens", "total_chars", "total_bytes_utf8")
+
+
+def eval_metrics(bench: DataFrame, model: BpeModel) -> DataFrame:
+    j = group_totals(bench, model, "benchmark")
     return j.select(*METRIC_COLUMNS[:-2],
                     ratio("total_tokens", "total_words").alias("tokens_per_word"),
                     ratio("total_bytes_utf8", "total_tokens").alias("compression_ratio_bytes_per_token"))

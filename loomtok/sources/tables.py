@@ -13,8 +13,22 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy narrow work (regex cleaning, pre-tokenization,
+    encoding) every core when the scan yields few splits — e.g. a small file
+    written as one row group, which Spark reads in ONE task.  Inputs with at
+    least 2 splits per core (any large table) keep their scan partitioning
+    and pay no shuffle.  Filters and projections above still push into the
+    scan below the repartition."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < 2 * cores:
+        return df.repartition(cores)
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if balance else df
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

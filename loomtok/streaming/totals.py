@@ -61,12 +61,23 @@ def token_totals_stream(stream: DataFrame, model: BpeModel, group_col: str = "la
         F.sum("b").cast("bigint").alias("total_bytes_utf8"))
 
 
+TOTAL_COLUMNS = ["num_documents", "total_words", "total_tokens", "total_chars", "total_bytes_utf8"]
+
+
 def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_col: str = "lang",
                         text_col: str = "text", max_files_per_trigger: int | None = None,
-                        glob: str | None = None) -> DataFrame:
-    """Run the stream over the parquet files arriving in directory ``path``
-    (optionally only names matching ``glob``) until drained, then return its
-    complete-mode result table."""
+                        glob: str | None = None, out_dir: str | None = None) -> DataFrame:
+    """Drain the parquet files arriving in directory ``path`` (optionally only
+    names matching ``glob``) and return running totals per group.
+
+    Each micro-batch runs the batch plan — count (group, piece) first, encode
+    distinct pieces once, Σ cnt × tokens — inside ``foreachBatch`` and writes
+    its partial totals to ``<out_dir>/batch_id=<n>`` in the shared checkpoint
+    folder.  A replayed batch overwrites its own partition, so the output is
+    exactly-once; the totals are the sum over partitions.
+    """
+    from loomtok.operators.evaluate import group_totals
+
     static = spark.read
     if glob:
         static = static.option("pathGlobFilter", glob)
@@ -76,6 +87,36 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    src = reader.parquet(path).select(group_col, text_col)
+    name = f"token_totals_{uuid.uuid4().hex[:12]}"
+    base = out_dir or os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
+    partials = os.path.join(base, "partials")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        totals = group_totals(batch, model, group_col, text_col)
+        totals.coalesce(1).write.mode("overwrite").parquet(os.path.join(partials, f"batch_id={batch_id}"))
+
+    q = (src.writeStream.foreachBatch(per_batch)
+         .option("checkpointLocation", os.path.join(base, "checkpoint"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    out = spark.read.parquet(partials)
+    return out.groupBy(group_col).agg(*[F.sum(c).cast("bigint").alias(c) for c in TOTAL_COLUMNS])
+
+
+def stream_token_totals_in_state(spark: SparkSession, path: str, model: BpeModel, group_col: str = "lang",
+                                 text_col: str = "text", glob: str | None = None) -> DataFrame:
+    """Variant keeping the totals in Spark's streaming state (complete mode,
+    memory sink).  It encodes every piece occurrence (no per-batch dedupe),
+    so it suits small models and low-volume live input."""
+    static = spark.read
+    if glob:
+        static = static.option("pathGlobFilter", glob)
+    reader = spark.readStream.schema(static.parquet(path).schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     src = reader.parquet(path)
     name = f"token_totals_{uuid.uuid4().hex[:12]}"
     ckpt = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
