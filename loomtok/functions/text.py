@@ -6,6 +6,7 @@ JVM equivalent and runs as an Arrow-batched pandas UDF on non-ASCII rows only.
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -22,6 +23,38 @@ WS_CLASS = "[" + WS + "]"
 NON_WS_CLASS = "[^" + WS + "]"
 
 ASCII_ONLY = r"^[\x{0}-\x{7f}]*$"
+NFKC_SCAN_LIMIT = 0x2500   # Latin, Greek, Cyrillic, ..., general punctuation
+
+
+@functools.lru_cache(maxsize=1)
+def nfkc_stable_pattern() -> str:
+    """Regex class of code points that can never change under NFKC, derived
+    from the Unicode database: c is NFKC-invariant, a starter (combining
+    class 0) and never the second element of a canonical composition.  A
+    text made only of such characters is NFKC-stable, so it never needs the
+    Python round trip."""
+    seconds = set()
+    for cp in range(0x110000):
+        d = unicodedata.decomposition(chr(cp))
+        if d and not d.startswith("<"):
+            parts = d.split()
+            if len(parts) == 2:
+                seconds.add(int(parts[1], 16))
+    safe = [cp for cp in range(NFKC_SCAN_LIMIT)
+            if not (0xD800 <= cp <= 0xDFFF) and cp not in seconds
+            and unicodedata.combining(chr(cp)) == 0
+            and unicodedata.normalize("NFKC", chr(cp)) == chr(cp)]
+    runs, start, prev = [], safe[0], safe[0]
+    for cp in safe[1:] + [None]:
+        if cp is not None and cp == prev + 1:
+            prev = cp
+            continue
+        runs.append(f"\\x{{{start:x}}}" + (f"-\\x{{{prev:x}}}" if prev > start else ""))
+        if cp is not None:
+            start = prev = cp
+    return "^[" + "".join(runs) + "]*$"
+
+
 
 
 def col(c) -> Column:
@@ -80,10 +113,11 @@ _nfkc_udf = F.pandas_udf(_nfkc_series, T.StringType())
 
 
 def nfkc(c) -> Column:
-    """Unicode NFKC. ASCII text is NFKC-stable, so only non-ASCII values are
-    shipped to Python (ASCII rows send a null to the UDF)."""
+    """Unicode NFKC.  Texts made only of NFKC-stable characters (ASCII, most
+    Latin/Greek/Cyrillic letters and punctuation) are decided in the JVM and
+    send a null to the UDF; only the rest is normalized in Python."""
     c = col(c)
-    ascii_only = c.rlike(ASCII_ONLY)
+    stable = c.rlike(nfkc_stable_pattern())
     return F.when(c.isNull(), F.lit(None).cast("string")) \
-        .when(ascii_only, c) \
-        .otherwise(_nfkc_udf(F.when(~ascii_only, c)))
+        .when(stable, c) \
+        .otherwise(_nfkc_udf(F.when(~stable, c)))

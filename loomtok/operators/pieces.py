@@ -12,8 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtok.functions.bytelevel import (ids_to_word, pretokenize, symbol_ids, to_symbols,
-                                         word_len, word_to_ids)
+from loomtok.functions.bytelevel import pretokenize, symbol_ids, to_symbols
 from loomtok.functions.text import col, nfkc
 
 
@@ -68,17 +67,17 @@ def piece_counts(df: DataFrame, text_col: str, normalize: bool = True) -> DataFr
 
 
 def words_from_pieces(pc: DataFrame, n_special: int) -> DataFrame:
-    """(cnt, w): the merge state of every distinct piece with >= 2 symbols."""
-    w = ids_to_word(symbol_ids(to_symbols("piece"), n_special))
-    return (pc.select(F.col("cnt").cast("bigint").alias("cnt"), w.alias("w"))
-            .where(word_len("w") >= 2))
+    """(cnt, ids): the merge state of every distinct piece with >= 2 symbols,
+    as base token ids."""
+    ids = symbol_ids(to_symbols("piece"), n_special)
+    return (pc.select(F.col("cnt").cast("bigint").alias("cnt"), ids.alias("ids"))
+            .where(F.size("ids") >= 2))
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """(left_id, right_id, freq): count-weighted adjacent pairs."""
-    ids = word_to_ids("w")
-    n = F.size(ids)
-    pairs = F.arrays_zip(F.slice(ids, 1, n - 1).alias("l"), F.slice(ids, 2, n - 1).alias("r"))
+    n = F.size("ids")
+    pairs = F.arrays_zip(F.slice("ids", 1, n - 1).alias("l"), F.slice("ids", 2, n - 1).alias("r"))
     return (words.select("cnt", F.explode(pairs).alias("p"))
             .groupBy(F.col("p.l").alias("left_id"), F.col("p.r").alias("right_id"))
             .agg(F.sum("cnt").cast("bigint").alias("freq")))

@@ -1,10 +1,13 @@
 """Exact byte-level BPE training as an iterative DataFrame job.
 
-State: one row per distinct piece, ``(cnt, w)`` with ``w`` the bracketed id
-list.  Each round is ONE Spark job: apply the previous batch of merges
-(literal ``replace`` calls, narrow) -> explode adjacent pairs -> partial +
-final aggregate -> top-k by (freq desc, left_id, right_id).  Only the k
-candidates reach the driver.
+State: one row per distinct piece, ``(cnt, ids array<int>)``.  Each round is
+ONE Spark job: apply the previous batch of merges (narrow) -> explode
+adjacent pairs -> partial + final aggregate -> top-k by (freq desc,
+left_id, right_id).  Only the k candidates reach the driver.  A batch
+rewrites only the words holding both ids of one of its pairs
+(``array_contains``, codegen'd); those go through the bracketed form
+'[87][75]' where a merge (a, b) -> n is the literal replace '[a][b]' ->
+'[n]' (left to right, non-overlapping — the BPE rule).
 
 Exact batching: a round applies the longest prefix of the ranking whose
 pairs share no symbol.  A merge cannot change the count of a pair that shares
@@ -24,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtok.functions.bytelevel import DEFAULT_SPECIAL_TOKENS
+from loomtok.functions.bytelevel import DEFAULT_SPECIAL_TOKENS, ids_to_word, word_to_ids
 from loomtok.functions.text import lines_keep_newline
 from loomtok.operators.model import BpeModel
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
@@ -61,20 +64,31 @@ def select_batch(top: list[tuple[int, int, int]], model: BpeModel, vocab_size: i
 
 
 def apply_merges(words: DataFrame, batch) -> DataFrame:
-    w = F.col("w")
+    if not batch:
+        return words
+    hit = None
+    w = ids_to_word("ids")
     for left, right, new_id, _ in batch:
+        c = F.array_contains("ids", left) & F.array_contains("ids", right)
+        hit = c if hit is None else (hit | c)
         w = F.replace(w, F.lit(f"[{left}][{right}]"), F.lit(f"[{new_id}]"))
+    ids = F.when(hit, word_to_ids(w)).otherwise(F.col("ids"))
     # words reduced to one symbol can take part in no further pair
-    return words.select("cnt", w.alias("w")).where(F.instr("w", "][") > 0)
+    return words.select("cnt", ids.alias("ids")).where(F.size("ids") >= 2)
 
 
 def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
               special_tokens: list[str] | None = None, line_col: str = "line",
-              top_k: int = 64, checkpoint_every: int = 10, normalize: bool = True,
+              top_k: int = 64, checkpoint_every: int = 3, normalize: bool = True,
               stats: TrainStats | None = None) -> BpeModel:
     """Learn merges until the vocabulary holds ``vocab_size`` entries or no
     pair reaches ``min_frequency``.  Ids: special tokens, the 256 byte
-    symbols by code point, then merges in creation order."""
+    symbols by code point, then merges in creation order.
+
+    The word table is persisted each round (materialized by the next round's
+    pair count) and every ``checkpoint_every`` rounds written as a reliable
+    checkpoint in the shared checkpoint dir, which bounds lineage and
+    survives executor loss."""
     t0 = time.perf_counter()
     specials = list(DEFAULT_SPECIAL_TOKENS if special_tokens is None else special_tokens)
     model = BpeModel(specials, vocab_size_requested=vocab_size, min_frequency=min_frequency)
@@ -100,7 +114,6 @@ def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
         rounds += 1
         nxt = apply_merges(words, batch)
         if rounds % checkpoint_every == 0:
-            # reliable checkpoint in the shared checkpoint dir cuts lineage
             nxt = nxt.checkpoint(eager=True)
             words.unpersist()
         else:
