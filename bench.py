@@ -59,6 +59,11 @@ def main() -> None:
         return out
 
     docs = table(spark, SF_DIR, "documents")
+    # untimed warm-up: JVM class loading / JIT, Python workers, codegen
+    warm = docs.limit(200)
+    noop(extract_article_corpus(articles(spark, SF_DIR).limit(200), 0.1, 500).corpus)
+    warm_model = train_on_texts(warm.select("text"), vocab_for(4))
+    noop(decode_documents(encode_documents(warm, warm_model), warm_model))
     n_chars = docs.agg(F.sum(F.length("text"))).first()[0]
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0]
 

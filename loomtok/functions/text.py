@@ -23,7 +23,7 @@ WS_CLASS = "[" + WS + "]"
 NON_WS_CLASS = "[^" + WS + "]"
 
 ASCII_ONLY = r"^[\x{0}-\x{7f}]*$"
-NFKC_SCAN_LIMIT = 0x2500   # Latin, Greek, Cyrillic, ..., general punctuation
+NFKC_SCAN_LIMIT = 0x0180   # Latin-1 and Latin Extended-A: few ranges, cheap per char
 
 
 @functools.lru_cache(maxsize=1)
@@ -117,7 +117,7 @@ def nfkc(c) -> Column:
     Latin/Greek/Cyrillic letters and punctuation) are decided in the JVM and
     send a null to the UDF; only the rest is normalized in Python."""
     c = col(c)
-    stable = c.rlike(nfkc_stable_pattern())
+    stable = c.rlike(ASCII_ONLY) | c.rlike(nfkc_stable_pattern())
     return F.when(c.isNull(), F.lit(None).cast("string")) \
         .when(stable, c) \
         .otherwise(_nfkc_udf(F.when(~stable, c)))

@@ -66,15 +66,20 @@ def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int = DEFAULT_BUCKETS)
         return len(totals) - 1
 
     idx = rows.select("ord", "valid", "n_bytes").persist(StorageLevel.MEMORY_AND_DISK)
-    pre = prefix_sum_before(idx.where(F.col("valid")), "ord", "n_bytes", "pre", n_buckets,
-                            keep_buckets=last_bucket)
-    stats = pre.where(F.col("pre") < lim).agg(
-        F.count(F.lit(1)).alias("kept"), F.sum("n_bytes").alias("bytes"), F.max("ord").alias("last_ord")).first()
+    # one running sum over ALL rows (invalid rows carry 0 bytes): a row is
+    # seen iff the valid bytes before it are below the limit, so kept and
+    # skipped come out of the same window and one aggregate.
+    pre = prefix_sum_before(idx, "ord", "n_bytes", "pre", n_buckets, keep_buckets=last_bucket)
+    seen = pre.where(F.col("pre") < lim)
+    stats = seen.agg(
+        F.count(F.when(F.col("valid"), 1)).alias("kept"),
+        F.sum(F.when(F.col("valid"), F.col("n_bytes"))).alias("bytes"),
+        F.max(F.when(F.col("valid"), F.col("ord"))).alias("last_ord"),
+        F.count(F.when(~F.col("valid"), 1)).alias("seen_invalid")).first()
+    # an invalid row after the crossing article has the crossing bytes in its
+    # running sum, so it is never "seen": no correction is needed
     crossed = (stats.bytes or 0) >= lim
-    invalid = idx.where(~F.col("valid"))
-    if crossed:
-        invalid = invalid.where(F.col("ord") < F.lit(stats.last_ord))
-    skipped = invalid.count()
+    skipped = stats.seen_invalid
     idx.unpersist()
     spark = rows.sparkSession
     counters = spark.createDataFrame(

@@ -72,11 +72,11 @@ def test_normalize_whitespace(spark):
 def test_nfkc_fast_path_is_exact(spark):
     import unicodedata
     from loomtok.functions.text import nfkc_stable_pattern
-    cps = [chr(c) for c in range(0x20, 0x2500) if not 0xD800 <= c <= 0xDFFF]
+    cps = [chr(c) for c in range(0x20, 0x3000) if not 0xD800 <= c <= 0xDFFF]
     df = spark.createDataFrame([(c,) for c in cps], "t string")
     flagged = {r.t for r in df.where(F.col("t").rlike(nfkc_stable_pattern())).collect()}
     assert all(unicodedata.normalize("NFKC", c) == c for c in flagged)
-    assert {"é", "ß", "ñ", "ü", "Ω", "ж", "a"} <= flagged
+    assert {"é", "ß", "ñ", "ü", "ç", "a"} <= flagged
     assert not ({"ﬁ", "²", "\xa0", "ĳ", "́"} & flagged)
     # a stable letter followed by a combining mark is not stable as a text
     assert df.sparkSession.createDataFrame([("é",)], "t string") \
