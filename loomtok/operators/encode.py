@@ -123,12 +123,23 @@ def token_cont_first(tokens) -> Column:
     return F.transform(col(tokens), lambda t: F.when(t.rlike("^" + CONTINUATION_CLASS), 1).otherwise(0))
 
 
+def local_spans(leads, contf) -> Column:
+    """Per token of one piece: half-open character span relative to the
+    piece start.  A token starting inside a multi-byte character takes that
+    character's span (start - 1); ``before`` is the running count of
+    characters started by earlier tokens.  Computed once per distinct piece."""
+    leads, contf = col(leads), col(contf)
+    before = F.transform(leads, lambda x, i: F.aggregate(F.slice(leads, 1, i), F.lit(0), lambda a, y: a + y))
+    return F.transform(F.arrays_zip(before.alias("b"), leads.alias("l"), contf.alias("c")),
+                       lambda z: F.struct((z["b"] - z["c"]).alias("start"), (z["b"] + z["l"]).alias("end")))
+
+
 def encode_pieces(pieces: DataFrame, model: BpeModel) -> DataFrame:
-    """(piece) -> (piece, ids, tokens, leads, contf), one row per input row."""
+    """(piece) -> (piece, ids, tokens, spans), one row per input row."""
     enc = with_vocab(pieces.select("piece", piece_ids("piece", model).alias("ids")), model)
     enc = enc.select("piece", "ids", ids_to_tokens("ids").alias("tokens"))
-    return enc.select("piece", "ids", "tokens", token_leads("tokens").alias("leads"),
-                      token_cont_first("tokens").alias("contf"))
+    return enc.select("piece", "ids", "tokens",
+                      local_spans(token_leads("tokens"), token_cont_first("tokens")).alias("spans"))
 
 
 def _join_encoded(occ: DataFrame, enc: DataFrame, n_enc: int, max_broadcast: int) -> DataFrame:
@@ -143,38 +154,45 @@ def encode_documents(df: DataFrame, model: BpeModel, text_col: str = "text", key
                      max_broadcast_pieces: int = MAX_BROADCAST_PIECES,
                      with_offsets: bool = True) -> DataFrame:
     """Per row of ``df``: key, ids, tokens, offsets (half-open character
-    spans into the original text), num_tokens, num_chars."""
+    spans into the original text), num_tokens, num_chars.
+
+    One row per piece occurrence flows through the plan: the distinct-piece
+    table carries ids, tokens and piece-local spans; a running character
+    count per document (one shuffle by document, shared with the regroup)
+    places each piece."""
     specials = model.special_tokens
     occ = explode_pieces(df.select(key, text_col), text_col, [key], specials)
     plain = occ.where(F.col("special").isNull())
     enc = encode_pieces(plain.select("piece").distinct(), model).persist(StorageLevel.MEMORY_AND_DISK)
     n_enc = enc.count()
     joined = _join_encoded(plain, enc, n_enc, max_broadcast_pieces)
-    spec = occ.where(F.col("special").isNotNull()).select(
-        key, "seg", "pos", "piece",
-        F.array(F.lit(None).cast("int")).alias("ids"),
-        F.array(F.col("special")).alias("tokens"),
-        F.array(F.length("special")).alias("leads"),
-        F.array(F.lit(0)).alias("contf"))
-    sid = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(i))]) if specials else None
+    cols = [key, "seg", "pos", "plen", "ids", "tokens", "spans"]
+    joined = joined.withColumn("plen", F.length("piece"))
     if specials:
-        spec = spec.withColumn("ids", F.array(F.element_at(sid, F.col("piece"))))
-    allp = joined.select(key, "seg", "pos", "ids", "tokens", "leads", "contf").unionByName(
-        spec.select(key, "seg", "pos", "ids", "tokens", "leads", "contf"))
-    toks = allp.select(key, "seg", "pos", F.posexplode(F.arrays_zip(
-        F.col("ids").alias("id"), F.col("tokens").alias("token"),
-        F.col("leads").alias("lead"), F.col("contf").alias("cf"))).alias("tp", "t"))
-    toks = toks.select(key, "seg", "pos", "tp", "t.id", "t.token", "t.lead", "t.cf")
-    w = Window.partitionBy(key).orderBy("seg", "pos", "tp").rowsBetween(Window.unboundedPreceding, 0)
-    before = F.sum("lead").over(w) - F.col("lead")
-    toks = toks.withColumn("start", (before - F.col("cf")).cast("int")) \
-               .withColumn("end", (before + F.col("lead")).cast("int"))
+        sid = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(i))])
+        spec = occ.where(F.col("special").isNotNull()).select(
+            key, "seg", "pos", F.length("special").alias("plen"),
+            F.array(F.element_at(sid, F.col("piece"))).alias("ids"),
+            F.array(F.col("special")).alias("tokens"),
+            F.array(F.struct(F.lit(0).alias("start"), F.length("special").alias("end"))).alias("spans"))
+        allp = joined.select(*cols).unionByName(spec.select(*cols))
+    else:
+        allp = joined.select(*cols)
+    w = Window.partitionBy(key).orderBy("seg", "pos").rowsBetween(Window.unboundedPreceding, 0)
+    allp = allp.withColumn("pstart", (F.sum("plen").over(w) - F.col("plen")).cast("int"))
+    # flat token rows after the window (same document partitioning, no new
+    # shuffle): the regroup collects primitive fields only
+    toks = allp.select(key, "seg", "pos", "pstart", F.posexplode(F.arrays_zip(
+        F.col("ids").alias("id"), F.col("tokens").alias("token"), F.col("spans").alias("sp"))).alias("tp", "t"))
+    toks = toks.select(key, "seg", "pos", "tp", F.col("t.id").alias("id"), F.col("t.token").alias("token"),
+                       (F.col("t.sp.start") + F.col("pstart")).alias("start"),
+                       (F.col("t.sp.end") + F.col("pstart")).alias("end"))
     agg = toks.groupBy(key).agg(F.sort_array(F.collect_list(
         F.struct("seg", "pos", "tp", "id", "token", "start", "end"))).alias("t"))
     out = agg.select(
         key,
-        F.transform("t", lambda x: x["id"]).alias("ids"),
-        F.transform("t", lambda x: x["token"]).alias("tokens"),
+        F.col("t.id").alias("ids"),
+        F.col("t.token").alias("tokens"),
         F.transform("t", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("offsets"),
     ).withColumn("num_tokens", F.size("ids"))
     sizes = df.select(key, F.length(text_col).cast("int").alias("num_chars"))

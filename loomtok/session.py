@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 def get_spark(master: str | None = None, app: str = "loomtok",
               shuffle_partitions: int | None = None,
-              driver_memory: str = "16g") -> SparkSession:
+              driver_memory: str = "16g", conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE, skew-join handling and Arrow on.
 
     On a cluster the master, memory and ``spark.checkpoint.dir`` come from
@@ -30,6 +30,8 @@ def get_spark(master: str | None = None, app: str = "loomtok",
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.driver.memory", driver_memory))
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
