@@ -109,6 +109,18 @@ def summary_table(report: DataFrame) -> DataFrame:
     return report.select("benchmark", row.alias("markdown_row"))
 
 
+def ui_table(report: DataFrame) -> DataFrame:
+    """The web table's cell formats: ratios with 3 decimals, speeds as
+    thousands of chars/s."""
+    cells = [F.col("benchmark"),
+             F.format_string("%.3f", "tokens_per_word").alias("tokens_per_word"),
+             F.format_string("%.3f", "compression_ratio_bytes_per_token").alias("bytes_per_token")]
+    if "encode_chars_per_sec" in report.columns:
+        for c, name in (("encode_chars_per_sec", "encode_speed"), ("decode_chars_per_sec", "decode_speed")):
+            cells.append(F.concat(F.format_string("%.0f", F.col(c) / 1000), F.lit("k chars/s")).alias(name))
+    return report.select(*cells)
+
+
 def benchmark_overlap(bench: DataFrame, corpus: DataFrame, corpus_text_col: str = "text") -> DataFrame:
     """Contamination check: share of each benchmark's non-blank lines that
     also occur as a line of the corpus.  A left-semi join on the stripped

@@ -75,8 +75,15 @@ def vocab_usage(corpus: DataFrame, model: BpeModel, text_col: str = "text") -> D
                       F.coalesce("uses", F.lit(0)).cast("bigint").alias("uses"))
 
 
-def vocab_info(spark, model: BpeModel) -> DataFrame:
-    return spark.createDataFrame([(model.vocab_size, ",".join(model.special_tokens))],
+def vocab_info(spark, model: BpeModel, config_path: str | None = None) -> DataFrame:
+    """Vocabulary size, and the special tokens recorded in the training
+    config at ``config_path`` ([] when it is missing) or the model's own."""
+    if config_path is not None:
+        from loomtok.sources.artifacts import read_special_tokens
+        specials = read_special_tokens(spark, config_path)
+    else:
+        specials = model.special_tokens
+    return spark.createDataFrame([(model.vocab_size, ",".join(specials))],
                                  "vocab_size bigint, special_tokens string")
 
 

@@ -8,15 +8,22 @@ without its final ``\\n`` and the text writer's line separator puts it back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_corpus_text(corpus: DataFrame, path: str, num_partitions: int | None = None) -> None:
+def write_corpus_text(corpus: DataFrame, path: str, num_partitions: int | None = None) -> dict:
+    """Write the blocks in ``ord`` order; returns the progress counters
+    (articles, bytes) observed on the write itself — no second pass."""
     n = num_partitions or max(1, corpus.sparkSession.sparkContext.defaultParallelism)
     body = F.expr("substring(block, 1, length(block) - 1)")
-    (corpus.repartitionByRange(n, "ord").sortWithinPartitions("ord")
-     .select(body.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path))
+    obs = Observation("corpus_progress")
+    # observed above the range shuffle: the bound-sampling job does not
+    # pass through it, only the write does
+    ordered = corpus.repartitionByRange(n, "ord").sortWithinPartitions("ord")
+    observed = ordered.observe(obs, F.count(F.lit(1)).alias("articles"), F.sum("n_bytes").alias("bytes"))
+    observed.select(body.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
+    return obs.get
 
 
 def write_json_rows(df: DataFrame, path: str) -> None:

@@ -93,8 +93,10 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
     partials = os.path.join(base, "partials")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()   # read twice: sizes and token totals
         totals = group_totals(batch, model, group_col, text_col)
         totals.coalesce(1).write.mode("overwrite").parquet(os.path.join(partials, f"batch_id={batch_id}"))
+        batch.unpersist()
 
     q = (src.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
