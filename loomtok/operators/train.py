@@ -9,13 +9,18 @@ rewrites only the words holding both ids of one of its pairs
 '[87][75]' where a merge (a, b) -> n is the literal replace '[a][b]' ->
 '[n]' (left to right, non-overlapping — the BPE rule).
 
-Exact batching: a round applies the longest prefix of the ranking whose
-pairs share no symbol.  A merge cannot change the count of a pair that shares
-no symbol with it, and any pair it creates is bounded by the count of a pair
-that shares a symbol, which ranks after the prefix; new ids are larger, so
-ties also rank after it.  The batch closes after a self-pair (a, a) and after
-a merge whose string already exists (its id is reused), because neither bound
-holds there.  So the merges equal the one-merge-at-a-time greedy order.
+Exact batching: a round applies the longest prefix of the ranking in which
+no pair is *affected* by an earlier merge of the prefix.  Merging (x, y)
+changes existing counts only of pairs (y, .) and (., x) — its occurrences
+consume a y that follows x and an x that precedes y — so a pair (u, v) with
+u not a merged right symbol and v not a merged left symbol keeps its count
+and its occurrences.  Every affected pair ranks after the prefix; a pair the
+merge creates, (n, z) or (w, n), counts at most as much as the affected
+(y, z) or (w, x) and carries the new, larger id n, so it ranks after the
+prefix too (ties included).  The batch also closes after a self-pair (a, a)
+and after a merge whose string already exists (its id is reused), where
+those bounds do not hold.  So the merges equal the one-merge-at-a-time
+greedy order; ``tests/test_train.py`` checks it against a sequential trainer.
 """
 
 from __future__ import annotations
@@ -48,16 +53,18 @@ def corpus_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def select_batch(top: list[tuple[int, int, int]], model: BpeModel, vocab_size: int):
     """Driver-side choice of this round's merges from the ranked candidates."""
-    used: set[int] = set()
+    lefts: set[int] = set()
+    rights: set[int] = set()
     batch = []
     for left, right, freq in top:
         if model.vocab_size >= vocab_size:
             break
-        if left in used or right in used:
+        if left in rights or right in lefts:   # count may have changed
             break
         new_id, reused = model.add_token(model.tokens[left] + model.tokens[right])
         batch.append((left, right, new_id, freq))
-        used.update((left, right))
+        lefts.add(left)
+        rights.add(right)
         if left == right or reused:
             break
     return batch
