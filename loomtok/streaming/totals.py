@@ -77,6 +77,7 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
     exactly-once; the totals are the sum over partitions.
     """
     from loomtok.operators.evaluate import group_totals
+    from loomtok.sources.tables import spread
 
     static = spark.read
     if glob:
@@ -93,7 +94,7 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
     partials = os.path.join(base, "partials")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()   # read twice: sizes and token totals
+        batch = spread(batch).persist()   # read twice: sizes and token totals
         totals = group_totals(batch, model, group_col, text_col)
         totals.coalesce(1).write.mode("overwrite").parquet(os.path.join(partials, f"batch_id={batch_id}"))
         batch.unpersist()
