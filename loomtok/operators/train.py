@@ -94,8 +94,12 @@ def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
 
     The word table is persisted each round (materialized by the next round's
     pair count) and every ``checkpoint_every`` rounds written as a reliable
-    checkpoint in the shared checkpoint dir, which bounds lineage and
-    survives executor loss."""
+    checkpoint in the shared checkpoint dir.  The checkpoint bounds lineage,
+    survives executor loss and keeps the chain of dependent caches short:
+    Spark re-plans the caches built on a parent when the parent is dropped,
+    which grows without bound (and exhausts the driver heap) if never cut.
+    Persist + a checkpoint every 3 rounds measured ~2x faster per round than
+    a checkpoint every round."""
     t0 = time.perf_counter()
     specials = list(DEFAULT_SPECIAL_TOKENS if special_tokens is None else special_tokens)
     model = BpeModel(specials, vocab_size_requested=vocab_size, min_frequency=min_frequency)
