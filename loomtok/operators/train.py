@@ -36,6 +36,7 @@ from loomtok.functions.bytelevel import DEFAULT_SPECIAL_TOKENS, ids_to_word, wor
 from loomtok.functions.text import lines_keep_newline
 from loomtok.operators.model import BpeModel
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
+from loomtok.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -105,6 +106,7 @@ def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
     model = BpeModel(specials, vocab_size_requested=vocab_size, min_frequency=min_frequency)
     stats = stats if stats is not None else TrainStats()
 
+    ensure_checkpoint_dir(lines.sparkSession)
     pc = piece_counts(lines, line_col, normalize=normalize)
     words = words_from_pieces(pc, model.n_special).persist(StorageLevel.MEMORY_AND_DISK)
     stats.distinct_pieces = words.count()
