@@ -55,3 +55,17 @@ def test_training_and_encoding_equal_library(spark):
         assert got[i].ids == e.ids, i
         if t != "ﬁne Ａ":   # NFKC changes the text: spans are in normalized text (documented)
             assert [(o.start, o.end) for o in got[i].offsets] == list(e.offsets), i
+
+
+def test_large_model_udf_path_equals_library(spark):
+    rows = spark.read.parquet(f"{SF001}/documents.parquet").orderBy("doc_id").limit(120).collect()
+    texts = [r.text for r in rows]
+    vocab_size = 260 + 300   # > CHAIN_MAX_MERGES: the Arrow UDF encoder
+    lib = _library_model(texts, vocab_size)
+    ours = train_on_texts(spark.createDataFrame([("\n".join(texts) + "\n",)], "text string"), vocab_size)
+    assert [(ours.tokens[l], ours.tokens[r]) for l, r, _, _ in ours.merges] == \
+        _merge_strings(json.loads(lib.to_str()))
+    sample = texts[100:120]
+    df = spark.createDataFrame(list(enumerate(sample)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in encode_documents(df, ours, with_offsets=False).collect()}
+    assert got == {i: lib.encode(t).ids for i, t in enumerate(sample)}
