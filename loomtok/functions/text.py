@@ -121,3 +121,71 @@ def nfkc(c) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("string")) \
         .when(stable, c) \
         .otherwise(_nfkc_udf(F.when(~stable, c)))
+
+
+def nfkc_alignment(text: str, specials: list[str]) -> tuple[list[int], list[int]]:
+    """Original character span of every character of the normalized text
+    (special tokens untouched, other segments NFKC), per normalization unit
+    (a character and the combining marks after it): 'ﬁ' -> 'fi' gives both
+    characters the span of 'ﬁ'; a composed 'é' from 'e' + U+0301 gets the
+    span of 'e'.  If units compose across their boundary, the segment maps
+    coarsely."""
+    import re
+    starts: list[int] = []
+    ends: list[int] = []
+    if specials:
+        alts = "|".join(re.escape(x) for x in sorted(specials, key=len, reverse=True))
+        parts = re.split(f"({alts})", text)
+    else:
+        parts = [text]
+    base = 0
+    special_set = set(specials)
+    for k, seg in enumerate(parts):
+        if not seg:
+            continue
+        if specials and k % 2 == 1 and seg in special_set:
+            starts += range(base, base + len(seg))
+            ends += range(base + 1, base + len(seg) + 1)
+            base += len(seg)
+            continue
+        target = unicodedata.normalize("NFKC", seg)
+        s_, e_, out, i = [], [], [], 0
+        while i < len(seg):
+            j = i + 1
+            while j < len(seg) and unicodedata.combining(seg[j]) != 0:
+                j += 1
+            nu = unicodedata.normalize("NFKC", seg[i:j])
+            out.append(nu)
+            # output char m <- original char min(i + m, j - 1): expansions
+            # ('ﬁ' -> 'fi') share the source char, compositions ('e' + U+0301
+            # -> 'é') keep the base char, as the reference tokenizer aligns
+            for m in range(len(nu)):
+                c = base + min(i + m, j - 1)
+                s_.append(c)
+                e_.append(c + 1)
+            i = j
+        if "".join(out) != target:
+            s_ = [base] * len(target)
+            e_ = [base + len(seg)] * len(target)
+        starts += s_
+        ends += e_
+        base += len(seg)
+    return starts, ends
+
+
+def nfkc_alignment_udf(specials: list[str]):
+    """Arrow UDF: text -> struct<s: array<int>, e: array<int>>."""
+    def run(texts: pd.Series) -> pd.DataFrame:
+        ss, es = [], []
+        for t in texts:
+            if t is None:
+                ss.append(None)
+                es.append(None)
+            else:
+                a, b = nfkc_alignment(t, specials)
+                ss.append(a)
+                es.append(b)
+        return pd.DataFrame({"s": ss, "e": es})
+    schema = T.StructType([T.StructField("s", T.ArrayType(T.IntegerType())),
+                           T.StructField("e", T.ArrayType(T.IntegerType()))])
+    return F.pandas_udf(run, schema)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from loomtok.functions.bytelevel import (ALPHABET_BYTE_ORDER, CONTINUATION_CLASS, ids_to_word,
                                          symbol_ids, symbols_to_text, to_symbols, word_to_ids)
-from loomtok.functions.text import col
+from loomtok.functions.text import ASCII_ONLY, col, nfkc_alignment_udf, nfkc_stable_pattern
 from loomtok.operators.model import BpeModel
 from loomtok.operators.pieces import explode_pieces
 
@@ -196,8 +196,24 @@ def encode_documents(df: DataFrame, model: BpeModel, text_col: str = "text", key
         F.transform("t", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("offsets"),
     ).withColumn("num_tokens", F.size("ids"))
     sizes = df.select(key, F.length(text_col).cast("int").alias("num_chars"))
+    if with_offsets:
+        # texts NFKC may change get a normalized -> original character map
+        # (Arrow UDF, only for them); stable texts send a null
+        t = F.col(text_col)
+        stable = t.rlike(ASCII_ONLY) | t.rlike(nfkc_stable_pattern())
+        sizes = df.select(key, F.length(text_col).cast("int").alias("num_chars"),
+                          nfkc_alignment_udf(specials)(F.when(~stable, t)).alias("_align"))
     # documents that produced no token (empty text) keep a row with empty arrays
-    res = sizes.join(out, key, "left").select(
+    res = sizes.join(out, key, "left")
+    if with_offsets:
+        al = F.col("_align")
+        mapped = F.transform("offsets", lambda o: F.struct(
+            F.element_at(al["s"], o["start"] + 1).alias("start"),
+            F.element_at(al["e"], o["end"]).alias("end")))
+        res = res.withColumn("offsets", F.when(al.isNull() | al["s"].isNull() | (F.size(al["s"]) == 0),
+                                               F.col("offsets"))
+                             .otherwise(mapped))
+    res = res.select(
         key,
         F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
         F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"),
