@@ -52,3 +52,17 @@ def test_ui_table_format(spark):
     r = evaluate.ui_table(rep).first()
     assert (r.tokens_per_word, r.bytes_per_token, r.encode_speed, r.decode_speed) == \
         ("1.146", "4.642", "1274k chars/s", "15576k chars/s")
+
+
+def test_run_pipeline_end_to_end(spark):
+    from conftest import SF001
+    from loomtok.plans.pipeline import run_pipeline
+    out = os.path.join(tempfile.mkdtemp(prefix="loomtok-run-"), "run")
+    res = run_pipeline(spark, SF001, out, merges=6, size_limit_mb=0.05)
+    assert sorted(os.listdir(out)) == ["corpus", "evaluation_report", "extraction_manifest", "model",
+                                       "training_config"]
+    m = BpeModel.load(spark, os.path.join(out, "model"))
+    assert len(m.merges) == 6 and res["train_rounds"] >= 1
+    man = spark.read.json(os.path.join(out, "extraction_manifest")).first()
+    assert man.bytes_written >= 0.05 * 1024 * 1024 and man.articles_kept > 0
+    assert len(res["summary"]) == 2 and all(r.startswith("| ") for r in res["summary"])
