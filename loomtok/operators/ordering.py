@@ -60,16 +60,36 @@ def prefix_sum_before(df: DataFrame, order_col: str, value_col: str, out_col: st
             .drop("_bucket"))
 
 
+def composite_splits(df: DataFrame, order_cols: list[str], n_buckets: int,
+                     per_bucket: int = 20, seed: int = 17) -> list[tuple]:
+    """Bucket bounds over the full composite order key from a seeded sample
+    of about ``per_bucket`` keys per bucket (bounded, whatever the data
+    size), so one hot leading value is still split across buckets."""
+    total = df.count()
+    if total == 0 or n_buckets <= 1:
+        return []
+    frac = min(1.0, n_buckets * per_bucket / total)
+    sample = sorted(tuple(r) for r in df.select(*order_cols).sample(fraction=frac, seed=seed).collect()
+                    if all(v is not None for v in r))
+    if not sample:
+        return []
+    step = max(1, len(sample) // n_buckets)
+    return sorted(set(sample[i] for i in range(step, len(sample), step)))
+
+
 def row_number_global(df: DataFrame, order_cols: list[str], out_col: str = "ord",
                       n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Dense 1-based row number over a global order, computed in parallel
-    (same two-level scheme; the order is the struct of ``order_cols``)."""
-    key = "_okey"
-    tmp = df.withColumn(key, F.struct(*order_cols)).withColumn("_one", F.lit(1))
-    # bucket on the leading column, then order within bucket by all columns
-    lead = order_cols[0]
-    splits = bucket_splits(tmp, lead, n_buckets)
-    b = tmp.withColumn("_bucket", bucket_of(F.col(lead), splits))
+    """Dense 1-based row number over a global order, computed in parallel:
+    composite-key bucket bounds, per-bucket counts (n_buckets numbers on the
+    driver), offsets, and ``row_number`` within each bucket."""
+    key = F.struct(*[F.col(c) for c in order_cols])
+    splits = composite_splits(df, order_cols, n_buckets)
+    if splits:
+        arr = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(sp, order_cols)]) for sp in splits])
+        bucket = F.size(F.filter(arr, lambda sp: sp <= key))
+    else:
+        bucket = F.lit(0)
+    b = df.withColumn("_bucket", bucket)
     totals = {r["_bucket"]: r["t"] for r in b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("t")).collect()}
     n = (max(totals) + 1) if totals else 1
     offsets, acc = [], 0
@@ -78,5 +98,4 @@ def row_number_global(df: DataFrame, order_cols: list[str], out_col: str = "ord"
         acc += totals.get(i, 0)
     off = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_bucket") + 1)
     w = Window.partitionBy("_bucket").orderBy(*order_cols)
-    return (b.withColumn(out_col, off + F.row_number().over(w))
-            .drop("_bucket", key, "_one"))
+    return b.withColumn(out_col, off + F.row_number().over(w)).drop("_bucket")

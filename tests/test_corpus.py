@@ -102,3 +102,19 @@ def test_report_arithmetic_goldens(spark):
     df = spark.createDataFrame([(201093, 175517, 933452), (50181, 41757, 232925), (0, 0, 5)], "t long, w long, b long")
     got = df.select(evaluate.ratio("t", "w").alias("tpw"), evaluate.ratio("b", "t").alias("bpt")).collect()
     assert [(r.tpw, r.bpt) for r in got] == [(1.1457, 4.6419), (1.2017, 4.6417), (None, None)]
+
+
+def test_row_number_global_hot_leading_key(spark):
+    from loomtok.operators.ordering import row_number_global
+    rows = [(1 if i % 3 == 0 else i, i) for i in range(600)]   # a third share key 1
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = row_number_global(df, ["a", "b"], "rn", n_buckets=8)
+    exp = {r: i + 1 for i, r in enumerate(sorted(rows))}
+    assert {(r.a, r.b): r.rn for r in got.collect()} == exp
+    from loomtok.operators.ordering import composite_splits
+    splits = composite_splits(df, ["a", "b"], 8)
+    counts = {}
+    for r in rows:
+        k = sum(1 for sp in splits if sp <= r)
+        counts[k] = counts.get(k, 0) + 1
+    assert max(counts.values()) <= 3 * len(rows) / 8   # the hot key is split across buckets
