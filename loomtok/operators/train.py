@@ -87,7 +87,7 @@ def apply_merges(words: DataFrame, batch) -> DataFrame:
 
 def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
               special_tokens: list[str] | None = None, line_col: str = "line",
-              top_k: int = 64, checkpoint_every: int = 3, normalize: bool = True,
+              top_k: int = 256, checkpoint_every: int = 3, normalize: bool = True,
               stats: TrainStats | None = None) -> BpeModel:
     """Learn merges until the vocabulary holds ``vocab_size`` entries or no
     pair reaches ``min_frequency``.  Ids: special tokens, the 256 byte
