@@ -90,6 +90,11 @@ def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int = DEFAULT_BUCKETS)
         kept = rows.where(F.lit(False))
     elif crossed:
         kept = rows.where(F.col("ord") <= F.lit(stats.last_ord))
+    # The prefix is cached before the ``valid`` filter: pushed below the
+    # payload projection, that filter would evaluate the cleaning chain a
+    # second time.  The cache is bounded by the budget (the prefix ends at
+    # the crossing article).
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     return kept.where(F.col("valid")), counters
 
 
