@@ -142,8 +142,20 @@ def encode_pieces(pieces: DataFrame, model: BpeModel) -> DataFrame:
                       local_spans(token_leads("tokens"), token_cont_first("tokens")).alias("spans"))
 
 
-def _join_encoded(occ: DataFrame, enc: DataFrame, n_enc: int, max_broadcast: int) -> DataFrame:
-    right = F.broadcast(enc) if n_enc <= max_broadcast else enc
+MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+
+
+def broadcast_ok(enc: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Size check before broadcasting the encoded distinct pieces: row count
+    and an estimate of the bytes (piece text ~3x for tokens and spans, plus
+    per-row overhead), both from one aggregate over the persisted table."""
+    r = enc.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("piece")).alias("b")).first()
+    est = 3 * (r.b or 0) + 64 * r.n
+    return r.n <= max_rows and est <= max_bytes
+
+
+def _join_encoded(occ: DataFrame, enc: DataFrame, small: bool) -> DataFrame:
+    right = F.broadcast(enc) if small else enc
     return occ.join(right, "piece", "left")
 
 
@@ -164,8 +176,7 @@ def encode_documents(df: DataFrame, model: BpeModel, text_col: str = "text", key
     occ = explode_pieces(df.select(key, text_col), text_col, [key], specials)
     plain = occ.where(F.col("special").isNull())
     enc = encode_pieces(plain.select("piece").distinct(), model).persist(StorageLevel.MEMORY_AND_DISK)
-    n_enc = enc.count()
-    joined = _join_encoded(plain, enc, n_enc, max_broadcast_pieces)
+    joined = _join_encoded(plain, enc, broadcast_ok(enc, max_broadcast_pieces))
     cols = [key, "seg", "pos", "plen", "ids", "tokens", "spans"]
     joined = joined.withColumn("plen", F.length("piece"))
     if specials:
@@ -239,8 +250,7 @@ def token_totals(df: DataFrame, model: BpeModel, text_col: str = "text",
     dist = per.where(F.col("special").isNull()).select("piece").distinct()
     enc = dist.select("piece", F.size(piece_ids("piece", model)).alias("n_tok")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
-    n_enc = enc.count()
-    right = F.broadcast(enc) if n_enc <= max_broadcast_pieces else enc
+    right = F.broadcast(enc) if broadcast_ok(enc, max_broadcast_pieces) else enc
     j = per.join(right, "piece", "left")
     n = F.when(F.col("special").isNotNull(), F.lit(1)).otherwise(F.col("n_tok"))
     return j.groupBy(*group_cols).agg(F.sum(F.col("cnt") * n).cast("bigint").alias("total_tokens"))
