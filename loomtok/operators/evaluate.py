@@ -121,7 +121,9 @@ def ui_table(report: DataFrame) -> DataFrame:
     return report.select(*cells)
 
 
-def benchmark_overlap(bench: DataFrame, corpus: DataFrame, corpus_text_col: str = "text") -> DataFrame:
+def benchmark_overlap(bench: DataFrame, corpus: DataFrame, corpus_text_col: str = "text",
+                      max_broadcast_lines: int = 1_000_000,
+                      max_broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Contamination check: share of each benchmark's non-blank lines that
     also occur as a line of the corpus.  A left-semi join on the stripped
     line; the corpus side is reduced to distinct lines first."""
@@ -129,7 +131,15 @@ def benchmark_overlap(bench: DataFrame, corpus: DataFrame, corpus_text_col: str
         x = df.select(*keys, F.explode(F.split(F.col(col_name), "\n")).alias("line"))
         return x.select(*keys, strip_ws("line").alias("line")).where(has_non_ws("line"))
     b = lines(bench, "text", ["benchmark"])
-    c = lines(corpus, corpus_text_col, []).distinct()
+    bl = b.select("line").distinct()
+    size = bl.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("line")).alias("s")).first()
+    if size.n <= max_broadcast_lines and (size.s or 0) + 64 * size.n <= max_broadcast_bytes:
+        # benchmark lines proven small: filter the corpus against them with a
+        # broadcast semi-join (narrow — the corpus is never shuffled), then
+        # dedupe only the matches
+        c = lines(corpus, corpus_text_col, []).join(F.broadcast(bl), "line", "left_semi").distinct()
+    else:
+        c = lines(corpus, corpus_text_col, []).distinct()
     hit = b.join(c, "line", "left_semi").groupBy("benchmark").agg(F.count(F.lit(1)).alias("overlapping_lines"))
     tot = b.groupBy("benchmark").agg(F.count(F.lit(1)).alias("total_lines"))
     j = tot.join(hit, "benchmark", "left").withColumn(

@@ -118,3 +118,14 @@ def test_row_number_global_hot_leading_key(spark):
         k = sum(1 for sp in splits if sp <= r)
         counts[k] = counts.get(k, 0) + 1
     assert max(counts.values()) <= 3 * len(rows) / 8   # the hot key is split across buckets
+
+
+def test_overlap_broadcast_and_shuffle_paths_agree(spark):
+    bench = spark.createDataFrame([("p", 1, "alpha\n beta \n\ngamma"), ("q", 2, "delta")],
+                                  "benchmark string, ord long, text string")
+    corpus = spark.createDataFrame([(" beta", ), ("x\ndelta\nalpha  ",), ("zeta",)], "text string")
+    a = {r.benchmark: (r.total_lines, r.overlapping_lines, r.overlap_ratio)
+         for r in evaluate.benchmark_overlap(bench, corpus).collect()}
+    b = {r.benchmark: (r.total_lines, r.overlapping_lines, r.overlap_ratio)
+         for r in evaluate.benchmark_overlap(bench, corpus, max_broadcast_lines=0).collect()}
+    assert a == b == {"p": (3, 2, 0.6667), "q": (1, 1, 1.0)}
