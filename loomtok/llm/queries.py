@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtok.llm import bpe_prefix, decontaminate, nbsvm
+from loomtok.llm import bpe_prefix, dart_minhash, decontaminate, hdc_langid, line_spread, nbsvm
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    own = remainder("doc_id", 4)
+    prototypes = hdc_langid.fit(docs, may_learn=own != 2)
+    found = hdc_langid.predict(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", F.coalesce(own == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,6 +45,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.decode(ids, path).select("doc_id", *bpe_prefix.digests(ids))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return dart_minhash.groups(docs).select("doc_id", "class_id", "class_size", "first")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, read(spark, sf_dir, "benchmark"))
@@ -46,10 +59,61 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("hits") > 0).alias("contaminated"))
 
 
+def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_spread.remove_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_langid": op2_langid,
     "op3_bpe": op3_bpe,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_decontaminate": op6_decontaminate,
+    "op10_line_spread": op10_line_spread,
 }
 
-STAGES = []
+
+# The stages of corpus_pipeline: (spark, docs, sf_dir) -> documents
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier rejects go."""
+    return nbsvm.score(docs, quality_model(spark, sf_dir), out_col="_score").where(F.col("_score") >= 0.3).drop("_score")
+
+
+def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go from the texts; every document stays."""
+    return with_size(line_spread.remove_lines(docs).drop("n_lines", "n_removed"))
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class stays."""
+    return dart_minhash.keep_first(dart_minhash.groups(docs))
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a test item go."""
+    return decontaminate.remove(decontaminate.scan(docs, read(spark, sf_dir, "benchmark")))
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with ids, and whether the ids decode to the text."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    both = bpe_prefix.decode(bpe_prefix.encode(docs, path, public_tokenizers.PATTERN), path)
+    return both.withColumns({"n_tokens": F.size("ids").cast("long"),
+                             "exact": F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")}).drop("decoded")
+
+
+def with_size(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", lines_stage),
+    ("near_dedup", near_duplicates_stage),
+    ("decontamination", decontaminate_stage),
+    ("bpe", bpe_stage),
+]
