@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtok.llm import bpe_prefix, dart_minhash, decontaminate, hdc_langid, line_spread, nbsvm
+from loomtok.llm import bpe_prefix, dart_minhash, decontaminate, hdc_langid, kmeans_tree, line_spread, nbsvm, page_text
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.groups(docs).select("doc_id", "class_id", "class_size", "first")
 
 
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = page_text.extract(pages, page_text.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, read(spark, sf_dir, "benchmark"))
@@ -59,6 +65,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("hits") > 0).alias("contaminated"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_spread.remove_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
@@ -69,7 +79,9 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_bpe": op3_bpe,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_page_text": op5_page_text,
     "op6_decontaminate": op6_decontaminate,
+    "op9_neighbours": op9_neighbours,
     "op10_line_spread": op10_line_spread,
 }
 
