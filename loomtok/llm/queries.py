@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtok.llm import bpe_prefix, dart_minhash, decontaminate, hdc_langid, kmeans_tree, line_spread, nbsvm, page_text
+from loomtok.llm import (bpe_prefix, cover_repeats, dart_minhash, decontaminate, hdc_langid, kmeans_tree, line_spread, nbsvm,
+                         page_text, rlz_repeats)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,17 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("hits") > 0).alias("contaminated"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cover_repeats.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", cover_repeats.n_removed().alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = rlz_repeats.remove(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -81,6 +93,8 @@ QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_page_text": op5_page_text,
     "op6_decontaminate": op6_decontaminate,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_line_spread": op10_line_spread,
 }
