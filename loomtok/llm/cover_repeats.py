@@ -138,13 +138,13 @@ def remove(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> Dat
         return out
 
     hits = repeats.hits(repeats.repeated(contexts, prints), docs, text_col)
-    both = repeats.attach(repeats.keyed(docs, text_col), hits, "hits", "left").select(*names, "hits")
+    both = repeats.attach(repeats.keyed(docs, text_col), hits, "hits", "left").select("row", "hits")
     at, kept = names.index(text_col), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(batches):
         for batch in batches:
-            data, offs = byte_rows(batch.column(at))
-            found = batch.column(len(names))
+            whole, found = pa.RecordBatch.from_arrays(batch.column(0).flatten(), names=names), batch.column(1)
+            data, offs = byte_rows(whole.column(at))
             for lo, hi in row_slices(offs):
                 spans, rest = [], []
                 for i in range(lo, hi):
@@ -153,7 +153,7 @@ def remove(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> Dat
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]))).tolist()
                     spans.append([{"start": a, "end": b} for a, b in zip(edge[::2], edge[1::2])])
                     rest.append(text[~gone].tobytes() if edge else text.tobytes())
-                rows = batch.slice(lo, hi - lo).select(names)
+                rows = whole.slice(lo, hi - lo)
                 yield with_columns(rows, n_bytes=pa.array(np.diff(offs[lo:hi + 1]), pa.int64()), spans=pa.array(spans, kept), kept=pa.array(rest, pa.binary()))
 
     return both.mapInArrow(cut, same_rows(docs.schema, T.StructField("n_bytes", T.LongType()), T.StructField("spans", SPANS), T.StructField("kept", T.BinaryType())))

@@ -23,9 +23,9 @@ no band: at 0.8 one in 10**6.
 Words are runs of other bytes than white space, with A-Z lowered.  Texts are
 told apart by 128-bit hashes and copies share one signature.  ``groups``
 returns the documents' rows with ``class_id`` (the smallest key in the
-class, null if it has only null keys), ``class_size`` and ``first``: one row
-of each class for which that holds, and of equal rows exactly one is told by
-``keep_first``.  Null texts and texts without words are never duplicates of
+class, null if it has only null keys), ``class_size`` and ``first``, which
+holds for the rows with that key; ``keep_first`` returns exactly one row of
+each class.  Null texts and texts without words are never duplicates of
 anything: each row is a class of its own with its own key.  Repeated rows
 are copies.  Columns of the new names are replaced; an empty table gives an
 empty one.
@@ -295,24 +295,25 @@ def _searched(dealt: DataFrame, least: float) -> DataFrame:
 
 
 def groups(docs: DataFrame, least: float = LEAST, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    docs = docs.drop("class_id", "class_size", "first")
-    names = docs.columns
+    return _classed(docs.drop("class_id", "class_size", "first"), least, key, text_col).select("row.*", "class_id", "class_size", "first")
+
+
+def _classed(docs: DataFrame, least: float, key: str, text_col: str) -> DataFrame:
+    """row (all columns, whatever their names), root, class_id, class_size, first."""
     _, roots = links(docs, least, text_col)
     wordless = F.col(text_col).isNull() | (F.trim(F.regexp_replace(text_col, r"[\t-\r]", " ")) == "")
-    keyed = docs.withColumn("_id", F.when(~wordless, text_id(text_col)))
-    classed = keyed.join(roots.select(F.col("node").alias("_id"), F.col("root").alias("_root")), "_id", "left")
-    classed = classed.withColumn("_root", F.coalesce("_root", "_id"))
-    sizes = classed.where(F.col("_root").isNotNull()).groupBy("_root").agg(
-        F.min(key).alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    out = classed.join(sizes, "_root", "left").select(
-        *names, F.when(F.col("_root").isNull(), F.col(key)).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), "_root")
-    return out.withColumn("first", F.col("_root").isNull() | F.col(key).eqNullSafe(F.col("class_id")))
-
-
-def keep_first(grouped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row of each class; the columns of ``groups`` go."""
-    firsts = grouped.where("first")
-    many = firsts.where(F.col("_root").isNotNull() & (F.col("class_size") > 1))
-    alone = firsts.where(F.col("_root").isNull() | (F.col("class_size") == 1))
-    return alone.unionByName(many.dropDuplicates(["_root"])).drop("class_id", "class_size", "first", "_root")
+    keyed = docs.select(F.when(~wordless, text_id(text_col)).alias("id"), F.col(key).alias("key"), F.struct(*docs.columns).alias("row"))
+    classed = keyed.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sizes = classed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n"))
+    out = classed.join(sizes, "root", "left").select(
+        "row", "root", "key", F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("least")).alias("class_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("class_size"))
+    return out.withColumn("first", F.col("root").isNull() | F.col("key").eqNullSafe(F.col("class_id"))).drop("key")
+
+
+def keep_first(docs: DataFrame, least: float = LEAST, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class, with its own columns."""
+    firsts = _classed(docs, least, key, text_col).where("first")
+    many = firsts.where(F.col("root").isNotNull() & (F.col("class_size") > 1))
+    alone = firsts.where(F.col("root").isNull() | (F.col("class_size") == 1))
+    return alone.unionByName(many.dropDuplicates(["root"])).select("row.*")

@@ -124,11 +124,12 @@ def _scan_block(docs: DataFrame, grams: Grams, text_col: str) -> DataFrame:
                             mark[i] += 1
                             mark[i + n] -= 1
                             items.setdefault(int(np.searchsorted(first, i, "right")) - 1, set()).update(found)
+                covered = np.cumsum(mark) > 0  # over all rows: a window's end marks the next row's first word
                 spans, named = [None] * (hi - lo), [None] * (hi - lo)
                 for r, found in items.items():
                     old = before["hits"][lo + r].as_py() or []
                     a, b = first[r], first[r + 1]
-                    hit = np.cumsum(mark[a:b]) > 0
+                    hit = covered[a:b].copy()
                     for s in old:
                         hit[s["start"]:s["end"]] = True
                     edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]])))

@@ -75,9 +75,12 @@ def tokens(page: str):
     inside = aside = links = 0
     at, size = 0, len(page)
 
+    def side() -> str:
+        return "in " if inside else "out " if marked else ""
+
     def place() -> str:
         block = next((n for n, _ in reversed(stack) if n in BLOCK), "")
-        return f"{'in ' if inside else 'out ' if marked else ''}{block}{' a' if links else ''}"
+        return f"{side()}{block}{' a' if links else ''}"
 
     def drop() -> None:
         nonlocal inside, aside, links
@@ -115,7 +118,7 @@ def tokens(page: str):
                 if name != "head":
                     over = RAW_END[name].search(page, at)
                     at = over.end() if over else size if name in ("script", "style", "textarea", "title") else at
-                    yield "tag", name, name, inside > 0, True
+                    yield "tag", name, side() + name, inside > 0, True
                     continue
             if name in BLOCK:
                 # a paragraph ends where a block begins, and items end each other
@@ -132,7 +135,7 @@ def tokens(page: str):
                 inside += name in CONTENT
                 links += name == "a"
                 aside += off
-        yield "tag", name, name, inside > 0, aside > 0
+        yield "tag", name, side() + name, inside > 0, aside > 0
 
 
 def _within(stack: list, name: str) -> bool:
@@ -158,8 +161,12 @@ def weight(weights: dict[str, float], kind: str, value: str, feature: str, off:
     name, n = _features(kind, value, feature, off)
     w = weights.get(name)
     if w is None:
-        plain = "tag" if kind == "tag" else "word in a link" if feature.endswith(" a") else "word"
-        w = -2.0 if off else PLAIN[plain]
+        if feature.startswith("in "):  # the page says so itself
+            w = 1.0 if kind == "text" and not off else -0.05
+        elif kind == "tag":
+            w = PLAIN["tag"]
+        else:
+            w = -2.0 if off else PLAIN["word in a link" if feature.endswith(" a") or feature.startswith("out ") else "word"]
     return w * n
 
 
@@ -203,10 +210,10 @@ def fit(pages: DataFrame, key: str = "page_id", html_col: str = "html", max_page
         for _, texts in _batches(batches, 0):
             for page in texts:
                 for kind, value, feature, inside, off in tokens(page):
-                    # the second name is that of a page without a marked article
-                    for known in {feature, re.sub("^(in|out) ", "", feature)}:
-                        name, n = _features(kind, value, known, off)
-                        counts[name, inside and not off] += n
+                    name, n = _features(kind, value, feature, off)
+                    counts[name, inside] += n  # asides in an article are cut out, they don't end it
+                    name, n = _features(kind, value, re.sub("^(in|out) ", "", feature), off)  # as if no article were marked
+                    counts[name, inside and not off] += n
         yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in counts], pa.string()), pa.array([i for _, i in counts], pa.bool_()),
                                           pa.array(list(counts.values()), pa.int64())], ["name", "inside", "n"])
 

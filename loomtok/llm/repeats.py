@@ -82,12 +82,14 @@ def anchors(grams: np.ndarray, lo: int, hi: int, w: int, k: int) -> tuple[np.nda
 
 
 def keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    """_k1, _k2 and row, which holds all columns whatever their names."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumns({"_k1": F.xxhash64(text), "_k2": F.xxhash64(F.lit(1), text)})
+    return docs.select(F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"), F.struct(*docs.columns).alias("row"))
 
 
 def texts_of(docs: DataFrame, text_col: str) -> DataFrame:
-    return keyed(docs, text_col).select("_k1", "_k2", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"), text.alias("_text"))
 
 
 class New:
@@ -314,7 +316,7 @@ def repeated(contexts: DataFrame, prints) -> DataFrame:
 def hits(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """_k1, _k2, hits (array of lo, n) of texts with repeated windows; of a
     text with copies every window is one."""
-    copies = keyed(docs, text_col).groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    copies = texts_of(docs, text_col).groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     copies = copies.select("_k1", "_k2", F.lit(0).alias("lo"), F.lit((1 << 31) - 1).alias("n"))
     both = found.unionByName(copies)
     return table(both.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("lo", "n")).alias("hits")), "hits")

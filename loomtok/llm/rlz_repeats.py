@@ -102,14 +102,14 @@ def remove(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> Dat
 
     factors = repeats.repeated(within, prints)
     hits = repeats.hits(factors, docs, text_col)
-    both = repeats.attach(repeats.keyed(docs, text_col), hits, "hits", "left").select(*names, "hits")
+    both = repeats.attach(repeats.keyed(docs, text_col), hits, "hits", "left").select("row", "hits")
     at = names.index(text_col)
 
     def cut(batches):
         words = Words(WORD_BYTES)
         for batch in batches:
-            data, offs = byte_rows(batch.column(at))
-            found = batch.column(len(names))
+            whole, found = pa.RecordBatch.from_arrays(batch.column(0).flatten(), names=names), batch.column(1)
+            data, offs = byte_rows(whole.column(at))
             for lo, hi in row_slices(offs):
                 part = data[offs[lo]:offs[hi]]
                 starts, ends, first = words.split(part, offs[lo:hi + 1] - offs[lo])
@@ -123,7 +123,7 @@ def remove(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> Dat
                     if removed[-1]:
                         own = [w for w, g in zip(own, gone.tolist()) if not g]
                     rest.append(b" ".join(own))
-                rows = batch.slice(lo, hi - lo).select(names)
+                rows = whole.slice(lo, hi - lo)
                 kept = pa.array(rest, pa.binary()).cast(pa.string())
                 yield with_columns(rows, n_words=pa.array(np.diff(first), pa.int64()), n_removed=pa.array(removed, pa.int64()), kept=kept)
 
