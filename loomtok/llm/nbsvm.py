@@ -33,7 +33,9 @@ from loomtok.llm.flat import Words, byte_class, byte_rows, mix, row_slices, same
 
 BITS = 20
 #: Labelled texts that a fit reads at most.
-MAX_ROWS = 8000
+MAX_ROWS = 6000
+#: Parts of the labelled texts whose margins come from models of the others.
+FOLDS = 4
 #: Texts that must have a feature before it counts.
 LEAST_TEXTS = 3
 
@@ -143,7 +145,7 @@ def fit_features(texts: list[np.ndarray], y: np.ndarray, cost: float = 1.0) -> M
     size = 1 << BITS
 
     def part(own: np.ndarray) -> Model:
-        counts = {c: np.bincount(np.concatenate([texts[i] for i in own if y[i] == c] or [np.zeros(0, np.int64)]), minlength=size) for c in (1, -1)}
+        counts = {c: np.bincount(np.concatenate([texts[i] for i in own if y[i] == c] or [np.zeros(0, np.int32)]), minlength=size) for c in (1, -1)}
         p, q = counts[1] + 1.0, counts[-1] + 1.0
         ratio = np.log((p / p.sum()) / (q / q.sum()))
         ratio[counts[1] + counts[-1] < LEAST_TEXTS] = 0
@@ -151,12 +153,18 @@ def fit_features(texts: list[np.ndarray], y: np.ndarray, cost: float = 1.0) -> M
         w, b = descend([texts[i] for i in own], values, y[own], size, cost)
         return Model((w * ratio).astype(np.float32), (ratio ** 2).astype(np.float32), b, 1.0, 0.0)
 
-    fold = np.arange(len(y)) % 4 == 0
-    held = part(np.flatnonzero(~fold))
-    rows = np.repeat(np.arange(fold.sum()), [len(texts[i]) for i in np.flatnonzero(fold)])
-    margins = held.margins(np.concatenate([texts[i] for i in np.flatnonzero(fold)]), rows, int(fold.sum()))
+    # margins of texts by models that didn't see them, each class dealt out evenly
+    fold = np.zeros(len(y), np.int64)
+    for c in (1, -1):
+        fold[y == c] = np.arange((y == c).sum()) % FOLDS
+    margins = np.zeros(len(y))
+    for f in range(FOLDS):
+        own = np.flatnonzero(fold == f)
+        if len(own):
+            rows = np.repeat(np.arange(len(own)), [len(texts[i]) for i in own])
+            margins[own] = part(np.flatnonzero(fold != f)).margins(np.concatenate([texts[i] for i in own]), rows, len(own))
     model = part(np.arange(len(y)))
-    model.slope, model.shift = sigmoid_of(margins, y[fold])
+    model.slope, model.shift = sigmoid_of(margins, y)
     return model
 
 
@@ -186,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     y = np.where(rows.label.to_numpy() == 1, 1, -1)
     if len(set(y.tolist())) < 2:
         raise ValueError("the labelled rows don't hold both classes")
-    return fit_features([np.asarray(f, np.int64) for f in rows.found], y)
+    return fit_features([np.asarray(f, np.int32) for f in rows.found], y)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
