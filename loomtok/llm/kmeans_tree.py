@@ -116,9 +116,10 @@ def fit(rows: DataFrame) -> Tree | None:
     if widest is None:
         return None
     n = max(1000, min(MAX_SAMPLE, SAMPLE_BYTES // (8 * widest)))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(n).select("v").toPandas().v
-    lengths = sample.map(len)
-    return Tree(np.stack(sample[lengths == lengths.mode()[0]].to_numpy()))
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(n).select("v").toArrow().column("v").combine_chunks()
+    lengths = sample.value_lengths().to_numpy()
+    width = int(np.bincount(lengths).argmax())
+    return Tree(matrix(sample.filter(pa.array(lengths == width)), width))
 
 
 def best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,10 +139,10 @@ def calibrate(rows: DataFrame, queries: DataFrame, tree: Tree, k: int, recall: f
     """Leaves to visit so that the trial queries find ``recall`` of their k
     nearest; brute force over all rows, best k of each task merged."""
     width = tree.centres.shape[1]
-    trials = queries.where(F.size("v") == width).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(TRIALS).toPandas()
+    trials = queries.where(F.size("v") == width).orderBy(F.xxhash64("id", F.lit(3)), "id").limit(TRIALS).toArrow()
     if not len(trials) or len(tree.leaves) < 2:
         return 1
-    own, wanted = trials.id.to_numpy(), np.stack(trials.v.to_numpy())
+    own, wanted = trials.column("id").to_numpy(), matrix(trials.column("v").combine_chunks(), width)
     shared = rows.sparkSession.sparkContext.broadcast((tree, own, wanted))
 
     def run(batches):

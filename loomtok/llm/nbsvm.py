@@ -15,7 +15,8 @@ narrow pass.  Null and empty texts have no features; they get the score of
 the model's constant.  Labels other than 0 and 1 and null labels are left
 out of the fit, which needs both classes (else an error); labelled rows
 without a document, or whose documents have null texts, count for nothing
-and as empty texts.  Repeated rows count as often as they come.  A column
+and as empty texts.  Of several texts or labels with one key, one text for each
+label counts.  A column
 named like the new one is replaced; an empty table gives an empty table.
 """
 
@@ -33,7 +34,7 @@ from loomtok.llm.flat import Words, byte_class, byte_rows, mix, row_slices, same
 
 BITS = 20
 #: Labelled texts that a fit reads at most.
-MAX_ROWS = 6000
+MAX_ROWS = 4000
 #: Parts of the labelled texts whose margins come from models of the others.
 FOLDS = 4
 #: Texts that must have a feature before it counts.
@@ -107,7 +108,7 @@ def descend(texts: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, si
     stay.  The constant is the weight of a feature that each text has."""
     w, b = np.zeros(size), 0.0
     held = np.zeros(len(y))
-    norm = np.array([float(v @ v) + 1.0 for v in values])
+    norm = np.array([float(v @ v) + 1.0 for v in values])  # 1.0 for the constant
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
@@ -149,7 +150,7 @@ def fit_features(texts: list[np.ndarray], y: np.ndarray, cost: float = 1.0) -> M
         p, q = counts[1] + 1.0, counts[-1] + 1.0
         ratio = np.log((p / p.sum()) / (q / q.sum()))
         ratio[counts[1] + counts[-1] < LEAST_TEXTS] = 0
-        values = [ratio[texts[i]] / max(np.sqrt((ratio[texts[i]] ** 2).sum()), 1e-9) for i in own]
+        values = [(ratio[texts[i]] / max(np.sqrt((ratio[texts[i]] ** 2).sum()), 1e-9)).astype(np.float32) for i in own]
         w, b = descend([texts[i] for i in own], values, y[own], size, cost)
         return Model((w * ratio).astype(np.float32), (ratio ** 2).astype(np.float32), b, 1.0, 0.0)
 
@@ -189,12 +190,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), lists], ["key", "label", "found"])
 
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("label", T.IntegerType()), T.StructField("found", T.ArrayType(T.IntegerType()))])
-    # repeated keys: no more texts than labels
-    rows = chosen.mapInArrow(run, schema).orderBy(F.xxhash64("key"), F.xxhash64("found"), "label").limit(max_rows).toPandas()
-    y = np.where(rows.label.to_numpy() == 1, 1, -1)
+    # of several texts with one key one, so there are no more than labels
+    each = chosen.mapInArrow(run, schema).groupBy("key", "label").agg(F.min("found").alias("found"))
+    rows = each.orderBy(F.xxhash64("key"), "key", "label").toArrow()
+    found = [np.asarray(x.values, np.int32) for x in rows.column("found")]
+    y = np.where(rows.column("label").to_numpy() == 1, 1, -1)
     if len(set(y.tolist())) < 2:
         raise ValueError("the labelled rows don't hold both classes")
-    return fit_features([np.asarray(f, np.int32) for f in rows.found], y)
+    return fit_features(found, y)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
