@@ -5,21 +5,28 @@ that takes the written size to the limit or past it (that article is kept).
 Equivalently, a valid article is kept iff the bytes of the valid articles
 before it are below ``greatest(limit, 1)``; skipped articles count only when
 they come before the last kept one (or all of them when the budget is never
-reached).  The running sum is the two-level prefix of ``ordering``; buckets
-after the one where the budget is crossed are pruned before the window.
+reached).
+
+Order: ``ord``, nulls last, then a hash of the article's title and raw text;
+articles equal in both are interchangeable, and as many of them are kept as
+fit.  Rows and counters come from one and the same cut.
+
+Only as much is cleaned as the budget needs: ranges of ``ord`` are taken from
+the raw lengths, the first ones are cleaned and summed, and the prefix grows
+until the limit is crossed.  The running sum within the prefix is the
+two-level one of ``ordering``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtok.functions.text import byte_len, char_len
-from loomtok.operators.clean import clean_wikitext, validity_reason
-from loomtok.operators.ordering import DEFAULT_BUCKETS, prefix_sum_before
+from loomtok.operators.clean import clean_pages, validity_reason
+from loomtok.operators.ordering import bucket_count, bucket_splits, prefix_sum_before
 
 # Licence notes written into the manifests.
 LICENSE_NOTE_XML = ("Wikipedia text is licensed CC BY-SA 4.0. Redistribution of this corpus or "
@@ -46,56 +53,66 @@ def limit_bytes(size_limit_mb: float) -> int:
     return int(size_limit_mb * MIB)
 
 
-def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """rows: ord, valid (bool), n_bytes (0 when invalid), + payload.
-
-    The budget arithmetic runs on a persisted (ord, valid, n_bytes) index —
-    three numbers per article — so the expensive payload (cleaning) is
-    computed once for sizing.  Kept articles are exactly the valid ones up to
-    the last kept ``ord`` (the running sum is monotone), so the payload is
-    re-read with ``ord <= last_ord``, a filter Catalyst pushes into the scan.
-    Returns (kept rows, one-row counters)."""
-    lim = max(limit, 1)
-
-    def last_bucket(totals: list[int]) -> int:
-        acc = 0
-        for i, t in enumerate(totals):
-            acc += t
-            if acc >= lim:
-                return i
-        return len(totals) - 1
-
-    idx = rows.select("ord", "valid", "n_bytes").persist(StorageLevel.MEMORY_AND_DISK)
-    # one running sum over ALL rows (invalid rows carry 0 bytes): a row is
-    # seen iff the valid bytes before it are below the limit, so kept and
-    # skipped come out of the same window and one aggregate.
-    pre = prefix_sum_before(idx, "ord", "n_bytes", "pre", n_buckets, keep_buckets=last_bucket)
-    seen = pre.where(F.col("pre") < lim)
-    stats = seen.agg(
-        F.count(F.when(F.col("valid"), 1)).alias("kept"),
-        F.sum(F.when(F.col("valid"), F.col("n_bytes"))).alias("bytes"),
-        F.max(F.when(F.col("valid"), F.col("ord"))).alias("last_ord"),
-        F.count(F.when(~F.col("valid"), 1)).alias("seen_invalid")).first()
-    # an invalid row after the crossing article has the crossing bytes in its
-    # running sum, so it is never "seen": no correction is needed
-    crossed = (stats.bytes or 0) >= lim
-    skipped = stats.seen_invalid
-    idx.unpersist()
-    spark = rows.sparkSession
-    counters = spark.createDataFrame(
-        [(int(stats.kept), int(skipped), int(stats.bytes or 0))],
-        "articles_kept bigint, articles_skipped bigint, bytes_written bigint")
-    kept = rows
-    if stats.last_ord is None:
-        kept = rows.where(F.lit(False))
-    elif crossed:
-        kept = rows.where(F.col("ord") <= F.lit(stats.last_ord))
-    # The prefix is cached before the ``valid`` filter: pushed below the
-    # payload projection, that filter would evaluate the cleaning chain a
-    # second time.  The cache is bounded by the budget (the prefix ends at
-    # the crossing article).
-    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
-    return kept.where(F.col("valid")), counters
+def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int | None = None,
+                  estimate: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """rows: ord, valid (bool), n_bytes (0 when invalid), and payload; ``tie``
+    if it is there orders rows of one ``ord``.  ``estimate``: ord and
+    raw_bytes, cheap to compute and about what the blocks will come to; it
+    only decides how far the first look goes.  Returns (kept rows, one-row
+    counters)."""
+    lim, spark = max(limit, 1), rows.sparkSession
+    if "tie" not in rows.columns:
+        rows = rows.withColumn("tie", F.lit(0).cast("bigint"))
+    for end in _prefixes(rows, lim, estimate):
+        # nulls come last, so only the whole has them
+        prefix = rows if end is None else rows.where(F.col("ord") <= F.lit(end))
+        index = prefix.select("ord", "tie", "valid", F.col("n_bytes").cast("bigint").alias("n_bytes"))
+        dense = index.groupBy("ord", "tie").agg(
+            F.count(F.when(F.col("valid"), 1)).alias("n_valid"), F.count(F.when(~F.col("valid"), 1)).alias("n_invalid"),
+            F.coalesce(F.max("n_bytes"), F.lit(0)).alias("each"))
+        dense = dense.withColumn("total", F.col("n_valid") * F.col("each"))
+        pre = prefix_sum_before(dense, "ord", "total", "pre", n_buckets, tie="tie")
+        seen = pre.where(F.col("pre") < lim)
+        stats = seen.agg(F.sum("n_valid").alias("valid"), F.sum("n_invalid").alias("invalid"), F.sum("total").alias("bytes"),
+                         F.max(F.struct(F.col("ord").isNull().alias("last"), "ord", "tie", "n_valid", "n_invalid", "each", "pre")).alias("end")).first()
+        if (stats.bytes or 0) >= lim or end is None:
+            break
+    kept = rows.where("valid")
+    valid, invalid, n_bytes = stats.valid or 0, stats.invalid or 0, stats.bytes or 0
+    if n_bytes >= lim:
+        # the last article seen crosses; of several equal ones as many stay as fit
+        e = stats.end
+        more = -(-(lim - e.pre) // e.each)
+        valid, n_bytes = valid - e.n_valid + more, e.pre + more * e.each
+        same = F.col("ord").eqNullSafe(F.lit(e.ord).cast(rows.schema["ord"].dataType))
+        # the bound on ord alone reaches the scan
+        kept = kept if e.ord is None else kept.where(F.col("ord") <= F.lit(e.ord))
+        if more == e.n_valid:
+            kept = kept.where(~same | (F.col("tie") <= F.lit(e.tie)))
+        else:
+            last = kept.where(same & (F.col("tie") == F.lit(e.tie))).limit(more)
+            kept = kept.where(~same | (F.col("tie") < F.lit(e.tie))).unionByName(last)
+    counters = spark.createDataFrame([(int(valid), int(invalid), int(n_bytes))],
+                                     "articles_kept bigint, articles_skipped bigint, bytes_written bigint")
+    return kept, counters
+
+
+def _prefixes(rows: DataFrame, lim: int, estimate: DataFrame | None):
+    """Ends (largest ``ord``) of growing prefixes, the last one None: all."""
+    if estimate is not None:
+        sizes = estimate.where(F.col("ord").isNotNull())
+        n = sizes.count()
+        splits = bucket_splits(sizes, "ord", max(64, bucket_count(rows, n)))
+        if splits:
+            total = dict(sizes.groupBy(F.size(F.filter(F.array(*map(F.lit, splits)), lambda x: x < F.col("ord"))).alias("b"))
+                         .agg(F.sum("raw_bytes").alias("t")).collect())
+            raw = goal = 0
+            for i, end in enumerate(splits):
+                raw += total.get(i) or 0
+                if raw >= max(goal, lim):
+                    yield end
+                    goal = 2 * raw
+    yield None
 
 
 def article_rows(articles: DataFrame, min_chars: int) -> DataFrame:
@@ -104,7 +121,7 @@ def article_rows(articles: DataFrame, min_chars: int) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     valid = char_len(text) >= min_chars
     blk = block(title, text)
-    return articles.select("ord", title.alias("title"), valid.alias("valid"),
+    return articles.select("ord", F.xxhash64(title, text).alias("tie"), title.alias("title"), valid.alias("valid"),
                            F.when(valid, blk).alias("block"),
                            F.when(valid, byte_len(blk)).otherwise(0).cast("bigint").alias("n_bytes"))
 
@@ -114,14 +131,16 @@ def wiki_rows(pages: DataFrame, min_chars: int) -> DataFrame:
     then the minimum length again on the cleaned text."""
     title = F.coalesce(F.col("title"), F.lit(""))
     reason = validity_reason(title, F.col("wikitext"), min_chars)
-    staged = pages.select("ord", title.alias("title"), reason.alias("reason"), "wikitext")
-    cleaned = F.when(F.col("reason") == "ok", clean_wikitext("wikitext"))
-    staged = staged.select("ord", "title", "reason", cleaned.alias("body"))
+    staged = pages.select("ord", F.xxhash64(title, "wikitext").alias("tie"), title.alias("title"), reason.alias("reason"), "wikitext")
+    cleaned = clean_pages(staged, F.when(F.col("reason") == "ok", F.col("wikitext")), "body")
+    staged = cleaned.select("ord", "tie", "title", "reason", "body")
     valid = (F.col("reason") == "ok") & (char_len("body") >= min_chars)
     blk = block(F.col("title"), F.col("body"))
-    return staged.select("ord", "title", valid.alias("valid"),
-                         F.when(valid, blk).alias("block"),
-                         F.when(valid, byte_len(blk)).otherwise(0).cast("bigint").alias("n_bytes"))
+    # one struct through a generator: a filter on ``valid`` can't be pushed
+    # below it, where it would run the cleaning a second time; one on ord can
+    row = F.struct(F.col("title").alias("title"), F.coalesce(valid, F.lit(False)).alias("valid"), F.when(valid, blk).alias("block"),
+                   F.when(valid, byte_len(blk)).otherwise(0).cast("bigint").alias("n_bytes"))
+    return staged.select("ord", "tie", F.explode(F.array(row)).alias("r")).select("ord", "tie", "r.*")
 
 
 def _manifest(counters: DataFrame, lang: str, size_limit_mb: float, output_file: str,
@@ -135,17 +154,20 @@ def _manifest(counters: DataFrame, lang: str, size_limit_mb: float, output_file:
 
 def extract_article_corpus(articles: DataFrame, size_limit_mb: float = 100, min_chars: int = 500,
                            lang: str = "en", output_file: str = "", source: str = "articles",
-                           n_buckets: int = DEFAULT_BUCKETS) -> Extraction:
+                           n_buckets: int | None = None) -> Extraction:
     rows = article_rows(articles, min_chars)
-    kept, counters = cut_at_budget(rows, limit_bytes(size_limit_mb), n_buckets)
+    raw = articles.select("ord", byte_len("text").alias("raw_bytes"))
+    kept, counters = cut_at_budget(rows, limit_bytes(size_limit_mb), n_buckets, raw)
     return Extraction(kept.select("ord", "title", "block", "n_bytes"),
                       _manifest(counters, lang, size_limit_mb, output_file, LICENSE_NOTE_ARTICLES, source))
 
 
 def extract_wiki_corpus(pages: DataFrame, size_limit_mb: float = 100, min_chars: int = 500,
                         lang: str = "en", output_file: str = "",
-                        n_buckets: int = DEFAULT_BUCKETS) -> Extraction:
+                        n_buckets: int | None = None) -> Extraction:
     rows = wiki_rows(pages, min_chars)
-    kept, counters = cut_at_budget(rows, limit_bytes(size_limit_mb), n_buckets)
+    ok = validity_reason(F.coalesce(F.col("title"), F.lit("")), F.col("wikitext"), min_chars) == "ok"
+    raw = pages.select("ord", F.when(ok, byte_len("wikitext")).otherwise(0).alias("raw_bytes"))
+    kept, counters = cut_at_budget(rows, limit_bytes(size_limit_mb), n_buckets, raw)
     return Extraction(kept.select("ord", "title", "block", "n_bytes"),
                       _manifest(counters, lang, size_limit_mb, output_file, LICENSE_NOTE_XML, None))

@@ -1,54 +1,141 @@
-"""Page filters and markup-to-prose cleaning as regexp_replace chains.
+"""Page filters and markup-to-prose cleaning.
 
-The chains are declared once as data (pattern, replacement) and rendered for
-Spark (Java regex, ``$1`` groups) here and for the SQL oracle (RE2, ``\\1``)
-in ``plans.oracle``; every pattern is valid in both dialects.  Nested
-templates are removed innermost-first, ``TEMPLATE_PASSES`` levels deep.
+Nested markup (templates, tables, links with captions) has no bound on its
+depth, which regular expressions can't follow.  One linear scan takes it out,
+in Arrow batches (``strip_nested``); what is left is flat and goes through
+regexp_replace steps, declared once as data (pattern, replacement).
 """
 
 from __future__ import annotations
 
+import html
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtok.functions.text import col, lstrip_ws, normalize_whitespace
 
-# Title prefixes of non-article pages (case-sensitive).
+# Marks of pages that aren't articles, and title prefixes of non-article pages (case-sensitive).
 NAMESPACE_PREFIXES = ["Category:", "Template:", "File:", "Wikipedia:", "Portal:", "Help:"]
 REDIRECT_MARK = "#redirect"
 DISAMBIG_MARK = "{{disambig"
 
-TEMPLATE_PASSES = 8
-_FILE_LINK = (r"(?i)\[\[(?:file|image|category):[^\[\]]*\]\]", "")
-
 # (pattern, replacement); an int replacement means "capture group n".
-WIKITEXT_STEPS: list[tuple[str, object]] = [
+BEFORE_NESTED: list[tuple[str, object]] = [
     (r"(?s)<!--.*?-->", ""),
-    (r"<ref[^>]*/>", ""),
-    (r"(?s)<ref[^>]*>.*?</ref>", ""),
-    *[(r"\{\{[^{}]*\}\}", "")] * TEMPLATE_PASSES,
-    (r"(?s)\{\|.*?\|\}", ""),
-    _FILE_LINK,
-    (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", 1),
-    (r"\[\[([^\[\]|]*)\]\]", 1),
-    _FILE_LINK,
+    (r"(?i)<ref\b[^<>]*/>", ""),
+    (r"(?is)<ref\b[^<>]*>.*?</ref\s*>", ""),
+    (r"(?i)</?references\b[^<>]*>", ""),
+]
+# a tag begins with a letter right after the bracket and lies within a line:
+# a bare < is text
+TAG = r"</?[A-Za-z][^<>\n]*>"
+AFTER_NESTED: list[tuple[str, object]] = [
     (r"\[https?://[^ \]]+ ([^\]]*)\]", 1),
     (r"\[https?://[^ \]]+\]", ""),
     (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", 1),
     (r"'{2,5}", ""),
-    (r"<[^>]+>", ""),
+    (TAG, ""),
 ]
 
 HTML_STEPS: list[tuple[str, object]] = [
     (r"(?s)<!--.*?-->", ""),
     (r"(?is)<script\b.*?</script>", ""),
     (r"(?is)<style\b.*?</style>", ""),
-    (r"<[^>]+>", " "),
+    (r"(?s)</?[A-Za-z](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|<![^<>]*>", " "),
 ]
 
-# Character entities decoded after markup removal; &amp; last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+# Link prefixes whose links are dropped with their captions.
+DROPPED_LINKS = ("file:", "image:", "category:")
+_MARK = re.compile(r"\{\{+|\}\}+|\{\||\|\}(?!\})|\[\[|\]\]")
+
+
+def _without_nested(text: str, links: bool) -> str:
+    """Templates {{..}}, parameters {{{..}}}, tables {|..|} and, if
+    ``links``, [[..]] links (dropped for ``DROPPED_LINKS``, else the text
+    after their first bar, or all of it).  Each opening mark is held on a stack with the text since; a mark
+    that never closes is text, and so is one that closes nothing."""
+    stack: list[tuple[str, list[str]]] = []
+    out: list[str] = []
+    at = 0
+
+    def put(piece: str) -> None:
+        (stack[-1][1] if stack else out).append(piece)
+
+    def close(kinds: tuple[str, ...], mark: str) -> bool:
+        """The innermost open mark of these kinds ends here; marks opened
+        within it that never closed go with it."""
+        for depth in range(len(stack) - 1, -1, -1):
+            if stack[depth][0] in kinds:
+                inner = "".join(stack[depth][1]) + "".join(k + "".join(p) for k, p in stack[depth + 1:])
+                kind = stack[depth][0]
+                del stack[depth:]
+                if kind == "[[":
+                    if not inner.strip().lower().startswith(DROPPED_LINKS):
+                        put(inner.split("|", 1)[-1])
+                return True
+        put(mark)
+        return False
+
+    for m in _MARK.finditer(text):
+        put(text[at:m.start()])
+        at, mark = m.end(), m[0]
+        if mark[:2] == "{{":
+            n = len(mark)
+            while n >= 2:
+                size = 3 if n == 3 or n >= 5 else 2
+                stack.append(("{" * size, []))
+                n -= size
+            if n:
+                put("{")
+        elif mark[:2] == "}}":
+            n = len(mark)
+            while n >= 2:
+                kind = next((k for k, _ in reversed(stack) if k in ("{{", "{{{")), None)
+                size = min(n, len(kind)) if kind else n
+                if kind is None:
+                    put("}" * n)
+                    n = 0
+                    break
+                close((kind,), "}" * size)
+                n -= size
+            if n:
+                put("}")
+        elif mark == "{|":
+            stack.append((mark, []))
+        elif mark == "|}":
+            close(("{|",), mark)
+        elif links and mark == "[[":
+            stack.append((mark, []))
+        elif links and mark == "]]":
+            close(("[[",), mark)
+        else:
+            put(mark)
+    put(text[at:])
+    while stack:
+        kind, parts = stack.pop()
+        put(kind + "".join(parts))
+    return "".join(out)
+
+
+def _nested_udf(links: bool):
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t if t is None else _without_nested(t, links))
+    return F.pandas_udf(run, T.StringType())
+
+
+strip_nested = _nested_udf(True)
+strip_templates_udf = _nested_udf(False)
+
+
+def _entities(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: t if t is None or "&" not in t else html.unescape(t))
+
+
+entities_udf = F.pandas_udf(_entities, T.StringType())
 
 
 def _java(pattern: str) -> str:
@@ -65,23 +152,32 @@ def apply_steps(c, steps) -> Column:
 
 
 def decode_entities(c) -> Column:
+    """All named and numeric character references, each once; texts without
+    an ampersand stay in the JVM."""
     x = col(c)
-    for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    return F.when(F.instr(x, "&") == 0, x).otherwise(entities_udf(F.when(F.instr(x, "&") > 0, x)))
 
 
 def strip_templates(c) -> Column:
+    """Templates, parameters and tables out, whatever their depth."""
     x = col(c)
-    for _ in range(TEMPLATE_PASSES):
-        x = F.regexp_replace(x, F.lit(r"\{\{[^{}]*\}\}"), F.lit(""))
-    return x
+    marked = F.instr(x, "{") > 0
+    return F.when(~marked, x).otherwise(strip_templates_udf(F.when(marked, x)))
 
 
 def clean_wikitext(c) -> Column:
     """Templates, tables, refs, comments, file/category links out; link
     text kept; headings unmarked; entities decoded; whitespace rules."""
-    return normalize_whitespace(decode_entities(apply_steps(c, WIKITEXT_STEPS)))
+    flat = strip_nested(apply_steps(c, BEFORE_NESTED))
+    return normalize_whitespace(decode_entities(apply_steps(flat, AFTER_NESTED)))
+
+
+def clean_pages(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """``clean_wikitext`` as a column, step by step, so that no step stands
+    twice in the plan."""
+    df = df.withColumn(out, strip_nested(apply_steps(text, BEFORE_NESTED)))
+    df = df.withColumn(out, entities_udf(apply_steps(out, AFTER_NESTED)))
+    return df.withColumn(out, normalize_whitespace(out))
 
 
 def clean_html(c) -> Column:

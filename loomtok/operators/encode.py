@@ -1,279 +1,247 @@
 """Encoding, decoding and token offsets.
 
-Plan shape (``encode_documents``):
-  texts -> special-token segments -> NFKC -> pieces (posexplode, narrow)
-  distinct pieces -> encode each ONCE -> join back on ``piece``
-  posexplode tokens -> running char count per document (one shuffle by doc,
-  shared with the final regroup) -> ordered arrays per document.
-
-The distinct-piece table is broadcast only when its counted size is under
-``max_broadcast_pieces``; above that the join shuffles on ``piece`` and AQE
-skew-join splits partitions of very frequent pieces.
-
-Piece encoders:
-  * small models (<= ``CHAIN_MAX_MERGES`` merges): a chain of literal
-    ``replace`` calls on the bracketed id word — pure JVM expression;
-  * large models: an Arrow pandas UDF running rank-ordered BPE over distinct
-    pieces, with the merge ranks shipped once per executor.
-Applying merges in rank order, left to right, equals lowest-rank-first BPE.
+One narrow pass: each Arrow batch of rows is split at special tokens,
+NFKC-normalized, cut into pieces and encoded where it lies.  Nothing is
+shuffled, joined or cached and no key is needed, so null, repeated and
+composite keys are all the same to it.  A task keeps the encodings of the
+pieces it has met, ``KEPT_PIECES`` at most; the model is broadcast once.
+
+There is one rule for every vocabulary size: the adjacent pair of lowest
+rank merges first, the leftmost of equal ones, as the trainer learned them.
+A piece costs O(n log n) in its bytes (a heap of candidate pairs over a
+linked list), so an unbroken run of any length is no special case.
+
+A null text is encoded as an empty one.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import heapq
+import re
+import unicodedata
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtok.functions.bytelevel import (ALPHABET_BYTE_ORDER, CONTINUATION_CLASS, ids_to_word,
-                                         symbol_ids, symbols_to_text, to_symbols, word_to_ids)
-from loomtok.functions.text import ASCII_ONLY, col, nfkc_alignment_udf, nfkc_stable_pattern
+from loomtok.functions.bytelevel import ALPHABET, ALPHABET_BYTE_ORDER, GPT2_SPLIT
+from loomtok.functions.text import nfkc_alignment
 from loomtok.operators.model import BpeModel
-from loomtok.operators.pieces import explode_pieces
-
-CHAIN_MAX_MERGES = 64
-MAX_BROADCAST_PIECES = 500_000
 
-
-# --------------------------------------------------------------------------
-# piece -> ids
-# --------------------------------------------------------------------------
-def chain_encode(piece, model: BpeModel) -> Column:
-    w = ids_to_word(symbol_ids(to_symbols(col(piece)), model.n_special))
-    for left, right, new_id, _ in model.merges:
-        w = F.replace(w, F.lit(f"[{left}][{right}]"), F.lit(f"[{new_id}]"))
-    return word_to_ids(w)
-
-
-def _bpe_udf(model: BpeModel):
-    base = {b: model.n_special + i for i, b in enumerate(ALPHABET_BYTE_ORDER)}
-    byte_ids = [base[b] for b in range(256)]
-    ranks = {(l, r): (k, n) for k, (l, r, n, _) in enumerate(model.merges)}
-
-    def encode_one(piece: str) -> list[int]:
-        ids = [byte_ids[b] for b in piece.encode("utf-8")]
-        while len(ids) > 1:
-            best = None
-            for i in range(len(ids) - 1):
-                m = ranks.get((ids[i], ids[i + 1]))
-                if m is not None and (best is None or m[0] < best[0]):
-                    best = m
-            if best is None:
-                break
-            rank, new_id = best
-            pair = model_pairs[rank]
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and ids[i] == pair[0] and ids[i + 1] == pair[1]:
-                    out.append(new_id)
-                    i += 2
+#: Pieces whose encoding a task keeps; beyond that it begins anew.
+KEPT_PIECES = 200_000
+#: Rows of one output batch: token structs take far more room than text.
+OUT_ROWS = 256
+
+OFFSETS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+COLUMNS = {"ids": T.ArrayType(T.IntegerType()), "tokens": T.ArrayType(T.StringType()), "offsets": OFFSETS,
+           "num_tokens": T.IntegerType(), "num_chars": T.IntegerType()}
+
+
+class Encoder:
+    """A model ready for use in a task."""
+
+    def __init__(self, model: BpeModel):
+        self.specials = model.special_tokens
+        self.tokens = model.tokens
+        self.special_ids = {s: i for i, s in enumerate(self.specials)}
+        base = {b: model.n_special + i for i, b in enumerate(ALPHABET_BYTE_ORDER)}
+        self.byte_ids = [base[b] for b in range(256)]
+        self.ranks = {(left, right): (rank, new) for rank, (left, right, new, _) in enumerate(model.merges)}
+        alts = "|".join(re.escape(s) for s in sorted(self.specials, key=len, reverse=True))
+        self.cut = re.compile(f"({alts})").split if alts else lambda text: [text]
+        self.kept: dict[str, tuple[list[int], list[tuple[int, int]]]] = {}
+
+    def merged(self, raw: bytes) -> list[int]:
+        """Lowest rank first, leftmost first among equals."""
+        ids = [self.byte_ids[b] for b in raw]
+        n, ranks = len(ids), self.ranks
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(ranks[p], i, p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in ranks]
+        heapq.heapify(heap)
+        while heap:
+            (_, new), i, (left, right) = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != left or j >= n or ids[j] != right:
+                continue  # one side has merged since
+            ids[i], ids[j] = new, -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (p := (new, ids[after[i]])) in ranks:
+                    heapq.heappush(heap, (ranks[p], i, p))
+            if before[i] >= 0 and (p := (ids[before[i]], new)) in ranks:
+                heapq.heappush(heap, (ranks[p], before[i], p))
+        return [x for x in ids if x >= 0]
+
+    def piece(self, piece: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """ids, and each token's characters within the piece; a token that
+        begins inside a character has that character as its first."""
+        found = self.kept.get(piece)
+        if found is None:
+            raw = piece.encode("utf-8")
+            ids, spans, at, chars = self.merged(raw), [], 0, 0
+            for i in ids:
+                end = at + len(self.tokens[i])  # one symbol a byte
+                lead = sum(b & 0xC0 != 0x80 for b in raw[at:end])
+                spans.append((chars - (raw[at] & 0xC0 == 0x80), chars + lead))
+                at, chars = end, chars + lead
+            if len(self.kept) >= KEPT_PIECES:
+                self.kept.clear()
+            found = self.kept[piece] = ids, spans
+        return found
+
+    def pieces(self, text: str):
+        """(special token's id or None, piece) in order, pieces of NFKC text."""
+        import regex
+
+        find = regex.compile(GPT2_SPLIT).findall
+        for part in self.cut(text):
+            if part in self.special_ids:
+                yield self.special_ids[part], part
+            elif part:
+                for piece in find(part if part.isascii() else unicodedata.normalize("NFKC", part)):
+                    yield None, piece
+
+    def ids(self, text: str) -> list[int]:
+        return list(chain.from_iterable([special] if special is not None else self.piece(piece)[0]
+                                        for special, piece in self.pieces(text)))
+
+    def full(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """ids and character spans in the text as it was given."""
+        ids: list[int] = []
+        spans: list[tuple[int, int]] = []
+        at = 0
+        for special, piece in self.pieces(text):
+            own, local = ([special], [(0, len(piece))]) if special is not None else self.piece(piece)
+            ids += own
+            spans += [(a + at, b + at) for a, b in local]
+            at += len(piece)
+        if not text.isascii() and not unicodedata.is_normalized("NFKC", text):
+            starts, ends = nfkc_alignment(text, self.specials)
+            spans = [(starts[a], ends[b - 1]) for a, b in spans]
+        return ids, spans
+
+
+def _lists(rows: list[list], values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]), pa.int32()), values)
+
+
+def add_encoding(df: DataFrame, model: BpeModel, text_col: str = "text", names: dict[str, str] | None = None) -> DataFrame:
+    """The rows of ``df`` with columns of the encoding: ``names`` says which
+    (keys of ``COLUMNS``) and what they are called (default: all, as there)."""
+    names = names or {c: c for c in COLUMNS}
+    df = df.drop(*names.values())
+    shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
+
+    def run(batches):
+        encoder = Encoder(shared.value)
+        tokens = np.array(encoder.tokens, object)
+        for batch in batches:
+            for a in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(a, OUT_ROWS)
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                if "offsets" in names:
+                    ids, spans = map(list, zip(*map(encoder.full, texts)))
                 else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
-        return ids
-
-    model_pairs = [(l, r) for l, r, _, _ in model.merges]
-
-    def enc(pieces: pd.Series) -> pd.Series:
-        cache: dict[str, list[int]] = {}
-        out = []
-        for p in pieces:
-            if p is None:
-                out.append(None)
-                continue
-            v = cache.get(p)
-            if v is None:
-                v = encode_one(p)
-                cache[p] = v
-            out.append(v)
-        return pd.Series(out)
-
-    return F.pandas_udf(enc, T.ArrayType(T.IntegerType()))
-
-
-def piece_ids(piece, model: BpeModel) -> Column:
-    if len(model.merges) <= CHAIN_MAX_MERGES:
-        return chain_encode(piece, model)
-    return _bpe_udf(model)(col(piece))
-
-
-def with_vocab(df: DataFrame, model: BpeModel) -> DataFrame:
-    """Attach the id -> token array (scalar subquery, evaluated once)."""
-    return df.withColumn("_vocab", model.vocab_array(df.sparkSession))
-
-
-def ids_to_tokens(ids, vocab: Column | None = None) -> Column:
-    """Unknown ids are dropped (as the decoder does)."""
-    ids = col(ids)
-    vocab = F.col("_vocab") if vocab is None else vocab
-    known = F.filter(ids, lambda i: (i >= 0) & (i < F.size(vocab)))
-    return F.transform(known, lambda i: F.element_at(vocab, i + 1))
-
-
-def token_leads(tokens) -> Column:
-    """Per token: number of characters that START in it (non-continuation
-    bytes)."""
-    return F.transform(col(tokens), lambda t: F.length(F.regexp_replace(t, F.lit(CONTINUATION_CLASS), F.lit(""))))
-
-
-def token_cont_first(tokens) -> Column:
-    """Per token: 1 when it starts inside a multi-byte character."""
-    return F.transform(col(tokens), lambda t: F.when(t.rlike("^" + CONTINUATION_CLASS), 1).otherwise(0))
-
-
-def local_spans(leads, contf) -> Column:
-    """Per token of one piece: half-open character span relative to the
-    piece start.  A token starting inside a multi-byte character takes that
-    character's span (start - 1); ``before`` is the running count of
-    characters started by earlier tokens.  Computed once per distinct piece."""
-    leads, contf = col(leads), col(contf)
-    before = F.transform(leads, lambda x, i: F.aggregate(F.slice(leads, 1, i), F.lit(0), lambda a, y: a + y))
-    return F.transform(F.arrays_zip(before.alias("b"), leads.alias("l"), contf.alias("c")),
-                       lambda z: F.struct((z["b"] - z["c"]).alias("start"), (z["b"] + z["l"]).alias("end")))
-
-
-def encode_pieces(pieces: DataFrame, model: BpeModel) -> DataFrame:
-    """(piece) -> (piece, ids, tokens, spans), one row per input row."""
-    enc = with_vocab(pieces.select("piece", piece_ids("piece", model).alias("ids")), model)
-    enc = enc.select("piece", "ids", ids_to_tokens("ids").alias("tokens"))
-    return enc.select("piece", "ids", "tokens",
-                      local_spans(token_leads("tokens"), token_cont_first("tokens")).alias("spans"))
-
-
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+                    ids, spans = [encoder.ids(t) for t in texts], []
+                flat = np.fromiter(chain.from_iterable(ids), np.int32)
+                out = {"num_tokens": lambda: pa.array([len(x) for x in ids], pa.int32()),
+                       "num_chars": lambda: pa.array([len(t) for t in texts], pa.int32()),
+                       "ids": lambda: _lists(ids, pa.array(flat)),
+                       "tokens": lambda: _lists(ids, pa.array(tokens[flat], pa.string()))}
+                if "offsets" in names:
+                    both = np.array(list(chain.from_iterable(spans)), np.int32).reshape(-1, 2)
+                    out["offsets"] = lambda: _lists(spans, pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["start", "end"]))
+                yield pa.RecordBatch.from_arrays([*part.columns, *(out[c]() for c in names)], names=[*part.schema.names, *names.values()])
+
+    fields = [T.StructField(name, COLUMNS[c]) for c, name in names.items()]
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+
+
+def encode_documents(df: DataFrame, model: BpeModel, text_col: str = "text", key: str | list[str] = "doc_id",
+                     with_offsets: bool = True) -> DataFrame:
+    """Per row of ``df``: key columns, ids, tokens, offsets (half-open
+    character spans into the original text), num_tokens, num_chars."""
+    keys = [key] if isinstance(key, str) else list(key)
+    names = {c: c for c in COLUMNS if with_offsets or c != "offsets"}
+    return add_encoding(df.select(*keys, F.col(text_col).alias("_text")), model, "_text", names).drop("_text")
 
 
-def broadcast_ok(enc: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Size check before broadcasting the encoded distinct pieces: row count
-    and an estimate of the bytes (piece text ~3x for tokens and spans, plus
-    per-row overhead), both from one aggregate over the persisted table."""
-    r = enc.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("piece")).alias("b")).first()
-    est = 3 * (r.b or 0) + 64 * r.n
-    return r.n <= max_rows and est <= max_bytes
+def token_totals(df: DataFrame, model: BpeModel, text_col: str = "text", group_cols: list[str] | None = None) -> DataFrame:
+    """Σ tokens per group: counted row by row, summed in each task first."""
+    group_cols = group_cols or []
+    counted = add_encoding(df.select(*group_cols, F.col(text_col).alias("_text")), model, "_text", {"num_tokens": "_n"})
+    return counted.groupBy(*group_cols).agg(F.sum("_n").cast("bigint").alias("total_tokens"))
 
 
-def _join_encoded(occ: DataFrame, enc: DataFrame, small: bool) -> DataFrame:
-    right = F.broadcast(enc) if small else enc
-    return occ.join(right, "piece", "left")
+def id_counts(df: DataFrame, model: BpeModel, text_col: str = "text") -> DataFrame:
+    """(id, uses) over all texts, counted within each task first."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
 
+    def run(batches):
+        encoder = Encoder(shared.value)
+        uses = np.zeros(len(encoder.tokens), np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text:
+                    np.add.at(uses, encoder.ids(text), 1)
+        some = np.flatnonzero(uses)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(uses[some])], ["id", "uses"])
 
-# --------------------------------------------------------------------------
-# documents
-# --------------------------------------------------------------------------
-def encode_documents(df: DataFrame, model: BpeModel, text_col: str = "text", key: str = "doc_id",
-                     max_broadcast_pieces: int = MAX_BROADCAST_PIECES,
-                     with_offsets: bool = True) -> DataFrame:
-    """Per row of ``df``: key, ids, tokens, offsets (half-open character
-    spans into the original text), num_tokens, num_chars.
-
-    One row per piece occurrence flows through the plan: the distinct-piece
-    table carries ids, tokens and piece-local spans; a running character
-    count per document (one shuffle by document, shared with the regroup)
-    places each piece."""
-    specials = model.special_tokens
-    occ = explode_pieces(df.select(key, text_col), text_col, [key], specials)
-    plain = occ.where(F.col("special").isNull())
-    enc = encode_pieces(plain.select("piece").distinct(), model).persist(StorageLevel.MEMORY_AND_DISK)
-    joined = _join_encoded(plain, enc, broadcast_ok(enc, max_broadcast_pieces))
-    cols = [key, "seg", "pos", "plen", "ids", "tokens", "spans"]
-    joined = joined.withColumn("plen", F.length("piece"))
-    if specials:
-        sid = F.create_map(*[x for i, s in enumerate(specials) for x in (F.lit(s), F.lit(i))])
-        spec = occ.where(F.col("special").isNotNull()).select(
-            key, "seg", "pos", F.length("special").alias("plen"),
-            F.array(F.element_at(sid, F.col("piece"))).alias("ids"),
-            F.array(F.col("special")).alias("tokens"),
-            F.array(F.struct(F.lit(0).alias("start"), F.length("special").alias("end"))).alias("spans"))
-        allp = joined.select(*cols).unionByName(spec.select(*cols))
-    else:
-        allp = joined.select(*cols)
-    w = Window.partitionBy(key).orderBy("seg", "pos").rowsBetween(Window.unboundedPreceding, 0)
-    allp = allp.withColumn("pstart", (F.sum("plen").over(w) - F.col("plen")).cast("int"))
-    # flat token rows after the window (same document partitioning, no new
-    # shuffle): the regroup collects primitive fields only
-    toks = allp.select(key, "seg", "pos", "pstart", F.posexplode(F.arrays_zip(
-        F.col("ids").alias("id"), F.col("tokens").alias("token"), F.col("spans").alias("sp"))).alias("tp", "t"))
-    toks = toks.select(key, "seg", "pos", "tp", F.col("t.id").alias("id"), F.col("t.token").alias("token"),
-                       (F.col("t.sp.start") + F.col("pstart")).alias("start"),
-                       (F.col("t.sp.end") + F.col("pstart")).alias("end"))
-    agg = toks.groupBy(key).agg(F.sort_array(F.collect_list(
-        F.struct("seg", "pos", "tp", "id", "token", "start", "end"))).alias("t"))
-    out = agg.select(
-        key,
-        F.col("t.id").alias("ids"),
-        F.col("t.token").alias("tokens"),
-        F.transform("t", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("offsets"),
-    ).withColumn("num_tokens", F.size("ids"))
-    sizes = df.select(key, F.length(text_col).cast("int").alias("num_chars"))
-    if with_offsets:
-        # texts NFKC may change get a normalized -> original character map
-        # (Arrow UDF, only for them); stable texts send a null
-        t = F.col(text_col)
-        stable = t.rlike(ASCII_ONLY) | t.rlike(nfkc_stable_pattern())
-        sizes = df.select(key, F.length(text_col).cast("int").alias("num_chars"),
-                          nfkc_alignment_udf(specials)(F.when(~stable, t)).alias("_align"))
-    # documents that produced no token (empty text) keep a row with empty arrays
-    res = sizes.join(out, key, "left")
-    if with_offsets:
-        al = F.col("_align")
-        mapped = F.transform("offsets", lambda o: F.struct(
-            F.element_at(al["s"], o["start"] + 1).alias("start"),
-            F.element_at(al["e"], o["end"]).alias("end")))
-        res = res.withColumn("offsets", F.when(al.isNull() | al["s"].isNull() | (F.size(al["s"]) == 0),
-                                               F.col("offsets"))
-                             .otherwise(mapped))
-    res = res.select(
-        key,
-        F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
-        F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"),
-        F.coalesce("offsets", F.array().cast("array<struct<start:int,end:int>>")).alias("offsets"),
-        F.coalesce("num_tokens", F.lit(0)).alias("num_tokens"),
-        "num_chars")
-    if not with_offsets:
-        res = res.drop("offsets")
-    return res
-
-
-def token_totals(df: DataFrame, model: BpeModel, text_col: str = "text",
-                 group_cols: list[str] | None = None,
-                 max_broadcast_pieces: int = MAX_BROADCAST_PIECES) -> DataFrame:
-    """Σ tokens per group without materializing per-occurrence ids:
-    count (group, piece) first (partial aggregation), encode the distinct
-    pieces once, then Σ cnt × n_tokens."""
-    group_cols = group_cols or []
-    specials = model.special_tokens
-    occ = explode_pieces(df.select(*group_cols, text_col), text_col, group_cols, specials)
-    per = occ.groupBy(*group_cols, "piece", "special").agg(F.count(F.lit(1)).alias("cnt"))
-    per = per.persist(StorageLevel.MEMORY_AND_DISK)
-    dist = per.where(F.col("special").isNull()).select("piece").distinct()
-    enc = dist.select("piece", F.size(piece_ids("piece", model)).alias("n_tok")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    right = F.broadcast(enc) if broadcast_ok(enc, max_broadcast_pieces) else enc
-    j = per.join(right, "piece", "left")
-    n = F.when(F.col("special").isNotNull(), F.lit(1)).otherwise(F.col("n_tok"))
-    return j.groupBy(*group_cols).agg(F.sum(F.col("cnt") * n).cast("bigint").alias("total_tokens"))
+    return df.select(text_col).mapInArrow(run, "id int, uses long").groupBy("id").agg(F.sum("uses").cast("bigint").alias("uses"))
 
 
 # --------------------------------------------------------------------------
 # decoding
 # --------------------------------------------------------------------------
-def decode_ids(ids, model: BpeModel, skip_special: bool = True, vocab: Column | None = None) -> Column:
-    """ids -> text: unknown ids dropped, special tokens dropped unless
-    ``skip_special`` is False, bytes decoded as UTF-8 with U+FFFD for
-    invalid sequences."""
-    ids = col(ids)
-    vocab = F.col("_vocab") if vocab is None else vocab
-    lo = model.n_special if skip_special else 0
-    keep = F.filter(ids, lambda i: (i >= lo) & (i < F.size(vocab)))
-    toks = F.transform(keep, lambda i: F.element_at(vocab, i + 1))
-    return symbols_to_text(F.array_join(toks, ""))
-
-
-def decode_documents(df: DataFrame, model: BpeModel, ids_col: str = "ids", key: str = "doc_id",
+def _per_ids(df: DataFrame, model: BpeModel, ids_col: str, name: str, kind: T.DataType, make) -> DataFrame:
+    """``df`` with a column made of each row's known ids; unknown ids are
+    dropped, as a null array is by its null."""
+    df = df.drop(name)
+    shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(ids_col)
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            for a in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(a, OUT_ROWS)
+                rows = [None if ids is None else [i for i in ids if i is not None and 0 <= i < len(model.tokens)]
+                        for ids in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, make(model, rows)], names=[*part.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+
+
+def add_tokens(df: DataFrame, model: BpeModel, ids_col: str = "ids", name: str = "tokens") -> DataFrame:
+    """The rows of ``df`` with the tokens of their ids."""
+    def make(model, rows):
+        return pa.array([None if r is None else [model.tokens[i] for i in r] for r in rows], pa.list_(pa.string()))
+    return _per_ids(df, model, ids_col, name, T.ArrayType(T.StringType()), make)
+
+
+def add_text(df: DataFrame, model: BpeModel, ids_col: str = "ids", name: str = "text", skip_special: bool = True) -> DataFrame:
+    """The rows of ``df`` with the text of their ids: special tokens are
+    dropped unless ``skip_special`` is False, bytes are read as UTF-8 with
+    U+FFFD for what isn't."""
+    low = model.n_special if skip_special else 0
+    raw_of = dict(zip(ALPHABET, ALPHABET_BYTE_ORDER))
+    raw = [t.encode("utf-8") if i < model.n_special else bytes(raw_of[c] for c in t) for i, t in enumerate(model.tokens)]
+    shared = df.sparkSession.sparkContext.broadcast(raw)
+
+    def make(_, rows):
+        raw = shared.value
+        return pa.array([None if r is None else b"".join(raw[i] for i in r if i >= low).decode("utf-8", "replace") for r in rows], pa.string())
+    return _per_ids(df, model, ids_col, name, T.StringType(), make)
+
+
+def decode_documents(df: DataFrame, model: BpeModel, ids_col: str = "ids", key: str | list[str] = "doc_id",
                      skip_special: bool = True) -> DataFrame:
-    return with_vocab(df, model).select(key, decode_ids(ids_col, model, skip_special).alias("text"))
+    keys = [key] if isinstance(key, str) else list(key)
+    return add_text(df.select(*keys, F.col(ids_col).alias("_ids")), model, "_ids", "text", skip_special).drop("_ids")
 
 
 def encode_text(spark: SparkSession, text: str, model: BpeModel) -> DataFrame:

@@ -1,8 +1,6 @@
 """Tokenizer evaluation over named benchmark sets.
 
-Totals per benchmark are plain aggregates; token totals come from
-``token_totals`` (count pieces per benchmark first, encode distinct pieces
-once).  Throughput is wall time of a ``noop``-sink run and is reported next
+Totals per benchmark are one aggregation over the encoded rows.  Throughput is wall time of a ``noop``-sink run and is reported next
 to, never inside, the deterministic metrics.
 """
 
@@ -14,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtok.functions.text import byte_len, char_len, has_non_ws, strip_ws, word_count
-from loomtok.operators.encode import decode_documents, encode_documents, token_totals
+from loomtok.operators.encode import add_encoding, decode_documents
 from loomtok.operators.model import BpeModel
 
+# Metric names of the report.
 METRIC_COLUMNS = ["benchmark", "num_documents", "total_words", "total_tokens", "total_chars",
                   "total_bytes_utf8", "tokens_per_word", "compression_ratio_bytes_per_token"]
 
@@ -27,28 +26,22 @@ def ratio(a, b, digits: int = 4):
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
     sc = 10 ** digits
-    num = a.cast("bigint") * F.lit(2 * sc) + b.cast("bigint")
-    q = _idiv(num, b.cast("bigint") * 2)
+    whole = "decimal(38,0)"   # totals of 10**17 times 2 * 10**4 are past bigint
+    num = a.cast(whole) * F.lit(2 * sc).cast("decimal(6,0)") + b.cast(whole)
+    q = F.call_function("div", num.cast(whole), F.nullif(b.cast(whole) * F.lit(2).cast("decimal(1,0)"), F.lit(0).cast(whole)).cast(whole))
     return F.when(b == 0, F.lit(None).cast("double")).otherwise(q.cast("double") / F.lit(float(sc)))
 
 
-def _idiv(x, y):
-    """Integral division (SQL ``div``) on bigint columns."""
-    y = F.nullif(y, F.lit(0))
-    return ((x - F.pmod(x, y)) / y).cast("bigint")
-
-
 def group_totals(df: DataFrame, model: BpeModel, group_col: str, text_col: str = "text") -> DataFrame:
-    """Per group: documents, words, tokens, chars and UTF-8 bytes."""
-    sizes = df.groupBy(group_col).agg(
+    """Per group: documents, words, tokens, chars and UTF-8 bytes, in one
+    pass and one aggregation."""
+    rows = add_encoding(df.select(group_col, text_col), model, text_col, {"num_tokens": "_n"})
+    return rows.groupBy(group_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("num_documents"),
         F.sum(word_count(text_col)).cast("bigint").alias("total_words"),
+        F.sum("_n").cast("bigint").alias("total_tokens"),
         F.sum(char_len(text_col)).cast("bigint").alias("total_chars"),
         F.sum(byte_len(text_col)).cast("bigint").alias("total_bytes_utf8"))
-    toks = token_totals(df, model, text_col, [group_col])
-    j = sizes.join(toks, group_col, "left").withColumn(
-        "total_tokens", F.coalesce("total_tokens", F.lit(0)).cast("bigint"))
-    return j.select(group_col, "num_documents", "total_words", "total_tokens", "total_chars", "total_bytes_utf8")
 
 
 def eval_metrics(bench: DataFrame, model: BpeModel) -> DataFrame:
@@ -69,9 +62,9 @@ def timed_report(bench: DataFrame, model: BpeModel) -> DataFrame:
     for m in metrics:
         one = bench.where(F.col("benchmark") == m.benchmark).withColumnRenamed("ord", "doc_id")
         t0 = time.perf_counter()
-        enc = encode_documents(one, model, with_offsets=False).persist()
-        enc.join(one.select("doc_id", word_count("text").alias("w"), byte_len("text").alias("b")),
-                 "doc_id").write.format("noop").mode("overwrite").save()
+        enc = add_encoding(one, model, "text", {"ids": "ids"}).withColumns(
+            {"w": word_count("text"), "b": byte_len("text")}).persist()
+        enc.write.format("noop").mode("overwrite").save()
         t_enc = time.perf_counter() - t0
         t0 = time.perf_counter()
         decode_documents(enc, model).write.format("noop").mode("overwrite").save()

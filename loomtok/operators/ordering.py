@@ -16,7 +16,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+#: Rows that one bucket's window holds on average.
+BUCKET_ROWS = 1_000_000
+
+
+def bucket_count(df: DataFrame, n_rows: int) -> int:
+    """Buckets follow the data: one for each core at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-n_rows // BUCKET_ROWS))
 
 
 def bucket_splits(df: DataFrame, order_col: str, n_buckets: int) -> list:
@@ -31,17 +37,18 @@ def bucket_of(order: Column, splits: list) -> Column:
     if not splits:
         return F.lit(0)
     arr = F.array(*[F.lit(s) for s in splits])
-    return F.size(F.filter(arr, lambda s: s <= order))
+    return F.when(order.isNull(), len(splits)).otherwise(F.size(F.filter(arr, lambda s: s <= order)))
 
 
 def prefix_sum_before(df: DataFrame, order_col: str, value_col: str, out_col: str = "pre",
-                      n_buckets: int = DEFAULT_BUCKETS,
-                      keep_buckets: Callable[[list[int]], int] | None = None) -> DataFrame:
-    """Adds ``out_col`` = Σ value over rows with smaller ``order_col``.
+                      n_buckets: int | None = None,
+                      keep_buckets: Callable[[list[int]], int] | None = None, tie: str | None = None) -> DataFrame:
+    """Adds ``out_col`` = Σ value over rows with smaller ``order_col``
+    (nulls come last; rows of one value go by ``tie``).
 
     ``keep_buckets(totals)`` may return the last bucket index worth keeping.
     """
-    splits = bucket_splits(df, order_col, n_buckets)
+    splits = bucket_splits(df, order_col, n_buckets or bucket_count(df, df.count()))
     b = df.withColumn("_bucket", bucket_of(F.col(order_col), splits))
     totals = {r["_bucket"]: r["t"] or 0 for r in
               b.groupBy("_bucket").agg(F.sum(value_col).alias("t")).collect()}
@@ -55,17 +62,19 @@ def prefix_sum_before(df: DataFrame, order_col: str, value_col: str, out_col: st
         last = keep_buckets(seq)
         b = b.where(F.col("_bucket") <= last)
     off = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_bucket") + 1)
-    w = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    keys = [F.col(order_col).asc_nulls_last(), *([F.col(tie)] if tie else [])]
+    w = Window.partitionBy("_bucket").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     return (b.withColumn(out_col, off + F.sum(value_col).over(w) - F.col(value_col))
             .drop("_bucket"))
 
 
-def composite_splits(df: DataFrame, order_cols: list[str], n_buckets: int,
+def composite_splits(df: DataFrame, order_cols: list[str], n_buckets: int | None,
                      per_bucket: int = 20, seed: int = 17) -> list[tuple]:
     """Bucket bounds over the full composite order key from a seeded sample
     of about ``per_bucket`` keys per bucket (bounded, whatever the data
     size), so one hot leading value is still split across buckets."""
     total = df.count()
+    n_buckets = n_buckets or bucket_count(df, total)
     if total == 0 or n_buckets <= 1:
         return []
     frac = min(1.0, n_buckets * per_bucket / total)
@@ -78,7 +87,7 @@ def composite_splits(df: DataFrame, order_cols: list[str], n_buckets: int,
 
 
 def row_number_global(df: DataFrame, order_cols: list[str], out_col: str = "ord",
-                      n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """Dense 1-based row number over a global order, computed in parallel:
     composite-key bucket bounds, per-bucket counts (n_buckets numbers on the
     driver), offsets, and ``row_number`` within each bucket."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loomtok.functions.text import byte_len
 from loomtok.operators.evaluate import ratio
-from loomtok.operators.encode import encode_documents, piece_ids, explode_pieces
+from loomtok.operators.encode import add_encoding, id_counts
 from loomtok.operators.model import BpeModel
 
 
@@ -22,20 +22,20 @@ def tokenize_rejects(df: DataFrame, text_col: str = "text", key: str = "doc_id")
 
 
 def compare_models(df: DataFrame, ours: BpeModel, baseline: BpeModel, text_col: str = "text",
-                   key: str = "doc_id") -> DataFrame:
-    """Same texts under two models; token-count delta and its label."""
-    a = encode_documents(df, ours, text_col, key, with_offsets=False)
-    b = encode_documents(df, baseline, text_col, key, with_offsets=False)
-    j = a.select(key, F.col("num_tokens").alias("ours_num_tokens"),
-                 F.array_join("ids", " ").alias("ours_ids")).join(
-        b.select(key, F.col("num_tokens").alias("baseline_num_tokens"),
-                 F.array_join("ids", " ").alias("baseline_ids")), key)
+                   key: str | list[str] = "doc_id") -> DataFrame:
+    """Same texts under two models, both in one narrow pass: ids and tokens
+    of either side, token-count delta and its label."""
+    keys = [key] if isinstance(key, str) else list(key)
+    j = df.select(*keys, F.col(text_col).alias("_text"))
+    for side, model in (("ours", ours), ("baseline", baseline)):
+        j = add_encoding(j, model, "_text", {"ids": f"_{side}_ids", "tokens": f"{side}_tokens", "num_tokens": f"{side}_num_tokens"})
+        j = j.withColumn(f"{side}_ids", F.array_join(f"_{side}_ids", " ")).drop(f"_{side}_ids")
     delta = F.col("ours_num_tokens") - F.col("baseline_num_tokens")
     label = (F.when(delta == 0, F.lit("Identical token count"))
              .when(delta < 0, F.concat(F.abs(delta).cast("string"), F.lit(" fewer tokens than baseline")))
              .otherwise(F.concat(delta.cast("string"), F.lit(" more tokens than baseline"))))
-    return j.select(key, "ours_num_tokens", "baseline_num_tokens", delta.alias("delta"),
-                    label.alias("delta_label"), "ours_ids", "baseline_ids")
+    return j.select(*keys, "ours_num_tokens", "baseline_num_tokens", delta.alias("delta"),
+                    label.alias("delta_label"), "ours_ids", "baseline_ids", "ours_tokens", "baseline_tokens")
 
 
 def token_stream(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -55,21 +55,12 @@ def token_stream(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def vocab_usage(corpus: DataFrame, model: BpeModel, text_col: str = "text") -> DataFrame:
-    """Every vocabulary entry with its merge (if any) and how often it is
-    emitted over a corpus: Σ over distinct pieces of count × occurrences."""
+    """Every vocabulary entry with its merge (if any; the first where a later
+    one makes the same string) and how often it is emitted over a corpus."""
     spark = corpus.sparkSession
-    occ = explode_pieces(corpus.select(text_col), text_col, [], model.special_tokens)
-    per = occ.groupBy("piece", "special").agg(F.count(F.lit(1)).alias("cnt"))
-    sid = {s: i for i, s in enumerate(model.special_tokens)}
-    ids = F.when(F.col("special").isNotNull(),
-                 F.array(F.element_at(F.create_map(*[x for s, i in sid.items() for x in (F.lit(s), F.lit(i))]),
-                                      F.col("special")))) if sid else None
-    plain_ids = piece_ids("piece", model)
-    used = per.select("cnt", F.explode(ids.otherwise(plain_ids) if ids is not None else plain_ids).alias("id"))
-    uses = used.groupBy("id").agg(F.sum("cnt").cast("bigint").alias("uses"))
-    vocab = model.vocab_df(spark)
-    merges = model.merges_df(spark).select(F.col("new_id").alias("id"), "rank", "left_id", "right_id", "freq")
-    out = vocab.join(F.broadcast(merges), "id", "left").join(uses, "id", "left")
+    merges = model.merges_df(spark).groupBy(F.col("new_id").alias("id")).agg(
+        F.min(F.struct("rank", "left_id", "right_id", "freq")).alias("m")).select("id", "m.*")
+    out = model.vocab_df(spark).join(F.broadcast(merges), "id", "left").join(id_counts(corpus, model, text_col), "id", "left")
     return out.select("id", "token", "kind", "rank", "left_id", "right_id",
                       F.col("freq").alias("merge_freq"),
                       F.coalesce("uses", F.lit(0)).cast("bigint").alias("uses"))

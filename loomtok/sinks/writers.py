@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 def write_corpus_text(corpus: DataFrame, path: str, num_partitions: int | None = None) -> dict:
     """Write the blocks in ``ord`` order; returns the progress counters
     (articles, bytes) observed on the write itself — no second pass."""
-    n = num_partitions or max(1, corpus.sparkSession.sparkContext.defaultParallelism)
+    # a number given by the caller, or else the session's shuffle partitions
     body = F.expr("substring(block, 1, length(block) - 1)")
     obs = Observation("corpus_progress")
     # observed above the range shuffle: the bound-sampling job does not
     # pass through it, only the write does
-    ordered = corpus.repartitionByRange(n, "ord").sortWithinPartitions("ord")
+    ranged = corpus.repartitionByRange(num_partitions, "ord") if num_partitions else corpus.repartitionByRange("ord")
+    ordered = ranged.sortWithinPartitions("ord")
     observed = ordered.observe(obs, F.count(F.lit(1)).alias("articles"), F.sum("n_bytes").alias("bytes"))
     observed.select(body.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
     return obs.get

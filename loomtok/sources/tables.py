@@ -15,13 +15,13 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy narrow work (regex cleaning, pre-tokenization,
-    encoding) every core when the scan yields few splits — e.g. a small file
-    written as one row group, which Spark reads in ONE task.  Inputs with at
-    least 2 splits per core (any large table) keep their scan partitioning
-    and pay no shuffle.  Filters and projections above still push into the
+    encoding) every core when the scan yields fewer splits than cores — e.g. a small file
+    written as one row group, which Spark reads in ONE task.  Other inputs
+    keep their scan partitioning and pay no shuffle, so the number of
+    partitions never falls.  Filters and projections above still push into the
     scan below the repartition."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < 2 * cores:
+    if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
@@ -67,3 +67,25 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(i % 13 == 0, F.concat(F.col("text"), F.lit("{{Disambig}}")))
                 .otherwise(marked))
     return d.select(i.alias("ord"), title.alias("title"), wikitext.alias("wikitext"))
+
+
+# Markup in front of a document's text, one form for each remainder of
+# doc_id: depth, nesting, references, bare brackets, character references.
+MARKUP_FORMS = [
+    "{{a" * 12 + "|x" + "}}" * 12 + "deep ",
+    "{{Infobox|x=\n{| class=y\n| cell {{z}}\n|}\n}}table in template ",
+    "{{{1|q}}}parameter {{t|{{{2|}}}}}",
+    "pre <references> mid <ref name=a>cite</ref><ref name='b' />post </references>",
+    "a < b and c > d, x<y>z</y> 1<2\n\n",
+    "&ndash;&mdash;&eacute;&#8211;&#x2013;&amp;lt; &nosuch; & ",
+    "[[File:a.jpg|thumb|see [[Oslo|the city]] and {{x}}]][[Rome]]n [[Paris|the capital]] ",
+    "[https://a.b the label] [http://c.d] == no head ==\n== Head ==\n'''bold''' ''it'' ",
+    "open {{ never closed and }} closed, stray }} and [[ open ",
+]
+
+
+def marked_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents behind the ``MARKUP_FORMS``: (ord, wikitext)."""
+    d = table(spark, sf_dir, "documents")
+    form = F.element_at(F.array(*map(F.lit, MARKUP_FORMS)), (F.pmod(F.col("doc_id"), F.lit(len(MARKUP_FORMS))) + 1).cast("int"))
+    return d.select(F.col("doc_id").alias("ord"), F.concat(form, F.col("text")).alias("wikitext"))

@@ -1,60 +1,49 @@
 """Live tokenization of arriving texts with running totals per group.
 
-Stateless part (per arriving row): split literal special tokens out, NFKC
-the plain segments, pre-tokenize and count tokens per segment.  The model is
-small and ships with the plan (replace chain) or inside the Arrow UDF.
-Stateful part: ``groupBy(group).agg(sums)`` in ``complete`` mode.  Document
-level sums use the first segment of each document, so one aggregation
-holds all totals.  With ``trigger(availableNow=True)`` the query drains
-what has arrived and stops; its totals equal the batch totals.
+``stream_token_totals`` runs the batch plan on each micro-batch and keeps the
+batch's totals as rows of their own, so a replayed batch replaces what it
+wrote before.  ``token_totals_stream`` keeps the totals in Spark's streaming
+state instead.  With ``trigger(availableNow=True)`` either drains what has
+arrived and stops; the totals equal the batch totals, and a later call with
+the same folder goes on from there.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtok.functions.bytelevel import pretokenize
-from loomtok.functions.text import byte_len, char_len, nfkc, word_count
-from loomtok.operators.encode import CHAIN_MAX_MERGES, _bpe_udf, chain_encode
+from loomtok.functions.text import byte_len, char_len, word_count
+from loomtok.operators.encode import Encoder
 from loomtok.operators.model import BpeModel
-from loomtok.operators.pieces import segments
 from loomtok.session import ensure_checkpoint_dir
 
 
-def _segment_tokens(seg_col: Column, model: BpeModel) -> Column:
-    pieces = pretokenize(nfkc(seg_col))
-    if len(model.merges) <= CHAIN_MAX_MERGES:
-        sizes = F.transform(pieces, lambda p: F.size(chain_encode(p, model)).cast("bigint"))
-        return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda a, x: a + x)
-    enc = _bpe_udf(model)
+def token_count_udf(model: BpeModel):
+    """Arrow UDF text -> number of tokens; the model ships in a broadcast."""
+    shared = SparkSession.active().sparkContext.broadcast(model)
 
-    def count(pieces_s: pd.Series) -> pd.Series:
-        return pieces_s.map(lambda ps: 0 if ps is None else sum(len(x) for x in enc.func(pd.Series(list(ps)))))
-    return F.pandas_udf(count, T.LongType())(pieces)
+    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(shared.value)
+        for texts in parts:
+            yield pd.Series([len(encoder.ids(t)) if t else 0 for t in texts], dtype="int64")
+
+    return F.pandas_udf(count, T.LongType())
 
 
 def token_totals_stream(stream: DataFrame, model: BpeModel, group_col: str = "lang",
                         text_col: str = "text") -> DataFrame:
-    specials = model.special_tokens
-    seg = stream.select(group_col, text_col, F.posexplode(segments(text_col, specials)).alias("seg", "s"))
-    is_special = F.col("s").isin(specials) if specials else F.lit(False)
-    first = F.col("seg") == 0
-    toks = F.when(is_special, F.lit(1).cast("bigint")).otherwise(_segment_tokens(F.col("s"), model))
-    rows = seg.select(
-        group_col,
-        F.when(first, 1).otherwise(0).alias("d"),
-        F.when(first, word_count(text_col)).otherwise(0).alias("w"),
-        F.when(first, char_len(text_col)).otherwise(0).alias("c"),
-        F.when(first, byte_len(text_col)).otherwise(0).alias("b"),
-        toks.alias("t"))
+    tokens = token_count_udf(model)
+    rows = stream.select(group_col, word_count(text_col).alias("w"), char_len(text_col).alias("c"),
+                         byte_len(text_col).alias("b"), tokens(F.col(text_col)).alias("t"))
     return rows.groupBy(group_col).agg(
-        F.sum("d").cast("bigint").alias("num_documents"),
+        F.count(F.lit(1)).cast("bigint").alias("num_documents"),
         F.sum("w").cast("bigint").alias("total_words"),
         F.sum("t").cast("bigint").alias("total_tokens"),
         F.sum("c").cast("bigint").alias("total_chars"),
@@ -70,11 +59,14 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
     """Drain the parquet files arriving in directory ``path`` (optionally only
     names matching ``glob``) and return running totals per group.
 
-    Each micro-batch runs the batch plan — count (group, piece) first, encode
-    distinct pieces once, Σ cnt × tokens — inside ``foreachBatch`` and writes
-    its partial totals to ``<out_dir>/batch_id=<n>`` in the shared checkpoint
-    folder.  A replayed batch overwrites its own partition, so the output is
-    exactly-once; the totals are the sum over partitions.
+    Each micro-batch runs the batch plan inside ``foreachBatch`` and writes
+    its partial totals (a row for each group) to
+    ``<out_dir>/partials/batch_id=<n>``.  A replayed batch overwrites its own
+    partition, so the output is exactly-once; the totals are the sum over
+    partitions.  Give ``out_dir`` a fixed folder that all executors share and
+    the next call goes on where this one ended, files seen before are not
+    read again; without it the stream has a new folder below the checkpoint
+    folder and begins anew.
     """
     from loomtok.operators.evaluate import group_totals
     from loomtok.sources.tables import spread
@@ -94,10 +86,8 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
     partials = os.path.join(base, "partials")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = spread(batch).persist()   # read twice: sizes and token totals
-        totals = group_totals(batch, model, group_col, text_col)
-        totals.coalesce(1).write.mode("overwrite").parquet(os.path.join(partials, f"batch_id={batch_id}"))
-        batch.unpersist()
+        totals = group_totals(spread(batch), model, group_col, text_col)
+        totals.write.mode("overwrite").parquet(os.path.join(partials, f"batch_id={batch_id}"))
 
     q = (src.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", os.path.join(base, "checkpoint"))
@@ -112,15 +102,11 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
 def stream_token_totals_in_state(spark: SparkSession, path: str, model: BpeModel, group_col: str = "lang",
                                  text_col: str = "text", glob: str | None = None) -> DataFrame:
     """Variant keeping the totals in Spark's streaming state (complete mode,
-    memory sink).  It encodes every piece occurrence (no per-batch dedupe),
-    so it suits small models and low-volume live input."""
-    static = spark.read
+    memory sink): one row for each group reaches the driver."""
+    static, reader = spark.read, spark.readStream
     if glob:
-        static = static.option("pathGlobFilter", glob)
-    reader = spark.readStream.schema(static.parquet(path).schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    src = reader.parquet(path)
+        static, reader = static.option("pathGlobFilter", glob), reader.option("pathGlobFilter", glob)
+    src = reader.schema(static.parquet(path).schema).parquet(path)
     name = f"token_totals_{uuid.uuid4().hex[:12]}"
     ckpt = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
     q = (token_totals_stream(src, model, group_col, text_col).writeStream

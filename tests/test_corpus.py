@@ -60,6 +60,50 @@ def test_budget_matches_sequential_loop(spark):
         assert (c.articles_kept, c.articles_skipped, c.bytes_written) == (len(exp_kept), exp_skipped, exp_bytes)
 
 
+def test_budget_with_null_and_equal_ord(spark):
+    """Rows and counters come from one cut; equal articles are kept as far
+    as they fit, null places come last."""
+    rows = [(1, 7, True, 10), (2, 1, True, 10), (2, 1, True, 10), (2, 1, True, 10), (2, 0, False, 0), (None, 3, True, 10), (None, 2, True, 10)]
+    df = spark.createDataFrame(rows, "ord long, tie long, valid boolean, n_bytes long")
+    for limit, expected in [(5, (1, 0, 10)), (20, (2, 1, 20)), (21, (3, 1, 30)), (40, (4, 1, 40)), (41, (5, 1, 50)), (60, (6, 1, 60)), (99, (6, 1, 60))]:
+        kept, counters = budget.cut_at_budget(df, limit, n_buckets=3)
+        c, out = counters.first(), kept.collect()
+        assert (c.articles_kept, c.articles_skipped, c.bytes_written) == expected == (len(out), expected[1], sum(r.n_bytes for r in out)), limit
+    ex = budget.extract_article_corpus(spark.createDataFrame([(None, "a", "x" * 9), (1, "b", "y" * 9), (None, None, "z" * 9)], "ord long, title string, text string"), 1, 5)
+    assert ex.manifest.first().articles_kept == 3 == ex.corpus.count()
+
+
+def test_early_looks_find_the_same_cut(spark):
+    rows = [(i, i % 5, i % 7 > 0, 11 if i % 7 else 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "ord long, tie long, valid boolean, n_bytes long")
+    for factor in (0, 1, 30):  # estimates that are too small, right and too large
+        raw = df.select("ord", (F.col("n_bytes") * factor).alias("raw_bytes"))
+        for limit in (1, 300, 5000, 10 ** 6):
+            a, b = budget.cut_at_budget(df, limit), budget.cut_at_budget(df, limit, estimate=raw)
+            assert a[1].collect() == b[1].collect() and sorted(a[0].collect()) == sorted(b[0].collect())
+
+
+def test_nested_markup_of_any_depth(spark):
+    cases = {
+        "{{a" * 30 + "}}" * 30 + " tail": "tail",
+        "{{Infobox|x=\n{| a\n| b {{c}}\n|}\n}}after": "after",
+        "{{{1|q}}} x {{t|{{{2}}}}}y": "x y",
+        "pre <references> mid <ref>a</ref> post": "pre mid post",
+        "a < b and c\n\nsecond paragraph d > e end": "a < b and c\n\nsecond paragraph d > e end",
+        "&ndash;&eacute;&#8211;&#x2013;&amp;amp;": "–é––&amp;",
+        "[[File:x|[[a|b]] {{c}}]]d [[e|f|g]]": "d f|g",
+        "{| open\ntext }} and {{": "{| open\ntext }} and {{",
+        "{{a|b|}}c": "c",
+        None: None, "": "",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.c for r in df.select("t", clean.clean_wikitext("t").alias("c")).collect()} == cases
+    assert {r.t: r.c for r in clean.clean_pages(df, F.col("t"), "c").collect()} == cases
+    html_cases = {"<p>a < b and c\n\nd > e</p>": "a < b and c\n\nd > e", "<a title='x>y'>z</a>&mdash;&#39;": "z —'"}
+    df = spark.createDataFrame([(k,) for k in html_cases], "t string")
+    assert {r.t: r.c for r in df.select("t", clean.clean_html("t").alias("c")).collect()} == html_cases
+
+
 def test_budget_golden_articles(spark):
     ex = budget.extract_article_corpus(tables.articles(spark, SF01), 1.0, 500)
     m = ex.manifest.first()
@@ -104,6 +148,15 @@ def test_report_arithmetic_goldens(spark):
     assert [(r.tpw, r.bpt) for r in got] == [(1.1457, 4.6419), (1.2017, 4.6417), (None, None)]
 
 
+def test_ratios_of_any_size(spark):
+    """Half up on the exact quotient, far past what doubles hold."""
+    pairs = [(76388307813262, 57160360490896), (10 ** 15, 3), (10 ** 17, 7 * 10 ** 16 + 1), (123456789012345678, 99999999999999999), (1, 8), (3, 20000)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r.q for r in df.select(evaluate.ratio("a", "b").alias("q")).collect()]
+    expected = [((a * 20000 + b) // (2 * b)) / 10000 for a, b in pairs]
+    assert all(abs(x - y) <= 1e-15 * y for x, y in zip(got, expected)) and got[0] == 1.3364 and got[2:] == expected[2:]
+
+
 def test_row_number_global_hot_leading_key(spark):
     from loomtok.operators.ordering import row_number_global
     rows = [(1 if i % 3 == 0 else i, i) for i in range(600)]   # a third share key 1

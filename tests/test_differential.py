@@ -59,7 +59,7 @@ def test_training_and_encoding_equal_library(spark):
 def test_large_model_udf_path_equals_library(spark):
     rows = spark.read.parquet(f"{SF001}/documents.parquet").orderBy("doc_id").limit(120).collect()
     texts = [r.text for r in rows]
-    vocab_size = 260 + 300   # > CHAIN_MAX_MERGES: the Arrow UDF encoder
+    vocab_size = 260 + 300
     lib = _library_model(texts, vocab_size)
     ours = train_on_texts(spark.createDataFrame([("\n".join(texts) + "\n",)], "text string"), vocab_size)
     assert [(ours.tokens[l], ours.tokens[r]) for l, r, _, _ in ours.merges] == \

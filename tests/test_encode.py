@@ -45,19 +45,78 @@ def test_empty_text_keeps_row(spark, toy_model):
     assert out.ids == [] and out.num_tokens == 0
 
 
-def test_udf_encoder_equals_chain(spark, toy_model, monkeypatch):
-    texts = ["aaaaaaa bcbc aaa", "bcbcbc aaaa", "xé aaaaaaaaaaa"]
-    chain = _enc(spark, toy_model, texts)
-    monkeypatch.setattr(E, "CHAIN_MAX_MERGES", 0)
-    udf = _enc(spark, toy_model, texts)
-    assert {k: v.ids for k, v in chain.items()} == {k: v.ids for k, v in udf.items()}
+def _lowest_rank_first(ids, merges):
+    """One merge at a time, all of its occurrences from the left."""
+    ranks = {(l, r): (k, n) for k, (l, r, n, _) in reversed(list(enumerate(merges)))}
+    while True:
+        found = [(ranks[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+        if not found:
+            return ids
+        (_, new), i = min(found)
+        ids = ids[:i] + [new] + ids[i + 2:]
+
+
+def test_a_reused_id_is_encoded_by_rank(spark):
+    """abcd is reached by two ways; the later merges use the first one's id."""
+    from loomtok.operators.model import BpeModel
+    m = BpeModel()
+    i = {c: m.token_id(c) for c in "abcd"}
+    for left, right in [x.split() for x in ("a b", "b c", "a bc", "abc d", "ab c")]:
+        new, _ = m.add_token(left + right)
+        m.merges.append((m.token_id(left), m.token_id(right), new, 1))
+    out = _enc(spark, m, ["abcd", "abcdabc bcab"])
+    for text, row in zip(["abcd", "abcdabc bcab"], out.values()):
+        parts = ["abcd"] if " " not in text else ["abcdabc", " bcab"]
+        expected = [x for p in parts for x in _lowest_rank_first([i.get(c, m.token_id("Ġ")) for c in p], m.merges)]
+        assert row.ids == expected
+    assert out[0].tokens == ["abcd"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abc", max_size=40), st.integers(0, 2 ** 30))
+def test_heap_equals_one_merge_at_a_time(text, seed):
+    import random
+
+    from loomtok.operators.model import BpeModel
+    rng, m = random.Random(seed), BpeModel()
+    known = [m.token_id(c) for c in "abc"]
+    for _ in range(12):
+        a, b = rng.choice(known), rng.choice(known)
+        if any(x[:2] == (a, b) for x in m.merges):
+            continue
+        new, _ = m.add_token(m.tokens[a] + m.tokens[b])
+        known.append(new)
+        m.merges.append((a, b, new, 1))
+    assert E.Encoder(m).merged(text.encode()) == _lowest_rank_first([m.token_id(c) for c in text], m.merges)
+
+
+def test_keys_may_be_null_repeated_or_composite(spark, toy_model):
+    rows = [(1, 1, "ab cd"), (1, 1, "xyz"), (None, 2, "hello"), (1, 2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, turn long, text string")
+    one = encode_documents(df, toy_model).collect()
+    two = encode_documents(df, toy_model, key=["doc_id", "turn"]).collect()
+    texts = lambda out: sorted("".join(r.tokens) for r in out)
+    assert texts(one) == texts(two) == ["", "abĠcd", "hello", "xyz"]
+    assert {(r.doc_id, r.turn): r.num_chars for r in two}[None, 2] == 5
+    dec = decode_documents(encode_documents(df, toy_model, key=["doc_id", "turn"]), toy_model, key=["doc_id", "turn"])
+    assert sorted(r.text for r in dec.collect()) == ["", "ab cd", "hello", "xyz"]
+
+
+def test_nothing_is_shuffled_or_cached(spark, toy_model):
+    cached = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    before = cached()
+    df = spark.createDataFrame([(0, "aaaaaaa bcbc aaa"), (1, "bcbc")], "doc_id long, text string")
+    enc = encode_documents(df, toy_model)
+    for out in (enc, decode_documents(enc, toy_model)):
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 2
+    token_totals(df, toy_model, "text", ["doc_id"]).collect()
+    assert cached() == before
 
 
-def test_shuffle_join_equals_broadcast(spark, toy_model):
-    df = spark.createDataFrame([(0, "aaaaaaa bcbc aaa"), (1, "bcbc")], "doc_id long, text string")
-    a = {r.doc_id: r.ids for r in encode_documents(df, toy_model).collect()}
-    b = {r.doc_id: r.ids for r in encode_documents(df, toy_model, max_broadcast_pieces=0).collect()}
-    assert a == b
+def test_a_long_unbroken_run(spark, toy_model):
+    out = _enc(spark, toy_model, ["a" * 300_000])[0]
+    assert "".join(out.tokens) == "a" * 300_000 and out.offsets[-1].end == 300_000
 
 
 @settings(max_examples=5, deadline=None)

@@ -23,5 +23,90 @@ def test_budget_prefix_pushed_and_pruned(spark):
 
 
 def test_cleaning_chain_evaluated_once(spark):
+    """Each cleaning step stands once in the plan that returns the corpus."""
     p = _plan(extract_wiki_corpus(wiki_pages(spark, SF01), 0.25, 500).corpus)
-    assert p.count("regexp_replace(") == 26
+    assert p.count("ArrowEvalPython") == 2 and p.count("'{2,5}") <= 2
+
+
+def test_pages_past_the_limit_are_not_cleaned(spark, tmp_path):
+    """The plan of the kept rows reads no further than the budget, and a
+    counter in the cleaning step shows how far the first looks went."""
+    from loomtok.operators import budget, clean
+    acc = spark.sparkContext.accumulator(0)
+    pages = wiki_pages(spark, SF01)
+
+    def counting(df, text, out, real=clean.clean_pages):
+        from pyspark.sql import functions as F
+        from pyspark.sql import types as T
+
+        def count(x):
+            acc.add(1)
+            return x
+        return real(df, F.udf(count, T.StringType())(text), out)
+
+    budget.clean_pages, old = counting, budget.clean_pages
+    try:
+        ex = budget.extract_wiki_corpus(pages, 0.1, 500)
+        kept = ex.manifest.first().articles_kept
+    finally:
+        budget.clean_pages = old
+    assert 0 < kept < 100 and acc.value < pages.count() / 2
+
+
+def test_queries_release_what_they_cache(spark):
+    cached = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    for name in ("extract_article_corpus", "extract_wiki_corpus", "compare_models", "vocab_usage", "stream_token_totals"):
+        E.queries()[name](spark, SF01.replace("0.01", "0.001")).count()
+        before = cached()
+        E.queries()[name](spark, SF01.replace("0.01", "0.001")).count()
+        assert cached() <= before, name
+
+
+def test_scans_keep_their_partitions(spark):
+    from loomtok.sources.tables import spread
+    cores = spark.sparkContext.defaultParallelism
+    for n in (1, cores, cores + 1, 2 * cores - 1, 3 * cores):
+        assert spread(spark.range(0, 100, 1, n)).rdd.getNumPartitions() == max(n, cores)
+
+
+def test_buckets_follow_the_data(spark):
+    from loomtok.operators.ordering import BUCKET_ROWS, bucket_count
+    df = spark.range(1)
+    assert bucket_count(df, 10) == spark.sparkContext.defaultParallelism
+    assert bucket_count(df, 1000 * BUCKET_ROWS + 1) == 1001
+
+
+def test_the_session_sets_only_what_is_asked(spark, monkeypatch):
+    from loomtok import session
+    seen = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+        master = appName
+
+        def config(self, map):
+            seen.update(map)
+            return self
+
+        def getOrCreate(self):
+            return spark
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    session.get_spark()
+    assert "spark.sql.shuffle.partitions" not in seen and "spark.driver.memory" not in seen
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    import pytest
+
+    from loomtok.session import ensure_checkpoint_dir
+
+    class Fake:
+        master = "spark://host:7077"
+        conf = {}
+        sparkContext = property(lambda self: self)
+
+        def getCheckpointDir(self):
+            return None
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Fake())
