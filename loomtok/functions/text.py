@@ -23,7 +23,7 @@ WS_CLASS = "[" + WS + "]"
 NON_WS_CLASS = "[^" + WS + "]"
 
 ASCII_ONLY = r"^[\x{0}-\x{7f}]*$"
-NFKC_SCAN_LIMIT = 0x0180   # Latin-1 and Latin Extended-A: few ranges, cheap per char
+NFKC_SCAN_LIMIT = 0x0530   # Latin, Greek and Cyrillic: few ranges, cheap per character
 
 
 @functools.lru_cache(maxsize=1)
@@ -113,9 +113,10 @@ _nfkc_udf = F.pandas_udf(_nfkc_series, T.StringType())
 
 
 def nfkc(c) -> Column:
-    """Unicode NFKC.  Texts made only of NFKC-stable characters (ASCII, most
-    Latin/Greek/Cyrillic letters and punctuation) are decided in the JVM and
-    send a null to the UDF; only the rest is normalized in Python."""
+    """Unicode NFKC.  Texts made only of NFKC-stable characters below
+    ``NFKC_SCAN_LIMIT`` (ASCII and most Latin, Greek and Cyrillic letters) are
+    decided in the JVM and send a null to the UDF; texts with others, curly
+    quotes and CJK among them, are normalized in Python."""
     c = col(c)
     stable = c.rlike(ASCII_ONLY) | c.rlike(nfkc_stable_pattern())
     return F.when(c.isNull(), F.lit(None).cast("string")) \
@@ -123,13 +124,18 @@ def nfkc(c) -> Column:
         .otherwise(_nfkc_udf(F.when(~stable, c)))
 
 
+def _composes(a: str, b: str) -> bool:
+    nfkc = unicodedata.normalize
+    return nfkc("NFKC", a + b) != nfkc("NFKC", a) + nfkc("NFKC", b)
+
+
 def nfkc_alignment(text: str, specials: list[str]) -> tuple[list[int], list[int]]:
     """Original character span of every character of the normalized text
     (special tokens untouched, other segments NFKC), per normalization unit
     (a character and the combining marks after it): 'ﬁ' -> 'fi' gives both
     characters the span of 'ﬁ'; a composed 'é' from 'e' + U+0301 gets the
-    span of 'e'.  If units compose across their boundary, the segment maps
-    coarsely."""
+    span of 'e'.  Units that compose with each other (Hangul letters) make
+    one span together."""
     import re
     starts: list[int] = []
     ends: list[int] = []
@@ -165,8 +171,21 @@ def nfkc_alignment(text: str, specials: list[str]) -> tuple[list[int], list[int]
                 e_.append(c + 1)
             i = j
         if "".join(out) != target:
-            s_ = [base] * len(target)
-            e_ = [base + len(seg)] * len(target)
+            # some units compose with their neighbours: those make one span
+            s_, e_, spans, i = [], [], [], 0
+            while i < len(seg):
+                j = i + 1
+                while j < len(seg) and unicodedata.combining(seg[j]) != 0:
+                    j += 1
+                if spans and _composes(seg[spans[-1][0]:i], seg[i:j]):
+                    spans[-1][1] = j
+                else:
+                    spans.append([i, j])
+                i = j
+            for a, b in spans:
+                n = len(unicodedata.normalize("NFKC", seg[a:b]))
+                s_ += [base + a] * n
+                e_ += [base + b] * n
         starts += s_
         ends += e_
         base += len(seg)

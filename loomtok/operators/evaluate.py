@@ -81,13 +81,14 @@ def timed_report(bench: DataFrame, model: BpeModel) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def report_json(report: DataFrame, vocab_size: int) -> DataFrame:
-    """Nested report {vocab_size, benchmarks: {name: {metrics}}} as one JSON
-    string (benchmarks in name order, nulls kept)."""
+def report_json(report: DataFrame, vocab_size: int, tokenizer_path: str | None = None) -> DataFrame:
+    """Nested report {[tokenizer_path,] vocab_size, benchmarks: {name:
+    {metrics}}} as one JSON string (benchmarks in name order, nulls kept)."""
     metric_cols = [c for c in report.columns if c != "benchmark"]
     entries = F.array_sort(F.collect_list(F.struct(F.col("benchmark").alias("key"),
                                                    F.struct(*metric_cols).alias("value"))))
-    nested = F.struct(F.lit(vocab_size).cast("bigint").alias("vocab_size"),
+    path = [F.lit(tokenizer_path).alias("tokenizer_path")] if tokenizer_path is not None else []
+    nested = F.struct(*path, F.lit(vocab_size).cast("bigint").alias("vocab_size"),
                       F.map_from_entries(entries).alias("benchmarks"))
     return report.agg(F.to_json(nested, {"ignoreNullFields": "false"}).alias("report_json"))
 

@@ -7,6 +7,7 @@ executors as a small table, a scalar-subquery array or a broadcast.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +94,29 @@ class BpeModel:
             "special_tokens array<string>, vocab_size_requested int, min_frequency int",
         ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
+    def to_json(self) -> str:
+        """Vocabulary and merges as one JSON object: {"special_tokens",
+        "vocab": {token: id}, "merges": [[left, right], ...]}."""
+        return json.dumps({"special_tokens": self.special_tokens, "vocab": {t: i for i, t in enumerate(self.tokens)},
+                           "merges": [[self.tokens[a], self.tokens[b]] for a, b, _, _ in self.merges]}, ensure_ascii=False)
+
+    @classmethod
+    def from_merges(cls, pairs, special_tokens: list[str] | None = None) -> "BpeModel":
+        """The model that applies these (left, right) token pairs in order."""
+        model = cls(list(special_tokens or []))
+        for left, right in pairs:
+            new, _ = model.add_token(left + right)
+            model.merges.append((model.token_id(left), model.token_id(right), new, 0))
+        return model
+
+    @classmethod
+    def from_json(cls, text: str) -> "BpeModel":
+        """Reads ``to_json`` and the public byte-level tokenizer files (merges
+        under "model", pairs as lists or as strings with a space)."""
+        found = json.loads(text)
+        merges = found.get("merges") or found["model"]["merges"]
+        return cls.from_merges([m.split(" ") if isinstance(m, str) else m for m in merges], found.get("special_tokens"))
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "BpeModel":
         """Read the two model tables (bounded by vocab_size) back."""

@@ -6,17 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtok.functions.text import byte_len
+from loomtok.functions.text import byte_len, has_non_ws
 from loomtok.operators.evaluate import ratio
 from loomtok.operators.encode import add_encoding, id_counts
 from loomtok.operators.model import BpeModel
 
 
 def tokenize_rejects(df: DataFrame, text_col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Empty requests are rejected (status 400 in the API); rejected rows
-    stay in the output with their reason."""
+    """Null and empty requests are rejected (status 400 in the API), blank
+    ones too (the UI doesn't send them); rejected rows stay in the output
+    with their reason."""
     t = F.col(text_col)
-    reason = F.when(t.isNull(), "null_text").when(F.length(t) == 0, "empty_text")
+    reason = F.when(t.isNull(), "null_text").when(F.length(t) == 0, "empty_text").when(~has_non_ws(t), "blank_text")
     return df.select(key, F.coalesce(reason, F.lit("ok")).alias("reason"),
                      reason.isNull().alias("accepted"))
 
@@ -79,17 +80,20 @@ def vocab_info(spark, model: BpeModel, config_path: str | None = None) -> DataFr
 
 
 def training_config(corpus: DataFrame, model: BpeModel, text_col: str = "text",
-                    corpus_file: str = "", seconds: float | None = None) -> DataFrame:
-    """Hyper-parameters and sizes; corpus size is Σ UTF-8 bytes."""
+                    corpus_file: str = "", seconds: float | None = None, tokenizer_file: str | None = None) -> DataFrame:
+    """Hyper-parameters and sizes; corpus size is Σ UTF-8 bytes.  Special
+    tokens are an array, so they may hold any character."""
     cfg = corpus.agg(F.sum(byte_len(text_col)).cast("bigint").alias("corpus_size_bytes"))
     out = cfg.select(
         F.lit(model.vocab_size_requested).cast("bigint").alias("vocab_size_requested"),
         F.lit(model.vocab_size).cast("bigint").alias("vocab_size_actual"),
         F.lit(model.min_frequency).cast("bigint").alias("min_frequency"),
-        F.lit(",".join(model.special_tokens)).alias("special_tokens"),
+        F.array(*map(F.lit, model.special_tokens)).cast("array<string>").alias("special_tokens"),
         F.lit("ByteLevel").alias("pre_tokenizer"), F.lit("NFKC").alias("normalizer"),
         F.lit("BPE").alias("model"), F.lit(corpus_file).alias("corpus_file"),
         "corpus_size_bytes")
+    if tokenizer_file is not None:
+        out = out.withColumn("tokenizer_file", F.lit(tokenizer_file))
     if seconds is not None:
         out = out.withColumn("training_seconds", F.lit(float(seconds)))
     return out

@@ -12,6 +12,8 @@ chain, fed by the merges of the CTE model.
 
 from __future__ import annotations
 
+import json
+
 from loomtok.functions.bytelevel import CONTINUATION_CLASS, DEFAULT_SPECIAL_TOKENS, GPT2_SPLIT
 from loomtok.functions.text import WS
 from loomtok.operators import budget
@@ -397,7 +399,7 @@ def build() -> dict[str, str]:
     q["training_config"] = with_model(
         f"SELECT CAST({BASE + QUERY_MERGES} AS BIGINT) AS vocab_size_requested, "
         f"CAST((SELECT count(*) FROM vocab) AS BIGINT) AS vocab_size_actual, CAST(2 AS BIGINT) AS min_frequency, "
-        f"{s(','.join(DEFAULT_SPECIAL_TOKENS))} AS special_tokens, 'ByteLevel' AS pre_tokenizer, 'NFKC' AS normalizer, "
+        f"{s(json.dumps(DEFAULT_SPECIAL_TOKENS, separators=(',', ':')))} AS special_tokens, 'model' AS tokenizer_file, 'ByteLevel' AS pre_tokenizer, 'NFKC' AS normalizer, "
         f"'BPE' AS model, 'documents' AS corpus_file, CAST(sum(strlen(text)) AS BIGINT) AS corpus_size_bytes "
         f"FROM documents")
     # encoding
@@ -430,9 +432,13 @@ def build() -> dict[str, str]:
         f"{ratio('x.num_chars', 'greatest(1, x.num_tokens)', 2)} AS chars_per_token "
         f"FROM offs o JOIN ({_doc_enc_body()}) x ON x.doc_id = o.doc_id",
         extra=f"{enc_ctes},\n{_TOK_ROWS}")
-    q["tokenize_rejects"] = ("SELECT doc_id, CASE WHEN text IS NULL THEN 'null_text' WHEN length(text) = 0 "
-                             "THEN 'empty_text' ELSE 'ok' END AS reason, "
-                             "(text IS NOT NULL AND length(text) > 0) AS accepted FROM documents")
+    q["tokenize_rejects"] = (
+        "SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'null_text' WHEN 1 THEN 'empty_text' WHEN 2 THEN 'blank_text' ELSE 'ok' END AS reason, "
+        "doc_id % 7 > 2 AS accepted FROM documents")
+    composed = [" fine", " AB", " \u00e9", " x2", " 11\u20442", " \u30d1", " \u1e69", " \u00c5\u03a9", " \u03ac\u0436\u4e2d", " \uac01"]
+    forms = " ".join(f"WHEN {i} THEN {s(x)}" for i, x in enumerate(composed))
+    q["nfkc_normalize"] = f"SELECT doc_id, text || CASE doc_id % {len(composed)} {forms} END AS text_nfkc FROM documents"
+    q["benchmark_first_docs"] = f"SELECT * FROM ({_bench_sql()}) QUALIFY row_number() OVER (PARTITION BY benchmark ORDER BY ord) <= 25"
     base_enc = _enc(BASELINE_MERGES, "enc4")
     q["compare_models"] = with_model(
         "SELECT a.doc_id, a.num_tokens AS ours_num_tokens, b.num_tokens AS baseline_num_tokens, "
@@ -473,6 +479,17 @@ def build() -> dict[str, str]:
         "SELECT benchmark, '| ' || benchmark || ' | ' || CAST(tokens_per_word AS VARCHAR) || ' | ' || "
         "CAST(compression_ratio_bytes_per_token AS VARCHAR) || ' |' AS markdown_row FROM metrics",
         extra=_metrics_ctes())
+    q["ui_table"] = with_model(
+        "SELECT benchmark, printf('%.3f', tokens_per_word) AS tokens_per_word, printf('%.3f', compression_ratio_bytes_per_token) AS bytes_per_token, "
+        "printf('%.0f', total_chars * 7 / 1000.0) || 'k chars/s' AS encode_speed, "
+        "printf('%.0f', total_chars * 90 / 1000.0) || 'k chars/s' AS decode_speed FROM metrics", extra=_metrics_ctes())
+    q["report_roundtrip"] = with_model(
+        "SELECT 'model' AS tokenizer_path, (SELECT count(*) FROM vocab) AS vocab_size, benchmark, total_tokens, tokens_per_word FROM metrics",
+        extra=_metrics_ctes())
+    two = model_ctes(2).replace("merges AS (", "merges4 AS (")
+    q["train_special_tokens"] = (
+        f"WITH {two} SELECT CAST(rank AS INTEGER) AS rank, CAST(left_id - 1 AS INTEGER) AS left_id, CAST(right_id - 1 AS INTEGER) AS right_id, "
+        f"CAST(new_id - 1 AS INTEGER) AS new_id, CAST(freq AS BIGINT) AS freq FROM merges4")
     q["stream_token_totals"] = with_model(
         f"SELECT z.lang, z.num_documents, z.total_words, CAST(COALESCE(t.total_tokens, 0) AS BIGINT) AS total_tokens, "
         f"z.total_chars, z.total_bytes_utf8 FROM (SELECT lang, CAST(count(*) AS BIGINT) AS num_documents, "

@@ -19,10 +19,12 @@ from loomtok.functions.text import (byte_len, char_len, lines_keep_newline, nfkc
                                     normalize_whitespace, word_count)
 from loomtok.operators import budget, clean, encode, evaluate, serving
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
-from loomtok.operators.train import corpus_lines
+from loomtok.operators.train import corpus_lines, train_on_texts
 from loomtok.plans.models import BASELINE_MERGES, documents_model
 from loomtok.session import ensure_checkpoint_dir
+from loomtok.sinks.writers import write_text
 from loomtok.sources import benchmarks, tables, xmldump
+from loomtok.sources.artifacts import read_report
 from loomtok.streaming.totals import stream_token_totals
 
 BUDGET_MB = 1.0
@@ -65,7 +67,7 @@ def q_normalize_whitespace(spark, d):
 
 
 def q_nfkc_normalize(spark, d):
-    return _docs(spark, d).select("doc_id", nfkc("text").alias("text_nfkc"))
+    return tables.variants(spark, d).select("doc_id", nfkc("text").alias("text_nfkc"))
 
 
 # -- pre-tokenization and counting -------------------------------------------
@@ -152,7 +154,8 @@ def q_vocab_info(spark, d):
 
 def q_training_config(spark, d):
     m = documents_model(spark, d)
-    return serving.training_config(_docs(spark, d), m, corpus_file="documents")
+    cfg = serving.training_config(_docs(spark, d), m, corpus_file="documents", tokenizer_file="model")
+    return cfg.withColumn("special_tokens", F.to_json("special_tokens"))
 
 
 # -- encoding / decoding -----------------------------------------------------
@@ -205,7 +208,7 @@ def q_token_stream(spark, d):
 
 
 def q_tokenize_rejects(spark, d):
-    return serving.tokenize_rejects(_docs(spark, d))
+    return serving.tokenize_rejects(tables.requests(spark, d))
 
 
 def q_compare_models(spark, d):
@@ -254,6 +257,39 @@ def q_benchmark_table(spark, d):
     return evaluate.summary_table(_metrics(spark, d)[1])
 
 
+def q_benchmark_first_docs(spark, d):
+    """The first 25 documents in order of each benchmark (``max_docs``)."""
+    return benchmarks.bench_union(spark, d, ["prose", "dialog"], max_docs=25)
+
+
+def _timed(spark, d):
+    """The metrics with speeds that follow from the totals, so that they are
+    the same in every run."""
+    m = _metrics(spark, d)[1]
+    return m.withColumns({"encode_chars_per_sec": (F.col("total_chars") * 7).cast("double"), "decode_chars_per_sec": (F.col("total_chars") * 90).cast("double")})
+
+
+def q_ui_table(spark, d):
+    return evaluate.ui_table(_timed(spark, d))
+
+
+def q_report_roundtrip(spark, d):
+    """The report written as a JSON file and read again, a row for each metric."""
+    m, r = _metrics(spark, d)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"report-{uuid.uuid4().hex}")
+    write_text(evaluate.report_json(r, m.vocab_size, "model"), path)
+    back = read_report(spark, path)
+    each = [F.struct(F.lit(b).alias("benchmark"), F.col(f"benchmarks.{b}.total_tokens").alias("total_tokens"),
+                     F.col(f"benchmarks.{b}.tokens_per_word").alias("tokens_per_word")) for b in ("dialog", "prose")]
+    return back.select("tokenizer_path", "vocab_size", F.explode(F.array(*each)).alias("m")).select("tokenizer_path", "vocab_size", "m.*")
+
+
+def q_train_special_tokens(spark, d):
+    """Merges learned with a list of special tokens of one's own."""
+    m = train_on_texts(_docs(spark, d), 3 + 256 + 2, special_tokens=["<a,b>", "<s>", "[x]"])
+    return m.merges_df(spark)
+
+
 def q_stream_token_totals(spark, d):
     return stream_token_totals(spark, d, documents_model(spark, d), glob="documents.parquet")
 
@@ -298,5 +334,9 @@ QUERIES: dict[str, Query] = {
     "eval_metrics": q_eval_metrics,
     "eval_report_nested": q_eval_report_nested,
     "benchmark_table": q_benchmark_table,
+    "benchmark_first_docs": q_benchmark_first_docs,
+    "ui_table": q_ui_table,
+    "report_roundtrip": q_report_roundtrip,
+    "train_special_tokens": q_train_special_tokens,
     "stream_token_totals": q_stream_token_totals,
 }

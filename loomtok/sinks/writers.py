@@ -30,3 +30,9 @@ def write_corpus_text(corpus: DataFrame, path: str, num_partitions: int | None =
 def write_json_rows(df: DataFrame, path: str) -> None:
     """Small result tables (manifest, config, report) as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_text(df: DataFrame, path: str) -> None:
+    """One string column as it is, a row a line: a JSON document stays one
+    and isn't quoted once more."""
+    df.coalesce(1).write.mode("overwrite").text(path)

@@ -40,4 +40,4 @@ def read_special_tokens(spark: SparkSession, config_path: str) -> list[str]:
     v = row[0] if row else None
     if v is None:
         return []
-    return list(v) if isinstance(v, (list, tuple)) else [t for t in str(v).split(",") if t]
+    return list(v)

@@ -45,6 +45,30 @@ def articles_by_lang(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
     return articles(spark, sf_dir).where(F.col("lang") == lang)
 
 
+def article_snapshot(spark: SparkSession, path: str, lang: str, snapshot: str) -> DataFrame:
+    """One language edition of one dated snapshot of a table of articles
+    (ord, title, lang, snapshot, text): partition filters where the table is
+    partitioned by them."""
+    return spark.read.parquet(path).where((F.col("snapshot") == snapshot) & (F.col("lang") == lang)).select("ord", "title", "lang", "text")
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as tokenize requests, some of them null, empty or blank."""
+    i = F.pmod(F.col("doc_id"), F.lit(7))
+    text = (F.when(i == 0, F.lit(None).cast("string")).when(i == 1, "").when(i == 2, " \t\n\u00a0\u3000")
+            .when(i == 3, F.concat(F.lit(" "), F.col("text"))).otherwise(F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+
+
+# Forms that NFKC changes, after a document's text: one for each remainder of doc_id.
+VARIANTS = [" \ufb01ne", " \uff21\uff22", " e\u0301", " x\u00b2", " \u2460\u00bd", " \uff8a\uff9f", " \u1e9b\u0323", " \u212b\u2126", " \u03b1\u0301\u0436\u4e2d", " \u1100\u1161\u11a8"]
+
+
+def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    form = F.element_at(F.array(*map(F.lit, VARIANTS)), (F.pmod(F.col("doc_id"), F.lit(len(VARIANTS))) + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat("text", form).alias("text"))
+
+
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dump-shaped pages with every filter branch and markup form: the
     ``wiki_pages`` fixture view (ord, title, wikitext)."""

@@ -134,3 +134,34 @@ def test_token_totals_equal_sum_of_encodings(spark, toy_model):
     tot = token_totals(df, toy_model, "text", ["g"]).first().total_tokens
     enc = _enc(spark, toy_model, texts)
     assert tot == sum(v.num_tokens for v in enc.values())
+
+
+def test_offsets_where_units_compose():
+    """Hangul letters become one syllable; the text around keeps its places."""
+    from loomtok.functions.text import nfkc_alignment
+    starts, ends = nfkc_alignment("ab \u1100\u1161\u11a8 c \ufb01", [])
+    assert starts == [0, 1, 2, 3, 6, 7, 8, 9, 9] and ends == [1, 2, 3, 6, 7, 8, 9, 10, 10]
+
+
+def test_model_json(spark, toy_model):
+    from loomtok.operators.model import BpeModel
+    again = BpeModel.from_json(toy_model.to_json())
+    assert again.tokens == toy_model.tokens and [m[:3] for m in again.merges] == [m[:3] for m in toy_model.merges]
+
+
+def test_a_public_vocabulary_of_50k(spark):
+    """All merges of a public byte-level file: ids equal the library's."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    tokenizers = pytest.importorskip("tokenizers")
+    from loomtok.operators.model import BpeModel
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    model = BpeModel.from_json(open(path, encoding="utf-8").read())
+    lib = tokenizers.Tokenizer.from_file(path)
+    lib.encode_special_tokens = True
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    enc = encode_documents(docs, model)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert model.vocab_size == 50256
+    for r in enc.collect():
+        assert r.ids == lib.encode(texts[r.doc_id], add_special_tokens=False).ids
+    assert {r.doc_id: r.text for r in decode_documents(enc, model).collect()} == texts

@@ -60,9 +60,34 @@ def test_run_pipeline_end_to_end(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="loomtok-run-"), "run")
     res = run_pipeline(spark, SF001, out, merges=6, size_limit_mb=0.05)
     assert sorted(os.listdir(out)) == ["corpus", "evaluation_report", "extraction_manifest", "model",
-                                       "training_config"]
+                                       "tokenizer_json", "training_config"]
+    report = artifacts.read_report(spark, os.path.join(out, "evaluation_report")).first()
+    assert report.tokenizer_path.endswith("/model") and report.benchmarks.prose.total_tokens > 0
+    text = spark.read.text(os.path.join(out, "tokenizer_json")).first().value
+    assert BpeModel.from_json(text).tokens == BpeModel.load(spark, os.path.join(out, "model")).tokens
+    assert artifacts.read_special_tokens(spark, os.path.join(out, "training_config")) == ["<unk>", "<s>", "</s>", "<pad>"]
     m = BpeModel.load(spark, os.path.join(out, "model"))
     assert len(m.merges) == 6 and res["train_rounds"] >= 1
     man = spark.read.json(os.path.join(out, "extraction_manifest")).first()
     assert man.bytes_written >= 0.05 * 1024 * 1024 and man.articles_kept > 0
     assert len(res["summary"]) == 2 and all(r.startswith("| ") for r in res["summary"])
+
+
+def test_run_pipeline_from_a_dump(spark):
+    from conftest import SF001
+    from loomtok.plans.pipeline import run_pipeline
+    from loomtok.sources import tables, xmldump
+    top = tempfile.mkdtemp(prefix="loomtok-dump-")
+    xmldump.write_pages(tables.wiki_pages(spark, SF001), os.path.join(top, "dump"))
+    res = run_pipeline(spark, SF001, os.path.join(top, "out"), merges=3, size_limit_mb=0.05, dump_path=os.path.join(top, "dump"))
+    man = spark.read.json(os.path.join(top, "out", "extraction_manifest")).first()
+    assert man.articles_kept > 0 and man.articles_skipped > 0 and man.extraction_seconds > 0 and len(res["summary"]) == 2
+
+
+def test_article_snapshot(spark, tmp_path):
+    from loomtok.sources.tables import article_snapshot
+    rows = [(i, f"t{i}", "en" if i % 2 else "de", "2024-01" if i < 6 else "2024-02", "x") for i in range(10)]
+    spark.createDataFrame(rows, "ord long, title string, lang string, snapshot string, text string").write.partitionBy("snapshot", "lang").parquet(str(tmp_path / "a"))
+    got = article_snapshot(spark, str(tmp_path / "a"), "en", "2024-01")
+    assert sorted(r.ord for r in got.collect()) == [1, 3, 5]
+    assert "PartitionFilters: [isnotnull(snapshot" in got._jdf.queryExecution().executedPlan().toString()
