@@ -100,3 +100,20 @@ def test_batched_equals_sequential_on_documents(spark):
     texts = [r.text for r in rows]
     m = train_on_texts(spark.createDataFrame([(t,) for t in texts], "text string"), 260 + 40)
     assert m.merges == reference_bpe(texts, 260 + 40)
+
+
+def test_pair_table_equals_a_recount(spark):
+    """After each batch the corrected pair table is that of the new words."""
+    from conftest import SF001
+    from loomtok.operators.model import BpeModel
+    from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
+    from loomtok.operators.train import apply_merges, corpus_lines, select_batch, update_pairs
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(30)
+    words = words_from_pieces(piece_counts(corpus_lines(docs), "line"), 4).persist()
+    model, pairs = BpeModel(), pair_counts(words)
+    for _ in range(3):
+        top = pairs.orderBy(pairs.freq.desc(), "left_id", "right_id").limit(50).collect()
+        batch = select_batch([tuple(r) for r in top], model, 10 ** 6)
+        pairs = update_pairs(pairs, words, batch).persist()
+        words = apply_merges(words, batch).persist()
+        assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, pair_counts(words).collect()))
