@@ -299,14 +299,20 @@ def groups(docs: DataFrame, least: float = LEAST, key: str = "doc_id", text_col:
 
 
 def _classed(docs: DataFrame, least: float, key: str, text_col: str) -> DataFrame:
-    """row (all columns, whatever their names), root, class_id, class_size, first."""
+    """row (all columns, whatever their names), root, class_id, class_size,
+    first.  Classes are worked out on ids and keys alone; the rows then meet
+    only those of the texts that have company."""
     _, roots = links(docs, least, text_col)
     wordless = F.col(text_col).isNull() | (F.trim(F.regexp_replace(text_col, r"[\t-\r]", " ")) == "")
     keyed = docs.select(F.when(~wordless, text_id(text_col)).alias("id"), F.col(key).alias("key"), F.struct(*docs.columns).alias("row"))
-    classed = keyed.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    sizes = classed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n"))
-    out = classed.join(sizes, "root", "left").select(
-        "row", "root", "key", F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("least")).alias("class_id"),
+    roots = roots.withColumnRenamed("node", "id")
+    slim = keyed.select("id", "key").where(F.col("id").isNotNull()).join(roots, "id", "left")
+    sizes = slim.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    nodes = roots.unionByName(sizes.select(F.col("root").alias("id"), "root"))
+    company = table(nodes.join(sizes, "root"), "company")
+    company = F.broadcast(company) if company.count() <= MAX_BROADCAST else company
+    out = keyed.join(company, "id", "left").select(
+        "row", "root", "key", F.when(F.col("n").isNull(), F.col("key")).otherwise(F.col("least")).alias("class_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("class_size"))
     return out.withColumn("first", F.col("root").isNull() | F.col("key").eqNullSafe(F.col("class_id"))).drop("key")
 
@@ -314,6 +320,5 @@ def _classed(docs: DataFrame, least: float, key: str, text_col: str) -> DataFram
 def keep_first(docs: DataFrame, least: float = LEAST, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class, with its own columns."""
     firsts = _classed(docs, least, key, text_col).where("first")
-    many = firsts.where(F.col("root").isNotNull() & (F.col("class_size") > 1))
-    alone = firsts.where(F.col("root").isNull() | (F.col("class_size") == 1))
-    return alone.unionByName(many.dropDuplicates(["root"])).select("row.*")
+    several = firsts.where(F.col("root").isNotNull()).dropDuplicates(["root"])
+    return firsts.where(F.col("root").isNull()).unionByName(several).select("row.*")
