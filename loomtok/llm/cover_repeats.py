@@ -124,7 +124,7 @@ def remove(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> Dat
     names = docs.columns
     texts = repeats.texts_of(docs, text_col)
     tied = repeats.table(_tied_samples(texts, length), "tied")
-    contexts = _contexts(repeats.attach(texts, tied, "places", "inner"), length)
+    contexts = _contexts(repeats.attach(texts, tied, "places", "inner", repeats.MAX_PLACES), length)
     sequence = repeats.Sequence()
 
     def prints(payloads, n):

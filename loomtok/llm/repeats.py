@@ -23,9 +23,11 @@ from loomtok.llm.flat import Powers, U64, byte_rows, mix, random_table, row_slic
 from loomtok.llm.shared import table
 
 #: Fingerprints that one bucket holds on average, and that a task holds before it writes them.
-BUCKET, HELD = 1 << 20, 1 << 21
-#: Rows and items of a small table that may be broadcast; a larger one is joined by shuffle.
-MAX_ROWS, MAX_ITEMS = 2_000_000, 32_000_000
+BUCKET, HELD = 1 << 20, 1 << 19
+#: Rows and items of a small table that may be broadcast (some 20 MB); a larger one is joined by shuffle.
+MAX_ROWS, MAX_ITEMS = 1_000_000, 4_000_000
+#: The same for tied places, of which there are many more than rows.
+MAX_PLACES = 250_000
 #: Contexts of one anchor that meet in one task; the windows of more are grouped by fingerprint.
 CROWD = 10_000
 POSITION = U64((1 << 20) - 1)
@@ -209,11 +211,11 @@ def twice(h: np.ndarray, *who: np.ndarray) -> np.ndarray:
     return out
 
 
-def attach(left: DataFrame, right: DataFrame, items: str, how: str) -> DataFrame:
+def attach(left: DataFrame, right: DataFrame, items: str, how: str, most: int | None = None) -> DataFrame:
     """Joins by text key; ``right`` (a written table) goes to every executor
     where its rows and the items of its array column are few enough."""
     n, m = right.agg(F.count(F.lit(1)), F.sum(F.size(items))).first()
-    return left.join(F.broadcast(right) if n <= MAX_ROWS and (m or 0) <= MAX_ITEMS else right, ["_k1", "_k2"], how)
+    return left.join(F.broadcast(right) if n <= MAX_ROWS and (m or 0) <= (MAX_ITEMS if most is None else most) else right, ["_k1", "_k2"], how)
 
 
 CONTEXT = "g long, _k1 long, _k2 long, lo int, n int, payload binary, known boolean"

@@ -94,7 +94,7 @@ def remove(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> Dat
                 yield from out.batches(1 << 22)
         yield from out.batches()
 
-    within = repeats.attach(texts, tied, "places", "inner").select("_k1", "_k2", "places", "_text").mapInArrow(contexts, repeats.CONTEXT)
+    within = repeats.attach(texts, tied, "places", "inner", repeats.MAX_PLACES).select("_k1", "_k2", "places", "_text").mapInArrow(contexts, repeats.CONTEXT)
 
     def prints(payloads, n):
         data, offs = byte_rows(payloads)
