@@ -51,7 +51,8 @@ ASIDE_WORDS = frozenset(("ad", "ads", "advert", "adverts", "advertisement", "adv
                          "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "related", "replies",
                          "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"))
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+# a quoted value may hold a bracket; a quote that isn't one means nothing
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
@@ -73,7 +74,7 @@ def tokens(page: str):
     marked = re.search(r"<(?:article|main)\b", page, re.I) is not None
     stack: list[tuple[str, bool]] = []
     inside = aside = links = 0
-    at, size = 0, len(page)
+    at, size, last = 0, len(page), page.rfind(">") + 1
 
     def side() -> str:
         return "in " if inside else "out " if marked else ""
@@ -90,17 +91,19 @@ def tokens(page: str):
         aside -= off
 
     while at < size:
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at, last) if at < last else None
         end = m.start() if m else size
         if end > at:
             yield "text", page[at:end], place(), inside > 0, aside > 0
         if not m:
             return
         at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        name = (m[2] or "").lower()
         if not name:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                return
             continue
-        close, attributes = m[1] or m[4], m[3] or m[6] or ""
+        close, attributes = m[1], m[3]
         if close:
             if any(n == name for n, _ in stack):
                 # an inline element's end doesn't close the blocks within it

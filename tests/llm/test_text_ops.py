@@ -28,7 +28,7 @@ def library():
 
 
 def test_bpe(spark, docs, corpus, library, no_docs):
-    more = ["a  b", " lead", "trail ", "x  y", "tab\t z", "it's we'll 'S", "😀 é‍", "\x1c \x1d a", "a \n b", "<|endoftext|>", "\x00 a"]
+    more = ["two  spaces " * 40, "a  b", " lead", "trail ", "x  y", "tab\t z", "it's we'll 'S", "😀 é‍", "\x1c \x1d a", "a \n b", "<|endoftext|>", "\x00 a"]
     frame = docs.unionByName(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(more)], "doc_id long, text string"), allowMissingColumns=True)
     frame = frame.withColumns({"ids": F.lit("clash"), "decoded": F.lit("clash")})
     both = bpe_prefix.decode(bpe_prefix.encode(frame, PATH, public_tokenizers.PATTERN), PATH)
@@ -136,6 +136,8 @@ PAGES = [
      "Head & more\n\nOne two three four\n\nfive six seven\n\neight"),
     ("<body><header>Site</header><main><p>all of it<br>here &lt;ok&gt; &am &amp", "all of it here <ok> &am &"),
     ("<article><ul><li>a<li>b</ul><script>var x='</p><p>no';</script><!-- <p>no</p> --><form><p>no</p></form><p>c <em>d</em>e</p></article>", "a\n\nb\n\nc de"),
+    ("<article><img alt=It's src=x><p>don't <a href='a>b'>go</a> it's</p><p title=\"unclosed>kept</p></article>", "don't go it's\n\nkept"),
+    ("<article><p>x <!-- open <p>no</p></article>", "x"), ("<article><p>1 < 2 <3 <b</article>", "1 < 2 <3"),
     ("", ""), (None, ""), ("   ", ""), ("<nav>only</nav>", ""), ("<article></article>", ""),
 ]
 
