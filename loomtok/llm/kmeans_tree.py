@@ -7,9 +7,11 @@ the nearest centre of each level.  A query visits leaves best bin first: a
 priority queue holds the open nodes by the inner product of query and
 centre.  ``calibrate`` widens the number of visited leaves until up to
 ``TRIALS`` queries, compared with all rows by brute force, reach the wanted
-recall.  ``search`` deals rows and queries out by leaf, a large leaf in
-several parts by hash of the id and its queries in several blocks, finds the
-best ``k`` of each by matrix products, and merges them.
+recall.  ``search`` deals rows and queries out by bins: neighbouring small
+leaves share one, a large leaf has several parts by hash of the id, and the
+queries of a bin come in blocks.  In each, matrix products of a leaf's rows
+and the queries that visit it give each query's best ``k`` of the bin; those
+are merged.
 
 Nearness is the inner product in double precision of the original vectors;
 of equal scores the smaller id goes first.  Null ids, null, empty and zero
@@ -36,8 +38,8 @@ SAMPLE_BYTES = 64 << 20
 LEAF_SAMPLE = 60
 BRANCHES = 8
 TRIALS = 100
-#: Rows and queries of a leaf that meet in one task.
-PART_ROWS, BLOCK_QUERIES = 16_384, 4_096
+#: Rows of a bin and queries that meet in one task.
+PART_ROWS, BLOCK_QUERIES = 4_096, 4_096
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -74,7 +76,12 @@ class Tree:
                 self.below[node].append(len(self.below) - 1)
                 todo.append((len(self.below) - 1, own[near == i]))
         self.centres = np.stack(self.centres)
-        self.leaves = [n for n, b in enumerate(self.below) if not b]
+        self.leaves, open_ = [], [0]  # neighbours in the tree stand together
+        while open_:
+            node = open_.pop()
+            open_ += self.below[node]
+            if not self.below[node]:
+                self.leaves.append(node)
 
     @staticmethod
     def _nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -173,7 +180,7 @@ def calibrate(rows: DataFrame, queries: DataFrame, tree: Tree, k: int, recall: f
     return n
 
 
-def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.97, id_col: str = "vec_id",
+def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, the neighbour's id, score; ``is_query`` on the rows' own columns."""
     vectors, queries = usable(rows, id_col, vector_col), usable(rows.where(is_query), id_col, vector_col)
@@ -183,51 +190,89 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.97,
         return rows.sparkSession.createDataFrame([], schema)
     n = calibrate(vectors, queries, tree, k, recall)
     width = tree.centres.shape[1]
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(tree)
 
     def index(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.leaf(matrix(batch.column(1), width)))], ["id", "v", "leaf"])
 
+    indexed = vectors.where(F.size("v") == width).mapInArrow(index, "id long, v array<double>, leaf long")
+    # a few numbers for each leaf of the tree, whatever the rows
+    sizes = dict(indexed.groupBy("leaf").count().collect())
+    bins, room = {}, 0
+    for leaf in (x for x in tree.leaves if x in sizes):
+        parts = -(-sizes[leaf] // PART_ROWS)
+        if parts > 1 or room < sizes[leaf]:
+            room = PART_ROWS if parts == 1 else 0
+            bins[leaf] = (leaf, parts)
+            last = leaf
+        else:
+            bins[leaf] = (last, 1)
+        room -= sizes[leaf] if parts == 1 else 0
+    plan = spark.sparkContext.broadcast(bins)
+
     def visit(batches):
         for batch in batches:
-            v = matrix(batch.column(1), width)
-            leaves = pa.array([shared.value.visits(q, n) for q in v], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, leaves], ["id", "v", "leaves"])
+            found: list[tuple[int, int, list[int]]] = []
+            for i, q in enumerate(matrix(batch.column(1), width)):
+                own: dict[int, list[int]] = {}
+                for leaf in shared.value.visits(q, n):
+                    if leaf in plan.value:
+                        own.setdefault(plan.value[leaf][0], []).append(leaf)
+                found += [(i, b, leaves) for b, leaves in own.items()]
+            at = pa.array([i for i, _, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([b for _, b, _ in found], pa.int64()),
+                                              pa.array([x for _, _, x in found], pa.list_(pa.int64()))], ["query_id", "q", "bin", "leaves"])
 
-    indexed = vectors.where(F.size("v") == width).mapInArrow(index, "id long, v array<double>, leaf long")
-    visits = queries.where(F.size("v") == width).mapInArrow(visit, "id long, v array<double>, leaves array<long>")
-    visits = visits.select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.explode("leaves").alias("leaf"))
-    # a number for each leaf, so the plan of large leaves is small whatever the rows
-    sizes = indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"))
-    asked = visits.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).select("leaf", F.ceil(F.col("n") / BLOCK_QUERIES).cast("int").alias("blocks"))
-    plan = F.broadcast(sizes.join(asked, "leaf"))
-    here = indexed.join(plan, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    here = here.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("leaf", "part", "block", "id", "v")
-    there = visits.join(plan, "leaf").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
-    there = there.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("leaf", "part", "block", "query_id", "q")
+    visits = queries.where(F.size("v") == width).mapInArrow(visit, "query_id long, q array<double>, bin long, leaves array<long>")
+    asked = dict(visits.groupBy("bin").count().collect())
+    rows_of = spark.createDataFrame([(leaf, b, parts, -(-asked.get(b, 0) // BLOCK_QUERIES)) for leaf, (b, parts) in bins.items()],
+                                    "leaf long, bin long, parts int, blocks int").where("blocks > 0")
+    here = indexed.join(F.broadcast(rows_of), "leaf").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    here = here.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bin", "part", "block", "leaf", "id", "v")
+    there = visits.join(F.broadcast(rows_of.select("bin", "parts", "blocks").distinct()), "bin")
+    there = there.withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
+    there = there.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("bin", "part", "block", "query_id", "q", "leaves")
 
     def meet(near: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        near = near.sort_values("id", kind="stable") if len(near) else near
-        ids = near.id.to_numpy()
         out = []
         if len(near) and len(asked):
-            v = np.stack(near.v.to_numpy())
-            again = np.concatenate([[False], ids[1:] == ids[:-1]])
+            near = near.sort_values(["leaf", "id"], kind="stable")
+            ids, leaf, v = near.id.to_numpy(), near.leaf.to_numpy(), np.stack(near.v.to_numpy())
+            again = np.concatenate([[False], (ids[1:] == ids[:-1]) & (leaf[1:] == leaf[:-1])])
             if again.any():  # repeated rows
                 keep = ~pd.DataFrame(v).assign(id=ids).duplicated().to_numpy()
-                ids, v = ids[keep], v[keep]
+                ids, leaf, v = ids[keep], leaf[keep], v[keep]
+            # one more than k for the query's own row, more if an id has several
+            most = k + int(pd.Series(ids).value_counts().iloc[0])
             q, own = np.stack(asked.q.to_numpy()), asked.query_id.to_numpy()
-            for a in range(0, len(q), 256):
-                scores = q[a:a + 256] @ v.T
-                for i in range(len(scores)):
-                    other = ids != own[a + i]
-                    f, s = best(scores[i][other], ids[other], v[other], q[a + i], k) if not other.all() else best(scores[i], ids, v, q[a + i], k)
-                    out.append((np.full(len(f), own[a + i]), f, s))
-        cols = [np.concatenate(c) if out else np.zeros(0) for c in (zip(*out) if out else ((), (), ()))]
+            who: dict[int, list[int]] = {}
+            for i, leaves in enumerate(asked.leaves):
+                for x in leaves:
+                    who.setdefault(int(x), []).append(i)
+            scores: list[list[np.ndarray]] = [[] for _ in own]
+            spots: list[list[np.ndarray]] = [[] for _ in own]
+            for a, b in zip(*(np.searchsorted(leaf, np.unique(leaf), side) for side in ("left", "right"))):
+                mine = who.get(int(leaf[a]), [])
+                for some in (mine[i:i + 256] for i in range(0, len(mine), 256)):
+                    for i, s in zip(some, q[some] @ v[a:b].T):
+                        top = np.arange(b - a)
+                        if b - a > most:
+                            kth = np.partition(s, b - a - most)[b - a - most]
+                            top = np.flatnonzero(s >= kth - 1e-9 * max(1.0, abs(kth)))
+                        scores[i].append(s[top])
+                        spots[i].append(top + a)
+            for i in range(len(own)):
+                if spots[i]:
+                    at, s = np.concatenate(spots[i]), np.concatenate(scores[i])
+                    other = ids[at] != own[i]
+                    f, e = best(s[other], ids[at[other]], v[at[other]], q[i], k)
+                    out.append((np.full(len(f), own[i]), f, e))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 3
         return pd.DataFrame({"query_id": cols[0].astype(np.int64), "id": cols[1].astype(np.int64), "score": cols[2].astype(np.float64)})
 
-    keys = ["leaf", "part", "block"]
+    keys = ["bin", "part", "block"]
     found = here.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInPandas(meet, "query_id long, id long, score double").distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
