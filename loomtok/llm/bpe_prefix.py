@@ -32,7 +32,9 @@ from pyspark.sql import types as T
 from loomtok.llm.flat import byte_rows, row_slices, same_rows, with_columns
 
 #: Words whose ids a worker keeps; beyond that it begins anew with the next slice of rows.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 300_000
+#: Longer words (whole texts among them) are encoded each time they come.
+KEPT_LENGTH = 64
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -94,7 +96,7 @@ class Ranks:
 
     def move(self, at: int, c: int) -> int:
         """``step``, remembered."""
-        if len(self.moves) > 1_000_000:
+        if len(self.moves) > 500_000:
             self.moves = dict(self.goto)
         to = self.moves[at << 8 | c] = self.step(at, c)
         return to
@@ -131,7 +133,7 @@ class Ranks:
         v = self.known.get(k)
         if v is None:
             v = self.known[k] = self._neighbours(a, b)
-            if len(self.known) > 1_000_000:
+            if len(self.known) > 500_000:
                 self.known.clear()
         return v
 
@@ -232,6 +234,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]) // 4
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 yield with_columns(batch.slice(lo, hi - lo), **{ids_col: lists})
+                for word in new:
+                    if len(word) > KEPT_LENGTH:
+                        del kept[word]
                 del rows, new, ids_of, ids, lists
 
     return df.mapInArrow(run, same_rows(df.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))))

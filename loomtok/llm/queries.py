@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from loomtok.llm import (bpe_prefix, cover_repeats, dart_minhash, decontaminate, hdc_langid, kmeans_tree, line_spread, nbsvm,
                          page_text, rlz_repeats)
+from loomtok.llm.shared import whole_texts
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    whole_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -126,6 +128,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ids, and whether the ids decode to the text."""
     import public_tokenizers
 
+    whole_texts(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     both = bpe_prefix.decode(bpe_prefix.encode(docs, path, public_tokenizers.PATTERN), path)
     return both.withColumns({"n_tokens": F.size("ids").cast("long"),

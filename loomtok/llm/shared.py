@@ -27,3 +27,11 @@ def table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def whole_texts(spark: SparkSession) -> None:
+    """Rows of whole texts, their ids and bytes are some 10 KB each: 1,000 of
+    them make an Arrow batch, not Spark's 10,000, unless the session has a
+    number of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
