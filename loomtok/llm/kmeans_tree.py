@@ -7,7 +7,8 @@ the nearest centre of each level.  A query visits leaves best bin first: a
 priority queue holds the open nodes by the inner product of query and
 centre.  ``calibrate`` widens the number of visited leaves until up to
 ``TRIALS`` queries, compared with all rows by brute force, reach the wanted
-recall.  ``search`` deals rows and queries out by bins: neighbouring small
+recall; a query whose leaves hold fewer than ``k`` candidates goes on to the
+next ones.  ``search`` deals rows and queries out by bins: neighbouring small
 leaves share one, a large leaf has several parts by hash of the id, and the
 queries of a bin come in blocks.  In each, matrix products of a leaf's rows
 and the queries that visit it give each query's best ``k`` of the bin; those
@@ -100,14 +101,17 @@ class Tree:
             todo += [(int(n), own[near == i]) for i, n in enumerate(below)]
         return out
 
-    def visits(self, query: np.ndarray, n: int) -> list[int]:
-        """The first ``n`` leaves, best bin first."""
+    def visits(self, query: np.ndarray, n: int, ids: dict[int, int] | None = None, k: int = 0) -> list[int]:
+        """The first ``n`` leaves, best bin first, and further ones until they
+        hold ``k`` candidates; ``ids`` has the distinct ids of each leaf, one
+        of which may be the query's own."""
         score = -(self.centres @ query)
-        queue, found = [(score[0], 0)], []
-        while queue and len(found) < n:
+        queue, found, held = [(score[0], 0)], [], 0
+        while queue and (len(found) < n or held < k):
             _, node = heapq.heappop(queue)
             if not self.below[node]:
                 found.append(node)
+                held += max((ids or {}).get(node, 0) - 1, 0)
             for b in self.below[node]:
                 heapq.heappush(queue, (score[b], b))
         return found
@@ -199,7 +203,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
 
     indexed = vectors.where(F.size("v") == width).mapInArrow(index, "id long, v array<double>, leaf long")
     # a few numbers for each leaf of the tree, whatever the rows
-    sizes = dict(indexed.groupBy("leaf").count().collect())
+    counts = indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")).collect()
+    sizes, distinct = {r.leaf: r.rows for r in counts}, {r.leaf: r.ids for r in counts}
     bins, room = {}, 0
     for leaf in (x for x in tree.leaves if x in sizes):
         parts = -(-sizes[leaf] // PART_ROWS)
@@ -210,16 +215,17 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
         else:
             bins[leaf] = (last, 1)
         room -= sizes[leaf] if parts == 1 else 0
-    plan = spark.sparkContext.broadcast(bins)
+    plan = spark.sparkContext.broadcast((bins, distinct))
 
     def visit(batches):
+        bins, distinct = plan.value
         for batch in batches:
             found: list[tuple[int, int, list[int]]] = []
             for i, q in enumerate(matrix(batch.column(1), width)):
                 own: dict[int, list[int]] = {}
-                for leaf in shared.value.visits(q, n):
-                    if leaf in plan.value:
-                        own.setdefault(plan.value[leaf][0], []).append(leaf)
+                for leaf in shared.value.visits(q, n, distinct, k):
+                    if leaf in bins:
+                        own.setdefault(bins[leaf][0], []).append(leaf)
                 found += [(i, b, leaves) for b, leaves in own.items()]
             at = pa.array([i for i, _, _ in found], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([b for _, b, _ in found], pa.int64()),

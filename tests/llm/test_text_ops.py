@@ -191,3 +191,14 @@ def test_neighbours(spark, monkeypatch):
     few = kmeans_tree.search(spark.createDataFrame(rows[:5], "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=20).collect()
     assert len(few) == 4
     assert kmeans_tree.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_neighbours_beyond_leaves_with_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(kmeans_tree, "calibrate", lambda *_: 1)
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.normal(0, 0.01, (600, 6)) + np.eye(6)[rng.integers(0, 6, 600)], 50 * np.eye(6)[:3]])
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(602, (40 * np.eye(6)[2]).tolist())] * 30
+    out = kmeans_tree.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") >= 600, k=20).toPandas()
+    assert sorted(out.query_id.unique()) == [600, 601, 602]
+    for q, own in out.groupby("query_id"):
+        assert own["rank"].tolist() == list(range(1, 21)) and q not in set(own.vec_id)
