@@ -24,6 +24,8 @@ from loomtok.llm.shared import table
 
 #: Fingerprints that one bucket holds on average, and that a task holds before it writes them.
 BUCKET, HELD = 1 << 20, 1 << 19
+#: Places known to be tied that one row holds.
+KNOWN = 1 << 14
 #: Rows and items of a small table that may be broadcast (some 20 MB); a larger one is joined by shuffle.
 MAX_ROWS, MAX_ITEMS = 1_000_000, 4_000_000
 #: The same for tied places, of which there are many more than rows.
@@ -114,23 +116,64 @@ def ties(texts: DataFrame, sample, density: float) -> DataFrame:
     is found at another place of any text.  ``sample(data, offs)`` gives
     (fingerprints, rows, places), rows in order; ``density`` is about how
     many there are for each byte.  Fingerprints are dealt out to buckets by
-    their leading bits and sorted one bucket at a time."""
+    their leading bits and sorted one bucket at a time.  Of those that a task
+    holds together, all places of one fingerprint are settled there and only
+    one goes to the bucket, so a frequent fingerprint doesn't fill it."""
     n_bytes = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = max(6, int(np.ceil(np.log2(max(1, n_bytes * density / BUCKET)))))
+    dealt = dealt_out(texts, sample, bits).repartition("bucket").sortWithinPartitions("bucket")
+
+    def sort(batches):
+        def places(rows, mark=None):
+            n = np.concatenate([np.frombuffer(r[3], np.int32) for r in rows])
+            k1, k2 = (np.repeat(np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]), n) for i in (1, 2))
+            place = np.concatenate([np.frombuffer(r[4], np.int32) for r in rows])
+            if mark is not None:
+                own = mark(np.concatenate([np.frombuffer(r[0], U64) for r in rows]), k1, k2, place)
+                k1, k2, place = k1[own], k2[own], place[own]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (k1, k2, place)], ["_k1", "_k2", "place"])
+
+        for bucket, held in grouped(batches):
+            rows = (r for b in held for r in zip(*(b.column(i).to_pylist() for i in range(1, 6))))
+            if bucket < 0:
+                yield from (places([r]) for r in rows)
+            else:
+                yield places(list(rows), twice)
+
+    found = dealt.mapInArrow(sort, "_k1 long, _k2 long, place int")
+    return found.groupBy("_k1", "_k2").agg(F.collect_set("place").alias("places"))
+
+
+def dealt_out(texts: DataFrame, sample, bits: int) -> DataFrame:
+    """bucket, h, k1, k2, n, place: samples packed by bucket, which are the
+    leading ``bits`` of the fingerprint; those under a negative bucket are
+    known to be tied and have no fingerprint."""
 
     def deal(batches):
         new, held, size = New(), [], 0
 
         def flush():
             h, k1, k2, place = (np.concatenate(x) for x in zip(*held))
-            bucket = (h >> U64(64 - bits)).astype(np.int32)
+
+            def packed(own, h):
+                edge = np.flatnonzero(np.concatenate([[True], (k1[own][1:] != k1[own][:-1]) | (k2[own][1:] != k2[own][:-1])]))
+                parts = [h, k1[own][edge], k2[own][edge], np.diff(np.append(edge, len(own))).astype(np.int32), place[own].astype(np.int32)]
+                return [x.tobytes() for x in parts]
+
+            known = twice(h, k1, k2, place)
+            one = np.zeros(len(h), np.bool_)
+            one[np.unique(h, return_index=True)[1]] = True
+            sent = np.flatnonzero(~known | one)
+            bucket = (h[sent] >> U64(64 - bits)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             for a, b in zip(cut, [*cut[1:], len(order)]):
-                own = order[a:b]
-                edge = np.flatnonzero(np.concatenate([[True], (k1[own][1:] != k1[own][:-1]) | (k2[own][1:] != k2[own][:-1])]))
-                parts = [h[own], k1[own][edge], k2[own][edge], np.diff(np.append(edge, b - a)).astype(np.int32), place[own].astype(np.int32)]
-                yield int(bucket[own[0]]), [x.tobytes() for x in parts]
+                own = sent[order[a:b]]
+                yield int(bucket[order[a]]), packed(own, h[own])
+            known = np.flatnonzero(known)
+            for a in range(0, len(known), KNOWN):  # to any task, by what they hold
+                own = known[a:a + KNOWN]
+                yield -1 - int(mix(k1[own[:1]].view(U64) + place[own[:1]].astype(U64))[0] >> U64(34)), packed(own, h[:0])
 
         def rows(found):
             found = list(found)
@@ -153,28 +196,7 @@ def ties(texts: DataFrame, sample, density: float) -> DataFrame:
         if held:
             yield rows(flush())
 
-    dealt = texts.mapInArrow(deal, "bucket int, h binary, k1 binary, k2 binary, n binary, place binary")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-
-    def sort(batches):
-        def tied(rows):
-            h = np.concatenate([np.frombuffer(r[0], U64) for r in rows])
-            n = np.concatenate([np.frombuffer(r[3], np.int32) for r in rows])
-            k1, k2 = (np.repeat(np.concatenate([np.frombuffer(r[i], np.int64) for r in rows]), n) for i in (1, 2))
-            place = np.concatenate([np.frombuffer(r[4], np.int32) for r in rows])
-            mark = twice(h, k1, k2, place)
-            k1, k2, place = k1[mark], k2[mark], place[mark]
-            order = np.lexsort((place, k2, k1))
-            k1, k2, place = k1[order], k2[order], place[order]
-            keep = np.ones(len(k1), np.bool_)
-            keep[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (place[1:] != place[:-1])
-            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k1, k2, place)], ["_k1", "_k2", "place"])
-
-        for _, held in grouped(batches):
-            yield tied([r for b in held for r in zip(*(b.column(i).to_pylist() for i in range(1, 6)))])
-
-    found = dealt.mapInArrow(sort, "_k1 long, _k2 long, place int")
-    return found.groupBy("_k1", "_k2").agg(F.collect_list("place").alias("places"))
+    return texts.mapInArrow(deal, "bucket int, h binary, k1 binary, k2 binary, n binary, place binary")
 
 
 def grouped(batches):

@@ -105,3 +105,18 @@ def test_least_in():
     x = np.random.default_rng(1).integers(0, 50, 300).astype(np.uint64)
     for w in (1, 2, 7, 299, 300):
         assert repeats.least_in(x, w).tolist() == [x[i:i + w].min() for i in range(300 - w + 1)]
+
+
+def test_a_frequent_fingerprint_does_not_fill_its_bucket(spark):
+    def sample(data, offs):
+        n = len(offs) - 1  # one fingerprint in every text, one of its own
+        own = data[offs[:-1]].astype(np.uint64) << np.uint64(56) | data[offs[:-1] + 1].astype(np.uint64)
+        h = np.stack([np.full(n, 7 << 60, np.uint64), own], axis=1).ravel()
+        return h, np.repeat(np.arange(n), 2), np.tile([0, 1], n)
+
+    texts = spark.createDataFrame([(chr(33 + i // 90) + chr(33 + i % 90) + "text",) for i in range(4000)], "text string").repartition(8)
+    texts = repeats.texts_of(texts, "text")
+    hot = repeats.dealt_out(texts, sample, 6).where(F.col("bucket") == 7 << 2).select("h").collect()
+    assert sum(np.count_nonzero(np.frombuffer(r.h, np.uint64) == 7 << 60) for r in hot) <= 8
+    found = repeats.ties(texts, sample, 0.1).collect()
+    assert len(found) == 4000 and all(r.places == [0] for r in found)
