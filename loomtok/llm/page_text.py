@@ -9,8 +9,9 @@ region's blocks, without the elements that are never content, are the text.
 
 ``fit`` takes as labelled pages those that mark their content by ``article``
 or ``main``, at most ``max_pages`` of them (those whose ``xxhash64(key)``
-come first); their tokens are counted on the executors and a few hundred
-weights reach the driver.  Without any labelled page, ``PLAIN`` weights
+come first); their tokens are counted on the executors, and each feature that
+``LEAST_TOKENS`` of them have gets a weight: a few hundred for the elements of
+HTML, up to three more for each other element name in frequent use.  Without any labelled page, ``PLAIN`` weights
 hold.  ``extract`` adds ``text`` in one narrow pass.  Null and empty pages
 and pages without content give the empty string.  Malformed pages (unclosed
 or stray tags, cut ends) are read as browsers read them in the main points:
@@ -223,7 +224,7 @@ def fit(pages: DataFrame, key: str = "page_id", html_col: str = "html", max_page
     each = sample.mapInArrow(run, "name string, inside boolean, n long").groupBy("name").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("yes"), F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("no"))
     weights = {}
-    for r in each.where(F.col("yes") + F.col("no") >= LEAST_TOKENS).orderBy(F.desc(F.col("yes") + F.col("no")), "name").limit(5000).collect():
+    for r in each.where(F.col("yes") + F.col("no") >= LEAST_TOKENS).collect():
         odds = math.log((r.yes + 1) / (r.no + 1))
         weights[r.name] = min(odds, -0.05) if r.name.startswith("tag ") else odds
     return weights

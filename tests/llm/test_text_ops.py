@@ -156,6 +156,13 @@ def test_page_text(spark):
     assert page_text.main_text("<div><a>x</a><p>" + "plain words here " * 9 + "</p></div>", {}).startswith("plain words")
 
 
+def test_page_text_weighs_every_frequent_feature(spark):
+    n = page_text.LEAST_TOKENS
+    page = "<article><p>words of the story</p></article>" + "".join(f"<x-{i} />" * (n if i < 5200 else n - 1) for i in range(5201))
+    weights = page_text.fit(spark.createDataFrame([(1, page)], "page_id long, html string"))
+    assert {f"tag out x-{i}" for i in range(5200)} <= weights.keys() and "tag out x-5200" not in weights
+
+
 def test_best_region_is_the_maximum():
     rng = random.Random(8)
     for _ in range(40):
