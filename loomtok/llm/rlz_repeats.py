@@ -1,19 +1,16 @@
-"""Substring dedup by relative Lempel-Ziv parsing over words.
+"""Substring dedup by an anchored join of window fingerprints over words.
 
-The texts are factored against one another.  The reference is cut into
-blocks: a block holds every window of ``length`` words whose anchor (the
+This isn't a relative Lempel-Ziv parse: no text is parsed against a
+reference, and no factor has a source.  A block holds every window of ``length`` words whose anchor (the
 smallest hash of ``SEED`` words in the window, the same for equal windows) is
 the same, from all texts, indexed by fingerprint.  Only anchors that occur
 at two places make a block.
 
-In each block the runs of windows of each text are parsed greedily: at a
-window that the index holds from another place a factor begins; it grows
-word by word as long as the next window is in the index too, and is written
-as start and number of windows.  A factor so spans ``length`` words or more.
-Where a factor ends, the parse goes on at the next window and not behind the
-factor's last word, so a repeat across the border of two factors, or of two
-blocks, is not missed.  A text's factors of all blocks are its duplicate
-spans.
+In each block every window whose fingerprint another place has as well is
+marked, and neighbouring marks of a text are joined to runs, written as start
+and number of windows.  The windows of one run may match different texts.
+All windows are judged, so a repeat across the border of two blocks is not
+missed.  A text's runs of all blocks are its duplicate spans.
 
 Memory is bounded by a slice of rows, a bucket of anchors or
 ``repeats.CROWD`` runs of a block; the windows of larger blocks are grouped
