@@ -6,9 +6,10 @@ block, and only as far as that needs:
 
 1.  Cover sample.  Places whose remainder by the period v lies in a
     difference cover D are sampled; for any two places some shift below v
-    takes both into the sample.  Sample suffixes get their rank class at
-    depth K = length - v + 1: fingerprints are dealt out to buckets and
-    sorted one bucket at a time.  Two suffixes that tie over ``length``
+    takes both into the sample.  Of sample suffixes it is found whether they
+    tie with another one at depth K = length - v + 1: fingerprints are dealt
+    out to buckets and sorted one bucket at a time.  No rank is kept, the
+    cover is only a filter.  Two suffixes that tie over ``length``
     bytes hold, at one shift, two sample suffixes that tie at depth K, so
     every suffix without a tied sample in reach is settled here.
 2.  Blocks.  The rest, runs of suffixes around tied samples, goes to blocks
