@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtok.llm import (bpe_prefix, cover_repeats, dart_minhash, decontaminate, hdc_langid, kmeans_tree, line_spread, nbsvm,
-                         page_text, rlz_repeats)
+                         negatives, ordered, page_text, rlz_repeats, scaled_sketch, turn_repair)
 from loomtok.llm.shared import whole_texts
 
 
@@ -88,6 +88,51 @@ def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.remove_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0, k=5, least=80)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, without their ends, repeated or given to the
+    user, by a checksum of ``conv_id:turn``; nulls count as one space."""
+    space = F.lit(" ")
+    named = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    own = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(named) % 20).alias("_h"))
+    h = F.col("_h")
+    own = own.where(h != 0).withColumns({
+        "text": F.when(h == 1, "").when(h == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")),
+        "role": F.when(h == 4, "user").otherwise(F.col("role"))})
+    return own.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(h == 3, 2).otherwise(1)))).drop("_h", "_copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    found = turn_repair.summary(turn_repair.repair(damaged(turns)))
+    found = found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+    every = found.unionByName(turns.select("conv_id").distinct(), allowMissingColumns=True)
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    held = every.groupBy("conv_id").agg(*[F.max(c).alias(c) for c in found.columns if c != "conv_id"])
+    return held.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.withColumn("_key", F.concat(ordered.long_key(F.col("doc_id")), ordered.hash_key(F.col("text"))))
+    dealt = scaled_sketch.add_sketch(ordered.with_next(keyed, "_key"))
+    order = Window.partitionBy("_range").orderBy("_guest", "_key")
+    both = dealt.withColumns({"_next": F.lead("text").over(order), "_near": F.lead("sketch").over(order)}).where(~F.col("_guest"))
+    n, spare = F.length("text"), F.floor(F.length("text") / 4).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), n - spare), F.substr("_next", F.lit(1), spare))
+    both = scaled_sketch.add_sketch(both.withColumn("_edited", edited), "_edited", "_changed")
+    own, changed, near = map(F.col, ("sketch", "_changed", "_near"))
+    return both.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
+                       F.array_join(own, ",").alias("fingerprint"), F.array_join(changed, ",").alias("edited_fingerprint"),
+                       scaled_sketch.likeness(own, changed).alias("near_edited"), scaled_sketch.likeness(own, near).alias("near_next"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_langid": op2_langid,
@@ -99,6 +144,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_line_spread": op10_line_spread,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 

@@ -92,11 +92,11 @@ def test_run_gives_the_last_stage(spark, stages):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11)) and "pipeline" in names
-    assert {"op6_decontaminate", "op10_line_spread"} <= set(__spark_entry__.oracle_sql())
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14)) and "pipeline" in names
+    assert {"op6_decontaminate", "op10_line_spread", "op11_hard_negatives", "op12_turn_repair", "op13_fingerprints"} <= set(__spark_entry__.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op6_decontaminate", "op10_line_spread"])
+@pytest.mark.parametrize("name", ["op6_decontaminate", "op10_line_spread", "op11_hard_negatives", "op12_turn_repair", "op13_fingerprints"])
 def test_oracle(spark, name):
     import glob
     import os
@@ -118,8 +118,13 @@ def test_oracle(spark, name):
 @pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES))
 def test_each_query_has_its_rows(spark, name):
     out = queries.QUERIES[name](spark, SF)
-    table = {"op5_page_text": "pages", "op9_neighbours": "embeddings"}.get(name, "documents")
+    table = {"op5_page_text": "pages", "op9_neighbours": "embeddings", "op11_hard_negatives": "embeddings", "op12_turn_repair": "conversations"}.get(name, "documents")
     n = queries.read(spark, SF, table).count()
+    if name == "op11_hard_negatives":
+        n = out.dropDuplicates(["anchor_id", "positive_id", "rank"]).count()
+        assert n > 0
+    if name == "op12_turn_repair":
+        n = queries.read(spark, SF, table).select("conv_id").distinct().count()
     if name == "op9_neighbours":
         n = queries.read(spark, SF, table).where(F.col("vec_id") % 20 == 0).count() * min(20, n - 1)
     assert out.count() == n
