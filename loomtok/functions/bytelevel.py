@@ -100,22 +100,3 @@ def symbol_ids(symbols, n_special: int) -> Column:
     chars = F.split(col(symbols), "")
     return F.transform(F.filter(chars, lambda ch: F.length(ch) > 0),
                        lambda ch: symbol_id(F.ascii(ch), n_special))
-
-
-def ids_to_word(ids) -> Column:
-    """Bracketed id list '[87][75]': the merge state of one piece.  A merge
-    (a, b) -> n is then the literal replace '[a][b]' -> '[n]'."""
-    return F.concat(F.lit("["), F.array_join(F.transform(col(ids), lambda i: i.cast("string")), "]["),
-                    F.lit("]"))
-
-
-def word_to_ids(w) -> Column:
-    """Inverse of :func:`ids_to_word`."""
-    w = col(w)
-    inner = F.substring(w, F.lit(2), F.length(w) - 2)
-    return F.transform(F.split(inner, r"\]\["), lambda s: s.cast("int"))
-
-
-def word_len(w) -> Column:
-    """Number of symbols in a bracketed word."""
-    return F.length(col(w)) - F.length(F.replace(col(w), F.lit("["), F.lit("")))

@@ -190,21 +190,3 @@ def nfkc_alignment(text: str, specials: list[str]) -> tuple[list[int], list[int]
         ends += e_
         base += len(seg)
     return starts, ends
-
-
-def nfkc_alignment_udf(specials: list[str]):
-    """Arrow UDF: text -> struct<s: array<int>, e: array<int>>."""
-    def run(texts: pd.Series) -> pd.DataFrame:
-        ss, es = [], []
-        for t in texts:
-            if t is None:
-                ss.append(None)
-                es.append(None)
-            else:
-                a, b = nfkc_alignment(t, specials)
-                ss.append(a)
-                es.append(b)
-        return pd.DataFrame({"s": ss, "e": es})
-    schema = T.StructType([T.StructField("s", T.ArrayType(T.IntegerType())),
-                           T.StructField("e", T.ArrayType(T.IntegerType()))])
-    return F.pandas_udf(run, schema)

@@ -11,15 +11,21 @@ Order: ``ord``, nulls last, then a hash of the article's title and raw text;
 articles equal in both are interchangeable, and as many of them are kept as
 fit.  Rows and counters come from one and the same cut.
 
-Only as much is cleaned as the budget needs: ranges of ``ord`` are taken from
-the raw lengths, the first ones are cleaned and summed, and the prefix grows
-until the limit is crossed.  The running sum within the prefix is the
-two-level one of ``ordering``.
+``ord`` is cut into ranges, which are looked at from the first on: one, then
+as many as the bytes found so far say, until the limit is crossed.  Pages that
+need cleaning are cleaned range by range, each once, and written with their
+byte sizes to the shared folder; sums, cut and result read what was written.
+Only the look that crosses the limit needs running sums, the two-level ones of
+``ordering``; those before it are kept whole.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +33,7 @@ from pyspark.sql import functions as F
 from loomtok.functions.text import byte_len, char_len
 from loomtok.operators.clean import clean_pages, validity_reason
 from loomtok.operators.ordering import bucket_count, bucket_splits, prefix_sum_before
+from loomtok.session import ensure_checkpoint_dir
 
 # Licence notes written into the manifests.
 LICENSE_NOTE_XML = ("Wikipedia text is licensed CC BY-SA 4.0. Redistribution of this corpus or "
@@ -36,6 +43,8 @@ LICENSE_NOTE_ARTICLES = ("Wikipedia text is licensed CC BY-SA 4.0. Redistributio
                          "and share-alike compliance. See https://creativecommons.org/licenses/by-sa/4.0/")
 
 MIB = 1024 * 1024
+#: Ranges of ``ord`` at least.
+LOOKS = 64
 
 
 def block(title, body):
@@ -53,66 +62,72 @@ def limit_bytes(size_limit_mb: float) -> int:
     return int(size_limit_mb * MIB)
 
 
-def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int | None = None,
-                  estimate: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int | None = None, order: DataFrame | None = None,
+                  written: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """rows: ord, valid (bool), n_bytes (0 when invalid), and payload; ``tie``
-    if it is there orders rows of one ``ord``.  ``estimate``: ord and
-    raw_bytes, cheap to compute and about what the blocks will come to; it
-    only decides how far the first look goes.  Returns (kept rows, one-row
-    counters)."""
+    if it is there orders rows of one ``ord``.  ``order``: the rows' ``ord``,
+    where that is cheaper to read than ``rows``.  ``written`` is called once
+    for the rows of each look, in order, and gives them back as they are to be
+    read from then on.  Returns (kept rows, one-row counters)."""
     lim, spark = max(limit, 1), rows.sparkSession
     if "tie" not in rows.columns:
         rows = rows.withColumn("tie", F.lit(0).cast("bigint"))
-    for end in _prefixes(rows, lim, estimate):
-        # nulls come last, so only the whole has them
-        prefix = rows if end is None else rows.where(F.col("ord") <= F.lit(end))
-        index = prefix.select("ord", "tie", "valid", F.col("n_bytes").cast("bigint").alias("n_bytes"))
-        dense = index.groupBy("ord", "tie").agg(
-            F.count(F.when(F.col("valid"), 1)).alias("n_valid"), F.count(F.when(~F.col("valid"), 1)).alias("n_invalid"),
-            F.coalesce(F.max("n_bytes"), F.lit(0)).alias("each"))
-        dense = dense.withColumn("total", F.col("n_valid") * F.col("each"))
-        pre = prefix_sum_before(dense, "ord", "total", "pre", n_buckets, tie="tie")
-        seen = pre.where(F.col("pre") < lim)
-        stats = seen.agg(F.sum("n_valid").alias("valid"), F.sum("n_invalid").alias("invalid"), F.sum("total").alias("bytes"),
-                         F.max(F.struct(F.col("ord").isNull().alias("last"), "ord", "tie", "n_valid", "n_invalid", "each", "pre")).alias("end")).first()
-        if (stats.bytes or 0) >= lim or end is None:
+    order = (rows if order is None else order).select("ord")
+    ends = bucket_splits(order, "ord", max(LOOKS, bucket_count(rows, order.count())))
+    n_valid, n_invalid, n_bytes, looked, since = 0, 0, 0, [], 0
+    while True:
+        # the ranges looked at so far are [0, since); the last one has all beyond the last end, nulls too
+        if not since:
+            upto = 1
+        else:
+            guess = -(-since * (lim - n_bytes) * 9 // (n_bytes * 8)) if n_bytes else since
+            upto = min(since + max(guess, 1), len(ends) + 1)
+        place = F.col("ord") > F.lit(ends[since - 1]) if since else F.lit(True)
+        here = rows.where(place & (F.col("ord") <= F.lit(ends[upto - 1]))) if upto <= len(ends) else rows.where(F.coalesce(place, F.lit(True)))
+        if written is not None:
+            here = written(here)
+            looked.append(here)
+        sums = here.agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).first()
+        if n_bytes + sums.bytes >= lim:
+            break
+        n_valid, n_invalid, n_bytes, since = n_valid + sums.valid, n_invalid + sums.invalid, n_bytes + sums.bytes, upto
+        if since > len(ends):
             break
+    if written is not None:
+        rows = reduce(DataFrame.unionByName, looked)
     kept = rows.where("valid")
-    valid, invalid, n_bytes = stats.valid or 0, stats.invalid or 0, stats.bytes or 0
-    if n_bytes >= lim:
-        # the last article seen crosses; of several equal ones as many stay as fit
-        e = stats.end
-        more = -(-(lim - e.pre) // e.each)
-        valid, n_bytes = valid - e.n_valid + more, e.pre + more * e.each
-        same = F.col("ord").eqNullSafe(F.lit(e.ord).cast(rows.schema["ord"].dataType))
-        # the bound on ord alone reaches the scan
-        kept = kept if e.ord is None else kept.where(F.col("ord") <= F.lit(e.ord))
-        if more == e.n_valid:
-            kept = kept.where(~same | (F.col("tie") <= F.lit(e.tie)))
-        else:
-            last = kept.where(same & (F.col("tie") == F.lit(e.tie))).limit(more)
-            kept = kept.where(~same | (F.col("tie") < F.lit(e.tie))).unionByName(last)
-    counters = spark.createDataFrame([(int(valid), int(invalid), int(n_bytes))],
+    if since <= len(ends):
+        valid, invalid, n_bytes, kept = _cut_within(here, rows, lim, n_bytes, n_buckets)
+        n_valid, n_invalid = n_valid + valid, n_invalid + invalid
+    counters = spark.createDataFrame([(int(n_valid), int(n_invalid), int(n_bytes))],
                                      "articles_kept bigint, articles_skipped bigint, bytes_written bigint")
     return kept, counters
 
 
-def _prefixes(rows: DataFrame, lim: int, estimate: DataFrame | None):
-    """Ends (largest ``ord``) of growing prefixes, the last one None: all."""
-    if estimate is not None:
-        sizes = estimate.where(F.col("ord").isNotNull())
-        n = sizes.count()
-        splits = bucket_splits(sizes, "ord", max(64, bucket_count(rows, n)))
-        if splits:
-            total = dict(sizes.groupBy(F.size(F.filter(F.array(*map(F.lit, splits)), lambda x: x < F.col("ord"))).alias("b"))
-                         .agg(F.sum("raw_bytes").alias("t")).collect())
-            raw = goal = 0
-            for i, end in enumerate(splits):
-                raw += total.get(i) or 0
-                if raw >= max(goal, lim):
-                    yield end
-                    goal = 2 * raw
-    yield None
+def _cut_within(here: DataFrame, rows: DataFrame, lim: int, before: int, n_buckets: int | None) -> tuple[int, int, int, DataFrame]:
+    """The limit is crossed by the rows ``here``, ``before`` bytes come
+    earlier: valid and invalid rows of them seen, bytes in all, kept ``rows``."""
+    index = here.select("ord", "tie", "valid", F.col("n_bytes").cast("bigint").alias("n_bytes"))
+    dense = index.groupBy("ord", "tie").agg(
+        F.count_if("valid").alias("n_valid"), F.count_if(~F.col("valid")).alias("n_invalid"), F.coalesce(F.max("n_bytes"), F.lit(0)).alias("each"))
+    dense = dense.withColumn("total", F.col("n_valid") * F.col("each")).persist()
+    pre = prefix_sum_before(dense, "ord", "total", "pre", n_buckets, tie="tie").withColumn("pre", F.col("pre") + before)
+    stats = pre.where(F.col("pre") < lim).agg(
+        F.sum("n_valid").alias("valid"), F.sum("n_invalid").alias("invalid"),
+        F.max(F.struct(F.col("ord").isNull().alias("last"), "ord", "tie", "n_valid", "each", "pre")).alias("end")).first()
+    dense.unpersist()
+    # the last article seen crosses; of several equal ones as many stay as fit
+    e = stats.end
+    more = -(-(lim - e.pre) // e.each)
+    same = F.col("ord").eqNullSafe(F.lit(e.ord).cast(rows.schema["ord"].dataType))
+    # the bound on ord alone reaches the scan
+    kept = rows.where("valid") if e.ord is None else rows.where("valid").where(F.col("ord") <= F.lit(e.ord))
+    if more == e.n_valid:
+        kept = kept.where(~same | (F.col("tie") <= F.lit(e.tie)))
+    else:
+        last = kept.where(same & (F.col("tie") == F.lit(e.tie))).limit(more)
+        kept = kept.where(~same | (F.col("tie") < F.lit(e.tie))).unionByName(last)
+    return stats.valid - e.n_valid + more, stats.invalid, e.pre + more * e.each, kept
 
 
 def article_rows(articles: DataFrame, min_chars: int) -> DataFrame:
@@ -136,11 +151,8 @@ def wiki_rows(pages: DataFrame, min_chars: int) -> DataFrame:
     staged = cleaned.select("ord", "tie", "title", "reason", "body")
     valid = (F.col("reason") == "ok") & (char_len("body") >= min_chars)
     blk = block(F.col("title"), F.col("body"))
-    # one struct through a generator: a filter on ``valid`` can't be pushed
-    # below it, where it would run the cleaning a second time; one on ord can
-    row = F.struct(F.col("title").alias("title"), F.coalesce(valid, F.lit(False)).alias("valid"), F.when(valid, blk).alias("block"),
-                   F.when(valid, byte_len(blk)).otherwise(0).cast("bigint").alias("n_bytes"))
-    return staged.select("ord", "tie", F.explode(F.array(row)).alias("r")).select("ord", "tie", "r.*")
+    return staged.select("ord", "tie", "title", F.coalesce(valid, F.lit(False)).alias("valid"), F.when(valid, blk).alias("block"),
+                         F.when(valid, byte_len(blk)).otherwise(0).cast("bigint").alias("n_bytes"))
 
 
 def _manifest(counters: DataFrame, lang: str, size_limit_mb: float, output_file: str,
@@ -155,9 +167,7 @@ def _manifest(counters: DataFrame, lang: str, size_limit_mb: float, output_file:
 def extract_article_corpus(articles: DataFrame, size_limit_mb: float = 100, min_chars: int = 500,
                            lang: str = "en", output_file: str = "", source: str = "articles",
                            n_buckets: int | None = None) -> Extraction:
-    rows = article_rows(articles, min_chars)
-    raw = articles.select("ord", byte_len("text").alias("raw_bytes"))
-    kept, counters = cut_at_budget(rows, limit_bytes(size_limit_mb), n_buckets, raw)
+    kept, counters = cut_at_budget(article_rows(articles, min_chars), limit_bytes(size_limit_mb), n_buckets, articles)
     return Extraction(kept.select("ord", "title", "block", "n_bytes"),
                       _manifest(counters, lang, size_limit_mb, output_file, LICENSE_NOTE_ARTICLES, source))
 
@@ -165,9 +175,14 @@ def extract_article_corpus(articles: DataFrame, size_limit_mb: float = 100, min_
 def extract_wiki_corpus(pages: DataFrame, size_limit_mb: float = 100, min_chars: int = 500,
                         lang: str = "en", output_file: str = "",
                         n_buckets: int | None = None) -> Extraction:
-    rows = wiki_rows(pages, min_chars)
-    ok = validity_reason(F.coalesce(F.col("title"), F.lit("")), F.col("wikitext"), min_chars) == "ok"
-    raw = pages.select("ord", F.when(ok, byte_len("wikitext")).otherwise(0).alias("raw_bytes"))
-    kept, counters = cut_at_budget(rows, limit_bytes(size_limit_mb), n_buckets, raw)
+    spark = pages.sparkSession
+    folder = os.path.join(ensure_checkpoint_dir(spark), f"cleaned-{uuid.uuid4().hex}")
+
+    def written(rows: DataFrame) -> DataFrame:
+        path = os.path.join(folder, uuid.uuid4().hex)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    kept, counters = cut_at_budget(wiki_rows(pages, min_chars), limit_bytes(size_limit_mb), n_buckets, pages, written)
     return Extraction(kept.select("ord", "title", "block", "n_bytes"),
                       _manifest(counters, lang, size_limit_mb, output_file, LICENSE_NOTE_XML, None))

@@ -172,11 +172,27 @@ def clean_wikitext(c) -> Column:
     return normalize_whitespace(decode_entities(apply_steps(flat, AFTER_NESTED)))
 
 
+def _prose(texts: pd.Series) -> pd.Series:
+    """Nested markup, the steps after it and character references, one text
+    after the other."""
+    steps = [(re.compile(pattern), rf"\g<{rep}>" if isinstance(rep, int) else rep) for pattern, rep in AFTER_NESTED]
+
+    def one(text: str) -> str:
+        text = _without_nested(text, True)
+        for pattern, rep in steps:
+            text = pattern.sub(rep, text)
+        return html.unescape(text) if "&" in text else text
+
+    return texts.map(lambda t: t if t is None else one(t))
+
+
+prose_udf = F.pandas_udf(_prose, T.StringType())
+
+
 def clean_pages(df: DataFrame, text: Column, out: str) -> DataFrame:
     """``clean_wikitext`` as a column, step by step, so that no step stands
-    twice in the plan."""
-    df = df.withColumn(out, strip_nested(apply_steps(text, BEFORE_NESTED)))
-    df = df.withColumn(out, entities_udf(apply_steps(out, AFTER_NESTED)))
+    twice in the plan: texts go to Python and back once."""
+    df = df.withColumn(out, prose_udf(apply_steps(text, BEFORE_NESTED)))
     return df.withColumn(out, normalize_whitespace(out))
 
 

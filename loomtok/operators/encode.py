@@ -11,19 +11,23 @@ rank merges first, the leftmost of equal ones, as the trainer learned them.
 A piece costs O(n log n) in its bytes (a heap of candidate pairs over a
 linked list), so an unbroken run of any length is no special case.
 
+Decoding and the lookup of tokens are column expressions: the vocabulary is
+one constant array, ids are its places, and no Python runs.
+
 A null text is encoded as an empty one.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import unicodedata
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,17 +46,21 @@ COLUMNS = {"ids": T.ArrayType(T.IntegerType()), "tokens": T.ArrayType(T.StringTy
 
 
 class Encoder:
-    """A model ready for use in a task."""
+    """A model ready for use in a task, made from ``BpeModel.plain()``."""
+
+    def __init__(self, model: BpeModel | dict):
+        import regex
 
-    def __init__(self, model: BpeModel):
-        self.specials = model.special_tokens
-        self.tokens = model.tokens
+        plain = model if isinstance(model, dict) else model.plain()
+        self.specials = plain["special_tokens"]
+        self.tokens = plain["tokens"]
         self.special_ids = {s: i for i, s in enumerate(self.specials)}
-        base = {b: model.n_special + i for i, b in enumerate(ALPHABET_BYTE_ORDER)}
+        base = {b: len(self.specials) + i for i, b in enumerate(ALPHABET_BYTE_ORDER)}
         self.byte_ids = [base[b] for b in range(256)]
-        self.ranks = {(left, right): (rank, new) for rank, (left, right, new, _) in enumerate(model.merges)}
+        self.ranks = {(left, right): (rank, new) for rank, (left, right, new) in enumerate(plain["merges"].tolist())}
         alts = "|".join(re.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         self.cut = re.compile(f"({alts})").split if alts else lambda text: [text]
+        self.find = regex.compile(GPT2_SPLIT).findall
         self.kept: dict[str, tuple[list[int], list[tuple[int, int]]]] = {}
 
     def merged(self, raw: bytes) -> list[int]:
@@ -96,14 +104,11 @@ class Encoder:
 
     def pieces(self, text: str):
         """(special token's id or None, piece) in order, pieces of NFKC text."""
-        import regex
-
-        find = regex.compile(GPT2_SPLIT).findall
         for part in self.cut(text):
             if part in self.special_ids:
                 yield self.special_ids[part], part
             elif part:
-                for piece in find(part if part.isascii() else unicodedata.normalize("NFKC", part)):
+                for piece in self.find(part if part.isascii() else unicodedata.normalize("NFKC", part)):
                     yield None, piece
 
     def ids(self, text: str) -> list[int]:
@@ -135,7 +140,7 @@ def add_encoding(df: DataFrame, model: BpeModel, text_col: str = "text", names:
     (keys of ``COLUMNS``) and what they are called (default: all, as there)."""
     names = names or {c: c for c in COLUMNS}
     df = df.drop(*names.values())
-    shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_col)
+    shared, at = df.sparkSession.sparkContext.broadcast(model.plain()), df.columns.index(text_col)
 
     def run(batches):
         encoder = Encoder(shared.value)
@@ -180,7 +185,7 @@ def token_totals(df: DataFrame, model: BpeModel, text_col: str = "text", group_c
 
 def id_counts(df: DataFrame, model: BpeModel, text_col: str = "text") -> DataFrame:
     """(id, uses) over all texts, counted within each task first."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(model.plain())
 
     def run(batches):
         encoder = Encoder(shared.value)
@@ -198,53 +203,39 @@ def id_counts(df: DataFrame, model: BpeModel, text_col: str = "text") -> DataFra
 # --------------------------------------------------------------------------
 # decoding
 # --------------------------------------------------------------------------
-def _per_ids(df: DataFrame, model: BpeModel, ids_col: str, name: str, kind: T.DataType, make) -> DataFrame:
-    """``df`` with a column made of each row's known ids; unknown ids are
-    dropped, as a null array is by its null."""
-    df = df.drop(name)
-    shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(ids_col)
+def _constant(values: list[str]) -> Column:
+    """An array that Spark reads once, when it plans."""
+    return F.from_json(F.lit(json.dumps(values)), "array<string>")
 
-    def run(batches):
-        model = shared.value
-        for batch in batches:
-            for a in range(0, batch.num_rows, OUT_ROWS):
-                part = batch.slice(a, OUT_ROWS)
-                rows = [None if ids is None else [i for i in ids if i is not None and 0 <= i < len(model.tokens)]
-                        for ids in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, make(model, rows)], names=[*part.schema.names, name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+def tokens_of(ids: Column | str, model: BpeModel) -> Column:
+    """array<string>: the tokens of an array of ids.  Unknown and null ids
+    are dropped; a null array is null."""
+    found = F.transform(ids, lambda i: F.get(_constant(model.tokens), i))
+    return F.filter(found, lambda t: t.isNotNull())
+
+
+def text_of(ids: Column | str, model: BpeModel, skip_special: bool = True) -> Column:
+    """The text of an array of ids: special tokens are dropped unless
+    ``skip_special`` is False, unknown and null ids always; bytes are read as
+    UTF-8 with U+FFFD for what isn't."""
+    raw_of = dict(zip(ALPHABET, ALPHABET_BYTE_ORDER))
+    raw = [(b"" if skip_special else t.encode("utf-8")) if i < model.n_special else bytes(raw_of[c] for c in t) for i, t in enumerate(model.tokens)]
+    digits = F.transform(ids, lambda i: F.get(_constant([b.hex() for b in raw]), i))
+    return F.make_valid_utf8(F.unhex(F.array_join(digits, "")).cast("string"))
 
 
 def add_tokens(df: DataFrame, model: BpeModel, ids_col: str = "ids", name: str = "tokens") -> DataFrame:
     """The rows of ``df`` with the tokens of their ids."""
-    def make(model, rows):
-        return pa.array([None if r is None else [model.tokens[i] for i in r] for r in rows], pa.list_(pa.string()))
-    return _per_ids(df, model, ids_col, name, T.ArrayType(T.StringType()), make)
+    return df.select(*[c for c in df.columns if c != name], tokens_of(ids_col, model).alias(name))
 
 
 def add_text(df: DataFrame, model: BpeModel, ids_col: str = "ids", name: str = "text", skip_special: bool = True) -> DataFrame:
-    """The rows of ``df`` with the text of their ids: special tokens are
-    dropped unless ``skip_special`` is False, bytes are read as UTF-8 with
-    U+FFFD for what isn't."""
-    low = model.n_special if skip_special else 0
-    raw_of = dict(zip(ALPHABET, ALPHABET_BYTE_ORDER))
-    raw = [t.encode("utf-8") if i < model.n_special else bytes(raw_of[c] for c in t) for i, t in enumerate(model.tokens)]
-    shared = df.sparkSession.sparkContext.broadcast(raw)
-
-    def make(_, rows):
-        raw = shared.value
-        return pa.array([None if r is None else b"".join(raw[i] for i in r if i >= low).decode("utf-8", "replace") for r in rows], pa.string())
-    return _per_ids(df, model, ids_col, name, T.StringType(), make)
+    """The rows of ``df`` with the text of their ids."""
+    return df.select(*[c for c in df.columns if c != name], text_of(ids_col, model, skip_special).alias(name))
 
 
 def decode_documents(df: DataFrame, model: BpeModel, ids_col: str = "ids", key: str | list[str] = "doc_id",
                      skip_special: bool = True) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     return add_text(df.select(*keys, F.col(ids_col).alias("_ids")), model, "_ids", "text", skip_special).drop("_ids")
-
-
-def encode_text(spark: SparkSession, text: str, model: BpeModel) -> DataFrame:
-    """Single-request form (the API's tokenize call) on a one-row frame."""
-    df = spark.createDataFrame([(0, text)], "doc_id long, text string")
-    return encode_documents(df, model)

@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
 
 from loomtok.functions.bytelevel import ALPHABET, DEFAULT_SPECIAL_TOKENS
 
@@ -69,6 +69,12 @@ class BpeModel:
         return BpeModel(list(self.special_tokens), list(self.tokens[:n_tok]), list(keep),
                         self.vocab_size_requested, self.min_frequency)
 
+    def plain(self) -> dict:
+        """The model as lists and an array, which workers without this
+        package can read too."""
+        merges = np.array([m[:3] for m in self.merges], np.int64).reshape(-1, 3)
+        return {"special_tokens": list(self.special_tokens), "tokens": list(self.tokens), "merges": merges}
+
     # -- tables ------------------------------------------------------------
     def vocab_df(self, spark: SparkSession) -> DataFrame:
         rows = [(i, t, self.kind(i)) for i, t in enumerate(self.tokens)]
@@ -78,14 +84,6 @@ class BpeModel:
         rows = [(r, l, rr, n, f) for r, (l, rr, n, f) in enumerate(self.merges)]
         return spark.createDataFrame(rows, MERGES_SCHEMA)
 
-    def vocab_array(self, spark: SparkSession) -> Column:
-        """The id -> token array as a scalar subquery: evaluated once per
-        query, used as a constant by every row (no join, no shuffle)."""
-        return (self.vocab_df(spark)
-                .select(F.sort_array(F.collect_list(F.struct("id", "token"))).alias("v"))
-                .select(F.col("v.token"))
-                .scalar())
-
     def save(self, spark: SparkSession, path: str) -> None:
         self.vocab_df(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocab")
         self.merges_df(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/merges")

@@ -2,51 +2,72 @@
 
 State: one row per distinct piece, ``(cnt, ids array<int>)``, and one row per
 adjacent pair, ``(left_id, right_id, freq)``.  All pairs are counted once, at
-the start.  A round takes the top-k pairs by (freq desc, left_id, right_id)
-from the pair table (only those reach the driver), applies a batch of merges
-to the words that hold both ids of one of its pairs (``array_contains``,
-codegen'd; a merge (a, b) -> n is the literal replace '[a][b]' -> '[n]' in
-the bracketed form, left to right and non-overlapping, the BPE rule) and
-corrects the pair table by the difference that these words make: their pairs
-before, negative, and after.  What is exploded and shuffled in a round so
-follows the words it changes and not the corpus; the other words are only
-looked at.
-
-Exact batching: a round applies the longest prefix of the ranking in which
-no pair is *affected* by an earlier merge of the prefix.  Merging (x, y)
-changes existing counts only of pairs (y, .) and (., x) — its occurrences
-consume a y that follows x and an x that precedes y — so a pair (u, v) with
-u not a merged right symbol and v not a merged left symbol keeps its count
-and its occurrences.  Every affected pair ranks after the prefix; a pair the
-merge creates, (n, z) or (w, n), counts at most as much as the affected
-(y, z) or (w, x) and carries the new, larger id n, so it ranks after the
-prefix too (ties included).  The batch also closes after a self-pair (a, a)
-and after a merge whose string already exists (its id is reused), where
-those bounds do not hold.  So the merges equal the one-merge-at-a-time
-greedy order; ``tests/test_train.py`` checks it against a sequential trainer.
+the start.  A round holds up to ``BATCH`` merges:
+
+1. *Rank.*  The ``TOP`` first pairs by (freq desc, left_id, right_id) come to
+   the driver.  Any other pair ranks behind them, and no count of a pair of
+   known ids can rise.
+2. *Guess.*  The driver guesses the order in which the next merges will come,
+   from the exact counts and from the ``HINT_PIECES`` most frequent pieces,
+   which tell about how much a merge takes from its neighbours and what new
+   pairs it makes.
+3. *Try.*  Every task applies the guessed merges, in that order, to its pieces
+   that hold one of their pairs, and adds up what each merge changes:
+   ``(step, left_id, right_id, change)``.
+4. *Check.*  From the exact counts and changes the driver walks the greedy
+   order itself.  A merge is accepted when its pair is the first of all, it
+   was tried, and what was tried before it without being accepted doesn't
+   touch it (``_Tried.meets``): then its changes are those of the true order.
+   At the first pair that fails, the batch is cut.  The first guess is the
+   first pair of the exact ranking, so at least one merge is accepted.
+5. *Apply.*  The accepted merges change the pieces, their changes the pair
+   table; the rest of the guess is forgotten.
+
+So the merges equal the one-at-a-time greedy order whatever the guess was
+worth; ``tests/test_train.py`` checks that against a sequential trainer, with
+guesses from a few pieces too.  A merge whose string is already in the
+vocabulary uses that id again and has a round of its own.
+
+What a round costs follows the pieces that it changes: the others are looked
+at once in each step, as flat arrays.  A round's changes are summed in the
+tasks first; what reaches the driver are the changes of the ranked pairs and
+of new pairs that can come before the last of them.
 """
 
 from __future__ import annotations
 
+import heapq
 import time
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtok.functions.bytelevel import DEFAULT_SPECIAL_TOKENS, ids_to_word, word_to_ids
+from loomtok.functions.bytelevel import DEFAULT_SPECIAL_TOKENS
 from loomtok.functions.text import lines_keep_newline
 from loomtok.operators.model import BpeModel
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
 from loomtok.session import ensure_checkpoint_dir
 
+#: Merges of a round at most, ranked pairs that reach the driver, pieces that the guess is made from.
+BATCH, TOP, HINT_PIECES = 512, 4096, 20_000
+#: Entries of a task's sums; beyond that it passes them on and begins anew.
+HELD_CHANGES = 1_000_000
+
+Merge = tuple[int, int, int, int]  # left, right, new, freq
+
 
 @dataclass
 class TrainStats:
     rounds: int = 0
     seconds: float = 0.0
     distinct_pieces: int = 0
+    guessed: int = 0
+    accepted: list[int] = field(default_factory=list)
 
 
 def corpus_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -55,56 +76,262 @@ def corpus_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
     return df.select(F.explode(lines_keep_newline(text_col)).alias("line"))
 
 
-def select_batch(top: list[tuple[int, int, int]], model: BpeModel, vocab_size: int):
-    """Driver-side choice of this round's merges from the ranked candidates."""
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    batch = []
-    for left, right, freq in top:
-        if model.vocab_size >= vocab_size:
-            break
-        if left in rights or right in lefts:   # count may have changed
-            break
-        new_id, reused = model.add_token(model.tokens[left] + model.tokens[right])
-        batch.append((left, right, new_id, freq))
-        lefts.add(left)
-        rights.add(right)
-        if left == right or reused:
+# --------------------------------------------------------------------------
+# what tasks do
+# --------------------------------------------------------------------------
+def merged(word: list[int], left: int, right: int, new: int) -> list[int]:
+    """All occurrences from the left."""
+    out, i, n = [], 0, len(word)
+    while i < n:
+        if i + 1 < n and word[i] == left and word[i + 1] == right:
+            out.append(new)
+            i += 2
+        else:
+            out.append(word[i])
+            i += 1
+    return out
+
+
+def in_steps(word: list[int], steps: dict[tuple[int, int], tuple[int, int]], changed=None) -> list[int]:
+    """The word after the steps {pair: (step, new id)}, the lowest first.
+    ``changed(step, before, after)`` is called for each that it holds."""
+    last = len(steps)
+    while len(word) > 1:
+        step, pair = min((steps[p][0] if p in steps else last, p) for p in zip(word, word[1:]))
+        if step == last:
             break
-    return batch
+        after = merged(word, *pair, steps[pair][1])
+        if changed:
+            changed(step, word, after)
+        word = after
+    return word
+
+
+class Holders:
+    """Which rows of a batch of id lists hold one of the pairs."""
 
+    def __init__(self, pairs):
+        self.wanted = np.sort(np.array([left << 32 | right for left, right in pairs], np.int64))
 
-def _hit_and_merged(batch) -> tuple[Column, Column]:
-    hit, w = None, ids_to_word("ids")
-    for left, right, new_id, _ in batch:
-        c = F.array_contains("ids", left) & F.array_contains("ids", right)
-        hit = c if hit is None else (hit | c)
-        w = F.replace(w, F.lit(f"[{left}][{right}]"), F.lit(f"[{new_id}]"))
-    return hit, word_to_ids(w)
+    def rows(self, ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """rows, and the ids of all rows with where each begins."""
+        ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy().astype(np.int64))])
+        flat = ids.flatten().to_numpy().astype(np.int64)
+        keys = flat[:-1] << 32 | flat[1:]
+        spot = np.minimum(np.searchsorted(self.wanted, keys), len(self.wanted) - 1)
+        hit = self.wanted[spot] == keys
+        inner = ends[1:-1]
+        hit[inner[(inner > 0) & (inner < len(flat))] - 1] = False
+        return np.unique(np.searchsorted(ends, np.flatnonzero(hit), "right") - 1), flat, ends
 
 
-def apply_merges(words: DataFrame, batch) -> DataFrame:
-    if not batch:
+def apply_merges(words: DataFrame, batch: list[Merge]) -> DataFrame:
+    """The words after the batch; those of one symbol can take part in no
+    further pair and go."""
+    steps = {(left, right): (i, new) for i, (left, right, new, _) in enumerate(batch)}
+    if not steps:
         return words
-    hit, merged = _hit_and_merged(batch)
-    # words reduced to one symbol can take part in no further pair
-    return words.select("cnt", F.when(hit, merged).otherwise(F.col("ids")).alias("ids")).where(F.size("ids") >= 2)
 
+    def run(batches):
+        holders = Holders(steps)
+        for batch in batches:
+            rows, flat, ends = holders.rows(batch.column(1))
+            parts, at = [], 0
+            lengths = np.diff(ends)
+            for i in rows:
+                parts += [flat[at:ends[i]], after := in_steps(flat[ends[i]:ends[i + 1]].tolist(), steps)]
+                lengths[i], at = len(after), ends[i + 1]
+            flat = np.concatenate([*parts, flat[at:]]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["cnt", "ids"]).filter(pa.array(lengths >= 2))
+
+    return words.mapInArrow(run, "cnt long, ids array<int>")
+
+
+def tried(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
+    """(step, left_id, right_id, change) that the merges (left, right, new)
+    make one after the other, counted in each task first."""
+    steps = {(left, right): (i, new) for i, (left, right, new) in enumerate(batch)}
+
+    def run(batches):
+        sums: dict[tuple[int, int, int], int] = defaultdict(int)
+
+        def out() -> pa.RecordBatch:
+            keys = np.array(list(sums), np.int32).reshape(-1, 3)
+            return pa.RecordBatch.from_arrays([*(pa.array(keys[:, i]) for i in range(3)), pa.array(list(sums.values()), pa.int64())],
+                                              names=["step", "left_id", "right_id", "change"])
+
+        holders = Holders(steps)
+        for batch in batches:
+            counts = batch.column(0).to_numpy()
+            rows, flat, ends = holders.rows(batch.column(1))
+            for i in rows:
+                n = int(counts[i])
 
-def update_pairs(pairs: DataFrame, words: DataFrame, batch) -> DataFrame:
-    """The pair table after ``batch``; ``words`` are those before it."""
-    hit, merged = _hit_and_merged(batch)
-    both = words.where(hit).select("cnt", "ids", merged.alias("merged"))
-    before = both.select((-F.col("cnt")).alias("cnt"), "ids")
-    after = both.select("cnt", F.col("merged").alias("ids")).where(F.size("ids") >= 2)
-    changed = pairs.unionByName(pair_counts(before.unionByName(after)))
-    return changed.groupBy("left_id", "right_id").agg(F.sum("freq").cast("bigint").alias("freq")).where(F.col("freq") > 0)
+                def changed(step: int, before: list[int], after: list[int], n: int = n) -> None:
+                    own: dict[tuple[int, int], int] = defaultdict(int)
+                    for p in zip(before, before[1:]):
+                        own[p] -= n
+                    for p in zip(after, after[1:]):
+                        own[p] += n
+                    for (left, right), x in own.items():
+                        if x:
+                            sums[step, left, right] += x
+
+                in_steps(flat[ends[i]:ends[i + 1]].tolist(), steps, changed)
+            if len(sums) > HELD_CHANGES:
+                yield out()
+                sums.clear()
+        yield out()
+
+    rows = words.mapInArrow(run, "step int, left_id int, right_id int, change long")
+    return rows.groupBy("step", "left_id", "right_id").agg(F.sum("change").cast("long").alias("change"))
+
+
+def update_pairs(pairs: DataFrame, changes: DataFrame, ids: list[int], known: int, accepted: list[int]) -> DataFrame:
+    """The pair table after the accepted steps; the tried ids from ``known``
+    on are called ``ids`` now."""
+    now = F.array(*map(F.lit, ids)) if ids else F.array().cast("array<int>")
+    named = lambda c: F.when(F.col(c) < known, F.col(c)).otherwise(F.get(now, F.col(c) - known)).cast("int").alias(c)
+    own = changes.where(F.col("step").isin(accepted)).select(named("left_id"), named("right_id"), F.col("change").alias("freq"))
+    both = pairs.unionByName(own).groupBy("left_id", "right_id")
+    return both.agg(F.sum("freq").cast("bigint").alias("freq")).where(F.col("freq") > 0)
+
+
+# --------------------------------------------------------------------------
+# what the driver does
+# --------------------------------------------------------------------------
+class Guess:
+    """The order in which merges will probably come, from some pieces."""
+
+    def __init__(self, pieces: list[tuple[list[int], int]]):
+        self.words, self.counts = [w for w, _ in pieces], [c for _, c in pieces]
+
+    def batch(self, ranked: list[tuple[int, int, int]], model: BpeModel, most: int, least: int) -> list[tuple[int, int, int]]:
+        """(left, right, new) with ids to come from ``model.vocab_size`` on;
+        pairs of fewer than ``least`` are left out."""
+        words, held, where = list(self.words), defaultdict(int), defaultdict(set)
+        for i, w in enumerate(words):
+            for p in zip(w, w[1:]):
+                held[p] += self.counts[i]
+                where[p].add(i)
+        # pieces stand for the rest: what a count in them is worth
+        worth = {(left, right): n / held[left, right] for left, right, n in ranked if held.get((left, right))}
+        queue = [(-n, left, right) for left, right, n in ranked]
+        heapq.heapify(queue)
+        exact = {(left, right): n for left, right, n in ranked}
+        known, tokens = model.vocab_size, dict(enumerate(model.tokens))
+        made, out = set(), []
+        value = lambda p: held[p] * worth[p] if p in worth else exact.get(p, 0)
+        while queue and len(out) < most:
+            n, left, right = heapq.heappop(queue)
+            now = value((left, right))
+            if now < -n * (1 - 1e-9):
+                if now >= least:
+                    heapq.heappush(queue, (-now, left, right))
+                continue
+            text = tokens[left] + tokens[right]
+            if model.token_id(text) is not None or text in made:
+                if not out:  # an id that is used again: alone
+                    out.append((left, right, model.token_id(text)))
+                break
+            new = known + len(out)
+            tokens[new] = text
+            made.add(text)
+            out.append((left, right, new))
+            rate = now / held[left, right] if held.get((left, right)) else 1.0
+            fresh = set()
+            for i in list(where.get((left, right), ())):
+                before, words[i] = words[i], merged(words[i], left, right, new)
+                for p in zip(before, before[1:]):
+                    held[p] -= self.counts[i]
+                for p in zip(words[i], words[i][1:]):
+                    held[p] += self.counts[i]
+                    if new in p:
+                        where[p].add(i)
+                        fresh.add(p)
+            for p in fresh:
+                worth[p] = rate
+                if value(p) >= least:
+                    heapq.heappush(queue, (-value(p), *p))
+            exact[left, right] = 0
+            worth.pop((left, right), None)
+        return out
+
+    def apply(self, batch: list[Merge]) -> None:
+        steps = {(left, right): (i, new) for i, (left, right, new, _) in enumerate(batch)}
+        self.words = [in_steps(w, steps) if any(p in steps for p in zip(w, w[1:])) else w for w in self.words]
+
+
+class Tried:
+    """A batch with the exact changes that its merges make."""
+
+    def __init__(self, batch: list[tuple[int, int, int]], known: int, ranked: list[tuple[int, int, int]], last: tuple[int, float, float], changes: DataFrame):
+        """``last``: the place (-freq, left, right) in the ranking up to which all pairs are in ``ranked``."""
+        self.batch, self.known, self.last = batch, known, last
+        self.count = {(left, right): n for left, right, n in ranked}
+        spark = changes.sparkSession
+        # a new pair gains in one step only, that of its later id
+        grown = [tuple(r) for r in changes.where(F.col("change") >= -last[0]).collect()]
+        listed = spark.createDataFrame(list({*self.count, *((left, right) for _, left, right, _ in grown)}), "left_id int, right_id int")
+        lost = changes.where("change < 0").join(F.broadcast(listed), ["left_id", "right_id"], "left_semi")
+        self.changes: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for step, left, right, n in [*grown, *(tuple(r) for r in lost.select("step", "left_id", "right_id", "change").collect())]:
+            self.changes[step].append((left, right, n))
+        own = F.explode(F.array("left_id", "right_id")).alias("id")
+        beside = changes.where(f"left_id >= {known} OR right_id >= {known}").select("step", own).where((F.col("id") >= known) & (F.col("id") != F.col("step") + known))
+        self.beside = {(r.step, r.id - known) for r in beside.distinct().collect()}
+
+    def meets(self, early: int, late: int) -> bool:
+        """Whether ``late`` would change otherwise without ``early`` before
+        it: they share a symbol, or stand side by side somewhere."""
+        (a, b, _), (c, d, _) = self.batch[early], self.batch[late]
+        return b == c or d == a or (late, early) in self.beside
+
+    def accept(self, model: BpeModel, vocab_size: int) -> tuple[list[Merge], list[int], list[int]]:
+        """The merges in greedy order, their steps, and by step the true id (-1: not accepted)."""
+        known, ids = self.known, [-1] * len(self.batch)
+        true = lambda i: i if i < known else ids[i - known]
+        step_of = {(left, right): i for i, (left, right, _) in enumerate(self.batch)}
+        tried_id = {}
+        queue = [(-n, *p) for p, n in self.count.items()]
+        heapq.heapify(queue)
+        merges, steps, open_ = [], [], set(range(len(self.batch)))
+        while queue and model.vocab_size < vocab_size:
+            n, left, right = queue[0]
+            now = self.count[left, right]
+            if -n != now:
+                heapq.heappop(queue)
+                if now > 0:
+                    heapq.heappush(queue, (-now, left, right))
+                continue
+            if queue[0] > self.last:
+                break  # an unknown pair may come first
+            step = step_of.get((tried_id.get(left, left), tried_id.get(right, right)))
+            if step is None or any(i < step and self.meets(i, step) for i in open_):
+                break
+            new, _ = model.add_token(model.tokens[left] + model.tokens[right])
+            if self.batch[step][2] >= known:
+                ids[step] = new
+                tried_id[new] = known + step
+            merges.append((left, right, new, now))
+            steps.append(step)
+            open_.discard(step)
+            for a, b, x in self.changes[step]:
+                pair = true(a), true(b)
+                before = self.count.get(pair, 0)
+                self.count[pair] = before + x
+                if x > 0:
+                    heapq.heappush(queue, (-self.count[pair], *pair))
+            if self.batch[step][2] < known:
+                break  # counts of pairs with an id used again aren't all known
+        return merges, steps, ids
 
 
 def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
               special_tokens: list[str] | None = None, line_col: str = "line",
-              top_k: int = 256, checkpoint_every: int = 4, normalize: bool = True,
-              stats: TrainStats | None = None) -> BpeModel:
+              batch: int | None = None, top: int | None = None, hint_pieces: int | None = None, checkpoint_every: int = 4,
+              normalize: bool = True, stats: TrainStats | None = None) -> BpeModel:
     """Learn merges until the vocabulary holds ``vocab_size`` entries or no
     pair reaches ``min_frequency``.  Ids: special tokens, the 256 byte
     symbols by code point, then merges in creation order.
@@ -116,46 +343,60 @@ def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
     dropped, which grows without bound (and exhausts the driver heap) if
     never cut."""
     t0 = time.perf_counter()
+    batch, top, hint_pieces = batch or BATCH, top or TOP, HINT_PIECES if hint_pieces is None else hint_pieces
     specials = list(DEFAULT_SPECIAL_TOKENS if special_tokens is None else special_tokens)
     model = BpeModel(specials, vocab_size_requested=vocab_size, min_frequency=min_frequency)
     stats = stats if stats is not None else TrainStats()
 
-    ensure_checkpoint_dir(lines.sparkSession)
+    spark = lines.sparkSession
+    ensure_checkpoint_dir(spark)
     pc = piece_counts(lines, line_col, normalize=normalize)
-    words = words_from_pieces(pc, model.n_special).persist(StorageLevel.MEMORY_AND_DISK)
+    # a number of partitions of their own: small rows, much work for each
+    words = words_from_pieces(pc, model.n_special).repartition(max(spark.sparkContext.defaultParallelism, lines.rdd.getNumPartitions()))
+    words = words.persist(StorageLevel.MEMORY_AND_DISK)
     stats.distinct_pieces = words.count()
     pairs = pair_counts(words).persist(StorageLevel.MEMORY_AND_DISK)
-    # held: pair tables to drop; spent: word tables that later ones are made of until the next checkpoint
+    guess = None
+    # held: tables to drop once the next ones are there; spent: those that later ones are made of until the next checkpoint
     rounds, held, spent = 0, [], []
     while model.vocab_size < vocab_size:
-        ranked = (pairs.where(F.col("freq") >= min_frequency)
-                  .orderBy(F.desc("freq"), "left_id", "right_id").limit(top_k).collect())
+        first = pairs.where(F.col("freq") >= min_frequency).orderBy(F.desc("freq"), "left_id", "right_id").limit(top + 1).collect()
         # ``pairs`` is materialized now, and with it all it came from
         for df in held:
             df.unpersist()
         held = []
-        batch = select_batch([(r.left_id, r.right_id, r.freq) for r in ranked], model, vocab_size)
-        if not batch:
+        if not first:
             break
-        model.merges.extend(batch)
+        ranked = [(r.left_id, r.right_id, r.freq) for r in first[:top]]
+        if guess is None:
+            some = words.orderBy(F.desc("cnt"), "ids").limit(hint_pieces).collect() if hint_pieces else []
+            guess = Guess([(r.ids, r.cnt) for r in some])
+        known = model.vocab_size
+        # all pairs of the wanted frequency, or the ranking's first ones
+        last = (-min_frequency, float("inf"), float("inf")) if len(first) <= top else (-ranked[-1][2], *ranked[-1][:2])
+        guessed = guess.batch(ranked, model, min(batch, vocab_size - known), -last[0])
+        changes = tried(words, guessed).persist(StorageLevel.MEMORY_AND_DISK)
+        merges, steps, ids = Tried(guessed, known, ranked, last, changes).accept(model, vocab_size)
+        model.merges.extend(merges)
+        stats.guessed += len(guessed)
+        stats.accepted.append(len(merges))
         rounds += 1
         if model.vocab_size >= vocab_size:
+            held.append(changes)
             break
-        next_words, next_pairs = apply_merges(words, batch), update_pairs(pairs, words, batch)
+        guess.apply(merges)
+        next_words, next_pairs = apply_merges(words, merges), update_pairs(pairs, changes, ids, known, steps)
         if rounds % checkpoint_every == 0:
             next_words, next_pairs = next_words.checkpoint(eager=True), next_pairs.checkpoint(eager=True)
-            words.unpersist()
-            pairs.unpersist()
+            for df in (words, pairs, changes, *spent):
+                df.unpersist()
+            spent = []
         else:
             next_words = next_words.persist(StorageLevel.MEMORY_AND_DISK)
             next_pairs = next_pairs.persist(StorageLevel.MEMORY_AND_DISK)
-            held = [pairs]
+            held = [pairs, changes]
             spent.append(words)
         words, pairs = next_words, next_pairs
-        if rounds % checkpoint_every == 0:
-            for df in spent:
-                df.unpersist()
-            spent = []
     for df in (*held, *spent, words, pairs):
         df.unpersist()
     stats.rounds = rounds

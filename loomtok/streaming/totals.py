@@ -27,7 +27,7 @@ from loomtok.session import ensure_checkpoint_dir
 
 def token_count_udf(model: BpeModel):
     """Arrow UDF text -> number of tokens; the model ships in a broadcast."""
-    shared = SparkSession.active().sparkContext.broadcast(model)
+    shared = SparkSession.active().sparkContext.broadcast(model.plain())
 
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(shared.value)

@@ -74,13 +74,23 @@ def test_budget_with_null_and_equal_ord(spark):
 
 
 def test_early_looks_find_the_same_cut(spark):
-    rows = [(i, i % 5, i % 7 > 0, 11 if i % 7 else 0) for i in range(900)]
-    df = spark.createDataFrame(rows, "ord long, tie long, valid boolean, n_bytes long")
-    for factor in (0, 1, 30):  # estimates that are too small, right and too large
-        raw = df.select("ord", (F.col("n_bytes") * factor).alias("raw_bytes"))
+    """Rows of even and of very uneven size, so that the guess of how many
+    ranges to look at is right, too small and too large."""
+    for size in (lambda i: 11, lambda i: 1 if i < 700 else 500, lambda i: 500 if i < 200 else 1):
+        rows = [(i, i % 5, i % 7 > 0, size(i) if i % 7 else 0) for i in range(900)]
+        df = spark.createDataFrame(rows, "ord long, tie long, valid boolean, n_bytes long")
+        looks = []
+
+        def written(part):
+            looks.append(sorted(r.ord for r in part.collect()))
+            return part
         for limit in (1, 300, 5000, 10 ** 6):
-            a, b = budget.cut_at_budget(df, limit), budget.cut_at_budget(df, limit, estimate=raw)
+            looks.clear()
+            a, b = budget.cut_at_budget(df, limit), budget.cut_at_budget(df, limit, order=df.select("ord"), written=written)
+            kept, skipped, n_bytes = _python_budget([(o, v, n) for o, _, v, n in rows], limit)
             assert a[1].collect() == b[1].collect() and sorted(a[0].collect()) == sorted(b[0].collect())
+            assert sorted(r.ord for r in b[0].collect()) == kept and tuple(b[1].first()) == (len(kept), skipped, n_bytes)
+            assert [x for look in looks for x in look] == list(range(len([x for look in looks for x in look])))  # in order, each row once
 
 
 def test_nested_markup_of_any_depth(spark):

@@ -23,17 +23,18 @@ def test_budget_prefix_pushed_and_pruned(spark):
 
 
 def test_cleaning_chain_evaluated_once(spark):
-    """Each cleaning step stands once in the plan that returns the corpus."""
+    """Texts go to Python once, and what is returned was written before."""
+    from loomtok.operators.budget import wiki_rows
+    p = _plan(wiki_rows(wiki_pages(spark, SF01), 500))
+    assert p.count("ArrowEvalPython") == 1
     p = _plan(extract_wiki_corpus(wiki_pages(spark, SF01), 0.25, 500).corpus)
-    assert p.count("ArrowEvalPython") == 2 and p.count("'{2,5}") <= 2
+    assert "Python" not in p and "LessThanOrEqual(ord," in p
 
 
-def test_pages_past_the_limit_are_not_cleaned(spark, tmp_path):
-    """The plan of the kept rows reads no further than the budget, and a
-    counter in the cleaning step shows how far the first looks went."""
+def _cleaned(spark, pages, mb, monkeypatch):
+    """The extraction, and how many texts went through the cleaning in all."""
     from loomtok.operators import budget, clean
     acc = spark.sparkContext.accumulator(0)
-    pages = wiki_pages(spark, SF01)
 
     def counting(df, text, out, real=clean.clean_pages):
         from pyspark.sql import functions as F
@@ -44,13 +45,22 @@ def test_pages_past_the_limit_are_not_cleaned(spark, tmp_path):
             return x
         return real(df, F.udf(count, T.StringType())(text), out)
 
-    budget.clean_pages, old = counting, budget.clean_pages
-    try:
-        ex = budget.extract_wiki_corpus(pages, 0.1, 500)
-        kept = ex.manifest.first().articles_kept
-    finally:
-        budget.clean_pages = old
-    assert 0 < kept < 100 and acc.value < pages.count() / 2
+    monkeypatch.setattr(budget, "clean_pages", counting)
+    ex = budget.extract_wiki_corpus(pages, mb, 500)
+    return ex.corpus.collect(), ex.manifest.first(), acc.value
+
+
+def test_pages_past_the_limit_are_not_cleaned(spark, monkeypatch):
+    pages = wiki_pages(spark, SF01)
+    rows, manifest, cleaned = _cleaned(spark, pages, 0.1, monkeypatch)
+    assert 0 < manifest.articles_kept == len(rows) < 100 and cleaned < pages.count() / 2
+
+
+def test_each_page_is_cleaned_once(spark, monkeypatch):
+    """Rows, counters and all looks together, the budget reached or not."""
+    pages = wiki_pages(spark, SF01)
+    assert _cleaned(spark, pages, 100.0, monkeypatch)[2] == pages.count()
+    assert _cleaned(spark, pages, 0.9, monkeypatch)[2] <= pages.count()
 
 
 def test_queries_release_what_they_cache(spark):

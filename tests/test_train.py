@@ -1,9 +1,10 @@
 """Exact BPE training: fixture corpora and batched == one-at-a-time."""
 import random
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
-from loomtok.operators.train import train_bpe, train_on_texts
+from loomtok.operators.train import TrainStats, train_bpe, train_on_texts
 
 
 def _merge_strings(model):
@@ -103,17 +104,69 @@ def test_batched_equals_sequential_on_documents(spark):
 
 
 def test_pair_table_equals_a_recount(spark):
-    """After each batch the corrected pair table is that of the new words."""
+    """After each batch the corrected pair table is that of the new words,
+    steps that were tried but not accepted among them."""
     from conftest import SF001
     from loomtok.operators.model import BpeModel
     from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
-    from loomtok.operators.train import apply_merges, corpus_lines, select_batch, update_pairs
+    from loomtok.operators.train import Guess, Tried, apply_merges, corpus_lines, tried, update_pairs
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(30)
     words = words_from_pieces(piece_counts(corpus_lines(docs), "line"), 4).persist()
-    model, pairs = BpeModel(), pair_counts(words)
-    for _ in range(3):
-        top = pairs.orderBy(pairs.freq.desc(), "left_id", "right_id").limit(50).collect()
-        batch = select_batch([tuple(r) for r in top], model, 10 ** 6)
-        pairs = update_pairs(pairs, words, batch).persist()
-        words = apply_merges(words, batch).persist()
+    model, pairs, cut = BpeModel(), pair_counts(words), 0
+    guess = Guess([(r.ids, r.cnt) for r in words.orderBy(words.cnt.desc(), "ids").limit(40).collect()])
+    for _ in range(4):
+        top = [tuple(r) for r in pairs.orderBy(pairs.freq.desc(), "left_id", "right_id").limit(50).collect()]
+        known, last = model.vocab_size, (-top[-1][2], *top[-1][:2])
+        batch = guess.batch(top, model, 30, top[-1][2])
+        changes = tried(words, batch)
+        merges, steps, ids = Tried(batch, known, top, last, changes).accept(model, 10 ** 6)
+        assert merges and merges[0][:2] == top[0][:2]
+        cut += len(batch) - len(merges)
+        guess.apply(merges)
+        pairs = update_pairs(pairs, changes, ids, known, steps).persist()
+        words = apply_merges(words, merges).persist()
         assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, pair_counts(words).collect()))
+    assert cut > 0
+
+
+@pytest.mark.parametrize("hints, top, batch", [(0, 20, 50), (3, 200, 64), (60, 4096, 512), (100_000, 4096, 512)])
+def test_any_guess_gives_the_greedy_order(spark, hints, top, batch):
+    """Few pieces to guess from, few ranked pairs: the same merges in more rounds."""
+    from conftest import SF001
+    texts = [r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").orderBy("doc_id").limit(25).collect()]
+    stats = TrainStats()
+    m = train_on_texts(spark.createDataFrame([(t,) for t in texts], "text string"), 260 + 120, hint_pieces=hints, top=top, batch=batch, stats=stats)
+    assert m.merges == reference_bpe(texts, 260 + 120)
+    assert sum(stats.accepted) == 120 and min(stats.accepted) >= 1 and stats.rounds == len(stats.accepted)
+    if hints == 100_000:
+        assert stats.rounds <= 3
+
+
+def test_long_runs_and_ids_used_again(spark):
+    """Self pairs, nested repeats, strings that two merges make."""
+    texts = ["aaaaaaaaaaaa aaaa aaa\n", "abcabcabc bcab abca abcd bcda\n", "abab baba ababab\n", "aabb abb aab\n"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for vocab in (260 + 5, 260 + 25, 260 + 200):
+        m = train_on_texts(df, vocab)
+        assert m.merges == reference_bpe(texts, vocab)
+
+
+def test_2000_merges_equal_a_sequential_trainer(spark):
+    """The public library, in its own order of merges, on the same lines."""
+    tokenizers = pytest.importorskip("tokenizers")
+    from conftest import SF001
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text")
+    stats = TrainStats()
+    m = train_on_texts(docs, 260 + 2000, stats=stats)
+    lib = tokenizers.Tokenizer(tokenizers.models.BPE())
+    lib.normalizer = tokenizers.normalizers.NFKC()
+    lib.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=False)
+    lines = [line for r in docs.collect() for line in r.text.splitlines(keepends=True)]
+    lib.train_from_iterator(lines, tokenizers.trainers.BpeTrainer(
+        vocab_size=260 + 2000, min_frequency=2, special_tokens=m.special_tokens, show_progress=False,
+        initial_alphabet=tokenizers.pre_tokenizers.ByteLevel.alphabet()))
+    import json
+    found = json.loads(lib.to_str())["model"]
+    assert [[m.tokens[a], m.tokens[b]] for a, b, _, _ in m.merges] == [list(x) for x in found["merges"]]
+    assert {t: i for i, t in enumerate(m.tokens)} == found["vocab"]
+    assert len(m.merges) == 2000 and stats.rounds < 60
