@@ -35,7 +35,7 @@ from loomtok.streaming.totals import stream_token_totals  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-MERGES = int(os.environ.get("BENCH_MERGES", "300"))
+MERGES = int(os.environ.get("BENCH_MERGES", "2000"))
 BUDGET_MB = float(os.environ.get("BENCH_BUDGET_MB", "16"))
 
 

@@ -2,7 +2,8 @@
 
 State: one row per distinct piece, ``(cnt, ids array<int>)``, and one row per
 adjacent pair, ``(left_id, right_id, freq)``.  All pairs are counted once, at
-the start.  A round holds up to ``BATCH`` merges:
+the start.  A round holds up to ``BATCH`` merges, about twice as many as the
+round before had accepted:
 
 1. *Rank.*  The ``TOP`` first pairs by (freq desc, left_id, right_id) come to
    the driver.  Any other pair ranks behind them, and no count of a pair of
@@ -31,7 +32,7 @@ vocabulary uses that id again and has a round of its own.
 What a round costs follows the pieces that it changes: the others are looked
 at once in each step, as flat arrays.  A round's changes are summed in the
 tasks first; what reaches the driver are the changes of the ranked pairs and
-of new pairs that can come before the last of them.
+of pairs with a tried id.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ from loomtok.operators.model import BpeModel
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
 from loomtok.session import ensure_checkpoint_dir
 
-#: Merges of a round at most, ranked pairs that reach the driver, pieces that the guess is made from.
-BATCH, TOP, HINT_PIECES = 512, 4096, 20_000
+#: Merges of a round at most, and at least if there are so many; ranked pairs that reach the driver; pieces that the guess is made from.
+BATCH, LEAST_BATCH, TOP, HINT_PIECES = 512, 32, 4096, 20_000
 #: Entries of a task's sums; beyond that it passes them on and begins anew.
 HELD_CHANGES = 1_000_000
 
@@ -148,18 +149,21 @@ def apply_merges(words: DataFrame, batch: list[Merge]) -> DataFrame:
     return words.mapInArrow(run, "cnt long, ids array<int>")
 
 
-def tried(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
-    """(step, left_id, right_id, change) that the merges (left, right, new)
-    make one after the other, counted in each task first."""
+def tried(words: DataFrame, batch: list[tuple[int, int, int]], ranked: list[tuple[int, int, int]], known: int) -> DataFrame:
+    """(step, left_id, right_id, change, told) that the merges (left, right,
+    new) make one after the other, counted in each task first; ``told``: of a
+    ranked pair or one with an id from ``known`` on."""
     steps = {(left, right): (i, new) for i, (left, right, new) in enumerate(batch)}
+    listed = {(left, right) for left, right, _ in ranked}
 
     def run(batches):
         sums: dict[tuple[int, int, int], int] = defaultdict(int)
 
         def out() -> pa.RecordBatch:
             keys = np.array(list(sums), np.int32).reshape(-1, 3)
-            return pa.RecordBatch.from_arrays([*(pa.array(keys[:, i]) for i in range(3)), pa.array(list(sums.values()), pa.int64())],
-                                              names=["step", "left_id", "right_id", "change"])
+            told = [left >= known or right >= known or (left, right) in listed for _, left, right in sums]
+            return pa.RecordBatch.from_arrays([*(pa.array(keys[:, i]) for i in range(3)), pa.array(list(sums.values()), pa.int64()), pa.array(told, pa.bool_())],
+                                              names=["step", "left_id", "right_id", "change", "told"])
 
         holders = Holders(steps)
         for batch in batches:
@@ -184,8 +188,8 @@ def tried(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
                 sums.clear()
         yield out()
 
-    rows = words.mapInArrow(run, "step int, left_id int, right_id int, change long")
-    return rows.groupBy("step", "left_id", "right_id").agg(F.sum("change").cast("long").alias("change"))
+    rows = words.mapInArrow(run, "step int, left_id int, right_id int, change long, told boolean")
+    return rows.groupBy("step", "left_id", "right_id", "told").agg(F.sum("change").cast("long").alias("change"))
 
 
 def update_pairs(pairs: DataFrame, changes: DataFrame, ids: list[int], known: int, accepted: list[int]) -> DataFrame:
@@ -270,17 +274,13 @@ class Tried:
         """``last``: the place (-freq, left, right) in the ranking up to which all pairs are in ``ranked``."""
         self.batch, self.known, self.last = batch, known, last
         self.count = {(left, right): n for left, right, n in ranked}
-        spark = changes.sparkSession
-        # a new pair gains in one step only, that of its later id
-        grown = [tuple(r) for r in changes.where(F.col("change") >= -last[0]).collect()]
-        listed = spark.createDataFrame(list({*self.count, *((left, right) for _, left, right, _ in grown)}), "left_id int, right_id int")
-        lost = changes.where("change < 0").join(F.broadcast(listed), ["left_id", "right_id"], "left_semi")
         self.changes: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for step, left, right, n in [*grown, *(tuple(r) for r in lost.select("step", "left_id", "right_id", "change").collect())]:
+        self.beside: set[tuple[int, int]] = set()
+        # a new pair gains in one step only, that of its later id
+        for r in changes.where("told").select("step", "left_id", "right_id", "change").toArrow().to_pylist():
+            step, left, right, n = r.values()
             self.changes[step].append((left, right, n))
-        own = F.explode(F.array("left_id", "right_id")).alias("id")
-        beside = changes.where(f"left_id >= {known} OR right_id >= {known}").select("step", own).where((F.col("id") >= known) & (F.col("id") != F.col("step") + known))
-        self.beside = {(r.step, r.id - known) for r in beside.distinct().collect()}
+            self.beside.update((step, i - known) for i in (left, right) if i >= known and i != step + known)
 
     def meets(self, early: int, late: int) -> bool:
         """Whether ``late`` would change otherwise without ``early`` before
@@ -330,7 +330,7 @@ class Tried:
 
 def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
               special_tokens: list[str] | None = None, line_col: str = "line",
-              batch: int | None = None, top: int | None = None, hint_pieces: int | None = None, checkpoint_every: int = 4,
+              batch: int | None = None, top: int | None = None, hint_pieces: int | None = None, checkpoint_every: int = 8,
               normalize: bool = True, stats: TrainStats | None = None) -> BpeModel:
     """Learn merges until the vocabulary holds ``vocab_size`` entries or no
     pair reaches ``min_frequency``.  Ids: special tokens, the 256 byte
@@ -356,7 +356,7 @@ def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     stats.distinct_pieces = words.count()
     pairs = pair_counts(words).persist(StorageLevel.MEMORY_AND_DISK)
-    guess = None
+    guess, size = None, 2 * LEAST_BATCH
     # held: tables to drop once the next ones are there; spent: those that later ones are made of until the next checkpoint
     rounds, held, spent = 0, [], []
     while model.vocab_size < vocab_size:
@@ -374,12 +374,13 @@ def train_bpe(lines: DataFrame, vocab_size: int, min_frequency: int = 2,
         known = model.vocab_size
         # all pairs of the wanted frequency, or the ranking's first ones
         last = (-min_frequency, float("inf"), float("inf")) if len(first) <= top else (-ranked[-1][2], *ranked[-1][:2])
-        guessed = guess.batch(ranked, model, min(batch, vocab_size - known), -last[0])
-        changes = tried(words, guessed).persist(StorageLevel.MEMORY_AND_DISK)
+        guessed = guess.batch(ranked, model, min(size, batch, vocab_size - known), -last[0])
+        changes = tried(words, guessed, ranked, known).persist(StorageLevel.MEMORY_AND_DISK)
         merges, steps, ids = Tried(guessed, known, ranked, last, changes).accept(model, vocab_size)
         model.merges.extend(merges)
         stats.guessed += len(guessed)
         stats.accepted.append(len(merges))
+        size = max(LEAST_BATCH, 2 * len(merges))
         rounds += 1
         if model.vocab_size >= vocab_size:
             held.append(changes)

@@ -1,7 +1,8 @@
 """Shared trained models for the registered queries.
 
-A model is small driver-side data (bounded by vocab_size); it is trained
-once per (data dir, merges) and reused by every query in the process.
+A model is small driver-side data (bounded by vocab_size); it is trained once
+for each state of the documents (their files, sizes and times), number of
+merges and frequency, and reused by every query in the process.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from loomtok.operators.model import BpeModel
 from loomtok.operators.train import train_on_texts
 from loomtok.sources.tables import table
 
-QUERY_MERGES = 12       # the model every encode/eval query uses
-BASELINE_MERGES = 4     # the comparison model (its first merges)
-_CACHE: dict[tuple[str, int, int], BpeModel] = {}
+TRAIN_MERGES = 2000     # the model of train_bpe
+QUERY_MERGES = 512      # the model every encode/eval query uses
+BASELINE_MERGES = 64    # the comparison model (its first merges)
+SPECIAL_MERGES = 64     # the model with special tokens of its own
+_CACHE: dict[tuple, BpeModel] = {}
 
 
 def vocab_for(merges: int) -> int:
@@ -24,8 +27,9 @@ def vocab_for(merges: int) -> int:
 
 def documents_model(spark: SparkSession, sf_dir: str, merges: int = QUERY_MERGES,
                     min_frequency: int = 2) -> BpeModel:
-    key = (sf_dir, merges, min_frequency)
+    docs = table(spark, sf_dir, "documents")
+    files = table(spark, sf_dir, "documents", balance=False).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    key = (frozenset(map(tuple, files.distinct().collect())), merges, min_frequency)
     if key not in _CACHE:
-        docs = table(spark, sf_dir, "documents").select("text")
-        _CACHE[key] = train_on_texts(docs, vocab_for(merges), min_frequency=min_frequency)
+        _CACHE[key] = train_on_texts(docs.select("text"), vocab_for(merges), min_frequency=min_frequency)
     return _CACHE[key]

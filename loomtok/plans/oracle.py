@@ -4,10 +4,11 @@ Generated from the same fixed values and regex lists the Spark operators
 use, so both sides state one contract.  Differences between the dialects
 are handled here: RE2 has no look-ahead, so the pre-tokenizer splits a
 whitespace run before its last character by inserting chr(1) markers first
-(and excludes chr(1) from the symbol class); training is unrolled into one
-CTE step per merge (one merge per step, no batching — an independent check
-of the batched Spark loop); the piece encoder is the same literal replace
-chain, fed by the merges of the CTE model.
+(and excludes chr(1) from the symbol class); training is a recursive CTE with
+one merge a step, all pairs counted anew each time (an independent check of
+the batched Spark loop); pieces are encoded by another one, the merge of
+lowest rank first.  In both a token is one character, chr(0x4E00 + id), and a
+merge replaces two of them by one.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from loomtok.functions.bytelevel import CONTINUATION_CLASS, DEFAULT_SPECIAL_TOKE
 from loomtok.functions.text import WS
 from loomtok.operators import budget
 from loomtok.operators.clean import DISAMBIG_MARK, NAMESPACE_PREFIXES, REDIRECT_MARK
-from loomtok.plans.models import BASELINE_MERGES, QUERY_MERGES
+from loomtok.plans.models import BASELINE_MERGES, QUERY_MERGES, SPECIAL_MERGES, TRAIN_MERGES
 
 N_SPECIAL = len(DEFAULT_SPECIAL_TOKENS)
 BASE = N_SPECIAL + 256
@@ -96,14 +97,6 @@ def bytes_of(e: str) -> str:
     return f"list_transform(regexp_extract_all(hex(encode({e})), '..'), lambda h: ('0x' || h)::INTEGER)"
 
 
-def word(e: str) -> str:
-    return f"('[' || array_to_string(list_transform({bytes_of(e)}, lambda b: {byte_id('b')}), '][') || ']')"
-
-
-def parse_word(e: str) -> str:
-    return f"list_transform(string_split(substr({e}, 2, length({e}) - 2), ']['), lambda x: CAST(x AS INTEGER))"
-
-
 def symbols(e: str) -> str:
     return f"array_to_string(list_transform({bytes_of(e)}, lambda b: chr(CAST({sym_cp('b')} AS INTEGER))), '')"
 
@@ -229,63 +222,68 @@ def wiki_rows_sql() -> str:
 # ---------------------------------------------------------------------------
 # training (unrolled) and encoding
 # ---------------------------------------------------------------------------
-def _pairs(wcte: str) -> str:
-    return (f"SELECT ids[i] AS left_id, ids[i + 1] AS right_id, CAST(sum(cnt) AS BIGINT) AS freq FROM "
-            f"(SELECT cnt, ids, unnest(range(1, len(ids))) AS i FROM (SELECT cnt, {parse_word('w')} AS ids FROM {wcte})) "
-            f"GROUP BY ALL")
-
-
 def piece_counts_sql() -> str:
     return (f"SELECT piece, CAST(count(*) AS BIGINT) AS cnt FROM (SELECT unnest({pretok('line')}) AS piece FROM "
             f"(SELECT unnest({lines('text')}) AS line FROM documents)) GROUP BY piece")
 
 
+FIRST = 0x4E00
+
+
+def char_of(i: str) -> str:
+    return f"chr(CAST({FIRST} + ({i}) AS INTEGER))"
+
+
+def word_chars(piece: str) -> str:
+    return f"array_to_string(list_transform({bytes_of(piece)}, lambda b: {char_of(byte_id('b'))}), '')"
+
+
+def ids_of(w: str) -> str:
+    return f"list_transform(string_split({w}, ''), lambda c: unicode(c) - {FIRST})"
+
+
 def model_ctes(n_merges: int = QUERY_MERGES, min_frequency: int = 2) -> str:
-    """CTEs pc, w0, v0, n1..nK (merge k: left_id, right_id, freq, tok,
-    new_id), v1..vK, w1..wK, merges, vocab."""
+    """CTEs up to merges (rank, left_id, right_id, new_id, freq, pair, new)
+    and vocab.  ``st`` holds words (kind 0, positive keys), tokens with the
+    byte tokens they stand for (kind 1) and merges (kind 2)."""
     specials = " UNION ALL ".join(f"SELECT {i} AS id, {s(t)} AS token" for i, t in enumerate(DEFAULT_SPECIAL_TOKENS))
-    out = [f"pc AS ({piece_counts_sql()})",
-           f"w0 AS (SELECT cnt, {word('piece')} AS w FROM pc WHERE strlen(piece) >= 2)",
-           f"v0 AS ({specials} UNION ALL SELECT {byte_id('b')} AS id, chr(CAST({sym_cp('b')} AS INTEGER)) AS token "
-           f"FROM range(256) t(b))"]
-    for k in range(1, n_merges + 1):
-        p = k - 1
-        out.append(f"m{k} AS (SELECT left_id, right_id, freq FROM ({_pairs(f'w{p}')}) WHERE freq >= {min_frequency} "
-                   f"ORDER BY freq DESC, left_id, right_id LIMIT 1)")
-        out.append(f"t{k} AS (SELECT left_id, right_id, freq, (SELECT token FROM v{p} WHERE id = m{k}.left_id) || "
-                   f"(SELECT token FROM v{p} WHERE id = m{k}.right_id) AS tok FROM m{k})")
-        out.append(f"n{k} AS (SELECT left_id, right_id, freq, tok, COALESCE((SELECT min(id) FROM v{p} WHERE token = t{k}.tok), "
-                   f"(SELECT count(*) FROM v{p})) AS new_id FROM t{k})")
-        out.append(f"v{k} AS (SELECT id, token FROM v{p} UNION ALL SELECT new_id, tok FROM n{k} "
-                   f"WHERE new_id = (SELECT count(*) FROM v{p}))")
-        out.append(f"w{k} AS (SELECT cnt, {merge_step('w', k)} AS w FROM w{p} WHERE strpos(w, '][') > 0)")
-    merges = " UNION ALL ".join(
-        f"SELECT {k - 1} AS rank, left_id, right_id, new_id, freq FROM n{k}" for k in range(1, n_merges + 1))
-    out.append(f"merges AS ({merges})")
-    out.append(f"vocab AS (SELECT id, token, CASE WHEN id < {N_SPECIAL} THEN 'special' WHEN id < {BASE} THEN 'byte' "
-               f"ELSE 'merge' END AS kind FROM v{n_merges})")
-    out.append("vm AS (SELECT map(list(id), list(token)) AS m FROM vocab)")
-    return ",\n".join(out)
-
-
-def merge_step(e: str, k: int) -> str:
-    pat = f"COALESCE((SELECT '[' || CAST(left_id AS VARCHAR) || '][' || CAST(right_id AS VARCHAR) || ']' FROM n{k}), '#')"
-    rep = f"COALESCE((SELECT '[' || CAST(new_id AS VARCHAR) || ']' FROM n{k}), '#')"
-    return f"replace({e}, {pat}, {rep})"
-
-
-def chain(e: str, n: int) -> str:
-    x = e
-    for k in range(1, n + 1):
-        x = merge_step(x, k)
-    return x
+    symbol = f"chr(CAST({sym_cp('b')} AS INTEGER))"
+    return f"""pc AS ({piece_counts_sql()}),
+w0 AS MATERIALIZED (SELECT row_number() OVER () AS k, cnt, {word_chars('piece')} AS w FROM pc WHERE strlen(piece) >= 2),
+bytes AS (SELECT {byte_id('b')} AS id, {symbol} AS token FROM range(256) t(b)),
+st(k, kind, step, cnt, w) USING KEY (k) AS (
+  SELECT k, 0, 0, CAST(cnt AS BIGINT), w FROM w0
+  UNION ALL SELECT -1 - id, 1, 0, CAST(id AS BIGINT), {char_of('id')} FROM bytes
+  UNION ALL
+  (WITH best AS MATERIALIZED (
+     SELECT p, CAST(sum(cnt) AS BIGINT) AS f
+     FROM (SELECT cnt, unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS p FROM recurring.st WHERE kind = 0)
+     GROUP BY p HAVING sum(cnt) >= {min_frequency} ORDER BY f DESC, p LIMIT 1),
+   parts AS (SELECT count(*) + {N_SPECIAL} AS n FROM recurring.st WHERE kind = 1),
+   now AS MATERIALIZED (
+     SELECT best.p, best.f, (SELECT max(step) + 1 FROM st) AS step, n, l.w || r.w AS text
+     FROM best, parts, recurring.st AS l, recurring.st AS r
+     WHERE l.kind = 1 AND r.kind = 1 AND l.cnt = unicode(best.p[1]) - {FIRST} AND r.cnt = unicode(best.p[2]) - {FIRST} AND n < {BASE + n_merges}),
+   made AS MATERIALIZED (SELECT *, coalesce((SELECT min(x.cnt) FROM recurring.st AS x WHERE x.kind = 1 AND x.w = now.text), n) AS id FROM now)
+   SELECT x.k, 0, made.step, x.cnt, replace(x.w, made.p, {char_of('made.id')}) FROM recurring.st AS x, made WHERE x.kind = 0 AND contains(x.w, made.p)
+   UNION ALL SELECT -1 - id, 1, step, id, text FROM made WHERE id = n
+   UNION ALL SELECT -10000000 - step, 2, step, f, p || {char_of('id')} FROM made)),
+trained AS MATERIALIZED (SELECT kind, step, cnt, w FROM st WHERE kind > 0),
+merges AS MATERIALIZED (
+  SELECT step - 1 AS rank, unicode(w[1]) - {FIRST} AS left_id, unicode(w[2]) - {FIRST} AS right_id, unicode(w[3]) - {FIRST} AS new_id, cnt AS freq,
+         w[1:2] AS pair, w[3] AS new FROM trained WHERE kind = 2),
+vocab AS MATERIALIZED (
+  SELECT id, token, CASE WHEN id < {N_SPECIAL} THEN 'special' WHEN id < {BASE} THEN 'byte' ELSE 'merge' END AS kind FROM (
+    {specials} UNION ALL SELECT CAST(t.cnt AS BIGINT) AS id, string_agg(b.token, '' ORDER BY t.i) AS token
+    FROM (SELECT cnt, unnest({ids_of('w')}) AS b, generate_subscripts({ids_of('w')}, 1) AS i FROM trained WHERE kind = 1) AS t JOIN bytes AS b ON b.id = t.b GROUP BY t.cnt)),
+vm AS MATERIALIZED (SELECT map(list(id), list(token)) AS m FROM vocab)"""
 
 
 def with_model(body: str, n_merges: int = QUERY_MERGES, extra: str = "") -> str:
     ctes = model_ctes(n_merges)
     if extra:
         ctes += ",\n" + extra
-    return f"WITH {ctes}\n{body}"
+    return f"WITH RECURSIVE {ctes}\n{body}"
 
 
 def _doc_pieces(text: str = "text", src: str = "documents", key: str = "doc_id") -> str:
@@ -293,9 +291,20 @@ def _doc_pieces(text: str = "text", src: str = "documents", key: str = "doc_id")
             f"FROM (SELECT {key}, {pretok(text)} AS p FROM {src}))")
 
 
-def _enc(n: int = QUERY_MERGES, name: str = "enc") -> str:
-    return (f"{name} AS (SELECT piece, ids, list_transform(ids, lambda i: m[i]) AS tokens FROM "
-            f"(SELECT piece, {parse_word(chain(word('piece'), n))} AS ids FROM (SELECT DISTINCT piece FROM occ)), vm)")
+def _enc(n: int | None = None, name: str = "enc") -> str:
+    """Pieces of ``occ`` by the merges (the first ``n``)."""
+    where = f" WHERE rank < {n}" if n is not None else ""
+    return f"""{name}_m AS MATERIALIZED (SELECT pair, max(rank) AS rank, arg_max(new, rank) AS new FROM merges{where} GROUP BY pair),
+{name}_p AS MATERIALIZED (SELECT row_number() OVER () AS k, piece, {word_chars('piece')} AS w FROM (SELECT DISTINCT piece FROM occ)),
+{name}_s(k, w) USING KEY (k) AS (
+  SELECT k, w FROM {name}_p
+  UNION ALL
+  SELECT k, replace(w, one.pair, one.new) FROM (
+    SELECT x.k, any_value(x.w) AS w, min({{'rank': m.rank, 'pair': m.pair, 'new': m.new}}) AS one
+    FROM (SELECT k, w, unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS pair FROM {name}_s) AS x JOIN {name}_m AS m ON m.pair = x.pair
+    GROUP BY x.k)),
+{name} AS MATERIALIZED (
+  SELECT p.piece, {ids_of('e.w')} AS ids, list_transform({ids_of('e.w')}, lambda i: m[i]) AS tokens FROM {name}_p AS p JOIN {name}_s AS e USING (k), vm)"""
 
 
 _TOK_ROWS = (f"tok AS (SELECT doc_id, pos, tp, id, token, length(regexp_replace(token, {s(CONTINUATION_CLASS)}, '', 'g')) AS lead, "
@@ -371,8 +380,9 @@ def build() -> dict[str, str]:
                         f"FROM (SELECT doc_id, {pretok('text')} AS p FROM documents)")
     q["byte_symbols"] = f"SELECT doc_id, {symbols('text')} AS symbols FROM documents"
     q["piece_counts"] = piece_counts_sql()
-    q["pair_counts"] = (f"WITH pc AS ({piece_counts_sql()}), w0 AS (SELECT cnt, {word('piece')} AS w FROM pc "
-                        f"WHERE strlen(piece) >= 2) {_pairs('w0')}")
+    q["pair_counts"] = (f"SELECT unicode(p[1]) - {FIRST} AS left_id, unicode(p[2]) - {FIRST} AS right_id, CAST(sum(cnt) AS BIGINT) AS freq FROM "
+                        f"(SELECT cnt, unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS p FROM "
+                        f"(SELECT cnt, {word_chars('piece')} AS w FROM ({piece_counts_sql()}) WHERE strlen(piece) >= 2)) GROUP BY p")
     # cleaning / extraction
     q["page_validity"] = f"SELECT ord, {reason('title', 'wikitext')} AS reason FROM ({WIKI_PAGES})"
     tmpl = "wikitext"
@@ -392,7 +402,7 @@ def build() -> dict[str, str]:
     # training / model tables
     q["train_bpe"] = with_model("SELECT CAST(rank AS INTEGER) AS rank, CAST(left_id AS INTEGER) AS left_id, "
                                 "CAST(right_id AS INTEGER) AS right_id, CAST(new_id AS INTEGER) AS new_id, "
-                                "CAST(freq AS BIGINT) AS freq FROM merges")
+                                "CAST(freq AS BIGINT) AS freq FROM merges", TRAIN_MERGES)
     q["vocab_table"] = with_model("SELECT CAST(id AS INTEGER) AS id, token, kind FROM vocab")
     q["vocab_info"] = with_model(f"SELECT CAST(count(*) AS BIGINT) AS vocab_size, "
                                  f"{s(','.join(DEFAULT_SPECIAL_TOKENS))} AS special_tokens FROM vocab")
@@ -486,10 +496,9 @@ def build() -> dict[str, str]:
     q["report_roundtrip"] = with_model(
         "SELECT 'model' AS tokenizer_path, (SELECT count(*) FROM vocab) AS vocab_size, benchmark, total_tokens, tokens_per_word FROM metrics",
         extra=_metrics_ctes())
-    two = model_ctes(2).replace("merges AS (", "merges4 AS (")
-    q["train_special_tokens"] = (
-        f"WITH {two} SELECT CAST(rank AS INTEGER) AS rank, CAST(left_id - 1 AS INTEGER) AS left_id, CAST(right_id - 1 AS INTEGER) AS right_id, "
-        f"CAST(new_id - 1 AS INTEGER) AS new_id, CAST(freq AS BIGINT) AS freq FROM merges4")
+    q["train_special_tokens"] = with_model(
+        "SELECT CAST(rank AS INTEGER) AS rank, CAST(left_id - 1 AS INTEGER) AS left_id, CAST(right_id - 1 AS INTEGER) AS right_id, "
+        "CAST(new_id - 1 AS INTEGER) AS new_id, CAST(freq AS BIGINT) AS freq FROM merges", SPECIAL_MERGES)
     q["stream_token_totals"] = with_model(
         f"SELECT z.lang, z.num_documents, z.total_words, CAST(COALESCE(t.total_tokens, 0) AS BIGINT) AS total_tokens, "
         f"z.total_chars, z.total_bytes_utf8 FROM (SELECT lang, CAST(count(*) AS BIGINT) AS num_documents, "

@@ -20,7 +20,7 @@ from loomtok.functions.text import (byte_len, char_len, lines_keep_newline, nfkc
 from loomtok.operators import budget, clean, encode, evaluate, serving
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
 from loomtok.operators.train import corpus_lines, train_on_texts
-from loomtok.plans.models import BASELINE_MERGES, documents_model
+from loomtok.plans.models import BASELINE_MERGES, SPECIAL_MERGES, TRAIN_MERGES, documents_model
 from loomtok.session import ensure_checkpoint_dir
 from loomtok.sinks.writers import write_text
 from loomtok.sources import benchmarks, tables, xmldump
@@ -141,7 +141,7 @@ def q_scan_xml_pages(spark, d):
 
 # -- training and the model tables ---------------------------------------------
 def q_train_bpe(spark, d):
-    return documents_model(spark, d).merges_df(spark)
+    return documents_model(spark, d, TRAIN_MERGES).merges_df(spark)
 
 
 def q_vocab_table(spark, d):
@@ -286,7 +286,7 @@ def q_report_roundtrip(spark, d):
 
 def q_train_special_tokens(spark, d):
     """Merges learned with a list of special tokens of one's own."""
-    m = train_on_texts(_docs(spark, d), 3 + 256 + 2, special_tokens=["<a,b>", "<s>", "[x]"])
+    m = train_on_texts(_docs(spark, d), 3 + 256 + SPECIAL_MERGES, special_tokens=["<a,b>", "<s>", "[x]"])
     return m.merges_df(spark)
 
 

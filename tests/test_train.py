@@ -118,7 +118,7 @@ def test_pair_table_equals_a_recount(spark):
         top = [tuple(r) for r in pairs.orderBy(pairs.freq.desc(), "left_id", "right_id").limit(50).collect()]
         known, last = model.vocab_size, (-top[-1][2], *top[-1][:2])
         batch = guess.batch(top, model, 30, top[-1][2])
-        changes = tried(words, batch)
+        changes = tried(words, batch, top, known)
         merges, steps, ids = Tried(batch, known, top, last, changes).accept(model, 10 ** 6)
         assert merges and merges[0][:2] == top[0][:2]
         cut += len(batch) - len(merges)
