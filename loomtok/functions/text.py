@@ -1,7 +1,8 @@
 """Scalar text functions on Spark Columns.
 
 Everything here is a built-in expression except :func:`nfkc`, which has no
-JVM equivalent and runs as an Arrow-batched pandas UDF on non-ASCII rows only.
+JVM equivalent: the runs of characters that it may change, and only they, go
+through an Arrow-batched pandas UDF.
 """
 
 from __future__ import annotations
@@ -55,6 +56,13 @@ def nfkc_stable_pattern() -> str:
     return "^[" + "".join(runs) + "]*$"
 
 
+def unstable_run_pattern() -> str:
+    """Runs of characters that NFKC may change, with the stable one before
+    them, which they may compose with.  A stable character never changes and
+    never composes with what is before it, so each run is normalized by
+    itself and what is between the runs stays."""
+    inside = nfkc_stable_pattern()[2:-3]
+    return f"[{inside}]?[^{inside}]+"
 
 
 def col(c) -> Column:
@@ -105,23 +113,35 @@ def normalize_whitespace(c) -> Column:
     return strip_ws(x)
 
 
-def _nfkc_series(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+def _nfkc_runs(texts: pd.Series) -> pd.Series:
+    """Arrays of runs; a run is normalized once in each batch."""
+    known: dict[str, str] = {}
 
+    def one(run: str) -> str:
+        if run not in known:
+            known[run] = unicodedata.normalize("NFKC", run)
+        return known[run]
 
-_nfkc_udf = F.pandas_udf(_nfkc_series, T.StringType())
+    return texts.map(lambda runs: None if runs is None else [one(r) for r in runs])
+
+
+_nfkc_udf = F.pandas_udf(_nfkc_runs, T.ArrayType(T.StringType()))
 
 
 def nfkc(c) -> Column:
     """Unicode NFKC.  Texts made only of NFKC-stable characters below
     ``NFKC_SCAN_LIMIT`` (ASCII and most Latin, Greek and Cyrillic letters) are
-    decided in the JVM and send a null to the UDF; texts with others, curly
-    quotes and CJK among them, are normalized in Python."""
+    decided in the JVM.  Of the others, curly quotes and CJK among them, only
+    the runs of other characters go to Python; the JVM puts them back in
+    between the stable parts."""
     c = col(c)
     stable = c.rlike(ASCII_ONLY) | c.rlike(nfkc_stable_pattern())
-    return F.when(c.isNull(), F.lit(None).cast("string")) \
-        .when(stable, c) \
-        .otherwise(_nfkc_udf(F.when(~stable, c)))
+    other, run = F.when(~stable, c), unstable_run_pattern()
+    runs = _nfkc_udf(F.regexp_extract_all(other, F.lit(run), F.lit(0)))
+    # one part more than runs: before the first, between, after the last
+    pairs = F.arrays_zip(F.split(other, run).alias("part"), runs.alias("run"))
+    joined = F.array_join(F.transform(pairs, lambda p: F.concat(p["part"], F.coalesce(p["run"], F.lit("")))), "")
+    return F.when(c.isNull(), F.lit(None).cast("string")).when(stable, c).otherwise(joined)
 
 
 def _composes(a: str, b: str) -> bool:

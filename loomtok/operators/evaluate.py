@@ -1,23 +1,27 @@
 """Tokenizer evaluation over named benchmark sets.
 
-Totals per benchmark are one aggregation over the encoded rows.  Throughput is wall time of a ``noop``-sink run and is reported next
-to, never inside, the deterministic metrics.
+Totals per benchmark are one aggregation over the encoded rows.  Throughput is
+timed inside the tasks and is reported next to, never inside, the
+deterministic metrics.
 """
 
 from __future__ import annotations
 
 import time
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtok.functions.bytelevel import ALPHABET, ALPHABET_BYTE_ORDER
 from loomtok.functions.text import byte_len, char_len, has_non_ws, strip_ws, word_count
-from loomtok.operators.encode import add_encoding, decode_documents
+from loomtok.operators.encode import Encoder, add_encoding
 from loomtok.operators.model import BpeModel
 
 # Metric names of the report.
 METRIC_COLUMNS = ["benchmark", "num_documents", "total_words", "total_tokens", "total_chars",
                   "total_bytes_utf8", "tokens_per_word", "compression_ratio_bytes_per_token"]
+TIMED = ["num_documents", "total_words", "total_tokens", "total_chars", "total_bytes_utf8", "encode_seconds", "decode_seconds"]
 
 
 def ratio(a, b, digits: int = 4):
@@ -52,33 +56,43 @@ def eval_metrics(bench: DataFrame, model: BpeModel) -> DataFrame:
 
 
 def timed_report(bench: DataFrame, model: BpeModel) -> DataFrame:
-    """Metrics plus encode/decode seconds and chars/s per benchmark.
+    """Metrics plus encode/decode seconds and chars/s per benchmark, in one
+    pass over all benchmarks: tasks time their own work and sum it up, so
+    seconds are those of one core and chars/s a core's speed.
 
     Encode time covers encoding, word split and byte counting; decode time
     covers decoding only (as in the reference)."""
-    metrics = eval_metrics(bench, model).collect()
-    rows = []
-    spark = bench.sparkSession
-    for m in metrics:
-        one = bench.where(F.col("benchmark") == m.benchmark).withColumnRenamed("ord", "doc_id")
-        t0 = time.perf_counter()
-        enc = add_encoding(one, model, "text", {"ids": "ids"}).withColumns(
-            {"w": word_count("text"), "b": byte_len("text")}).persist()
-        enc.write.format("noop").mode("overwrite").save()
-        t_enc = time.perf_counter() - t0
-        t0 = time.perf_counter()
-        decode_documents(enc, model).write.format("noop").mode("overwrite").save()
-        t_dec = time.perf_counter() - t0
-        enc.unpersist()
-        chars = m.total_chars or 0
-        rows.append((*[m[c] for c in METRIC_COLUMNS], round(t_enc, 4), round(t_dec, 4),
-                     round(chars / t_enc, 1) if t_enc > 0 else None,
-                     round(chars / t_dec, 1) if t_dec > 0 else None))
-    schema = ("benchmark string, num_documents bigint, total_words bigint, total_tokens bigint, "
-              "total_chars bigint, total_bytes_utf8 bigint, tokens_per_word double, "
-              "compression_ratio_bytes_per_token double, encode_seconds double, decode_seconds double, "
-              "encode_chars_per_sec double, decode_chars_per_sec double")
-    return spark.createDataFrame(rows, schema)
+    shared = bench.sparkSession.sparkContext.broadcast(model.plain())
+    raw_of, n_special = dict(zip(ALPHABET, ALPHABET_BYTE_ORDER)), model.n_special
+
+    def run(batches):
+        encoder = Encoder(shared.value)
+        raw = [t.encode("utf-8") if i < n_special else bytes(raw_of[c] for c in t) for i, t in enumerate(encoder.tokens)]
+        sums: dict[str, list] = {}
+        for batch in batches:
+            for name, text in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                text = text or ""
+                t0 = time.perf_counter()
+                ids = encoder.ids(text)
+                words, size = len(text.split()), len(text.encode("utf-8"))
+                t1 = time.perf_counter()
+                b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
+                t2 = time.perf_counter()
+                own = sums.setdefault(name, [0, 0, 0, 0, 0, 0.0, 0.0])
+                for i, x in enumerate((1, words, len(ids), len(text), size, t1 - t0, t2 - t1)):
+                    own[i] += x
+        yield pa.RecordBatch.from_pydict(
+            {"benchmark": pa.array(list(sums), pa.string())} |
+            {c: pa.array([x[i] for x in sums.values()], pa.int64() if i < 5 else pa.float64()) for i, c in enumerate(TIMED)})
+
+    kinds = ", ".join(f"{c} {'long' if i < 5 else 'double'}" for i, c in enumerate(TIMED))
+    parts = bench.select("benchmark", "text").mapInArrow(run, f"benchmark string, {kinds}")
+    sums = parts.groupBy("benchmark").agg(*[F.sum(c).alias(c) for c in TIMED])
+    speed = lambda c: F.when(F.col(c) > 0, F.round(F.col("total_chars") / F.col(c), 1))
+    return sums.select(*METRIC_COLUMNS[:-2], ratio("total_tokens", "total_words").alias("tokens_per_word"),
+                       ratio("total_bytes_utf8", "total_tokens").alias("compression_ratio_bytes_per_token"),
+                       F.round("encode_seconds", 4).alias("encode_seconds"), F.round("decode_seconds", 4).alias("decode_seconds"),
+                       speed("encode_seconds").alias("encode_chars_per_sec"), speed("decode_seconds").alias("decode_chars_per_sec"))
 
 
 def report_json(report: DataFrame, vocab_size: int, tokenizer_path: str | None = None) -> DataFrame:
@@ -115,15 +129,42 @@ def ui_table(report: DataFrame) -> DataFrame:
     return report.select(*cells)
 
 
+def _lines(df: DataFrame, text_col: str, keys: list[str]) -> DataFrame:
+    """keys, line: the stripped lines that aren't blank."""
+    x = df.select(*keys, F.explode(F.split(F.col(text_col), "\n")).alias("line"))
+    return x.select(*keys, strip_ws("line").alias("line")).where(has_non_ws("line"))
+
+
+def benchmark_disjointness(bench: DataFrame) -> DataFrame:
+    """For each two benchmarks of ``bench``: their distinct non-blank lines,
+    how many they share, and whether they share none.
+
+    One aggregation by line says in which benchmarks it is (names, not rows,
+    are collected, and each task reduces its own first); a second one counts
+    the pairs of names.  Pairs without a shared line, and benchmarks without
+    lines, are in the result too."""
+    pair = lambda names: F.flatten(F.transform(names, lambda a: F.transform(
+        F.filter(names, lambda b: b >= a), lambda b: F.struct(a.alias("benchmark_a"), b.alias("benchmark_b")))))
+    held = _lines(bench, "text", ["benchmark"]).groupBy("line").agg(F.sort_array(F.collect_set("benchmark")).alias("names"))
+    shared = held.select(F.explode(pair("names")).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    every = bench.agg(F.sort_array(F.collect_set("benchmark")).alias("names")).select(F.explode(pair("names")).alias("p"))
+    # a few rows: the pairs of names
+    counts = every.join(F.broadcast(shared), "p", "left").select("p.*", F.coalesce("n", F.lit(0)).alias("n"))
+    own = counts.where("benchmark_a = benchmark_b").select(F.col("benchmark_a").alias("name"), F.col("n").alias("lines"))
+    out = counts.where("benchmark_a < benchmark_b")
+    for side in "ab":
+        out = out.join(F.broadcast(own.select(F.col("name").alias(f"benchmark_{side}"), F.col("lines").alias(f"lines_{side}"))), f"benchmark_{side}")
+    return out.select("benchmark_a", "benchmark_b", "lines_a", "lines_b", F.col("n").alias("shared_lines"),
+                      ratio("n", F.col("lines_a") + F.col("lines_b") - F.col("n")).alias("jaccard"), (F.col("n") == 0).alias("disjoint"))
+
+
 def benchmark_overlap(bench: DataFrame, corpus: DataFrame, corpus_text_col: str = "text",
                       max_broadcast_lines: int = 1_000_000,
                       max_broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Contamination check: share of each benchmark's non-blank lines that
     also occur as a line of the corpus.  A left-semi join on the stripped
     line; the corpus side is reduced to distinct lines first."""
-    def lines(df, col_name, keys):
-        x = df.select(*keys, F.explode(F.split(F.col(col_name), "\n")).alias("line"))
-        return x.select(*keys, strip_ws("line").alias("line")).where(has_non_ws("line"))
+    lines = _lines
     b = lines(bench, "text", ["benchmark"])
     bl = b.select("line").distinct()
     size = bl.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("line")).alias("s")).first()

@@ -507,6 +507,20 @@ def build() -> dict[str, str]:
         f"(SELECT o.doc_id AS lang, sum(len(e.ids)) AS total_tokens FROM occ o JOIN enc e USING (piece) GROUP BY o.doc_id) t "
         f"ON t.lang = z.lang",
         extra=f"occ AS (SELECT lang AS doc_id, unnest({pretok('text')}) AS piece FROM documents),\n{_enc()}")
+    q["live_token_totals"] = q["stream_token_totals"]
+    q["live_token_rows"] = with_model(
+        'SELECT doc_id, pos, CAST(id AS BIGINT) AS id, token, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end" FROM offs',
+        extra=f"{enc_ctes},\n{_TOK_ROWS}")
+    three = f"{_bench_sql()} UNION ALL {_bench_lines_sql()}"
+    q["benchmark_disjointness"] = (
+        f"WITH b AS ({three}), l AS (SELECT DISTINCT benchmark, line FROM (SELECT benchmark, {strip_ws('l')} AS line FROM "
+        f"(SELECT benchmark, unnest(string_split(text, chr(10))) AS l FROM b)) WHERE regexp_matches(line, {s(NON_WS)})), "
+        f"n AS (SELECT b.benchmark, (SELECT count(*) FROM l WHERE l.benchmark = b.benchmark) AS lines FROM (SELECT DISTINCT benchmark FROM b) AS b), "
+        f"p AS (SELECT x.benchmark AS benchmark_a, y.benchmark AS benchmark_b, x.lines AS lines_a, y.lines AS lines_b, "
+        f"(SELECT count(*) FROM (SELECT line FROM l WHERE benchmark = x.benchmark INTERSECT SELECT line FROM l WHERE benchmark = y.benchmark)) AS shared_lines "
+        f"FROM n AS x JOIN n AS y ON x.benchmark < y.benchmark) "
+        f"SELECT *, {ratio('shared_lines', 'lines_a + lines_b - shared_lines')} AS jaccard, shared_lines = 0 AS disjoint FROM p")
+    q["scan_article_snapshot"] = f"SELECT ord, title, lang, text || chr(10) || 'revised' AS text FROM ({ARTICLES}) WHERE ord % 4 <> 0 AND lang = 'en'"
     return q
 
 

@@ -25,6 +25,7 @@ from loomtok.session import ensure_checkpoint_dir
 from loomtok.sinks.writers import write_text
 from loomtok.sources import benchmarks, tables, xmldump
 from loomtok.sources.artifacts import read_report
+from loomtok.streaming.tokens import live_token_rows, live_token_totals
 from loomtok.streaming.totals import stream_token_totals
 
 BUDGET_MB = 1.0
@@ -290,6 +291,27 @@ def q_train_special_tokens(spark, d):
     return m.merges_df(spark)
 
 
+def q_live_token_rows(spark, d):
+    """The documents' files as they arrive: a row for each token."""
+    rows = live_token_rows(spark, d, documents_model(spark, d), glob="documents.parquet")
+    return rows.select("doc_id", *[F.col(c).cast("bigint") for c in ("pos", "id")], "token", *[F.col(c).cast("bigint") for c in ("start", "end")])
+
+
+def q_live_token_totals(spark, d):
+    return live_token_totals(spark, d, documents_model(spark, d), glob="documents.parquet")
+
+
+def q_benchmark_disjointness(spark, d):
+    return evaluate.benchmark_disjointness(benchmarks.bench_union(spark, d, ["prose", "dialog", "prose_lines"]))
+
+
+def q_scan_article_snapshot(spark, d):
+    """Two dated snapshots written as a partitioned table; one edition of one of them read."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"snapshots-{uuid.uuid4().hex}")
+    tables.write_snapshots(tables.dated_articles(spark, d), path)
+    return tables.article_snapshot(spark, path, "en", "20240401")
+
+
 def q_stream_token_totals(spark, d):
     return stream_token_totals(spark, d, documents_model(spark, d), glob="documents.parquet")
 
@@ -339,4 +361,8 @@ QUERIES: dict[str, Query] = {
     "report_roundtrip": q_report_roundtrip,
     "train_special_tokens": q_train_special_tokens,
     "stream_token_totals": q_stream_token_totals,
+    "live_token_rows": q_live_token_rows,
+    "live_token_totals": q_live_token_totals,
+    "benchmark_disjointness": q_benchmark_disjointness,
+    "scan_article_snapshot": q_scan_article_snapshot,
 }

@@ -45,11 +45,29 @@ def articles_by_lang(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
     return articles(spark, sf_dir).where(F.col("lang") == lang)
 
 
+SNAPSHOT_SCHEMA = "ord long, title string, text string, snapshot string, lang string"
+
+
+def write_snapshots(articles: DataFrame, path: str) -> None:
+    """Articles (ord, title, text, snapshot, lang) as a table partitioned by
+    dated snapshot and language edition; one with neither is kept apart."""
+    articles.select("ord", "title", "text", "snapshot", "lang").write.partitionBy("snapshot", "lang").parquet(path)
+
+
 def article_snapshot(spark: SparkSession, path: str, lang: str, snapshot: str) -> DataFrame:
-    """One language edition of one dated snapshot of a table of articles
-    (ord, title, lang, snapshot, text): partition filters where the table is
-    partitioned by them."""
-    return spark.read.parquet(path).where((F.col("snapshot") == snapshot) & (F.col("lang") == lang)).select("ord", "title", "lang", "text")
+    """One language edition of one dated snapshot: both are partition
+    filters, so no other edition's files are opened."""
+    table = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+    return table.where((F.col("snapshot") == snapshot) & (F.col("lang") == lang)).select("ord", "title", "lang", "text")
+
+
+def dated_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in two snapshots: some are only in one, those of the
+    later one end in a further line."""
+    own, i = articles(spark, sf_dir), F.pmod(F.col("ord"), F.lit(4))
+    early = own.where(i != 3).withColumn("snapshot", F.lit("20231101"))
+    late = own.where(i != 0).withColumns({"snapshot": F.lit("20240401"), "text": F.concat("text", F.lit("\nrevised"))})
+    return early.unionByName(late)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,16 @@
 """Encyclopedia XML dumps (``<page>`` rows, bz2 or plain).
 
-Spark's built-in XML source splits the file on ``<page>`` and streams rows
-per partition; ``ignoreSurroundingSpaces=false`` keeps the leading spaces
-and trailing newline of ``<text>``; namespaces are ignored, so any export
-version reads.  Absent title -> '', absent/empty text -> null.
+A dump is read as text that ends at each ``</page>``, so that a plain or bz2
+file is split over tasks whatever its size (Spark's XML source reads a file
+of many lines in one task); bz2 may be made of several streams.  Each
+page is then parsed by itself with ``from_xml``, which ignores namespaces, so
+any export version reads, and keeps the leading spaces and trailing newline
+of ``<text>``.  Of several revisions of a page the first counts.  Absent
+title -> '', absent/empty text -> null, absent id -> null.
+
+A page that is no well-formed XML doesn't end the scan: ``scan_pages`` gives
+it as a row with its source in ``broken`` and nothing else, ``read_pages``
+leaves it out, ``broken_pages`` counts.
 """
 
 from __future__ import annotations
@@ -12,19 +19,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_SCHEMA = ("title string, ns bigint, id bigint, "
-               "revision struct<id:bigint, text:struct<_VALUE:string, _bytes:bigint>>")
+               "revision array<struct<id:bigint, text:struct<_VALUE:string, _bytes:bigint>>>")
 # Dump root element and its export namespace.
 DUMP_ROOT = 'mediawiki xmlns="http://www.mediawiki.org/xml/export-0.11/"'
 
 
+OPTIONS = {"ignoreSurroundingSpaces": "false", "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+
+
+def scan_pages(spark: SparkSession, path: str) -> DataFrame:
+    """ord, title, wikitext, broken."""
+    text = spark.read.option("lineSep", "</page>").text(path)
+    # what stands before the first page, and after the last, is none
+    begin = F.instr("value", "<page>")
+    source = text.where(begin > 0).select(F.concat(F.substr("value", begin), F.lit("</page>")).alias("source"))
+    page = source.select(F.from_xml("source", PAGE_SCHEMA + ", _broken string", OPTIONS).alias("p"))
+    whole = F.col("p._broken").isNull()
+    return page.select(F.when(whole, F.col("p.id")).alias("ord"), F.when(whole, F.coalesce(F.col("p.title"), F.lit(""))).alias("title"),
+                       F.when(whole, F.get("p.revision", F.lit(0)).getField("text").getField("_VALUE")).alias("wikitext"),
+                       F.col("p._broken").alias("broken"))
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    raw = (spark.read.format("xml").option("rowTag", "page")
-           .option("ignoreSurroundingSpaces", "false")
-           .option("ignoreNamespace", "true")
-           .schema(PAGE_SCHEMA).load(path))
-    return raw.select(F.col("id").alias("ord"),
-                      F.coalesce(F.col("title"), F.lit("")).alias("title"),
-                      F.col("revision.text._VALUE").alias("wikitext"))
+    """ord, title, wikitext of the well-formed pages."""
+    return scan_pages(spark, path).where(F.col("broken").isNull()).drop("broken")
+
+
+def broken_pages(spark: SparkSession, path: str) -> int:
+    return scan_pages(spark, path).where(F.col("broken").isNotNull()).count()
 
 
 def write_pages(pages: DataFrame, path: str, compression: str = "bzip2") -> None:
@@ -34,6 +56,6 @@ def write_pages(pages: DataFrame, path: str, compression: str = "bzip2") -> None
                     F.coalesce(F.octet_length("wikitext"), F.lit(0)).cast("bigint").alias("_bytes"))
     rows = pages.select(
         "title", F.lit(0).cast("bigint").alias("ns"), F.col("ord").alias("id"),
-        F.struct(F.col("ord").alias("id"), text.alias("text")).alias("revision"))
+        F.array(F.struct(F.col("ord").alias("id"), text.alias("text"))).alias("revision"))
     (rows.write.mode("overwrite").format("xml").option("rootTag", DUMP_ROOT)
      .option("rowTag", "page").option("compression", compression).save(path))

@@ -165,3 +165,34 @@ def test_a_public_vocabulary_of_50k(spark):
     for r in enc.collect():
         assert r.ids == lib.encode(texts[r.doc_id], add_special_tokens=False).ids
     assert {r.doc_id: r.text for r in decode_documents(enc, model).collect()} == texts
+
+
+def test_decoding_stays_in_the_jvm(spark, toy_model):
+    df = spark.createDataFrame([(0, [1, 2])], "doc_id long, ids array<int>")
+    for out in (E.add_tokens(df, toy_model), E.add_text(df, toy_model), decode_documents(df, toy_model)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_any_ids_decode_as_python_does(spark, toy_model):
+    """Cut and overlong sequences, surrogates, unknown, negative and null ids."""
+    import random
+
+    from loomtok.functions.bytelevel import ALPHABET, ALPHABET_BYTE_ORDER
+    raw_of = dict(zip(ALPHABET, ALPHABET_BYTE_ORDER))
+    rng, n = random.Random(2), toy_model.vocab_size
+    hard = [0x80, 0xBF, 0xC0, 0xC3, 0xE0, 0xE2, 0xED, 0xA0, 0xF0, 0x9F, 0x98, 0xF4, 0x90, 0xFF, 0x41]
+    byte_id = {raw_of[t]: i for i, t in enumerate(toy_model.tokens) if len(t) == 1 and i >= 4}
+    rows = [[byte_id[rng.choice(hard)] for _ in range(rng.randint(0, 7))] for _ in range(1500)]
+    rows += [[rng.randint(-2, n + 2) if rng.random() < 0.95 else None for _ in range(rng.randint(0, 12))] for _ in range(300)] + [None, []]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, ids array<int>")
+    for skip in (True, False):
+        low = 4 if skip else 0
+        got = {r.doc_id: r.text for r in decode_documents(df, toy_model, skip_special=skip).collect()}
+        for i, ids in enumerate(rows):
+            known = None if ids is None else [x for x in ids if x is not None and low <= x < n]
+            raw = None if known is None else b"".join(toy_model.tokens[x].encode() if x < 4 else bytes(raw_of[c] for c in toy_model.tokens[x]) for x in known)
+            assert got[i] == (None if raw is None else raw.decode("utf-8", "replace")), (ids, raw)
+    tokens = {r.doc_id: r.tokens for r in E.add_tokens(df, toy_model).collect()}
+    for i, ids in enumerate(rows):
+        assert tokens[i] == (None if ids is None else [toy_model.tokens[x] for x in ids if x is not None and 0 <= x < n])

@@ -91,3 +91,42 @@ def test_article_snapshot(spark, tmp_path):
     got = article_snapshot(spark, str(tmp_path / "a"), "en", "2024-01")
     assert sorted(r.ord for r in got.collect()) == [1, 3, 5]
     assert "PartitionFilters: [isnotnull(snapshot" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_progress_is_told_while_the_write_runs(spark, tmp_path, monkeypatch):
+    """Several reports, ever larger, before the write ends; the last has all."""
+    from pyspark.sql import functions as F
+
+    from loomtok.sinks import writers
+    monkeypatch.setattr(writers, "LOOK_EVERY", 0.005)
+    rows = spark.range(0, 4000, 1, 16).select(F.col("id").alias("ord"), F.concat(F.lit("t"), "id").alias("block"))
+    slow = F.udf(lambda x: __import__("time").sleep(0.002) or x, "string")
+    corpus = rows.select("ord", F.concat(slow("block"), F.lit("\n")).alias("block"), (F.length("block") + 1).cast("long").alias("n_bytes"))
+    told = []
+    done = write_corpus_text(corpus, str(tmp_path / "c"), num_partitions=40, progress=lambda articles, size: told.append((articles, size)))
+    n_bytes = sum(len(f"t{i}") + 1 for i in range(4000))
+    assert done == {"articles": 4000, "bytes": n_bytes} and told[-1] == (4000, n_bytes)
+    assert len(told) >= 3 and told == sorted(set(told)) and 0 < told[0][0] < 4000
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted((tmp_path / "c").glob("part-*")))
+    assert text == "".join(f"t{i}\n" for i in range(4000))
+
+
+def test_timed_report_in_one_pass(spark, toy_model):
+    """The deterministic part equals the metrics; speeds follow from the
+    seconds; one job, nothing cached."""
+    from pyspark.sql import functions as F
+    rows = [("a", 1, "aaaaaaa bcbc"), ("a", 2, "one two"), ("b", 1, "\u00e9\u00e9 <s> x"), ("b", 2, None), ("c", 1, "")]
+    bench = spark.createDataFrame(rows, "benchmark string, ord long, text string")
+    cached = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    spark.sparkContext.setJobGroup("timed", "timed")
+    got = evaluate.timed_report(bench, toy_model).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("timed"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 2 and spark.sparkContext._jsc.sc().getPersistentRDDs().size() == cached  # AQE runs a shuffle's map side as a job of its own
+    plain = evaluate.eval_metrics(bench.fillna("", "text"), toy_model)
+    assert sorted(tuple(r)[:8] for r in got) == sorted(map(tuple, plain.collect()))
+    for r in got:
+        assert r.encode_seconds >= 0 and r.decode_seconds >= 0
+        if r.encode_seconds >= 0.001:
+            assert abs(r.encode_chars_per_sec - r.total_chars / r.encode_seconds) <= 0.1 * r.encode_chars_per_sec
+    assert all(r.encode_chars_per_sec > 0 and r.decode_chars_per_sec > 0 for r in got if r.total_chars)

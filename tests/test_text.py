@@ -81,3 +81,21 @@ def test_nfkc_fast_path_is_exact(spark):
     # a stable letter followed by a combining mark is not stable as a text
     assert df.sparkSession.createDataFrame([("é",)], "t string") \
         .where(F.col("t").rlike(nfkc_stable_pattern())).count() == 0
+
+
+def test_nfkc_of_runs_equals_whole_texts(spark):
+    """Runs at the borders, compositions with the letter before, Hangul,
+    reordered marks, expansions, astral characters."""
+    import random
+    rng = random.Random(4)
+    pool = list("ab z\u00e9\u00df\u0416\u03b1") + ["\u0301", "\u0323", "\u0327", "\ufb01", "\u00b2", "\u00bd", "\u1100", "\u1161", "\u11a8", "\uac00", "\u11a7",
+                                       "\uff21", "\u3099", "\u304b", "\u212b", "\u1e9b", "\u0345", "\u0f71", "\u0f72", "\U0001d400", "\U0001f600", "\u4e2d", "\u2026", "\u2019", "\n", "\u0344"]
+    texts = EDGE + ["".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for _ in range(3000)] + [None]
+    assert _one(spark, texts, T.nfkc("t")) == [None if v is None else unicodedata.normalize("NFKC", v) for v in texts]
+
+
+def test_whole_texts_do_not_go_through_python(spark):
+    from conftest import SF001
+    from loomtok.sources.tables import variants
+    plan = variants(spark, SF001).select(T.nfkc("text").alias("x"))._jdf.queryExecution().executedPlan().toString()
+    assert "_nfkc_runs(regexp_extract_all(" in plan and plan.count("ArrowEvalPython") == 1
