@@ -87,18 +87,33 @@ class Features:
 
 @dataclass
 class Model:
+    features: np.ndarray    # hashes, the others weigh nothing
     weights: np.ndarray     # by feature, the log-count ratio in it
     scale: np.ndarray       # by feature, the squared log-count ratio
     constant: float
     slope: float
     shift: float
 
-    def margins(self, found: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-        size = np.sqrt(np.bincount(rows, self.scale[found], n))
-        return np.bincount(rows, self.weights[found], n) / np.maximum(size, 1e-9) + self.constant
+    def plain(self) -> tuple:
+        return self.features, self.weights, self.scale, self.constant, self.slope, self.shift
 
-    def scores(self, margins: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -40, 40)))
+
+def margins(weights: np.ndarray, scale: np.ndarray, constant: float, found: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    size = np.sqrt(np.bincount(rows, scale[found], n))
+    return np.bincount(rows, weights[found], n) / np.maximum(size, 1e-9) + constant
+
+
+class Scorer:
+    """A model ready for use in a task, from ``Model.plain()``."""
+
+    def __init__(self, features, weights, scale, constant, slope, shift):
+        self.weights, self.scale = np.zeros(1 << BITS, np.float32), np.zeros(1 << BITS, np.float32)
+        self.weights[features], self.scale[features] = weights, scale
+        self.constant, self.slope, self.shift = constant, slope, shift
+
+    def scores(self, found: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+        m = margins(self.weights, self.scale, self.constant, found, rows, n)
+        return 1 / (1 + np.exp(-np.clip(self.slope * m + self.shift, -40, 40)))
 
 
 def descend(texts: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size: int, cost: float = 1.0,
@@ -143,30 +158,36 @@ def sigmoid_of(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit_features(texts: list[np.ndarray], y: np.ndarray, cost: float = 1.0) -> Model:
     """``texts``: distinct features of each; ``y``: 1 or -1."""
-    size = 1 << BITS
-
-    def part(own: np.ndarray) -> Model:
+    if len(set(y.tolist())) < 2:
+        return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.float32), 0.0, 1.0, 0.0)
+    counts = np.bincount(np.concatenate(texts), minlength=1 << BITS)
+    features = np.flatnonzero(counts >= LEAST_TEXTS).astype(np.int32)
+    number = np.full(1 << BITS, -1, np.int32)
+    number[features] = np.arange(len(features))
+    texts = [x[x >= 0] for x in (number[t] for t in texts)]
+    del counts, number
+    size = len(features)
+
+    def part(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         counts = {c: np.bincount(np.concatenate([texts[i] for i in own if y[i] == c] or [np.zeros(0, np.int32)]), minlength=size) for c in (1, -1)}
         p, q = counts[1] + 1.0, counts[-1] + 1.0
         ratio = np.log((p / p.sum()) / (q / q.sum()))
         ratio[counts[1] + counts[-1] < LEAST_TEXTS] = 0
         values = [(ratio[texts[i]] / max(np.sqrt((ratio[texts[i]] ** 2).sum()), 1e-9)).astype(np.float32) for i in own]
         w, b = descend([texts[i] for i in own], values, y[own], size, cost)
-        return Model((w * ratio).astype(np.float32), (ratio ** 2).astype(np.float32), b, 1.0, 0.0)
+        return (w * ratio).astype(np.float32), (ratio ** 2).astype(np.float32), b
 
     # margins of texts by models that didn't see them, each class dealt out evenly
     fold = np.zeros(len(y), np.int64)
     for c in (1, -1):
         fold[y == c] = np.arange((y == c).sum()) % FOLDS
-    margins = np.zeros(len(y))
+    unseen = np.zeros(len(y))
     for f in range(FOLDS):
         own = np.flatnonzero(fold == f)
         if len(own):
             rows = np.repeat(np.arange(len(own)), [len(texts[i]) for i in own])
-            margins[own] = part(np.flatnonzero(fold != f)).margins(np.concatenate([texts[i] for i in own]), rows, len(own))
-    model = part(np.arange(len(y)))
-    model.slope, model.shift = sigmoid_of(margins, y)
-    return model
+            unseen[own] = margins(*part(np.flatnonzero(fold != f)), np.concatenate([texts[i] for i in own]), rows, len(own))
+    return Model(features, *part(np.arange(len(y))), *sigmoid_of(unseen, y))
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", text_col: str = "text",
@@ -193,24 +214,24 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     # of several texts with one key one, so there are no more than labels
     each = chosen.mapInArrow(run, schema).groupBy("key", "label").agg(F.min("found").alias("found"))
     rows = each.orderBy(F.xxhash64("key"), "key", "label").toArrow()
-    found = [np.asarray(x.values, np.int32) for x in rows.column("found")]
+    lists = rows.column("found").combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
+    found = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]) if len(rows) else []
     y = np.where(rows.column("label").to_numpy() == 1, 1, -1)
-    if len(set(y.tolist())) < 2:
-        raise ValueError("the labelled rows don't hold both classes")
+    del rows, lists
     return fit_features(found, y)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     docs = docs.drop(out_col)
-    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model.plain()), docs.columns.index(text_col)
 
     def run(batches):
-        features, model = Features(), shared.value
+        features, scorer = Features(), Scorer(*shared.value)
         for batch in batches:
             data, offs = byte_rows(batch.column(at))
             for lo, hi in row_slices(offs):
                 found, rows = features.of(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo])
-                scores = model.scores(model.margins(found, rows, hi - lo))
-                yield with_columns(batch.slice(lo, hi - lo), **{out_col: pa.array(scores, pa.float64())})
+                scores = pa.array(scorer.scores(found, rows, hi - lo), pa.float64())
+                yield with_columns(batch.slice(lo, hi - lo), **{out_col: scores})
 
     return docs.mapInArrow(run, same_rows(docs.schema, T.StructField(out_col, T.DoubleType())))

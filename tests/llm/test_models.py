@@ -4,7 +4,6 @@ import random
 import zlib
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from loomtok.llm import hdc_langid, nbsvm
@@ -36,10 +35,33 @@ def test_quality(spark, docs, no_docs):
     assert nbsvm.score(no_docs, model).count() == 0
 
 
-def test_one_class_is_an_error(spark):
+def test_without_both_classes_nothing_is_learned(spark):
     frame = spark.createDataFrame([(1, "a b", 1), (2, "c d", 1)], "doc_id long, text string, quality int")
-    with pytest.raises(ValueError):
-        nbsvm.fit(frame, frame.drop("text"))
+    for docs, labels in ((frame, frame), (frame, frame.limit(0)), (frame.limit(0), frame)):
+        model = nbsvm.fit(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
+        assert {r.score for r in nbsvm.score(frame, model).collect()} == {0.5}
+
+
+def test_scores_by_hand(spark):
+    """Each score from the features, weights and sigmoid by plain sums."""
+    rows = quality_rows(60)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = nbsvm.fit(frame.drop("quality"), frame.select("doc_id", "quality"))
+    weight, scale = ({int(f): float(x) for f, x in zip(model.features, v)} for v in (model.weights, model.scale))
+    one = nbsvm.Features()
+    for r in nbsvm.score(frame, model).collect():
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        found = set(one.of(data, np.array([0, len(data)]))[0].tolist())
+        size = sum(scale.get(f, 0) for f in found) ** 0.5
+        margin = sum(weight.get(f, 0) for f in found) / max(size, 1e-9) + model.constant
+        assert abs(r.score - 1 / (1 + np.exp(-(model.slope * margin + model.shift)))) < 1e-6
+    least = nbsvm.LEAST_TEXTS
+    holders = {}
+    for _, text, _ in rows:
+        data = np.frombuffer(text.encode(), np.uint8)
+        for f in set(one.of(data, np.array([0, len(data)]))[0].tolist()):
+            holders[f] = holders.get(f, 0) + 1
+    assert sorted(f for f, n in holders.items() if n >= least) == model.features.tolist()
 
 
 def test_coordinate_descent_reaches_the_optimum():
