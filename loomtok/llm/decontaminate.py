@@ -90,18 +90,24 @@ def scan(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str
     docs = docs.drop("n_words", "hits", "items").withColumns(
         {"n_words": F.lit(0).cast("long"), "hits": F.lit(None).cast(HITS), "items": F.lit(None).cast(ITEMS)})
     for block in _blocks(bench, item_col, bench_text_col):
-        grams = Grams([(r.item, r.text) for r in block.toLocalIterator()], window)
-        docs = _scan_block(docs, grams, text_col)
+        docs = _scan_block(docs, [(r.item, r.text) for r in block.toLocalIterator()], window, text_col)
     return docs.withColumns({"hits": F.coalesce("hits", F.array().cast(HITS)),
                              "items": F.array_sort(F.array_distinct(F.coalesce("items", F.array().cast(ITEMS))))})
 
 
-def _scan_block(docs: DataFrame, grams: Grams, text_col: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
+def ready(shared: dict) -> Grams:
+    """The ``Grams`` of a broadcast, made once in each worker process."""
+    if "grams" not in shared:
+        shared["grams"] = Grams(shared["items"], shared["window"])
+    return shared["grams"]
+
+
+def _scan_block(docs: DataFrame, items: list[tuple[str, str]], window: int, text_col: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast({"items": items, "window": window})
     names = docs.columns
 
     def run(batches):
-        grams = shared.value
+        grams = ready(shared.value)
         words, runs = Words(WORD_BYTES, LOWER), Runs()
         lower = LOWER.astype(np.uint8)
         for batch in batches:
