@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtok.llm.shared import table
+
 MAX_SAMPLE = 20_000
 SAMPLE_BYTES = 64 << 20
 LEAF_SAMPLE = 60
@@ -77,6 +79,19 @@ class Tree:
                 self.below[node].append(len(self.below) - 1)
                 todo.append((len(self.below) - 1, own[near == i]))
         self.centres = np.stack(self.centres)
+        self._leaves()
+
+    def plain(self) -> tuple:
+        return self.centres, self.below
+
+    @classmethod
+    def of(cls, plain: tuple) -> Tree:
+        tree = cls.__new__(cls)
+        tree.centres, tree.below = plain
+        tree._leaves()
+        return tree
+
+    def _leaves(self) -> None:
         self.leaves, open_ = [], [0]  # neighbours in the tree stand together
         while open_:
             node = open_.pop()
@@ -154,10 +169,11 @@ def calibrate(rows: DataFrame, queries: DataFrame, tree: Tree, k: int, recall: f
     if not len(trials) or len(tree.leaves) < 2:
         return 1
     own, wanted = trials.column("id").to_numpy(), matrix(trials.column("v").combine_chunks(), width)
-    shared = rows.sparkSession.sparkContext.broadcast((tree, own, wanted))
+    shared = rows.sparkSession.sparkContext.broadcast((tree.plain(), own, wanted))
 
     def run(batches):
-        tree, own, wanted = shared.value
+        plain, own, wanted = shared.value
+        tree = Tree.of(plain)
         held = [(np.zeros(0), np.zeros(0, np.int64))] * len(own)
         for batch in batches:
             ids, v = np.asarray(batch.column(0)), matrix(batch.column(1), width)
@@ -195,13 +211,14 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
     n = calibrate(vectors, queries, tree, k, recall)
     width = tree.centres.shape[1]
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast(tree.plain())
 
     def index(batches):
+        tree = Tree.of(shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.leaf(matrix(batch.column(1), width)))], ["id", "v", "leaf"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.leaf(matrix(batch.column(1), width)))], ["id", "v", "leaf"])
 
-    indexed = vectors.where(F.size("v") == width).mapInArrow(index, "id long, v array<double>, leaf long")
+    indexed = table(vectors.where(F.size("v") == width).mapInArrow(index, "id long, v array<double>, leaf long"), "leaves")
     # a few numbers for each leaf of the tree, whatever the rows
     counts = indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")).collect()
     sizes, distinct = {r.leaf: r.rows for r in counts}, {r.leaf: r.ids for r in counts}
@@ -218,12 +235,12 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
     plan = spark.sparkContext.broadcast((bins, distinct))
 
     def visit(batches):
-        bins, distinct = plan.value
+        (bins, distinct), tree = plan.value, Tree.of(shared.value)
         for batch in batches:
             found: list[tuple[int, int, list[int]]] = []
             for i, q in enumerate(matrix(batch.column(1), width)):
                 own: dict[int, list[int]] = {}
-                for leaf in shared.value.visits(q, n, distinct, k):
+                for leaf in tree.visits(q, n, distinct, k):
                     if leaf in bins:
                         own.setdefault(bins[leaf][0], []).append(leaf)
                 found += [(i, b, leaves) for b, leaves in own.items()]
@@ -231,7 +248,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([b for _, b, _ in found], pa.int64()),
                                               pa.array([x for _, _, x in found], pa.list_(pa.int64()))], ["query_id", "q", "bin", "leaves"])
 
-    visits = queries.where(F.size("v") == width).mapInArrow(visit, "query_id long, q array<double>, bin long, leaves array<long>")
+    visits = table(queries.where(F.size("v") == width).mapInArrow(visit, "query_id long, q array<double>, bin long, leaves array<long>"), "visits")
     asked = dict(visits.groupBy("bin").count().collect())
     rows_of = spark.createDataFrame([(leaf, b, parts, -(-asked.get(b, 0) // BLOCK_QUERIES)) for leaf, (b, parts) in bins.items()],
                                     "leaf long, bin long, parts int, blocks int").where("blocks > 0")
