@@ -35,12 +35,10 @@ lines AS (
 wide AS (SELECT trim(line) AS line FROM lines WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 10),
 marked AS (SELECT lines.*, wide.line IS NOT NULL AS hit FROM lines LEFT JOIN wide ON trim(lines.line) = wide.line),
 texts AS (
-  SELECT rid, count(*) AS n_lines, count(*) FILTER (hit) AS n_hit,
-         2 * sum(CASE WHEN hit THEN 0 ELSE length(trim(line)) END) >= sum(length(trim(line))) AND count(*) FILTER (hit) > 0 AS cut,
-         string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS kept
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (hit) AS n_hit, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit) AS kept
   FROM marked GROUP BY rid)
-SELECT doc_id, coalesce(n_lines, 0) AS n_lines, CASE WHEN cut THEN n_hit ELSE 0 END AS n_removed,
-       sha256(CASE WHEN cut THEN coalesce(kept, '') ELSE text END) AS text_sha256
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_hit, 0) AS n_removed,
+       sha256(CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END) AS text_sha256
 FROM docs LEFT JOIN texts USING (rid)
 """
 
