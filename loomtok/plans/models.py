@@ -33,3 +33,13 @@ def documents_model(spark: SparkSession, sf_dir: str, merges: int = QUERY_MERGES
     if key not in _CACHE:
         _CACHE[key] = train_on_texts(docs.select("text"), vocab_for(merges), min_frequency=min_frequency)
     return _CACHE[key]
+
+
+def public_vocabulary() -> str | None:
+    """The file of a public byte-level vocabulary of 50,256 entries, where
+    the package that brings it is installed."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return None
+    return public_tokenizers.path("byte_bpe_50k.json")

@@ -7,7 +7,7 @@ whitespace run before its last character by inserting chr(1) markers first
 (and excludes chr(1) from the symbol class); training is a recursive CTE with
 one merge a step, all pairs counted anew each time (an independent check of
 the batched Spark loop); pieces are encoded by another one, the merge of
-lowest rank first.  In both a token is one character, chr(0x4E00 + id), and a
+lowest rank first.  In both a token is one character, chr(0x20000 + id), and a
 merge replaces two of them by one.
 """
 
@@ -19,7 +19,7 @@ from loomtok.functions.bytelevel import CONTINUATION_CLASS, DEFAULT_SPECIAL_TOKE
 from loomtok.functions.text import WS
 from loomtok.operators import budget
 from loomtok.operators.clean import DISAMBIG_MARK, NAMESPACE_PREFIXES, REDIRECT_MARK
-from loomtok.plans.models import BASELINE_MERGES, QUERY_MERGES, SPECIAL_MERGES, TRAIN_MERGES
+from loomtok.plans.models import BASELINE_MERGES, QUERY_MERGES, SPECIAL_MERGES, TRAIN_MERGES, public_vocabulary
 
 N_SPECIAL = len(DEFAULT_SPECIAL_TOKENS)
 BASE = N_SPECIAL + 256
@@ -117,7 +117,7 @@ WIKI_PAGES = """SELECT doc_id AS ord,
       WHEN doc_id % 11 = 0 THEN '  #REDIRECT [[doc' || CAST(doc_id+1 AS VARCHAR) || ']]' || text
       WHEN doc_id % 13 = 0 THEN text || '{{Disambig}}'
       ELSE '{{Infobox|a={{b|c}}|d={{e|{{f}}}}}}' || chr(10) || '== Head ==' || chr(10)
-        || '<!-- note -->[[Paris|the capital]] and [[Rome]] ' || text
+        || '<!-- note -->[[Quito|a high city]] and [[Rome]] ' || text
         || '[1][22]<ref name="x"/><ref>cite</ref>  &lt;ok&gt; &amp;amp;' || repeat(chr(10),4)
         || 'tail' || chr(9) || ' end [[File:x.jpg|thumb|see [[Oslo]]]] [[Category:Z]] [https://a.b label] ''''''bold'''''' {| x'
         || chr(10) || '| y |}' END AS wikitext
@@ -170,7 +170,7 @@ def clean_html(e: str) -> str:
 # white-space rules.
 FORMS_LEFT = [
     "deep ", "table in template ", "parameter ", "pre  mid post ", "a < b and c > d, xz 1<2\n\n",
-    "\u2013\u2014\u00e9\u2013\u2013&lt; &nosuch; & ", "Romen the capital ",
+    "\u2013\u2014\u00e9\u2013\u2013&lt; &nosuch; & ", "Romen a high city ",
     "the label  == no head ==\nHead\nbold it ", "open  closed, stray }} and [[ open "]
 
 
@@ -227,7 +227,7 @@ def piece_counts_sql() -> str:
             f"(SELECT unnest({lines('text')}) AS line FROM documents)) GROUP BY piece")
 
 
-FIRST = 0x4E00
+FIRST = 0x20000
 
 
 def char_of(i: str) -> str:
@@ -291,22 +291,42 @@ def _doc_pieces(text: str = "text", src: str = "documents", key: str = "doc_id")
             f"FROM (SELECT {key}, {pretok(text)} AS p FROM {src}))")
 
 
-def _enc(n: int | None = None, name: str = "enc") -> str:
-    """Pieces of ``occ`` by the merges (the first ``n``)."""
-    where = f" WHERE rank < {n}" if n is not None else ""
-    return f"""{name}_m AS MATERIALIZED (SELECT pair, max(rank) AS rank, arg_max(new, rank) AS new FROM merges{where} GROUP BY pair),
-{name}_p AS MATERIALIZED (SELECT row_number() OVER () AS k, piece, {word_chars('piece')} AS w FROM (SELECT DISTINCT piece FROM occ)),
+def _pieces_by(name: str) -> str:
+    """Pieces of ``occ`` by the merges ``<name>_m`` (pair, rank, new), the
+    lowest rank in each piece first."""
+    return f"""{name}_p AS MATERIALIZED (SELECT row_number() OVER () AS k, piece, {word_chars('piece')} AS w FROM (SELECT DISTINCT piece FROM occ)),
 {name}_s(k, w) USING KEY (k) AS (
   SELECT k, w FROM {name}_p
   UNION ALL
   SELECT k, replace(w, one.pair, one.new) FROM (
     SELECT x.k, any_value(x.w) AS w, min({{'rank': m.rank, 'pair': m.pair, 'new': m.new}}) AS one
     FROM (SELECT k, w, unnest(list_transform(range(1, length(w)), lambda i: substr(w, i, 2))) AS pair FROM {name}_s) AS x JOIN {name}_m AS m ON m.pair = x.pair
-    GROUP BY x.k)),
+    GROUP BY x.k))"""
+
+
+def _enc(n: int | None = None, name: str = "enc") -> str:
+    """Pieces of ``occ`` by the merges (the first ``n``)."""
+    where = f" WHERE rank < {n}" if n is not None else ""
+    return f"""{name}_m AS MATERIALIZED (SELECT pair, max(rank) AS rank, arg_max(new, rank) AS new FROM merges{where} GROUP BY pair),
+{_pieces_by(name)},
 {name} AS MATERIALIZED (
   SELECT p.piece, {ids_of('e.w')} AS ids, list_transform({ids_of('e.w')}, lambda i: m[i]) AS tokens FROM {name}_p AS p JOIN {name}_s AS e USING (k), vm)"""
 
 
+def _public_enc(path: str) -> str:
+    """``pub``: the pieces under the merges of a public vocabulary file; a
+    merge's result has the number 300 + rank."""
+    return f"""pub_f AS MATERIALIZED (
+  SELECT generate_subscripts(m, 1) - 1 AS rank, unnest(m) AS pair FROM (SELECT model.merges AS m FROM read_json({s(path)}, maximum_object_size=100000000,
+    columns={{'model': 'STRUCT(merges VARCHAR[][])'}}))),
+pub_t AS MATERIALIZED (SELECT pair[1] || pair[2] AS token, 300 + rank AS id FROM pub_f UNION ALL SELECT token, id FROM bytes),
+pub_m AS MATERIALIZED (
+  SELECT {char_of('l.id')} || {char_of('r.id')} AS pair, rank, {char_of('300 + rank')} AS new
+  FROM pub_f JOIN pub_t AS l ON l.token = pair[1] JOIN pub_t AS r ON r.token = pair[2]),
+{_pieces_by('pub')},
+pub AS MATERIALIZED (SELECT p.piece, {ids_of('e.w')} AS ids, {ids_of('e.w')} AS tokens FROM pub_p AS p JOIN pub_s AS e USING (k))"""
+
+
 _TOK_ROWS = (f"tok AS (SELECT doc_id, pos, tp, id, token, length(regexp_replace(token, {s(CONTINUATION_CLASS)}, '', 'g')) AS lead, "
              f"CASE WHEN regexp_matches(token, {s('^' + CONTINUATION_CLASS)}) THEN 1 ELSE 0 END AS cf FROM "
              f"(SELECT o.doc_id, o.pos, generate_subscripts(e.ids, 1) AS tp, unnest(e.ids) AS id, "
@@ -521,6 +541,19 @@ def build() -> dict[str, str]:
         f"FROM n AS x JOIN n AS y ON x.benchmark < y.benchmark) "
         f"SELECT *, {ratio('shared_lines', 'lines_a + lines_b - shared_lines')} AS jaccard, shared_lines = 0 AS disjoint FROM p")
     q["scan_article_snapshot"] = f"SELECT ord, title, lang, text || chr(10) || 'revised' AS text FROM ({ARTICLES}) WHERE ord % 4 <> 0 AND lang = 'en'"
+    q["vocab_info_config"] = with_model(
+        f"SELECT c AS config, (SELECT count(*) FROM vocab) AS vocab_size, t AS special_tokens FROM "
+        f"(VALUES ('there', {s(','.join(DEFAULT_SPECIAL_TOKENS))}), ('missing', '')) AS x(c, t)")
+    q["tokenizer_roundtrip"] = with_model(
+        "SELECT CAST(m.rank AS BIGINT) AS rank, l.token AS left_token, r.token AS right_token, n.token AS new_token, CAST(n.id AS BIGINT) AS new_id, true AS json_equal "
+        "FROM merges AS m JOIN vocab AS l ON l.id = m.left_id JOIN vocab AS r ON r.id = m.right_id JOIN vocab AS n ON n.id = m.new_id")
+    q["scan_foreign_dump"] = (
+        "SELECT CASE WHEN broken THEN NULL ELSE doc_id END AS ord, CASE WHEN broken THEN NULL ELSE 'T & ' || CAST(doc_id AS VARCHAR) END AS title, "
+        "CASE WHEN broken OR text = '' THEN NULL ELSE text END AS wikitext, broken FROM (SELECT *, doc_id % 7 = 3 AS broken FROM documents)")
+    if public := public_vocabulary():
+        q["compare_public"] = with_model(
+            "SELECT a.doc_id, a.num_tokens AS ours_num_tokens, b.num_tokens AS baseline_num_tokens, a.num_tokens - b.num_tokens AS delta "
+            f"FROM ({_doc_enc_body()}) a JOIN ({_doc_enc_body('pub')}) b ON a.doc_id = b.doc_id", extra=f"{_doc_pieces()},\n{_enc()},\n{_public_enc(public)}")
     return q
 
 

@@ -18,11 +18,12 @@ from loomtok.functions.bytelevel import pretokenize, to_symbols
 from loomtok.functions.text import (byte_len, char_len, lines_keep_newline, nfkc,
                                     normalize_whitespace, word_count)
 from loomtok.operators import budget, clean, encode, evaluate, serving
+from loomtok.operators.model import BpeModel
 from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
 from loomtok.operators.train import corpus_lines, train_on_texts
-from loomtok.plans.models import BASELINE_MERGES, SPECIAL_MERGES, TRAIN_MERGES, documents_model
+from loomtok.plans.models import BASELINE_MERGES, SPECIAL_MERGES, TRAIN_MERGES, documents_model, public_vocabulary
 from loomtok.session import ensure_checkpoint_dir
-from loomtok.sinks.writers import write_text
+from loomtok.sinks.writers import write_json_rows, write_text
 from loomtok.sources import benchmarks, tables, xmldump
 from loomtok.sources.artifacts import read_report
 from loomtok.streaming.tokens import live_token_rows, live_token_totals
@@ -312,6 +313,43 @@ def q_scan_article_snapshot(spark, d):
     return tables.article_snapshot(spark, path, "en", "20240401")
 
 
+def q_scan_foreign_dump(spark, d):
+    """A bz2 dump in the form of other programs, broken pages in it."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"foreign-{uuid.uuid4().hex}")
+    xmldump.foreign_dump(_docs(spark, d)).write.option("compression", "bzip2").text(path)
+    pages = xmldump.scan_pages(spark, path)
+    return pages.select("ord", "title", "wikitext", F.col("broken").isNotNull().alias("broken"))
+
+
+def q_tokenizer_roundtrip(spark, d):
+    """The model written as tables and as JSON, and read again."""
+    m = documents_model(spark, d)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    m.save(spark, path)
+    write_text(spark.createDataFrame([(m.to_json(),)], "value string"), f"{path}/json")
+    back, other = BpeModel.load(spark, path), BpeModel.from_json(spark.read.text(f"{path}/json").first().value)
+    same = back.tokens == other.tokens and [x[:3] for x in back.merges] == [x[:3] for x in other.merges]
+    rows = [(r, back.tokens[a], back.tokens[b], back.tokens[n], n, same) for r, (a, b, n, _) in enumerate(back.merges)]
+    return spark.createDataFrame(rows, "rank long, left_token string, right_token string, new_token string, new_id long, json_equal boolean")
+
+
+def q_vocab_info_config(spark, d):
+    """Special tokens as a training config tells them, and without one."""
+    m = documents_model(spark, d)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"config-{uuid.uuid4().hex}")
+    write_json_rows(serving.training_config(_docs(spark, d), m, tokenizer_file="model"), path)
+    there, missing = (serving.vocab_info(spark, m, p).withColumn("config", F.lit(n)) for p, n in ((path, "there"), (f"{path}-none", "missing")))
+    return there.unionByName(missing).select("config", "vocab_size", "special_tokens")
+
+
+def q_compare_public(spark, d):
+    """The trained model against a public vocabulary of 50,256 entries."""
+    with open(public_vocabulary(), encoding="utf-8") as f:
+        public = BpeModel.from_json(f.read())
+    r = serving.compare_models(_docs(spark, d), documents_model(spark, d), public)
+    return r.select("doc_id", *[F.col(c).cast("bigint") for c in ("ours_num_tokens", "baseline_num_tokens", "delta")])
+
+
 def q_stream_token_totals(spark, d):
     return stream_token_totals(spark, d, documents_model(spark, d), glob="documents.parquet")
 
@@ -365,4 +403,8 @@ QUERIES: dict[str, Query] = {
     "live_token_totals": q_live_token_totals,
     "benchmark_disjointness": q_benchmark_disjointness,
     "scan_article_snapshot": q_scan_article_snapshot,
+    "scan_foreign_dump": q_scan_foreign_dump,
+    "tokenizer_roundtrip": q_tokenizer_roundtrip,
+    "vocab_info_config": q_vocab_info_config,
+    **({"compare_public": q_compare_public} if public_vocabulary() else {}),
 }

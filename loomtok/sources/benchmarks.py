@@ -20,6 +20,8 @@ from loomtok.operators.ordering import row_number_global
 from loomtok.sources.tables import table
 
 BENCH_SCHEMA = "benchmark string, ord bigint, text string"
+#: Parts of a line benchmark that can be asked for.
+SPLITS = frozenset({"test"})
 
 
 def _first_n(df: DataFrame, max_docs: int) -> DataFrame:
@@ -40,8 +42,8 @@ def bench_lines(df: DataFrame, name: str, key_col: str, text_col: str = "text",
                 max_docs: int = 0, split: str = "test") -> DataFrame:
     """Each row's text is a file: lines stripped, blank lines dropped, ``ord``
     = position of the line in (key, line number) order."""
-    if split != "test":
-        raise ValueError(f"only split='test' is supported, got {split!r}")
+    if split not in SPLITS:
+        raise ValueError(f"no part {split!r} of {name}; there are: {', '.join(sorted(SPLITS))}")
     lines = df.select(F.col(key_col).alias("_k"),
                       F.posexplode(F.split(F.col(text_col), "\n")).alias("_ln", "_line"))
     lines = lines.select("_k", "_ln", strip_ws("_line").alias("text")).where(F.length("text") > 0)
@@ -64,7 +66,7 @@ def load_dialog(spark: SparkSession, sf_dir: str, max_docs: int = 0) -> DataFram
     return bench_rows(numbered, "dialog", "ord", max_docs=max_docs)
 
 
-BENCHMARK_LOADERS: dict[str, Callable[..., DataFrame]] = {
+NAMED_SETS: dict[str, Callable[..., DataFrame]] = {
     "prose": load_prose,
     "dialog": load_dialog,
     "prose_lines": load_prose_lines,
@@ -73,7 +75,7 @@ BENCHMARK_LOADERS: dict[str, Callable[..., DataFrame]] = {
 
 def bench_union(spark: SparkSession, sf_dir: str, names: list[str], max_docs: int = 0,
                 loaders: dict[str, Callable[..., DataFrame]] | None = None) -> DataFrame:
-    loaders = BENCHMARK_LOADERS if loaders is None else loaders
+    loaders = NAMED_SETS if loaders is None else loaders
     out = None
     for name in names:
         if name not in loaders:

@@ -98,7 +98,7 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.concat(prefix, F.lit("doc"), i.cast("string"))
     marked = F.concat(
         F.lit("{{Infobox|a={{b|c}}|d={{e|{{f}}}}}}"), nl, F.lit("== Head =="), nl,
-        F.lit("<!-- note -->[[Paris|the capital]] and [[Rome]] "), F.col("text"),
+        F.lit("<!-- note -->[[Quito|a high city]] and [[Rome]] "), F.col("text"),
         F.lit('[1][22]<ref name="x"/><ref>cite</ref>  &lt;ok&gt; &amp;amp;'), F.lit("\n" * 4),
         F.lit("tail"), F.lit("\t"), F.lit(" end [[File:x.jpg|thumb|see [[Oslo]]]] [[Category:Z]] "
                                           "[https://a.b label] '''bold''' {| x"),
@@ -120,7 +120,7 @@ MARKUP_FORMS = [
     "pre <references> mid <ref name=a>cite</ref><ref name='b' />post </references>",
     "a < b and c > d, x<y>z</y> 1<2\n\n",
     "&ndash;&mdash;&eacute;&#8211;&#x2013;&amp;lt; &nosuch; & ",
-    "[[File:a.jpg|thumb|see [[Oslo|the city]] and {{x}}]][[Rome]]n [[Paris|the capital]] ",
+    "[[File:a.jpg|thumb|see [[Oslo|the city]] and {{x}}]][[Rome]]n [[Quito|a high city]] ",
     "[https://a.b the label] [http://c.d] == no head ==\n== Head ==\n'''bold''' ''it'' ",
     "open {{ never closed and }} closed, stray }} and [[ open ",
 ]

@@ -59,3 +59,19 @@ def write_pages(pages: DataFrame, path: str, compression: str = "bzip2") -> None
         F.array(F.struct(F.col("ord").alias("id"), text.alias("text"))).alias("revision"))
     (rows.write.mode("overwrite").format("xml").option("rootTag", DUMP_ROOT)
      .option("rowTag", "page").option("compression", compression).save(path))
+
+
+def foreign_dump(docs: DataFrame) -> DataFrame:
+    """``value``: lines of a dump as other programs write it, from (doc_id,
+    text): escaped, with attributes, contributors and, for some, a redirect
+    or a second revision; one in seven pages has a tag that never closes."""
+    text = F.coalesce("text", F.lit(""))
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        text = F.replace(text, F.lit(a), F.lit(b))
+    i = F.col("doc_id")
+    revision = lambda body: F.concat(F.lit("    <revision>\n      <id>1</id>\n      <contributor><username>u</username><id>7</id></contributor>\n      "
+                                           '<text xml:space="preserve" bytes="9">'), body, F.lit("</text>\n      <sha1>x</sha1>\n    </revision>\n"))
+    page = F.concat(F.lit("  <page>\n    <title>T &amp; "), i.cast("string"), F.lit("</title>\n    <ns>0</ns>\n    <id>"), i.cast("string"), F.lit("</id>\n"),
+                    F.when(i % 5 == 1, '    <redirect title="x &amp; y" />\n').otherwise(""), F.when(i % 7 == 3, "    <open>\n").otherwise(""),
+                    revision(text), F.when(i % 4 == 2, revision(F.lit("an older one"))).otherwise(""), F.lit("  </page>"))
+    return docs.select(page.alias("value"))

@@ -24,12 +24,12 @@ def test_filter_edges(spark):
 
 
 def test_clean_wikitext_fixture(spark):
-    raw = ("{{Infobox|a={{b|c}}|d={{e|{{f}}}}}}\n== Head ==\n<!-- note -->[[Paris|the capital]] and [[Rome]] body"
+    raw = ("{{Infobox|a={{b|c}}|d={{e|{{f}}}}}}\n== Head ==\n<!-- note -->[[Quito|a high city]] and [[Rome]] body"
            "[1][22]<ref name=\"x\"/><ref>cite</ref>  &lt;ok&gt; &amp;amp;\n\n\n\ntail\t end "
            "[[File:x.jpg|thumb|see [[Oslo]]]] [[Category:Z]] [https://a.b label] '''bold''' {| x\n| y |}")
     df = spark.createDataFrame([(raw,)], "t string")
     got = df.select(clean.clean_wikitext("t").alias("c")).first().c
-    assert got == "Head\nthe capital and Rome body <ok> &amp;\n\ntail end label bold"
+    assert got == "Head\na high city and Rome body <ok> &amp;\n\ntail end label bold"
 
 
 def _python_budget(rows, limit):
