@@ -240,13 +240,14 @@ def attach(left: DataFrame, right: DataFrame, items: str, how: str, most: int |
     return left.join(F.broadcast(right) if n <= MAX_ROWS and (m or 0) <= (MAX_ITEMS if most is None else most) else right, ["_k1", "_k2"], how)
 
 
-CONTEXT = "g long, _k1 long, _k2 long, lo int, n int, payload binary, known boolean"
+CONTEXT = "g long, _k1 long, _k2 long, lo int, n int, payload binary, known boolean, again int"
 
 
 class Contexts:
     """Rows of ``CONTEXT`` in the making: an anchor's windows in one text.
     Equal contexts of one text are repeats of each other: the first stands
-    for all, the others are known and need no payload."""
+    for all, the others are known and need no payload.  ``again`` is where
+    such a context stands as well."""
 
     def __init__(self):
         self.rows: list[list] = []
@@ -258,30 +259,55 @@ class Contexts:
             raw = payload(lo, n)
             row = met.get((h, place - lo, raw))
             if row is None:
-                met[h, place - lo, raw] = row = [h, k1, k2, lo, n, raw, False]
+                met[h, place - lo, raw] = row = [h, k1, k2, lo, n, raw, False, None]
                 self.rows.append(row)
                 self.size += len(raw)
             else:
-                row[6] = True
-                self.rows.append([None, k1, k2, lo, n, None, True])
+                row[6:] = True, lo
+                self.rows.append([None, k1, k2, lo, n, None, True, row[3]])
 
     def batches(self, least: int = 0):
         if self.rows and self.size >= least:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*self.rows), kinds)], ["g", "_k1", "_k2", "lo", "n", "payload", "known"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*self.rows), kinds)], ["g", "_k1", "_k2", "lo", "n", "payload", "known", "again"])
             self.rows, self.size = [], 0
 
 
-def repeated(contexts: DataFrame, prints) -> DataFrame:
-    """_k1, _k2, lo, n: runs of window starts that also occur elsewhere.
+#: Schema of what ``settle`` returns.
+RUN = "_k1 long, _k2 long, lo int, n int, s1 long, s2 long, slo int"
+
+
+def marks(n: np.ndarray, owner: np.ndarray, start: np.ndarray, h: np.ndarray, rows: pa.Table) -> pa.RecordBatch:
+    """Runs of windows whose fingerprint another place has as well; they have no source."""
+    k1, k2 = (np.asarray(rows.column(c)) for c in ("_k1", "_k2"))
+    hit = twice(h, k1[owner], k2[owner], start) | np.asarray(rows.column("known"))[owner]
+    before = np.concatenate([[False], hit[:-1]]) & np.concatenate([[False], owner[1:] == owner[:-1]])
+    begin = np.flatnonzero(hit & ~before)
+    after = np.concatenate([hit[1:], [False]]) & np.concatenate([owner[1:] == owner[:-1], [False]])
+    size = np.flatnonzero(hit & ~after) - begin + 1
+    own = owner[begin]
+    return runs_of(k1[own], k2[own], start[begin], size)
+
+
+def runs_of(k1, k2, lo, n, s1=None, s2=None, slo=None) -> pa.RecordBatch:
+    none = lambda x, kind: pa.nulls(len(k1), kind) if x is None else pa.array(x, kind)
+    columns = [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(np.asarray(lo, np.int32)), pa.array(np.asarray(n, np.int32)),
+               none(s1, pa.int64()), none(s2, pa.int64()), none(slo, pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, ["_k1", "_k2", "lo", "n", "s1", "s2", "slo"])
+
+
+def repeated(contexts: DataFrame, prints, settle=marks) -> DataFrame:
+    """_k1, _k2, lo, n, s1, s2, slo: runs of window starts that also occur
+    elsewhere, and where (text and start; null where that isn't told).
     ``prints(payloads, n)`` gives the fingerprints of the windows of some
-    contexts, one after the other."""
+    contexts, one after the other; ``settle(n, owner, start, fingerprints,
+    contexts)`` the runs of the contexts of some whole anchors."""
     contexts = table(contexts, "contexts")
     whole = contexts.where("payload IS NOT NULL")
     crowds = table(whole.groupBy("g").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CROWD).select("g"), "crowds")
     crowded = not crowds.isEmpty()
     few = whole.join(crowds, "g", "left_anti") if crowded else whole
-    few = few.select("g", "_k1", "_k2", "lo", "n", "payload", "known").repartition("g").sortWithinPartitions("g")
+    few = few.select("g", "_k1", "_k2", "lo", "n", "payload", "known", "again").repartition("g").sortWithinPartitions("g")
 
     def windows(rows: pa.Table):
         n = np.asarray(rows.column("n"), np.int64)
@@ -292,16 +318,7 @@ def repeated(contexts: DataFrame, prints) -> DataFrame:
         return n, owner, start, h
 
     def runs(rows: pa.Table):
-        n, owner, start, h = windows(rows)
-        k1, k2 = (np.asarray(rows.column(c)) for c in ("_k1", "_k2"))
-        hit = twice(h, k1[owner], k2[owner], start) | np.asarray(rows.column("known"))[owner]
-        before = np.concatenate([[False], hit[:-1]]) & np.concatenate([[False], owner[1:] == owner[:-1]])
-        begin = np.flatnonzero(hit & ~before)
-        after = np.concatenate([hit[1:], [False]]) & np.concatenate([owner[1:] == owner[:-1], [False]])
-        size = np.flatnonzero(hit & ~after) - begin + 1
-        own = owner[begin]
-        return pa.RecordBatch.from_arrays([pa.array(k1[own]), pa.array(k2[own]), pa.array(start[begin].astype(np.int32)), pa.array(size.astype(np.int32))],
-                                          ["_k1", "_k2", "lo", "n"])
+        return settle(*windows(rows), rows)
 
     def match(batches):
         held, size = [], 0
@@ -316,8 +333,8 @@ def repeated(contexts: DataFrame, prints) -> DataFrame:
         if held:
             yield runs(pa.Table.from_batches(held))
 
-    schema = "_k1 long, _k2 long, lo int, n int"
-    found = few.mapInArrow(match, schema).unionByName(contexts.where("payload IS NULL").select("_k1", "_k2", "lo", "n"))
+    own = [F.col("_k1").alias("s1"), F.col("_k2").alias("s2"), F.col("again").alias("slo")]
+    found = few.mapInArrow(match, RUN).unionByName(contexts.where("payload IS NULL").select("_k1", "_k2", "lo", "n", *own))
     if not crowded:
         return found
 
@@ -326,15 +343,20 @@ def repeated(contexts: DataFrame, prints) -> DataFrame:
             for a in range(0, batch.num_rows, 500):
                 rows = pa.Table.from_batches([batch.slice(a, 500)])
                 _, owner, start, h = windows(rows)
+                again = np.asarray(rows.column("again").combine_chunks().fill_null(-1))[owner]
+                again = np.where(again < 0, -1, again + start - np.asarray(rows.column("lo"))[owner]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(np.asarray(rows.column(c))[owner]) for c in ("g", "_k1", "_k2")]
-                                                 + [pa.array(start.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(np.asarray(rows.column("known"))[owner])],
-                                                 ["g", "_k1", "_k2", "lo", "h", "known"])
+                                                 + [pa.array(start.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(np.asarray(rows.column("known"))[owner]), pa.array(again)],
+                                                 ["g", "_k1", "_k2", "lo", "h", "known", "again"])
 
-    each = whole.join(crowds, "g", "left_semi").select("g", "_k1", "_k2", "lo", "n", "payload", "known")
-    each = each.mapInArrow(spread, "g long, _k1 long, _k2 long, lo int, h long, known boolean")
+    each = whole.join(crowds, "g", "left_semi").select("g", "_k1", "_k2", "lo", "n", "payload", "known", "again")
+    each = each.mapInArrow(spread, "g long, _k1 long, _k2 long, lo int, h long, known boolean, again int")
     who = F.struct("_k1", "_k2", "lo")
-    two = each.groupBy("g", "h").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.max("known").alias("k")).where("a != b OR k").select("g", "h")
-    return found.unionByName(each.join(two, ["g", "h"], "left_semi").select("_k1", "_k2", "lo", F.lit(1).alias("n")))
+    two = each.groupBy("g", "h").agg(F.min(who).alias("a"), F.max(who).alias("b"), F.max("known").alias("k")).where("a != b OR k").drop("k")
+    other = (F.when(F.col("a") != who, F.col("a")).when(F.col("b") != who, F.col("b"))
+             .when(F.col("again") >= 0, F.struct("_k1", "_k2", F.col("again").alias("lo"))))
+    ones = each.join(two, ["g", "h"]).select("_k1", "_k2", "lo", F.lit(1).alias("n"), other.alias("o"))
+    return found.unionByName(ones.select("_k1", "_k2", "lo", "n", F.col("o._k1").alias("s1"), F.col("o._k2").alias("s2"), F.col("o.lo").alias("slo")))
 
 
 def hits(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
@@ -342,7 +364,7 @@ def hits(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     text with copies every window is one."""
     copies = texts_of(docs, text_col).groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     copies = copies.select("_k1", "_k2", F.lit(0).alias("lo"), F.lit((1 << 31) - 1).alias("n"))
-    both = found.unionByName(copies)
+    both = found.select("_k1", "_k2", "lo", "n").unionByName(copies)
     return table(both.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("lo", "n")).alias("hits")), "hits")
 
 

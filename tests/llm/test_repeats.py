@@ -80,6 +80,45 @@ def test_crowded_anchors(docs, corpus, monkeypatch):
     same(found, texts, by_words(texts, 10))
 
 
+@pytest.mark.parametrize("crowd", [10_000, 1])
+def test_factors_have_sources(spark, docs, corpus, monkeypatch, crowd):
+    """Each factor's words stand at its source too, another place; factors
+    cover the windows that occur twice, no others, and none overlaps another."""
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    w = 10
+    keys = {(r._k1, r._k2): re.findall(r"[^\x20\x09-\x0D]+", r._text) for r in repeats.texts_of(docs, "text").collect()}
+    found = rlz_repeats.factors(docs, w).collect()
+    count = Counter(tuple(q[i:i + w]) for q in keys.values() for i in range(len(q) - w + 1))
+    covered, joined = {k: [] for k in keys}, 0
+    for r in found:
+        own, n = keys[r._k1, r._k2], r.n + w - 1
+        other = keys[r.source._k1, r.source._k2]
+        assert own[r.lo:r.lo + n] == other[r.source.lo:r.source.lo + n] and len(own[r.lo:r.lo + n]) == n
+        assert (r._k1, r._k2, r.lo) != (r.source._k1, r.source._k2, r.source.lo)
+        covered[r._k1, r._k2] += range(r.lo, r.lo + r.n)
+        joined += r.n > w
+    for k, q in keys.items():
+        assert sorted(covered[k]) == [i for i in range(len(q) - w + 1) if count[tuple(q[i:i + w])] > 1]
+    assert found and (crowd == 1 or joined > 0)
+
+
+def test_the_longest_match_stands_next_in_the_index():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        lengths = rng.integers(1, 12, 8)
+        owner, h = np.repeat(np.arange(8), lengths), rng.integers(0, 3, lengths.sum()).astype(np.uint64)
+        best, n = rlz_repeats.Index(owner, h).longest()
+        ends = np.cumsum(lengths)
+
+        def common(a, b):
+            m = 0
+            while a + m < ends[owner[a]] and b + m < ends[owner[b]] and h[a + m] == h[b + m]:
+                m += 1
+            return m
+        for a in range(len(h)):
+            assert n[a] == max(common(a, b) for b in range(len(h)) if b != a) and (n[a] == 0 or common(a, int(best[a])) == n[a])
+
+
 def test_by_shuffle(docs, corpus, monkeypatch):
     """Tables too large to broadcast are joined by shuffle."""
     monkeypatch.setattr(repeats, "MAX_ROWS", 0)
