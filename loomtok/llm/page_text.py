@@ -11,8 +11,9 @@ region's blocks, without the elements that are never content, are the text.
 or ``main``, at most ``max_pages`` of them (those whose ``xxhash64(key)``
 come first); their tokens are counted on the executors, and each feature that
 ``LEAST_TOKENS`` of them have gets a weight: a few hundred for the elements of
-HTML, up to three more for each other element name in frequent use.  Without any labelled page, ``PLAIN`` weights
-hold.  ``extract`` adds ``text`` in one narrow pass.  Null and empty pages
+HTML, up to three more for each other element name in frequent use.  Without
+any labelled page, ``PLAIN`` weights hold.  Reading a page takes time in
+proportion to it, however deep its elements stand.  ``extract`` adds ``text`` in one narrow pass.  Null and empty pages
 and pages without content give the empty string.  Malformed pages (unclosed
 or stray tags, cut ends) are read as browsers read them in the main points:
 a paragraph ends where the next block begins, unclosed scripts, styles and
@@ -25,6 +26,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -55,6 +57,7 @@ ASIDE_WORDS = frozenset(("ad", "ads", "advert", "adverts", "advertisement", "adv
 # a quoted value may hold a bracket; a quote that isn't one means nothing
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)>|<[!?/][^>]*>", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+MARK, END = re.compile(r"<(?:article|main)\b", re.I), re.compile(r"</([a-zA-Z][^\s/>]*)")
 RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
 #: Weights where no page is labelled.
@@ -69,33 +72,93 @@ def _marked_aside(attributes: str) -> bool:
     return False
 
 
+class Open:
+    """The open elements of a page, with what is asked of them at hand: each
+    step costs the same however many there are."""
+
+    def __init__(self):
+        self.stack: list[list] = []       # [name, aside, still open]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []       # places of open block elements
+        self.inside = self.aside = self.links = 0
+
+    def push(self, name: str, off: bool) -> None:
+        at = len(self.stack)
+        self.stack.append([name, off, True])
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK:
+            self.blocks.append(at)
+        self._count(name, off, 1)
+
+    def _count(self, name: str, off: bool, n: int) -> None:
+        self.inside += n * (name in CONTENT)
+        self.links += n * (name == "a")
+        self.aside += n * off
+
+    def _end(self, at: int) -> None:
+        name, off, _ = self.stack[at]
+        self.stack[at][2] = False
+        self.places[name].pop()
+        if self.blocks and self.blocks[-1] == at:
+            self.blocks.pop()
+        self._count(name, off, -1)
+
+    def drop_to(self, name: str) -> None:
+        """The innermost ``name`` ends, and all within it."""
+        at = self.places[name][-1]
+        while len(self.stack) > at:
+            if self.stack[-1][2]:
+                self._end(len(self.stack) - 1)
+            self.stack.pop()
+
+    def close(self, name: str) -> None:
+        if self.places.get(name):
+            at = self.places[name][-1]
+            # an inline element's end doesn't close the blocks within it
+            if name in BLOCK or not self.blocks or self.blocks[-1] < at:
+                self.drop_to(name)
+            else:
+                self._end(at)
+
+    def last(self) -> str:
+        while self.stack and not self.stack[-1][2]:
+            self.stack.pop()
+        return self.stack[-1][0] if self.stack else ""
+
+    def block(self) -> str:
+        return self.stack[self.blocks[-1]][0] if self.blocks else ""
+
+
 def tokens(page: str):
     """(kind, name or text, feature, whether in a marked article, whether never content) in order; kind: text or tag.
     An element named for the side that holds the article isn't taken as one."""
-    marked = re.search(r"<(?:article|main)\b", page, re.I) is not None
-    stack: list[tuple[str, bool]] = []
-    inside = aside = links = 0
+    marks = [m.start() for m in MARK.finditer(page)]
+    marked, open_, ends = bool(marks), Open(), None
+    endless: set[str] = set()  # raw elements that no end follows any more
     at, size, last = 0, len(page), page.rfind(">") + 1
 
     def side() -> str:
-        return "in " if inside else "out " if marked else ""
-
-    def place() -> str:
-        block = next((n for n, _ in reversed(stack) if n in BLOCK), "")
-        return f"{side()}{block}{' a' if links else ''}"
-
-    def drop() -> None:
-        nonlocal inside, aside, links
-        name, off = stack.pop()
-        inside -= name in CONTENT
-        links -= name == "a"
-        aside -= off
+        return "in " if open_.inside else "out " if marked else ""
+
+    def holds_article(at: int, name: str) -> bool:
+        """Whether an article begins before the element ends."""
+        nonlocal ends
+        i = bisect_left(marks, at)
+        if i == len(marks):
+            return False
+        if ends is None:
+            ends = {}
+            for m in END.finditer(page):
+                ends.setdefault(m[1].lower(), []).append(m.start())
+        own = ends.get(name, [])
+        k = bisect_left(own, at)
+        return k == len(own) or marks[i] < own[k]
 
     while at < size:
         m = TOKEN.search(page, at, last) if at < last else None
         end = m.start() if m else size
         if end > at:
-            yield "text", page[at:end], place(), inside > 0, aside > 0
+            yield "text", page[at:end], f"{side()}{open_.block()}{' a' if open_.links else ''}", open_.inside > 0, open_.aside > 0
         if not m:
             return
         at = m.end()
@@ -106,53 +169,28 @@ def tokens(page: str):
             continue
         close, attributes = m[1], m[3]
         if close:
-            if any(n == name for n, _ in stack):
-                # an inline element's end doesn't close the blocks within it
-                if name in BLOCK or not any(n in BLOCK for n, _ in stack[max(i for i, (n, _) in enumerate(stack) if n == name):]):
-                    while stack[-1][0] != name:
-                        drop()
-                    drop()
-                else:
-                    i = max(i for i, (n, _) in enumerate(stack) if n == name)
-                    links -= name == "a"
-                    aside -= stack[i][1]
-                    del stack[i]
+            open_.close(name)
         else:
-            if name in RAW and not attributes.rstrip().endswith("/"):
+            alone = attributes.rstrip().endswith("/")
+            if name in RAW and not alone:
                 if name != "head":
-                    over = RAW_END[name].search(page, at)
+                    over = None if name in endless else RAW_END[name].search(page, at)
+                    if over is None:
+                        endless.add(name)
                     at = over.end() if over else size if name in ("script", "style", "textarea", "title") else at
-                    yield "tag", name, side() + name, inside > 0, True
+                    yield "tag", name, side() + name, open_.inside > 0, True
                     continue
             if name in BLOCK:
                 # a paragraph ends where a block begins, and items end each other
-                if any(n == "p" for n, _ in stack) and _within(stack, "p"):
-                    while stack[-1][0] != "p":
-                        drop()
-                    drop()
+                if open_.block() == "p":
+                    open_.drop_to("p")
                 same = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}.get(name, ())
-                if stack and stack[-1][0] in same:
-                    drop()
-            if name not in VOID and not attributes.rstrip().endswith("/"):
-                off = name in ASIDE or (name not in CONTENT and _marked_aside(attributes) and not _holds_article(page, m.end(), marked and not inside, name))
-                stack.append((name, off))
-                inside += name in CONTENT
-                links += name == "a"
-                aside += off
-        yield "tag", name, side() + name, inside > 0, aside > 0
-
-
-def _within(stack: list, name: str) -> bool:
-    """Whether the innermost block element is ``name``."""
-    return next((n for n, _ in reversed(stack) if n in BLOCK), "") == name
-
-
-def _holds_article(page: str, at: int, may: bool, name: str) -> bool:
-    if not may:
-        return False
-    opened = re.compile(r"<(?:article|main)\b", re.I).search(page, at)
-    closed = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
-    return opened is not None and (closed is None or opened.start() < closed.start())
+                if same and open_.last() in same:
+                    open_.drop_to(open_.last())
+            if name not in VOID and not alone:
+                off = name in ASIDE or (name not in CONTENT and _marked_aside(attributes) and not (marked and not open_.inside and holds_article(m.end(), name)))
+                open_.push(name, off)
+        yield "tag", name, side() + name, open_.inside > 0, open_.aside > 0
 
 
 def _features(kind: str, value: str, feature: str, off: bool) -> tuple[str, int]:
@@ -174,17 +212,23 @@ def weight(weights: dict[str, float], kind: str, value: str, feature: str, off:
     return w * n
 
 
-def main_text(page: str, weights: dict[str, float]) -> str:
-    found = [(*t, weight(weights, t[0], t[1], t[2], t[4])) for t in tokens(page)]
+def best_region(weights: list[float]) -> tuple[int, int]:
+    """First and past the last of the run with the largest sum; an empty one if none is above zero."""
     best, total, start, region = 0.0, 0.0, 0, (0, 0)
-    for i, t in enumerate(found):
+    for i, w in enumerate(weights):
         if total <= 0:
             total, start = 0.0, i
-        total += t[5]
+        total += w
         if total > best:
             best, region = total, (start, i + 1)
+    return region
+
+
+def main_text(page: str, weights: dict[str, float]) -> str:
+    found = list(tokens(page))
+    a, b = best_region([weight(weights, t[0], t[1], t[2], t[4]) for t in found])
     blocks: list[list[str]] = [[]]
-    for kind, value, _, _, off, _ in found[region[0]:region[1]]:
+    for kind, value, _, _, off in found[a:b]:
         if kind == "text":
             if not off:
                 blocks[-1].append(value)
