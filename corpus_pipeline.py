@@ -22,12 +22,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomtok.llm.shared import shared_folder
+    """The last stage's rows, read from the shared folder; what the stages
+    before it wrote is removed as soon as the next one has ended."""
+    from loomtok.llm.shared import removed_after, shared_folder
 
     docs = q.read(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         out = f"{folder}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(out)
-        docs = spark.read.parquet(out)
+        with removed_after(spark) as used:
+            stage(spark, docs, sf_dir).write.parquet(out)
+            if before is not None:
+                used.append(before)
+        docs, before = spark.read.parquet(out), out
     return docs

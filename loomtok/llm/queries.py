@@ -151,40 +151,64 @@ QUERIES = {
 
 
 # The stages of corpus_pipeline: (spark, docs, sf_dir) -> documents
+#
+# Each works on all rows of docs and gives its columns back, in their order,
+# with further ones that have any names.  Null and empty texts are rows like
+# others (each stage says what becomes of them), repeated rows and null keys
+# are too; an empty table gives an empty one.
+
+#: Columns that stages work on.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def renamed(docs: DataFrame) -> dict[str, str]:
+    """Names for further columns that are in no operator's way."""
+    return {c: f"_further{i}" for i, c in enumerate(docs.columns) if c not in OWN}
+
+
+def back(result: DataFrame, docs: DataFrame) -> DataFrame:
+    names = renamed(docs)
+    return result.select([names.get(c, c) for c in docs.columns]).toDF(*docs.columns)
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the classifier rejects go."""
-    return nbsvm.score(docs, quality_model(spark, sf_dir), out_col="_score").where(F.col("_score") >= 0.3).drop("_score")
+    """Rows that the classifier rejects go.  Null and empty texts have the
+    score of the model's constant; without labels of both classes all stay."""
+    scored = nbsvm.score(docs.withColumnsRenamed(renamed(docs)), quality_model(spark, sf_dir), out_col="_score")
+    return back(scored.where(F.col("_score") >= 0.3), docs)
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines go from the texts; every document stays."""
-    return with_size(line_spread.remove_lines(docs).drop("n_lines", "n_removed"))
+    """Boilerplate lines go from the texts; every document stays, with an
+    empty text if it had no other line.  Null texts stay null."""
+    cut = line_spread.remove_lines(docs.withColumnsRenamed(renamed(docs)))
+    return back(cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut, docs)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class stays."""
-    return dart_minhash.keep_first(docs)
+    """One document of each class stays; repeated rows are copies.  Null texts
+    and texts without words are no duplicates and all stay."""
+    return back(dart_minhash.keep_first(docs.withColumnsRenamed(renamed(docs))), docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a test item go."""
-    return decontaminate.remove(decontaminate.scan(docs, read(spark, sf_dir, "benchmark")))
+    """Documents that hold a window of a test item go; null and empty texts
+    hold none; without test items all stay."""
+    scanned = decontaminate.scan(docs.withColumnsRenamed(renamed(docs)), read(spark, sf_dir, "benchmark"))
+    return back(decontaminate.remove(scanned), docs)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ids, and whether the ids decode to the text."""
+    """The documents with ids, n_tokens and whether the ids decode to the
+    text; a null text is encoded as an empty one.  Columns of these names are
+    replaced."""
     import public_tokenizers
 
     whole_texts(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    both = bpe_prefix.decode(bpe_prefix.encode(docs, path, public_tokenizers.PATTERN), path)
+    both = bpe_prefix.decode(bpe_prefix.encode(docs, path, public_tokenizers.PATTERN), path, out_col="_decoded")
     return both.withColumns({"n_tokens": F.size("ids").cast("long"),
-                             "exact": F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")}).drop("decoded")
-
-
-def with_size(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+                             "exact": F.col("_decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")}).drop("_decoded")
 
 
 STAGES = [

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,8 @@ def table(df: DataFrame, name: str) -> DataFrame:
     compute it once more, and it survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _watched:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -35,3 +39,21 @@ def whole_texts(spark: SparkSession) -> None:
     number of its own."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+_watched: list[list[str]] = []
+
+
+@contextmanager
+def removed_after(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that ``table`` writes within are removed at the end, when
+    nothing reads them any more; so are folders put into the list."""
+    paths: list[str] = []
+    _watched.append(paths)
+    try:
+        yield paths
+    finally:
+        _watched[:] = [x for x in _watched if x is not paths]
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
