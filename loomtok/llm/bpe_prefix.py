@@ -31,8 +31,10 @@ from pyspark.sql import types as T
 
 from loomtok.llm.flat import byte_rows, row_slices, same_rows, with_columns
 
-#: Words whose ids a worker keeps; beyond that it begins anew with the next slice of rows.
+#: Words whose ids a worker keeps.
 KEPT_WORDS = 300_000
+#: Steps of the automaton and pairs of neighbours that a worker remembers.
+KEPT_STEPS = 500_000
 #: Longer words (whole texts among them) are encoded each time they come.
 KEPT_LENGTH = 64
 
@@ -58,8 +60,9 @@ class Ranks:
         self.merged: dict[tuple[int, int], int] = {}
         self.parts: list[tuple[int, int] | None] = []
         self.known: dict[int, bool] = {}
-        #: ids (32 bits each) of words met so far, filled by ``encode`` in each worker
+        #: ids (32 bits each) of words met lately and before, filled by ``encode`` in each worker
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         for i, t in enumerate(tokens):
             self.parts.append(None)
             for cut in range(len(t) - 1, 0, -1):
@@ -70,9 +73,21 @@ class Ranks:
                     break
         self._automaton()
 
+    def kept_for(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words met before.  When half of what may be kept has
+        gathered it becomes the older half, and of that those stay that are
+        met again."""
+        if len(self.kept) > KEPT_WORDS // 2:
+            self.kept, self.older = {}, self.kept
+        if self.older:
+            kept, older = self.kept, self.older
+            kept.update((w, older[w]) for w in words if w in older and w not in kept)
+        return self.kept
+
     def _automaton(self) -> None:
         """Nodes are the prefixes of tokens; ``longest[node]`` is the longest
-        token that ends the node's bytes, ``shorter[t]`` the next one."""
+        token that ends the node's bytes, ``shorter[t]`` the next one.
+        ``goto`` has the steps to longer prefixes, ``moves`` others met so far."""
         self.goto, spot, levels = {}, {}, {}
         for i, t in enumerate(self.tokens):
             at = 0
@@ -92,12 +107,12 @@ class Ranks:
                 self.longest[to] = spot.get(to, below)
                 if to in spot:
                     self.shorter[spot[to]] = below
-        self.moves = dict(self.goto)
+        self.moves: dict[int, int] = {}
 
     def move(self, at: int, c: int) -> int:
         """``step``, remembered."""
-        if len(self.moves) > 500_000:
-            self.moves = dict(self.goto)
+        if len(self.moves) >= KEPT_STEPS:
+            self.moves.clear()
         to = self.moves[at << 8 | c] = self.step(at, c)
         return to
 
@@ -133,7 +148,7 @@ class Ranks:
         v = self.known.get(k)
         if v is None:
             v = self.known[k] = self._neighbours(a, b)
-            if len(self.known) > 500_000:
+            if len(self.known) > KEPT_STEPS:
                 self.known.clear()
         return v
 
@@ -147,10 +162,11 @@ class PrefixTable:
 
     def append(self, more: bytes) -> PrefixTable:
         ranks, last, nodes = self.ranks, self.last, self.nodes
-        size, longest, shorter, moves, known = ranks.size, ranks.longest, ranks.shorter, ranks.moves, ranks.known
+        size, longest, shorter, goto, moves, known = ranks.size, ranks.longest, ranks.shorter, ranks.goto, ranks.moves, ranks.known
         at, end = nodes[-1] if nodes else 0, len(last)
         for c in more:
-            at = moves.get(at << 8 | c)
+            step = at << 8 | c
+            at = goto.get(step) or moves.get(step)
             if at is None:
                 at = ranks.move(nodes[-1] if nodes else 0, c)
             t, end = longest[at], end + 1
@@ -192,6 +208,57 @@ class PrefixTable:
         return out
 
 
+def ready(shared: dict) -> Ranks:
+    """The ``Ranks`` of a broadcast, made once in each worker process."""
+    if "ranks" not in shared:
+        shared["ranks"] = Ranks(shared["tokens"])
+    return shared["ranks"]
+
+
+def encode_sorted(ranks: Ranks, pieces: list[bytes]) -> dict[bytes, bytes]:
+    """Packed ids of pieces in byte order: one prefix table goes from piece to
+    piece, each appends to what it shares with the one before."""
+    table = PrefixTable(ranks)
+    last, nodes, size, longest, shorter = table.last, table.nodes, ranks.size, ranks.longest, ranks.shorter
+    goto, moves, known, rank = ranks.goto, ranks.moves, ranks.known, ranks.rank
+    out: dict[bytes, bytes] = {}
+    before = b""
+    for raw in pieces:
+        whole = rank.get(raw)
+        if whole is not None:
+            out[raw] = pack("i", (whole,)).tobytes()
+            continue
+        end = 0
+        for a, b in zip(raw, before):
+            if a != b:
+                break
+            end += 1
+        del last[end:], nodes[end:]
+        at = nodes[-1] if end else 0
+        for c in raw[end:]:
+            step = at << 8 | c
+            at = goto.get(step) or moves.get(step)
+            if at is None:
+                at = ranks.move(step >> 8, c)
+            t = longest[at]
+            end += 1
+            while (start := end - size[t]) > 0:
+                v = known.get(last[start - 1] << 20 | t)
+                if v or (v is None and ranks.can_follow(last[start - 1], t)):
+                    break
+                t = shorter[t]
+            last.append(t)
+            nodes.append(at)
+        before, ids = raw, []
+        while end:
+            t = last[end - 1]
+            ids.append(t)
+            end -= size[t]
+        ids.reverse()
+        out[raw] = pack("i", ids).tobytes()
+    return out
+
+
 def words_of(text: str) -> list[str]:
     """The text cut before each space that stands alone between two other
     characters than white space: no piece of the pattern reaches over such a
@@ -208,26 +275,20 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text",
     split like that of the public byte-level vocabularies, where white space
     comes before a piece and never ends one (see ``words_of``)."""
     df = df.drop(ids_col)
-    shared = df.sparkSession.sparkContext.broadcast(Ranks(load_ranks(ranks_path)))
+    shared = df.sparkSession.sparkContext.broadcast({"tokens": load_ranks(ranks_path)})
 
     def run(batches):
         import regex
 
-        ranks = shared.value
-        find, kept = regex.compile(pattern).findall, ranks.kept
+        ranks, find = ready(shared.value), regex.compile(pattern).findall
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
             _, offs = byte_rows(column)
             for lo, hi in row_slices(offs, 1 << 21):
                 rows = [words_of(text) if text else [] for text in column.slice(lo, hi - lo).to_pylist()]
-                if len(kept) > KEPT_WORDS:
-                    kept.clear()
-                new = {w: [p.encode("utf-8") for p in find(w)] for w in set().union(*rows).difference(kept)}
-                # in byte order each piece appends to what it shares with the one before
-                table, ids_of = PrefixTable(ranks), {}
-                for raw in sorted(set(chain.from_iterable(new.values()))):
-                    whole = ranks.rank.get(raw)
-                    ids_of[raw] = pack("i", [whole] if whole is not None else table.become(raw).ids()).tobytes()
+                kept = ranks.kept_for(words := set().union(*rows))
+                new = {w: [p.encode("utf-8") for p in find(w)] for w in words.difference(kept)}
+                ids_of = encode_sorted(ranks, sorted(set(chain.from_iterable(new.values()))))
                 for word, pieces in new.items():
                     kept[word] = b"".join(map(ids_of.__getitem__, pieces)) if len(pieces) != 1 else ids_of[pieces[0]]
                 ids = [b"".join(map(kept.__getitem__, words)) for words in rows]

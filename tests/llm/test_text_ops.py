@@ -59,6 +59,16 @@ def test_any_bytes_appends_and_edits(ranks, library):
             assert table.become(raw).ids() == one(raw)
 
 
+def test_white_space_of_all_kinds(spark, library):
+    """Words are cut beside ASCII and wide white space as the pattern asks."""
+    rng = random.Random(12)
+    spaces = [" ", "  ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2000", "\u200a", "\u200b", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\u180e"]
+    words = ["a", "word", "é", "it's", "Å", "\u2026", "“q”", "日", "😀", "x1", "9", "©", "‰", "\u0085b"]
+    texts = ["".join(rng.choice([rng.choice(spaces), " ", " "]) + rng.choice(words) for _ in range(rng.randint(1, 12))) + rng.choice(["", " ", "\u3000"]) for _ in range(3000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert all(r.ids == library.encode_ordinary(r.text) for r in bpe_prefix.encode(frame, PATH, public_tokenizers.PATTERN).collect())
+
+
 def test_a_small_cache_gives_the_same_ids(spark, docs, library, monkeypatch):
     monkeypatch.setattr(bpe_prefix, "KEPT_WORDS", 40)
     monkeypatch.setattr(bpe_prefix, "KEPT_STEPS", 50)
