@@ -26,9 +26,11 @@ from loomtok.llm.shared import table
 BUCKET, HELD = 1 << 20, 1 << 19
 #: Places known to be tied that one row holds.
 KNOWN = 1 << 14
-#: Rows and items of a small table that may be broadcast (some 20 MB); a larger one is joined by shuffle.
-MAX_ROWS, MAX_ITEMS = 1_000_000, 4_000_000
-#: The same for tied places, of which there are many more than rows.
+#: Bytes of a small table that may be broadcast; a larger one is joined by shuffle.
+MAX_BYTES = 128 << 20
+#: What a row with its key, and an item of its array, take as Spark holds them (a struct of two ints is the larger item).
+ROW_BYTES, ITEM_BYTES = 64, 32
+#: Tied places that may be broadcast, of which there are many more than rows.
 MAX_PLACES = 250_000
 #: Contexts of one anchor that meet in one task; the windows of more are grouped by fingerprint.
 CROWD = 10_000
@@ -235,9 +237,10 @@ def twice(h: np.ndarray, *who: np.ndarray) -> np.ndarray:
 
 def attach(left: DataFrame, right: DataFrame, items: str, how: str, most: int | None = None) -> DataFrame:
     """Joins by text key; ``right`` (a written table) goes to every executor
-    where its rows and the items of its array column are few enough."""
-    n, m = right.agg(F.count(F.lit(1)), F.sum(F.size(items))).first()
-    return left.join(F.broadcast(right) if n <= MAX_ROWS and (m or 0) <= (MAX_ITEMS if most is None else most) else right, ["_k1", "_k2"], how)
+    where it is small enough, by its rows and the items of its array column."""
+    n, m = right.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(items)), F.lit(0))).first()
+    small = n * ROW_BYTES + m * ITEM_BYTES <= MAX_BYTES and (most is None or m <= most)
+    return left.join(F.broadcast(right) if small else right, ["_k1", "_k2"], how)
 
 
 CONTEXT = "g long, _k1 long, _k2 long, lo int, n int, payload binary, known boolean, again int"

@@ -15,7 +15,8 @@ def shared_folder(spark: SparkSession) -> str:
     unset and Spark runs on this machine alone."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="loomtok-llm-")
         spark.sparkContext.setCheckpointDir(folder)

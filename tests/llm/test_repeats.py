@@ -121,7 +121,7 @@ def test_the_longest_match_stands_next_in_the_index():
 
 def test_by_shuffle(docs, corpus, monkeypatch):
     """Tables too large to broadcast are joined by shuffle."""
-    monkeypatch.setattr(repeats, "MAX_ROWS", 0)
+    monkeypatch.setattr(repeats, "MAX_BYTES", 0)
     texts = [r[1] for r in corpus]
     same(cut_bytes(docs, 400), texts, by_bytes(texts, 400))
 
