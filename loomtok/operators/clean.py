@@ -2,8 +2,8 @@
 
 Nested markup (templates, tables, links with captions) has no bound on its
 depth, which regular expressions can't follow.  One linear scan takes it out,
-in Arrow batches (``strip_nested``); what is left is flat and goes through
-regexp_replace steps, declared once as data (pattern, replacement).
+in Arrow batches; what is left is flat and goes through regular expressions,
+declared once as data (pattern, replacement).
 """
 
 from __future__ import annotations
@@ -121,14 +121,11 @@ def _without_nested(text: str, links: bool) -> str:
     return "".join(out)
 
 
-def _nested_udf(links: bool):
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None else _without_nested(t, links))
-    return F.pandas_udf(run, T.StringType())
+def _no_templates(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: t if t is None else _without_nested(t, False))
 
 
-strip_nested = _nested_udf(True)
-strip_templates_udf = _nested_udf(False)
+strip_templates_udf = F.pandas_udf(_no_templates, T.StringType())
 
 
 def _entities(texts: pd.Series) -> pd.Series:
@@ -165,13 +162,6 @@ def strip_templates(c) -> Column:
     return F.when(~marked, x).otherwise(strip_templates_udf(F.when(marked, x)))
 
 
-def clean_wikitext(c) -> Column:
-    """Templates, tables, refs, comments, file/category links out; link
-    text kept; headings unmarked; entities decoded; whitespace rules."""
-    flat = strip_nested(apply_steps(c, BEFORE_NESTED))
-    return normalize_whitespace(decode_entities(apply_steps(flat, AFTER_NESTED)))
-
-
 def _prose(texts: pd.Series) -> pd.Series:
     """Nested markup, the steps after it and character references, one text
     after the other."""
@@ -189,6 +179,13 @@ def _prose(texts: pd.Series) -> pd.Series:
 prose_udf = F.pandas_udf(_prose, T.StringType())
 
 
+def clean_wikitext(c) -> Column:
+    """Templates, tables, refs, comments, file/category links out; link
+    text kept; headings unmarked; entities decoded; whitespace rules.  A text
+    goes to Python and back once."""
+    return normalize_whitespace(prose_udf(apply_steps(c, BEFORE_NESTED)))
+
+
 def clean_pages(df: DataFrame, text: Column, out: str) -> DataFrame:
     """``clean_wikitext`` as a column, step by step, so that no step stands
     twice in the plan: texts go to Python and back once."""

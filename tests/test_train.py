@@ -109,23 +109,24 @@ def test_pair_table_equals_a_recount(spark):
     from conftest import SF001
     from loomtok.operators.model import BpeModel
     from loomtok.operators.pieces import pair_counts, piece_counts, words_from_pieces
-    from loomtok.operators.train import Guess, Tried, apply_merges, corpus_lines, tried, update_pairs
+    from loomtok.operators.train import Guess, Tried, apply_merges, corpus_lines, packed, tried, unpacked, update_pairs
     docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(30)
     words = words_from_pieces(piece_counts(corpus_lines(docs), "line"), 4).persist()
-    model, pairs, cut = BpeModel(), pair_counts(words), 0
+    model, pairs, cut, blocks = BpeModel(), pair_counts(words), 0, packed(words).persist()
+    assert sorted(map(tuple, unpacked(blocks).collect())) == sorted(map(tuple, words.select("cnt", "ids").collect()))
     guess = Guess([(r.ids, r.cnt) for r in words.orderBy(words.cnt.desc(), "ids").limit(40).collect()])
     for _ in range(4):
         top = [tuple(r) for r in pairs.orderBy(pairs.freq.desc(), "left_id", "right_id").limit(50).collect()]
         known, last = model.vocab_size, (-top[-1][2], *top[-1][:2])
         batch = guess.batch(top, model, 30, top[-1][2])
-        changes = tried(words, batch, top, known)
+        changes = tried(blocks, batch, top, known)
         merges, steps, ids = Tried(batch, known, top, last, changes).accept(model, 10 ** 6)
         assert merges and merges[0][:2] == top[0][:2]
         cut += len(batch) - len(merges)
         guess.apply(merges)
-        pairs = update_pairs(pairs, changes, ids, known, steps).persist()
-        words = apply_merges(words, merges).persist()
-        assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, pair_counts(words).collect()))
+        pairs = update_pairs(pairs, [(changes, ids, known, steps)]).persist()
+        blocks = apply_merges(blocks, merges).persist()
+        assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, pair_counts(unpacked(blocks)).collect()))
     assert cut > 0
 
 
