@@ -14,8 +14,8 @@ from loomtok.operators.model import BpeModel
 from loomtok.operators.train import train_on_texts
 from loomtok.sources.tables import table
 
-TRAIN_MERGES = 2000     # the model of train_bpe
-QUERY_MERGES = 512      # the model every encode/eval query uses
+TRAIN_MERGES = 2000     # the model of train_bpe_2000
+QUERY_MERGES = 256      # the model every other query uses
 BASELINE_MERGES = 64    # the comparison model (its first merges)
 SPECIAL_MERGES = 64     # the model with special tokens of its own
 _CACHE: dict[tuple, BpeModel] = {}

@@ -420,9 +420,9 @@ def build() -> dict[str, str]:
         f"{s(budget.LICENSE_NOTE_ARTICLES)} AS license_note FROM counters")
     q["scan_xml_pages"] = f"SELECT ord, title, wikitext FROM ({WIKI_PAGES})"
     # training / model tables
-    q["train_bpe"] = with_model("SELECT CAST(rank AS INTEGER) AS rank, CAST(left_id AS INTEGER) AS left_id, "
-                                "CAST(right_id AS INTEGER) AS right_id, CAST(new_id AS INTEGER) AS new_id, "
-                                "CAST(freq AS BIGINT) AS freq FROM merges", TRAIN_MERGES)
+    merges = ("SELECT CAST(rank AS INTEGER) AS rank, CAST(left_id AS INTEGER) AS left_id, "
+              "CAST(right_id AS INTEGER) AS right_id, CAST(new_id AS INTEGER) AS new_id, CAST(freq AS BIGINT) AS freq FROM merges")
+    q["train_bpe"], q["train_bpe_2000"] = with_model(merges), with_model(merges, TRAIN_MERGES)
     q["vocab_table"] = with_model("SELECT CAST(id AS INTEGER) AS id, token, kind FROM vocab")
     q["vocab_info"] = with_model(f"SELECT CAST(count(*) AS BIGINT) AS vocab_size, "
                                  f"{s(','.join(DEFAULT_SPECIAL_TOKENS))} AS special_tokens FROM vocab")

@@ -143,6 +143,10 @@ def q_scan_xml_pages(spark, d):
 
 # -- training and the model tables ---------------------------------------------
 def q_train_bpe(spark, d):
+    return documents_model(spark, d).merges_df(spark)
+
+
+def q_train_bpe_2000(spark, d):
     return documents_model(spark, d, TRAIN_MERGES).merges_df(spark)
 
 
@@ -376,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "extraction_manifest": q_extraction_manifest,
     "scan_xml_pages": q_scan_xml_pages,
     "train_bpe": q_train_bpe,
+    "train_bpe_2000": q_train_bpe_2000,
     "vocab_table": q_vocab_table,
     "vocab_info": q_vocab_info,
     "training_config": q_training_config,
