@@ -15,7 +15,7 @@ fit.  Rows and counters come from one and the same cut.
 as many as the bytes found so far say, until the limit is crossed.  Pages that
 need cleaning are cleaned range by range, each once, and written with their
 byte sizes to the shared folder; sums, cut and result read what was written.
-Only the look that crosses the limit needs running sums, the two-level ones of
+Only the range that crosses the limit needs running sums, the two-level ones of
 ``ordering``; those before it are kept whole.
 """
 
@@ -27,7 +27,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtok.functions.text import byte_len, char_len
@@ -74,30 +74,38 @@ def cut_at_budget(rows: DataFrame, limit: int, n_buckets: int | None = None, ord
         rows = rows.withColumn("tie", F.lit(0).cast("bigint"))
     order = (rows if order is None else order).select("ord")
     ends = bucket_splits(order, "ord", max(LOOKS, bucket_count(rows, order.count())))
-    n_valid, n_invalid, n_bytes, looked, since = 0, 0, 0, [], 0
-    while True:
-        # the ranges looked at so far are [0, since); the last one has all beyond the last end, nulls too
-        if not since:
-            upto = 1
-        else:
-            guess = -(-since * (lim - n_bytes) * 9 // (n_bytes * 8)) if n_bytes else since
-            upto = min(since + max(guess, 1), len(ends) + 1)
-        place = F.col("ord") > F.lit(ends[since - 1]) if since else F.lit(True)
-        here = rows.where(place & (F.col("ord") <= F.lit(ends[upto - 1]))) if upto <= len(ends) else rows.where(F.coalesce(place, F.lit(True)))
+
+    def within(a: int, b: int) -> Column:
+        """The ranges a to b - 1; the last one has all beyond the last end, nulls too."""
+        above = F.col("ord") > F.lit(ends[a - 1]) if a else F.lit(True)
+        return above & (F.col("ord") <= F.lit(ends[b - 1])) if b <= len(ends) else F.coalesce(above, F.lit(True))
+
+    number = F.lit(0)
+    if ends:
+        below = F.array(*map(F.lit, ends))
+        number = F.when(F.col("ord").isNull(), len(ends)).otherwise(F.size(F.filter(below, lambda e: e < F.col("ord"))))
+    # since: the ranges before it have been looked at and stay whole; crossing: the one in which the limit is reached
+    n_valid, n_invalid, n_bytes, looked, since, crossing = 0, 0, 0, [], 0, None
+    while crossing is None and since <= len(ends):
+        guess = -(-since * (lim - n_bytes) * 9 // (n_bytes * 8)) if n_bytes else since
+        upto = min(since + max(guess, 1), len(ends) + 1)
+        here = rows.where(within(since, upto))
         if written is not None:
             here = written(here)
             looked.append(here)
-        sums = here.agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).first()
-        if n_bytes + sums.bytes >= lim:
-            break
-        n_valid, n_invalid, n_bytes, since = n_valid + sums.valid, n_invalid + sums.invalid, n_bytes + sums.bytes, upto
-        if since > len(ends):
-            break
+        sums = here.groupBy(number.alias("i")).agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"),
+                                                   F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).collect()
+        for r in sorted(sums):
+            if n_bytes + r.bytes >= lim:
+                crossing = r.i
+                break
+            n_valid, n_invalid, n_bytes = n_valid + r.valid, n_invalid + r.invalid, n_bytes + r.bytes
+        since = upto
     if written is not None:
         rows = reduce(DataFrame.unionByName, looked)
     kept = rows.where("valid")
-    if since <= len(ends):
-        valid, invalid, n_bytes, kept = _cut_within(here, rows, lim, n_bytes, n_buckets)
+    if crossing is not None:
+        valid, invalid, n_bytes, kept = _cut_within(here.where(within(crossing, crossing + 1)), rows, lim, n_bytes, n_buckets)
         n_valid, n_invalid = n_valid + valid, n_invalid + invalid
     counters = spark.createDataFrame([(int(n_valid), int(n_invalid), int(n_bytes))],
                                      "articles_kept bigint, articles_skipped bigint, bytes_written bigint")
