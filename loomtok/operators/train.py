@@ -20,7 +20,7 @@ round before had accepted:
 4. *Check.*  From the exact counts and changes the driver walks the greedy
    order itself.  A merge is accepted when its pair is the first of all, it
    was tried, and what was tried before it without being accepted doesn't
-   touch it (``_Tried.meets``): then its changes are those of the true order.
+   touch it (``Tried.meets``): then its changes are those of the true order.
    At the first pair that fails, the batch is cut.  The first guess is the
    first pair of the exact ranking, so at least one merge is accepted.
 5. *Apply.*  The accepted merges change the pieces; the rest of the guess is
@@ -33,8 +33,9 @@ vocabulary uses that id again and has a round of its own.
 
 What a round costs follows the pieces that it changes: the others are looked
 at once in each step.  Pieces lie in blocks of flat arrays, on which a merge
-is a few array operations.  A round's changes are summed in the blocks first; what reaches the driver are the changes of the ranked pairs and
-of pairs with a tried id.
+is a few array operations.  A round's changes are summed in the blocks first;
+what reaches the driver are those of the ranked pairs and of pairs with a
+tried id.
 """
 
 from __future__ import annotations
