@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtok.llm.flat import Runs, Words, byte_class, byte_rows, room, row_slices, same_rows, with_columns
+from loomtok.llm.flat import Runs, Words, byte_class, byte_rows, room, row_slices, with_columns
 
 #: Bytes of test texts in one broadcast; more test text is scanned in several blocks.
 BLOCK_BYTES = 16 << 20
