@@ -26,23 +26,12 @@ from pyspark.sql import functions as F
 from loomtok.operators.encode import encode_documents
 from loomtok.operators.model import BpeModel
 from loomtok.session import ensure_checkpoint_dir
-from loomtok.streaming.totals import TOTAL_COLUMNS, token_totals_stream
+from loomtok.streaming.totals import TOTAL_COLUMNS, arriving, token_totals_stream
 
 #: Versions of the totals that stay.
 KEPT_VERSIONS = 2
 
 
-def arriving(spark: SparkSession, path: str, columns: list[str], glob: str | None = None,
-             max_files_per_trigger: int | None = None) -> DataFrame:
-    """The parquet files of a folder as a stream; ``glob`` on their names."""
-    static, reader = spark.read, spark.readStream
-    if glob:
-        static, reader = static.option("pathGlobFilter", glob), reader.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.schema(static.parquet(path).schema).parquet(path).select(*columns)
-
-
 def _own_folder(spark: SparkSession, out_dir: str | None, name: str) -> str:
     return out_dir or os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}-{uuid.uuid4().hex[:12]}")
 

@@ -25,6 +25,26 @@ from loomtok.operators.model import BpeModel
 from loomtok.session import ensure_checkpoint_dir
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(where) and files.getFileStatus(where).isDirectory()
+
+
+def arriving(spark: SparkSession, path: str, columns: list[str], glob: str | None = None,
+             max_files_per_trigger: int | None = None) -> DataFrame:
+    """The parquet files of a folder as a stream; ``glob`` on their names, or
+    the name of a table in it that is a folder of files."""
+    if glob and is_folder(spark, own := os.path.join(path, glob)):
+        path, glob = own, None
+    static, reader = spark.read, spark.readStream
+    if glob:
+        static, reader = static.option("pathGlobFilter", glob), reader.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.schema(static.parquet(path).schema).parquet(path).select(*columns)
+
+
 def token_count_udf(model: BpeModel):
     """Arrow UDF text -> number of tokens; the model ships in a broadcast."""
     shared = SparkSession.active().sparkContext.broadcast(model.plain())
@@ -71,16 +91,7 @@ def stream_token_totals(spark: SparkSession, path: str, model: BpeModel, group_c
     from loomtok.operators.evaluate import group_totals
     from loomtok.sources.tables import spread
 
-    static = spark.read
-    if glob:
-        static = static.option("pathGlobFilter", glob)
-    schema = static.parquet(path).schema
-    reader = spark.readStream.schema(schema)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.parquet(path).select(group_col, text_col)
+    src = arriving(spark, path, [group_col, text_col], glob, max_files_per_trigger)
     name = f"token_totals_{uuid.uuid4().hex[:12]}"
     base = out_dir or os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
     partials = os.path.join(base, "partials")
@@ -103,10 +114,7 @@ def stream_token_totals_in_state(spark: SparkSession, path: str, model: BpeModel
                                  text_col: str = "text", glob: str | None = None) -> DataFrame:
     """Variant keeping the totals in Spark's streaming state (complete mode,
     memory sink): one row for each group reaches the driver."""
-    static, reader = spark.read, spark.readStream
-    if glob:
-        static, reader = static.option("pathGlobFilter", glob), reader.option("pathGlobFilter", glob)
-    src = reader.schema(static.parquet(path).schema).parquet(path)
+    src = arriving(spark, path, [group_col, text_col], glob)
     name = f"token_totals_{uuid.uuid4().hex[:12]}"
     ckpt = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
     q = (token_totals_stream(src, model, group_col, text_col).writeStream

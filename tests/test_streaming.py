@@ -15,6 +15,10 @@ def _rows(df):
     return sorted((r.lang, *(r[c] for c in TOTAL_COLUMNS)) for r in df.collect())
 
 
+def _texts(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
 @pytest.fixture
 def arriving(spark, tmp_path):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").select("lang", "text")
@@ -103,3 +107,20 @@ def test_live_rows_restart_and_replay(spark, toy_model, tmp_path):
     got = live_token_rows(spark, path, toy_model, max_files_per_trigger=1, out_dir=out)
     assert rows(got) == rows(token_rows(docs, toy_model))
     assert {r.doc_id for r in got.select("doc_id").distinct().collect()} == {*range(30), None}
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_a_table_may_be_a_file_or_a_folder_of_files(spark, toy_model, tmp_path, folder):
+    docs = spark.createDataFrame([(1, "en", "aaaa bc"), (2, "fr", None), (3, None, "bcbc\n"), (3, "en", "")], "doc_id long, lang string, text string")
+    path, table = str(tmp_path / "in"), str(tmp_path / "in" / "documents.parquet")
+    if folder:
+        docs.repartition(3).write.parquet(table)
+    else:
+        os.makedirs(path)
+        docs.toPandas().to_parquet(table)
+    docs.limit(1).toPandas().to_parquet(f"{path}/other.parquet")
+    expected, glob = _texts(group_totals(docs, toy_model, "lang")), "documents.parquet"
+    for totals in (stream_token_totals, live_token_totals, stream_token_totals_in_state):
+        assert _texts(totals(spark, path, toy_model, glob=glob)) == expected
+    rows = live_token_rows(spark, path, toy_model, glob=glob)
+    assert _texts(rows) == _texts(token_rows(docs, toy_model))
