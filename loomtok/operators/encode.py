@@ -4,7 +4,8 @@ One narrow pass: each Arrow batch of rows is split at special tokens,
 NFKC-normalized, cut into pieces and encoded where it lies.  Nothing is
 shuffled, joined or cached and no key is needed, so null, repeated and
 composite keys are all the same to it.  A task keeps the encodings of the
-pieces it has met, ``KEPT_PIECES`` at most; the model is broadcast once.
+pieces it has met, ``KEPT_PIECES`` at most, as bytes, so that a text is put
+together by array operations; the model is broadcast once.
 
 There is one rule for every vocabulary size: the adjacent pair of lowest
 rank merges first, the leftmost of equal ones, as the trainer learned them.
@@ -23,7 +24,7 @@ import heapq
 import json
 import re
 import unicodedata
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from loomtok.functions.bytelevel import ALPHABET, ALPHABET_BYTE_ORDER, GPT2_SPLI
 from loomtok.functions.text import nfkc_alignment
 from loomtok.operators.model import BpeModel
 
-#: Pieces whose encoding a task keeps; beyond that it begins anew.
-KEPT_PIECES = 200_000
+#: Pieces whose encoding a task keeps at most; half of them may be of before.
+KEPT_PIECES = 400_000
 #: Rows of one output batch: token structs take far more room than text.
 OUT_ROWS = 256
 
@@ -54,6 +55,7 @@ class Encoder:
         plain = model if isinstance(model, dict) else model.plain()
         self.specials = plain["special_tokens"]
         self.tokens = plain["tokens"]
+        self.sizes = list(map(len, self.tokens))  # one symbol a byte
         self.special_ids = {s: i for i, s in enumerate(self.specials)}
         base = {b: len(self.specials) + i for i, b in enumerate(ALPHABET_BYTE_ORDER)}
         self.byte_ids = [base[b] for b in range(256)]
@@ -61,7 +63,9 @@ class Encoder:
         alts = "|".join(re.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         self.cut = re.compile(f"({alts})").split if alts else lambda text: [text]
         self.find = regex.compile(GPT2_SPLIT).findall
-        self.kept: dict[str, tuple[list[int], list[tuple[int, int]]]] = {}
+        self.special_entries = {s: (np.array([i], np.int32).tobytes(), np.array([0, len(s)], np.int32).tobytes()) for s, i in self.special_ids.items()}
+        self.kept: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def merged(self, raw: bytes) -> list[int]:
         """Lowest rank first, leftmost first among equals."""
@@ -85,53 +89,73 @@ class Encoder:
                 heapq.heappush(heap, (ranks[p], before[i], p))
         return [x for x in ids if x >= 0]
 
-    def piece(self, piece: str) -> tuple[list[int], list[tuple[int, int]]]:
-        """ids, and each token's characters within the piece; a token that
-        begins inside a character has that character as its first."""
-        found = self.kept.get(piece)
-        if found is None:
-            raw = piece.encode("utf-8")
-            ids, spans, at, chars = self.merged(raw), [], 0, 0
-            for i in ids:
-                end = at + len(self.tokens[i])  # one symbol a byte
+    def piece(self, piece: str) -> tuple[bytes, bytes]:
+        """ids, and each token's (first, end) characters within the piece, as
+        int32; a token that begins inside a character has that character as
+        its first."""
+        raw = piece.encode("utf-8")
+        ids, spans, at, chars, plain = self.merged(raw), [], 0, 0, len(raw) == len(piece)
+        for i in ids:
+            end = at + self.sizes[i]
+            if plain:
+                spans += (at, end)
+            else:
                 lead = sum(b & 0xC0 != 0x80 for b in raw[at:end])
-                spans.append((chars - (raw[at] & 0xC0 == 0x80), chars + lead))
-                at, chars = end, chars + lead
-            if len(self.kept) >= KEPT_PIECES:
-                self.kept.clear()
-            found = self.kept[piece] = ids, spans
-        return found
-
-    def pieces(self, text: str):
-        """(special token's id or None, piece) in order, pieces of NFKC text."""
+                spans += (chars - (raw[at] & 0xC0 == 0x80), chars + lead)
+                chars += lead
+            at = end
+        return array("i", ids).tobytes(), array("i", spans).tobytes()
+
+    def known(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
+        """``piece`` of each.  When half of what may be kept has come
+        together, only what is met again stays of what was there before."""
+        kept = self.kept
+        try:
+            return list(map(kept.__getitem__, pieces))
+        except KeyError:
+            own = set(pieces)
+            new = own.difference(kept)
+            if len(kept) + len(new) > KEPT_PIECES // 2:
+                self.older, self.kept = kept, (kept := {})
+                new = own
+            older = self.older
+            for piece in new:
+                kept[piece] = older.get(piece) or self.piece(piece)
+            return list(map(kept.__getitem__, pieces))
+
+    def entries(self, text: str) -> tuple[list[tuple[bytes, bytes]], list[int]]:
+        """The pieces of NFKC text in order, special tokens among them, and
+        their lengths."""
+        entries, lengths = [], []
         for part in self.cut(text):
             if part in self.special_ids:
-                yield self.special_ids[part], part
+                entries.append(self.special_entries[part])
+                lengths.append(len(part))
             elif part:
-                for piece in self.find(part if part.isascii() else unicodedata.normalize("NFKC", part)):
-                    yield None, piece
-
-    def ids(self, text: str) -> list[int]:
-        return list(chain.from_iterable([special] if special is not None else self.piece(piece)[0]
-                                        for special, piece in self.pieces(text)))
-
-    def full(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
-        """ids and character spans in the text as it was given."""
-        ids: list[int] = []
-        spans: list[tuple[int, int]] = []
-        at = 0
-        for special, piece in self.pieces(text):
-            own, local = ([special], [(0, len(piece))]) if special is not None else self.piece(piece)
-            ids += own
-            spans += [(a + at, b + at) for a, b in local]
-            at += len(piece)
+                pieces = self.find(part if part.isascii() else unicodedata.normalize("NFKC", part))
+                entries += self.known(pieces)
+                lengths += map(len, pieces)
+        return entries, lengths
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join([ids for ids, _ in self.entries(text)[0]]), np.int32)
+
+    def full(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """ids and character spans (a row for each token) in the text as it
+        was given."""
+        entries, lengths = self.entries(text)
+        ids = np.frombuffer(b"".join([ids for ids, _ in entries]), np.int32)
+        spans = np.frombuffer(b"".join([spans for _, spans in entries]), np.int32).reshape(-1, 2)
+        sizes = np.array(lengths, np.int32)
+        tokens = np.array([len(ids) for ids, _ in entries], np.int32) // 4
+        spans = spans + np.repeat(np.cumsum(sizes, dtype=np.int32) - sizes, tokens)[:, None]
         if not text.isascii() and not unicodedata.is_normalized("NFKC", text):
             starts, ends = nfkc_alignment(text, self.specials)
-            spans = [(starts[a], ends[b - 1]) for a, b in spans]
+            spans = np.stack([np.array(starts, np.int32)[spans[:, 0]], np.array(ends, np.int32)[spans[:, 1] - 1]], 1)
         return ids, spans
 
 
-def _lists(rows: list[list], values: pa.Array) -> pa.Array:
+def _lists(rows: list[np.ndarray], values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]), pa.int32()), values)
 
 
@@ -144,7 +168,7 @@ def add_encoding(df: DataFrame, model: BpeModel, text_col: str = "text", names:
 
     def run(batches):
         encoder = Encoder(shared.value)
-        tokens = np.array(encoder.tokens, object)
+        tokens = pa.array(encoder.tokens, pa.string())
         for batch in batches:
             for a in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(a, OUT_ROWS)
@@ -153,13 +177,13 @@ def add_encoding(df: DataFrame, model: BpeModel, text_col: str = "text", names:
                     ids, spans = map(list, zip(*map(encoder.full, texts)))
                 else:
                     ids, spans = [encoder.ids(t) for t in texts], []
-                flat = np.fromiter(chain.from_iterable(ids), np.int32)
+                flat = pa.array(np.concatenate(ids))
                 out = {"num_tokens": lambda: pa.array([len(x) for x in ids], pa.int32()),
                        "num_chars": lambda: pa.array([len(t) for t in texts], pa.int32()),
-                       "ids": lambda: _lists(ids, pa.array(flat)),
-                       "tokens": lambda: _lists(ids, pa.array(tokens[flat], pa.string()))}
+                       "ids": lambda: _lists(ids, flat),
+                       "tokens": lambda: _lists(ids, tokens.take(flat))}
                 if "offsets" in names:
-                    both = np.array(list(chain.from_iterable(spans)), np.int32).reshape(-1, 2)
+                    both = np.concatenate(spans)
                     out["offsets"] = lambda: _lists(spans, pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["start", "end"]))
                 yield pa.RecordBatch.from_arrays([*part.columns, *(out[c]() for c in names)], names=[*part.schema.names, *names.values()])
 
@@ -193,7 +217,7 @@ def id_counts(df: DataFrame, model: BpeModel, text_col: str = "text") -> DataFra
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    np.add.at(uses, encoder.ids(text), 1)
+                    uses += np.bincount(encoder.ids(text), minlength=len(uses))
         some = np.flatnonzero(uses)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(uses[some])], ["id", "uses"])
 

@@ -73,7 +73,7 @@ def timed_report(bench: DataFrame, model: BpeModel) -> DataFrame:
             for name, text in zip(*(batch.column(i).to_pylist() for i in range(2))):
                 text = text or ""
                 t0 = time.perf_counter()
-                ids = encoder.ids(text)
+                ids = encoder.ids(text).tolist()
                 words, size = len(text.split()), len(text.encode("utf-8"))
                 t1 = time.perf_counter()
                 b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")

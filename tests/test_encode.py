@@ -196,3 +196,16 @@ def test_any_ids_decode_as_python_does(spark, toy_model):
     tokens = {r.doc_id: r.tokens for r in E.add_tokens(df, toy_model).collect()}
     for i, ids in enumerate(rows):
         assert tokens[i] == (None if ids is None else [toy_model.tokens[x] for x in ids if x is not None and 0 <= x < n])
+
+
+def test_kept_pieces_are_bounded_and_change_nothing(toy_model, monkeypatch):
+    """Pieces turn over in two generations; a text's encoding doesn't depend on what was met before."""
+    texts = [f"aaaaaaa bcbc w{i} éﬁ{i % 7} <s>" for i in range(300)]
+    fresh = [E.Encoder(toy_model).full(t) for t in texts]
+    monkeypatch.setattr(E, "KEPT_PIECES", 40)
+    encoder = E.Encoder(toy_model)
+    for text, (ids, spans) in zip(texts, fresh):
+        got = encoder.full(text)
+        assert got[0].tolist() == ids.tolist() == encoder.ids(text).tolist() and got[1].tolist() == spans.tolist()
+        assert len(encoder.kept) + len(encoder.older) <= 40
+    assert encoder.kept["aaaaaaa"] and " bcbc" in encoder.kept
