@@ -1,5 +1,6 @@
 """Exact BPE training: fixture corpora and batched == one-at-a-time."""
 import random
+import unicodedata
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -171,3 +172,21 @@ def test_2000_merges_equal_a_sequential_trainer(spark):
     assert [[m.tokens[a], m.tokens[b]] for a, b, _, _ in m.merges] == [list(x) for x in found["merges"]]
     assert {t: i for i, t in enumerate(m.tokens)} == found["vocab"]
     assert len(m.merges) == 2000 and stats.rounds < 60
+
+
+def test_piece_counts_in_parts(spark, monkeypatch):
+    """Counts are whole when a task hands its pieces on in parts; no row of the JVM's cutting is made."""
+    from collections import Counter
+
+    import regex
+
+    from loomtok.functions.bytelevel import GPT2_SPLIT
+    from loomtok.operators import pieces
+    monkeypatch.setattr(pieces, "HELD_PIECES", 5)
+    monkeypatch.setattr(pieces, "OUT_PIECES", 2)
+    texts = ["a b a 12 ﬁne x\n", "a  b's\x1c 　\n", None, "", "a é <s> a\n"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "line string").coalesce(1)
+    expected = Counter(p for t in texts if t for p in regex.findall(GPT2_SPLIT, unicodedata.normalize("NFKC", t)))
+    found = pieces.piece_counts(df, "line")
+    assert {r.piece: r.cnt for r in found.collect()} == expected
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
