@@ -2,7 +2,7 @@
 
 Everything here is a built-in expression except :func:`nfkc`, which has no
 JVM equivalent: the runs of characters that it may change, and only they, go
-through an Arrow-batched pandas UDF.
+through an Arrow UDF.
 """
 
 from __future__ import annotations
@@ -10,10 +10,11 @@ from __future__ import annotations
 import functools
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # The characters Python's str.isspace() accepts, i.e. the
 # whitespace used by str.split() and str.strip(), written as regex escapes
@@ -23,17 +24,17 @@ WS = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
 WS_CLASS = "[" + WS + "]"
 NON_WS_CLASS = "[^" + WS + "]"
 
-ASCII_ONLY = r"^[\x{0}-\x{7f}]*$"
+#: Rows whose values are Python objects at the same time.
+SLICE_ROWS = 64
+NFKC_RUN_LIMIT, WIDE_RANGE = 0x0140, 20
 NFKC_SCAN_LIMIT = 0x0530   # Latin, Greek and Cyrillic: few ranges, cheap per character
 
 
 @functools.lru_cache(maxsize=1)
-def nfkc_stable_pattern() -> str:
-    """Regex class of code points that can never change under NFKC, derived
+def _stable_ranges() -> list[tuple[int, int]]:
+    """Ranges of code points that can never change under NFKC, derived
     from the Unicode database: c is NFKC-invariant, a starter (combining
-    class 0) and never the second element of a canonical composition.  A
-    text made only of such characters is NFKC-stable, so it never needs the
-    Python round trip."""
+    class 0) and never the second element of a canonical composition."""
     seconds = set()
     for cp in range(0x110000):
         d = unicodedata.decomposition(chr(cp))
@@ -50,19 +51,30 @@ def nfkc_stable_pattern() -> str:
         if cp is not None and cp == prev + 1:
             prev = cp
             continue
-        runs.append(f"\\x{{{start:x}}}" + (f"-\\x{{{prev:x}}}" if prev > start else ""))
+        runs.append((start, prev))
         if cp is not None:
             start = prev = cp
-    return "^[" + "".join(runs) + "]*$"
+    return runs
+
+
+def _class(ranges: list[tuple[int, int]]) -> str:
+    return "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges)
+
+
+def nfkc_stable_pattern() -> str:
+    """A text made only of stable characters is NFKC-stable."""
+    return f"^[{_class(_stable_ranges())}]*$"
 
 
 def unstable_run_pattern() -> str:
     """Runs of characters that NFKC may change, with the stable one before
     them, which they may compose with.  A stable character never changes and
     never composes with what is before it, so each run is normalized by
-    itself and what is between the runs stays."""
-    inside = nfkc_stable_pattern()[2:-3]
-    return f"[{inside}]?[^{inside}]+"
+    itself and what is between the runs stays.  Only the wide ranges below
+    ``NFKC_RUN_LIMIT`` count as stable: with five more ranges the search takes
+    ten times as long."""
+    inside = _class([(a, b) for a, b in _stable_ranges() if b < NFKC_RUN_LIMIT and b - a >= WIDE_RANGE])
+    return f"[{inside}]?[^{inside}]++"
 
 
 def col(c) -> Column:
@@ -113,35 +125,40 @@ def normalize_whitespace(c) -> Column:
     return strip_ws(x)
 
 
-def _nfkc_runs(texts: pd.Series) -> pd.Series:
-    """Arrays of runs; a run is normalized once in each batch."""
-    known: dict[str, str] = {}
+def by_slices(one, kind: T.DataType = T.StringType()):
+    """An Arrow UDF of ``one`` over values that aren't null, ``SLICE_ROWS`` at
+    a time: a task holds a batch, its result and the Python objects of a
+    slice."""
+    arrow = to_arrow_type(kind)
+
+    def run(values: pa.Array) -> pa.Array:
+        parts = [pa.array([v if v is None else one(v) for v in values.slice(a, SLICE_ROWS).to_pylist()], arrow)
+                 for a in range(0, len(values), SLICE_ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
+
+    run.__name__ = one.__name__
+    return F.arrow_udf(run, kind)
 
-    def one(run: str) -> str:
-        if run not in known:
-            known[run] = unicodedata.normalize("NFKC", run)
-        return known[run]
 
-    return texts.map(lambda runs: None if runs is None else [one(r) for r in runs])
+def _nfkc_runs(runs: list[str]) -> list[str]:
+    return [unicodedata.normalize("NFKC", run) for run in runs]
 
 
-_nfkc_udf = F.pandas_udf(_nfkc_runs, T.ArrayType(T.StringType()))
+_nfkc_udf = by_slices(_nfkc_runs, T.ArrayType(T.StringType()))
 
 
 def nfkc(c) -> Column:
-    """Unicode NFKC.  Texts made only of NFKC-stable characters below
-    ``NFKC_SCAN_LIMIT`` (ASCII and most Latin, Greek and Cyrillic letters) are
-    decided in the JVM.  Of the others, curly quotes and CJK among them, only
-    the runs of other characters go to Python; the JVM puts them back in
-    between the stable parts."""
+    """Unicode NFKC.  ASCII texts are told by their sizes.  Of the others,
+    curly quotes and CJK among them, only the runs of characters that may
+    change go to Python; the JVM puts them back in between the stable parts."""
     c = col(c)
-    stable = c.rlike(ASCII_ONLY) | c.rlike(nfkc_stable_pattern())
-    other, run = F.when(~stable, c), unstable_run_pattern()
+    plain, run = F.octet_length(c) == F.length(c), unstable_run_pattern()
+    other = F.when(~plain, c)
     runs = _nfkc_udf(F.regexp_extract_all(other, F.lit(run), F.lit(0)))
     # one part more than runs: before the first, between, after the last
     pairs = F.arrays_zip(F.split(other, run).alias("part"), runs.alias("run"))
     joined = F.array_join(F.transform(pairs, lambda p: F.concat(p["part"], F.coalesce(p["run"], F.lit("")))), "")
-    return F.when(c.isNull(), F.lit(None).cast("string")).when(stable, c).otherwise(joined)
+    return F.when(c.isNull() | plain, c).otherwise(joined)
 
 
 def _composes(a: str, b: str) -> bool:

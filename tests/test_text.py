@@ -1,4 +1,5 @@
 """Scalar text functions against Python's own string semantics."""
+import re
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -99,3 +100,10 @@ def test_whole_texts_do_not_go_through_python(spark):
     from loomtok.sources.tables import variants
     plan = variants(spark, SF001).select(T.nfkc("text").alias("x"))._jdf.queryExecution().executedPlan().toString()
     assert "_nfkc_runs(regexp_extract_all(" in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_nfkc_search_looks_through_few_ranges():
+    """The class of the search is tried on every character of a text."""
+    assert T.unstable_run_pattern().count("-") <= 4
+    run = re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", T.unstable_run_pattern()))
+    assert run.findall("plain \u00e9t\u00e9, \ufb01ne e\u0301 x") == [" \ufb01", "e\u0301"]
