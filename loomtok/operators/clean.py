@@ -11,12 +11,10 @@ from __future__ import annotations
 import html
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loomtok.functions.text import col, lstrip_ws, normalize_whitespace
+from loomtok.functions.text import by_slices, col, lstrip_ws, normalize_whitespace
 
 # Marks of pages that aren't articles, and title prefixes of non-article pages (case-sensitive).
 NAMESPACE_PREFIXES = ["Category:", "Template:", "File:", "Wikipedia:", "Portal:", "Help:"]
@@ -121,18 +119,18 @@ def _without_nested(text: str, links: bool) -> str:
     return "".join(out)
 
 
-def _no_templates(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None else _without_nested(t, False))
+def _no_templates(text: str) -> str:
+    return _without_nested(text, False)
 
 
-strip_templates_udf = F.pandas_udf(_no_templates, T.StringType())
+strip_templates_udf = by_slices(_no_templates)
 
 
-def _entities(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None or "&" not in t else html.unescape(t))
+def _entities(text: str) -> str:
+    return html.unescape(text) if "&" in text else text
 
 
-entities_udf = F.pandas_udf(_entities, T.StringType())
+entities_udf = by_slices(_entities)
 
 
 def _java(pattern: str) -> str:
@@ -162,21 +160,18 @@ def strip_templates(c) -> Column:
     return F.when(~marked, x).otherwise(strip_templates_udf(F.when(marked, x)))
 
 
-def _prose(texts: pd.Series) -> pd.Series:
-    """Nested markup, the steps after it and character references, one text
-    after the other."""
-    steps = [(re.compile(pattern), rf"\g<{rep}>" if isinstance(rep, int) else rep) for pattern, rep in AFTER_NESTED]
+_AFTER = [(re.compile(pattern), rf"\g<{rep}>" if isinstance(rep, int) else rep) for pattern, rep in AFTER_NESTED]
 
-    def one(text: str) -> str:
-        text = _without_nested(text, True)
-        for pattern, rep in steps:
-            text = pattern.sub(rep, text)
-        return html.unescape(text) if "&" in text else text
 
-    return texts.map(lambda t: t if t is None else one(t))
+def _prose(text: str) -> str:
+    """Nested markup, the steps after it and character references."""
+    text = _without_nested(text, True)
+    for pattern, rep in _AFTER:
+        text = pattern.sub(rep, text)
+    return html.unescape(text) if "&" in text else text
 
 
-prose_udf = F.pandas_udf(_prose, T.StringType())
+prose_udf = by_slices(_prose)
 
 
 def clean_wikitext(c) -> Column:
