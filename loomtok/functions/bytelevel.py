@@ -8,6 +8,8 @@ translate, transform) so it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ from loomtok.functions.text import col
 GPT2_SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
               r"| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 SPARK_SPLIT = "(?U)" + GPT2_SPLIT
+# The same letters, numbers and white space up to U+00FF, written out.
+_L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+LATIN_SPLIT = rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 
 # Special tokens reserved at the lowest ids, in this order.
 DEFAULT_SPECIAL_TOKENS = ["<unk>", "<s>", "</s>", "<pad>"]
@@ -63,6 +68,25 @@ def _class_of(chars: set[str]) -> str:
 CONTINUATION_CLASS = _class_of({byte_symbol(b) for b in range(0x80, 0xC0)})
 
 
+def piece_finder():
+    """A function that cuts a text into pieces within a task.  Texts without
+    characters past U+00FF go by ``LATIN_SPLIT``, which needs no Unicode
+    properties and so Python's own, faster matcher."""
+    import regex
+
+    latin, every = re.compile(LATIN_SPLIT).findall, regex.compile(GPT2_SPLIT).findall
+
+    def find(text: str) -> list[str]:
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return every(text)
+        return latin(text)
+
+    return find
+
+
 def pretokenize(c) -> Column:
     """array<string> of pieces (GPT-2 split, no prefix space)."""
     return F.regexp_extract_all(col(c), F.lit(SPARK_SPLIT), 0)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtok.functions.bytelevel import ALPHABET, ALPHABET_BYTE_ORDER, GPT2_SPLIT
+from loomtok.functions.bytelevel import ALPHABET, ALPHABET_BYTE_ORDER, piece_finder
 from loomtok.functions.text import nfkc_alignment
 from loomtok.operators.model import BpeModel
 
@@ -50,8 +50,6 @@ class Encoder:
     """A model ready for use in a task, made from ``BpeModel.plain()``."""
 
     def __init__(self, model: BpeModel | dict):
-        import regex
-
         plain = model if isinstance(model, dict) else model.plain()
         self.specials = plain["special_tokens"]
         self.tokens = plain["tokens"]
@@ -62,7 +60,7 @@ class Encoder:
         self.ranks = {(left, right): (rank, new) for rank, (left, right, new) in enumerate(plain["merges"].tolist())}
         alts = "|".join(re.escape(s) for s in sorted(self.specials, key=len, reverse=True))
         self.cut = re.compile(f"({alts})").split if alts else lambda text: [text]
-        self.find = regex.compile(GPT2_SPLIT).findall
+        self.find = piece_finder()
         self.special_entries = {s: (np.array([i], np.int32).tobytes(), np.array([0, len(s)], np.int32).tobytes()) for s, i in self.special_ids.items()}
         self.kept: dict[str, tuple[bytes, bytes]] = {}
         self.older: dict[str, tuple[bytes, bytes]] = {}

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtok.functions.bytelevel import GPT2_SPLIT, symbol_ids, to_symbols
+from loomtok.functions.bytelevel import piece_finder, symbol_ids, to_symbols
 
 #: Distinct pieces that a task counts before it hands them on; rows of an output batch.
 HELD_PIECES, OUT_PIECES = 300_000, 50_000
@@ -27,9 +27,7 @@ def piece_counts(df: DataFrame, text_col: str, normalize: bool = True) -> DataFr
     training text are ordinary text).  A task counts up to ``HELD_PIECES``
     pieces before it hands them on."""
     def run(batches):
-        import regex
-
-        find = regex.compile(GPT2_SPLIT).findall
+        find = piece_finder()
         counts: Counter = Counter()
 
         def rows():
