@@ -42,17 +42,20 @@ def compare_models(df: DataFrame, ours: BpeModel, baseline: BpeModel, text_col:
 def token_stream(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per token chip: id, display text (Ġ shown as ·), character
     span, chip width min(1 + 0.18·span, 4), colour band id % 3."""
-    x = encoded.select(key, "num_chars", "num_tokens",
-                       F.posexplode(F.arrays_zip("ids", "tokens", "offsets")).alias("pos", "t"))
+    per_token = ratio(F.col("num_chars"), F.greatest(F.lit(1), F.col("num_tokens")), 2)
+    # what is one value for a document is worked out before its tokens are rows
+    x = encoded.select(key, per_token.alias("_per_token"), F.arrays_zip("ids", "tokens", "offsets").alias("_t"))
+    x = x.select(key, "_per_token", F.posexplode("_t").alias("pos", "t"))
     span = F.greatest(F.lit(1), F.col("t.offsets.end") - F.col("t.offsets.start"))
+    widths = F.array(*[F.lit(min(round(1 + 0.18 * n, 4), 4.0)) for n in range(1, 18)])  # from 17 on it is 4
     return x.select(
         key, "pos", F.col("t.ids").alias("id"), F.col("t.tokens").alias("token"),
         F.replace(F.col("t.tokens"), F.lit("Ġ"), F.lit("·")).alias("display"),
         F.col("t.offsets.start").alias("start"), F.col("t.offsets.end").alias("end"),
         span.alias("char_span"),
-        F.round(F.least(F.lit(1.0) + F.lit(0.18) * span, F.lit(4.0)), 4).alias("width_scale"),
+        F.get(widths, F.least(span, F.lit(17)) - 1).alias("width_scale"),
         (F.col("t.ids") % 3).alias("band"),
-        ratio(F.col("num_chars"), F.greatest(F.lit(1), F.col("num_tokens")), 2).alias("chars_per_token"))
+        F.col("_per_token").alias("chars_per_token"))
 
 
 def vocab_usage(corpus: DataFrame, model: BpeModel, text_col: str = "text") -> DataFrame:

@@ -209,3 +209,32 @@ def test_kept_pieces_are_bounded_and_change_nothing(toy_model, monkeypatch):
         assert got[0].tolist() == ids.tolist() == encoder.ids(text).tolist() and got[1].tolist() == spans.tolist()
         assert len(encoder.kept) + len(encoder.older) <= 40
     assert encoder.kept["aaaaaaa"] and " bcbc" in encoder.kept
+
+
+def test_latin_texts_are_cut_as_the_pattern_says():
+    import random
+
+    import regex
+
+    from loomtok.functions.bytelevel import GPT2_SPLIT, piece_finder
+    rng, find, whole = random.Random(5), piece_finder(), regex.compile(GPT2_SPLIT).findall
+    often = "  \n\t'stmrelvd09a.\xa0\x85\x1c\x1f\xe9\xb2\u4e2d\u2019"
+    texts = ["".join(rng.choice((chr(rng.randrange(256)), rng.choice(often))) for _ in range(rng.randint(0, 16))) for _ in range(5000)]
+    assert [find(t) for t in texts] == [whole(t) for t in texts]
+
+
+def test_token_stream_has_one_ratio_a_document(spark, toy_model):
+    """Worked out below the step that makes rows of the tokens; the widths are
+    those of the rule."""
+    from loomtok.operators.serving import token_stream
+    df = spark.createDataFrame([(1, "aaaaaaa bcbc \u00e9"), (2, None), (3, "a" * 40)], "doc_id long, text string")
+    out = token_stream(encode_documents(df, toy_model))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(38,0)" in plan.split("Generate")[1] and "decimal(38,0)" not in plan.split("Generate")[0]
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == {1, 3}
+    from pyspark.sql import functions as F
+    spans = spark.range(1, 41).select(F.col("id").cast("int").alias("n"), F.round(F.least(F.lit(1.0) + F.lit(0.18) * F.col("id").cast("int"), F.lit(4.0)), 4).alias("w"))
+    widths = {r.n: r.w for r in spans.collect()}
+    assert all(r.width_scale == widths[r.char_span] == min(round(1 + 0.18 * r.char_span, 4), 4.0) for r in rows)
+    assert [widths[n] for n in range(1, 41)] == [min(round(1 + 0.18 * n, 4), 4.0) for n in range(1, 41)]
