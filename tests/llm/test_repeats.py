@@ -119,6 +119,22 @@ def test_the_longest_match_stands_next_in_the_index():
             assert n[a] == max(common(a, b) for b in range(len(h)) if b != a) and (n[a] == 0 or common(a, int(best[a])) == n[a])
 
 
+def test_planted_passages(spark):
+    """Passages of over 50 words in two texts each: those of 400 bytes go from
+    both, whole and nothing beside them, shorter ones and clean texts stay."""
+    rng = random.Random(29)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    passages = [some(n) for n in range(51, 101)]
+    texts = {some(150): (0, None) for _ in range(20)}
+    for p in [*passages, some(100)[:400], some(100)[:399]]:
+        for a, b in ("()", "[]"):
+            head, tail = some(40) + a, b + some(40)
+            texts[head + p + tail] = (len(p), (head + tail).encode()) if len(p) >= 400 else (0, None)
+    assert 15 < sum(len(p) >= 400 for p in passages) < 40
+    found = cut_bytes(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), 400)
+    assert {t: (n, spans, kept) for t, _, n, spans, kept in found} == {t: (n, int(n > 0), kept or t.encode()) for t, (n, kept) in texts.items()}
+
+
 def test_by_shuffle(docs, corpus, monkeypatch):
     """Tables too large to broadcast are joined by shuffle."""
     monkeypatch.setattr(repeats, "MAX_BYTES", 0)
